@@ -1,0 +1,57 @@
+"""Token ids of whole texts for the packers, by the tokenizers library's file.
+
+Texts are cut into words by the file's own rules, and words met before come from a bounded
+table of the worker; the library encodes the new words of a text in one call.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+from lociq.llm.bpe import MEMORY, WordBpe
+
+#: Words over this length are not remembered.
+_SHORT = 64
+
+
+class Feeder(WordBpe):
+    def __init__(self, path: str):
+        super().__init__(path)
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.ends = np.array([t.endswith(self.end) for t in self.tokens])
+
+    def fill(self, words: set[str]) -> dict[str, bytes]:
+        """ids by word. Their join by blanks has the same words again; a token with the word end closes each."""
+        ordered = sorted(words)
+        ids = np.array(self.library.encode(" ".join(ordered), add_special_tokens=False).ids, dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(ordered):  # a word that the library cuts otherwise
+            return {w: self.word(w) for w in ordered}
+        data, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        return {w: data[a:b] for w, a, b in zip(ordered, at, at[1:], strict=False)}
+
+    def segment(self, text: str, out: list[bytes]) -> None:
+        text = self.normalise(text)
+        words = (self.plain_words if self.is_plain(text) else self.words)(text)
+        memory = self.memory
+        got = list(map(memory.get, words))
+        if None in got:
+            lacking = [i for i, x in enumerate(got) if x is None]
+            fresh = self.fill({words[i] for i in lacking})
+            for i in lacking:
+                got[i] = fresh[words[i]]
+            if len(memory) + len(fresh) > MEMORY:
+                memory.clear()
+            memory.update((w, x) for w, x in fresh.items() if len(w) <= _SHORT)
+        out += got
+
+
+_LOADED: dict[str, Feeder] = {}
+
+
+def load(path: str) -> Feeder:
+    if path not in _LOADED:
+        _LOADED[path] = Feeder(path)
+    return _LOADED[path]
