@@ -581,7 +581,7 @@ def isoform_fraction(spark, d):
     return pk(spark, d).withColumn("f", f).filter("f >= 0.3").select("qname", r6("f").alias("fraction"))
 
 
-@query(f"WITH {IV}, b AS (SELECT DISTINCT rname, s + 3 AS spot FROM iv), f AS (SELECT rname, frag, min(s) AS lo, max(e) AS hi FROM iv GROUP BY 1, 2) SELECT b.rname, spot AS "at", count(*) AS wild FROM b JOIN f ON b.rname = f.rname AND lo < spot AND spot < hi GROUP BY 1, 2")
+@query(f"WITH {IV}, b AS (SELECT DISTINCT rname, s + 3 AS spot FROM iv), f AS (SELECT rname, frag, min(s) AS lo, max(e) AS hi FROM iv GROUP BY 1, 2) SELECT b.rname, spot AS \"at\", count(*) AS wild FROM b JOIN f ON b.rname = f.rname AND lo < spot AND spot < hi GROUP BY 1, 2")
 def crossing_fragments(spark, d):
     a = iv(spark, d)
     return filters.crossing_fraction(a, a.select("rname", (F.col("s") + 3).alias("at")).distinct(), ["rname"], "frag")
