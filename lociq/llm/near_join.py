@@ -166,7 +166,8 @@ def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHO
     labels = nodes.select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("sig", t * (4 * length) + 1, F.lit(4 * length)))).alias("tree", "prefix")).select(F.xxhash64("tree", "prefix").alias("bucket"), "node")
     full = labels.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = in_blocks(labels.join(full, "bucket"), "size").select("bucket", "i", "j", "node").join(nodes.select("node", "sig"), "node")
-    links = map_groups(members, ["bucket", "i", "j"], _family_links(size), "a binary, b binary")
+    # members in the order of their keys, so that blocks and trees agree on a family's root and most links coincide
+    links = map_groups(members, ["bucket", "i", "j"], _family_links(size), "a binary, b binary", then=["node"])
     family = connected_components(links)
 
     sized = family.join(family.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
