@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociq.functions import cigar, prob, sequence
-from lociq.operators import align, annotate, classify, cluster, filters, intervals, nominate, spanning, stats
+from lociq.operators import align, annotate, classify, cluster, filters, intervals, legacy, nominate, spanning, stats
 from lociq.operators.graph import connected_components
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -632,6 +632,100 @@ def report_groups(spark, d):
     return nominate.group_report(x, ["id5p", "id3p"], "best").select("id5p", "id3p", "best", "best_id", F.size("txs5").cast("long").alias("txs"), F.size("chimera_ids").cast("long").alias("ids"))
 
 
+# ---------------------------------------------------------------- legacy operators
+
+@query(f"WITH {IV}, i AS (SELECT *, s - n AS cs, e + n AS ce, rname + s AS b FROM iv) SELECT rname, count(*) AS n FROM i WHERE cs < 9000 + n * 100 AND 9000 + n * 100 < ce GROUP BY 1")
+def boundary_spanning(spark, d):
+    c = F.col
+    return iv(spark, d).filter(legacy.spans_boundary(c("s") - c("n"), c("e") + c("n"), 9000 + c("n") * 100)).groupBy("rname").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {IV} SELECT rname, tx, count(DISTINCT s) AS positions FROM iv GROUP BY 1, 2 HAVING count(DISTINCT s) >= 2")
+def unique_positions(spark, d):
+    return legacy.enough_positions(iv(spark, d), ["rname", "tx"], "s", 2)
+
+
+@query(f"WITH {PK} SELECT qname FROM pk WHERE id5p <= 90 AND id3p <= 90 AND id5p - id3p <> 0 AND (id5p + id3p <= 2 * 60 OR abs(id5p - id3p) <= 20 OR prio[1:1] = CAST(id3p % 5 + 1 AS VARCHAR))")
+def distance_filters(spark, d):
+    c = F.col
+    near = legacy.genomically_concordant(F.abs(c("id5p") - c("id3p")), 20, (F.array(F.substring("prio", 1, 1)), F.array((c("id3p") % 5 + 1).cast("string"))))
+    return pk(spark, d).filter(legacy.inner_distance_ok(c("id5p"), c("id3p"), 90) & legacy.apart(c("id5p") - c("id3p")) & (filters.insert_size_ok(c("id5p"), c("id3p"), 60) | near)).select("qname")
+
+
+@query(f"WITH {PK} SELECT qname, id5p % 7 AS r5, id3p % 7 AS r3 FROM pk WHERE id5p % 7 <> id3p % 7")
+def inter_reference(spark, d):
+    p = pk(spark, d).select("qname", (F.col("id5p") % 7).alias("r5"), (F.col("id3p") % 7).alias("r3"))
+    return p.filter(legacy.between_references(F.col("r5"), F.col("r3")))
+
+
+@query(f"WITH {RD} SELECT doc_id, CAST(doc_id % 7 AS VARCHAR) || 'A' || CAST(doc_id % 5 + doc_id % 11 AS VARCHAR) || 'C' || CAST(doc_id % 3 AS VARCHAR) AS md FROM rd")
+def md_merge(spark, d):
+    t = lambda k: (F.col("doc_id") % k).cast("string")
+    return rd(spark, d).select("doc_id", legacy.md_merge(F.concat(t(7), F.lit("A"), t(5)), F.concat(t(11), F.lit("C"), t(3))).alias("md"))
+
+
+@query(f"WITH {RD}, x AS (SELECT doc_id, [[doc_id % 3, 9], [doc_id % 3, doc_id % 2 + 20], [doc_id % 2 + 20, 30], [doc_id % 5 + 40]] AS ids FROM rd) SELECT doc_id, CASE WHEN TRUE THEN '2,3' END AS cuts FROM x")
+def split_points(spark, d):
+    c = F.col("doc_id")
+    ids = F.array(F.array(c % 3, F.lit(9).cast("long")), F.array(c % 3, c % 2 + 20), F.array(c % 2 + 20, F.lit(30).cast("long")), F.array(c % 5 + 40))
+    return rd(spark, d).select("doc_id", F.array_join(legacy.split_points(ids).cast("array<string>"), ",").alias("cuts"))
+
+
+@query(f"WITH {EV}, h AS (SELECT frag, place % 7 AS r, min(size) AS lo, max(size) AS hi, count(DISTINCT mate) AS sides, count(*) AS n FROM ev GROUP BY 1, 2) SELECT frag, r, CASE WHEN sides = 1 THEN (SELECT min(CAST(mate AS VARCHAR)) FROM ev WHERE ev.frag = h.frag AND place % 7 = r) ELSE '.' END AS strand FROM h")
+def strand_prediction(spark, d):
+    e = ev(spark, d).select(F.struct("frag", (F.col("place") % 7).alias("r")).alias("read"), F.col("mate").cast("string").alias("strand"))
+    return legacy.predict_strand(e, "read", "strand").select("read.frag", "read.r", "strand")
+
+
+@query(f"WITH {EV}, g AS (SELECT frag, count(*) AS ih, count(DISTINCT place) AS nh FROM ev GROUP BY 1) SELECT e.frag, e.event_id, CAST(row_number() OVER (PARTITION BY e.frag ORDER BY e.event_id) - 1 AS BIGINT) AS hi, ih, nh FROM ev e JOIN g USING (frag)")
+def multihit_tags(spark, d):
+    return big(legacy.annotate_multihits(ev(spark, d), ["frag"], ["place"], F.col("event_id")).select("frag", "event_id", "hi", "ih", "nh"), "hi")
+
+
+@query(f"WITH {IV}, x AS (SELECT rname, s AS spot, 1 AS d FROM iv UNION ALL SELECT rname, e, -1 FROM iv), y AS (SELECT rname, spot, sum(d) AS d FROM x GROUP BY 1, 2 HAVING sum(d) <> 0) SELECT rname, spot AS \"at\", CAST(sum(d) OVER (PARTITION BY rname ORDER BY spot ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM y")
+def pileup(spark, d):
+    return big(legacy.pileup(iv(spark, d), ["rname"], "s", "e"), "depth")
+
+
+@query(f"WITH {EV} SELECT frag, round(sum(1.0 / (place + 1)::DOUBLE), 6) AS score FROM ev WHERE size >= 10 GROUP BY 1")
+def spanning_score(spark, d):
+    return legacy.spanning_score(ev(spark, d).withColumn("m", F.col("place") + 1), ["frag"], "size", "m", 10).select("frag", r6("score").alias("score"))
+
+
+@query(f"WITH {IV}, m AS (SELECT frag, count(*) FILTER (WHERE orient = 1) AS n1, count(*) FILTER (WHERE orient = 2) AS n2, count(DISTINCT rname % 5) AS refs, max(e) - min(s) AS isize FROM iv GROUP BY 1) SELECT frag, isize FROM m WHERE n1 = 1 AND n2 = 1 AND refs = 1")
+def unique_isizes(spark, d):
+    return legacy.unique_insert_sizes(iv(spark, d).withColumn("mate", F.col("orient")).withColumn("rname", F.col("rname") % 5), "frag")
+
+
+@query(f"""WITH {PK}, p AS (SELECT qname, price % 6 AS x, id5p % 5 AS y, id3p % 4 AS z FROM pk), g AS (SELECT x, y, z, count(*) AS n FROM p GROUP BY 1, 2, 3), c AS (SELECT a.x, a.y, a.z, sum(b.n) / (SELECT count(*) FROM p) AS prob FROM g a JOIN g b ON b.x <= a.x AND b.y <= a.y AND b.z <= a.z GROUP BY 1, 2, 3),
+s AS (SELECT p.*, prob FROM p JOIN c USING (x, y, z)) SELECT qname, round(prob, 6)::DOUBLE AS prob FROM s WHERE prob >= (SELECT quantile_cont(prob, 0.9) FROM s) - 1e-12""")
+def empirical_rank(spark, d):
+    p = pk(spark, d).select("qname", (F.col("price") % 6).alias("x"), (F.col("id5p") % 5).alias("y"), (F.col("id3p") % 4).alias("z"))
+    return legacy.rank_empirically(p, ("x", "y", "z"), 90).select("qname", r6("prob").alias("prob"))
+
+
+@query(f"WITH {IV}, x AS (SELECT DISTINCT rname AS chrom, frag AS tx_id, s, e, strand FROM iv), {island_sql('chrom', 0, 'x')}, k AS (SELECT DISTINCT x.chrom, i.island_start, x.strand FROM x JOIN isl i ON x.chrom = i.chrom AND x.s >= i.island_start AND x.s <= i.island_end), o AS (SELECT *, CAST(row_number() OVER (ORDER BY chrom, island_start, strand) - 1 AS BIGINT) AS cluster FROM k) SELECT x.chrom, x.tx_id, x.s AS tx_start, x.e AS tx_end, x.strand, o.cluster FROM x JOIN isl i ON x.chrom = i.chrom AND x.s >= i.island_start AND x.s <= i.island_end JOIN o ON o.chrom = x.chrom AND o.island_start = i.island_start AND o.strand = x.strand")
+def span_clusters(spark, d):
+    t = iv(spark, d).select(F.col("rname").alias("chrom"), F.col("frag").alias("tx_id"), F.col("s").alias("tx_start"), F.col("e").alias("tx_end"), "strand").distinct()
+    return big(legacy.span_clusters(t), "cluster")
+
+
+@query(f"WITH {EV}, r AS (SELECT frag, kind, min(place % 9) AS lo, max(place % 9) AS hi FROM ev GROUP BY 1, 2) SELECT frag, count(DISTINCT (lo, hi)) AS runs, max(hi - lo) AS widest FROM r GROUP BY 1")
+def segment_cover(spark, d):
+    e = ev(spark, d).withColumn("seg", F.col("place") % 9)
+    cover = legacy.merge_mate_clusters(e, "frag", "kind", "seg").select("frag", F.array_max(F.transform("runs", lambda r: r["last"] - r["first"])).cast("long").alias("widest"))
+    runs = e.groupBy("frag", "kind").agg(F.struct(F.min("seg"), F.max("seg")).alias("r")).groupBy("frag").agg(F.count_distinct("r").alias("runs"))
+    return runs.join(cover, "frag")
+
+
+@query("WITH x AS (SELECT DISTINCT p_size AS chrom, p_partkey % 10 * 100 AS a, p_partkey % 10 * 100 + p_size + 5 AS b FROM part) SELECT CAST(chrom AS BIGINT) AS chrom, CAST(a + 4 AS BIGINT) AS start, CAST(b AS BIGINT) AS stop FROM x")
+def splice_junctions(spark, d):
+    p, c = table(spark, d, "part"), F.col
+    a, b = (c("p_partkey") % 10 * 100).cast("int"), (c("p_partkey") % 10 * 100 + c("p_size") + 5).cast("int")
+    t = p.select(c("p_size").alias("chrom"), F.lit("+").alias("strand"), F.array(F.struct(a.alias("start"), (a + 5).alias("end")), F.struct(b.alias("start"), (b + 9).alias("end"))).alias("exons"))
+    return big(legacy.splice_junctions(t).select("chrom", "start", F.col("end").alias("stop")), "chrom", "start", "stop")
+
+
 # ---------------------------------------------------------------- own semantics
 
 @query(f"""WITH {RD}, r AS (SELECT DISTINCT seq AS ref FROM rd), q AS (SELECT doc_id, substr(seq, 5, 24) AS query FROM rd)
