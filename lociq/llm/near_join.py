@@ -1,12 +1,16 @@
 """Similarity join on word shingles: an LSH forest over MinHash signatures, then exact verification.
 
 Texts with the same shingle set form a node. A node's signature is cut into the labels of
-several prefix trees. Nodes that share a label prefix meet in a bucket; prefixes start at
-``DEEPEST`` values and are shortened until a pair at the threshold is met in some tree with
-the target recall. Buckets are worked in pairs of bounded blocks, in which the signatures
-join nodes into families (one spanning link a node, never the pairs). Every pair of a family
-is then verified on its whole shingle sets, again in pairs of bounded blocks that return one
-row a node: how many documents it is linked to, and one spanning link.
+several prefix trees of depth ``DEEPEST``; the nodes below a common prefix, which a sort by
+labels brings together, meet in a bucket. Matching starts at whole labels and shortens the
+prefix level by level: the pairs met at a level tell, by how similar they are, how many like
+them no tree has met yet, and the forest stops at the level whose recall reaches the target,
+at the latest at ``prefix_length``, where even pairs at the very threshold reach it.
+
+Buckets are worked in pairs of bounded blocks, in which the signatures join nodes into
+families (one spanning link a node, never the pairs). Every pair of a family is then verified
+on its whole shingle sets, again in pairs of bounded blocks that return one row a node: how
+many documents it is linked to, and one spanning link.
 """
 
 from __future__ import annotations
@@ -19,9 +23,11 @@ from pyspark.sql import functions as F
 
 from lociq.llm.frames import map_columns, map_groups, shingle_hashes
 from lociq.operators.graph import connected_components
-from lociq.plans.storage import materialise
+from lociq.plans.storage import discard, materialise
 
-WIDTH, THRESHOLD, TREES, DEEPEST, RECALL = 5, 0.8, 20, 8, 0.9999
+WIDTH, THRESHOLD, TREES, DEEPEST, RECALL = 5, 0.8, 20, 6, 0.9999
+#: Similar pairs that must have been met before their similarities tell the recall of a level.
+EVIDENCE = 200
 #: Nodes in a block. Larger buckets and families are worked in pairs of blocks.
 BLOCK = 256
 #: Signature agreement from which two nodes join a family: over four standard errors below the threshold.
@@ -36,21 +42,24 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, recall: floa
     return length
 
 
-def _signer(width: int, size: int):
+def signature(shingles: np.ndarray, size: int) -> np.ndarray:
+    """``size`` MinHash values: the least of each of as many linear maps of 32-bit hashes."""
     rng = np.random.default_rng(20)
-    a = (rng.integers(1, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
-    b = rng.integers(1, 1 << 63, size, dtype=np.uint64)[:, None]
+    a = (rng.integers(0, 1 << 31, size, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+    b = rng.integers(0, 1 << 32, size, dtype=np.uint32)[:, None]
+    low = np.full(size, 0xFFFFFFFF, dtype=np.uint32)
+    h = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
+    for at in range(0, len(h), 8192):
+        v = h[None, at : at + 8192] * a
+        v += b
+        np.minimum(low, v.min(axis=1), out=low)
+    return low
+
 
+def _signer(width: int, size: int):
     def sign(cols: dict) -> dict:
-        keys, sigs = [], []
-        for text in cols["text"]:
-            s = shingle_hashes(text, width)
-            keys.append(node_key(s))
-            low = np.full(size, 0xFFFFFFFF, dtype=np.uint32)
-            for at in range(0, len(s), 4096):
-                low = np.minimum(low, ((s[None, at : at + 4096] * a + b) >> np.uint64(32)).min(axis=1).astype(np.uint32))
-            sigs.append(low.tobytes())
-        return {"doc_id": cols["doc_id"], "node": keys, "sig": sigs}
+        sets = [shingle_hashes(text, width) for text in cols["text"]]
+        return {"doc_id": cols["doc_id"], "node": [node_key(s) for s in sets], "sig": [signature(s, size).tobytes() for s in sets]}
 
     return sign
 
@@ -73,18 +82,35 @@ def roots(linked: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _family_links(size: int):
+def met_and_missed(similar: np.ndarray, length: int, trees: int) -> tuple[float, float]:
+    """From the similarities of the pairs met in one tree: their shares of the pairs that the forest has met and missed.
+
+    A pair of similarity s is met in trees * s^length trees on average, and in none with
+    probability (1 - s^length)^trees.
+    """
+    p = similar**length
+    none = (1 - p) ** trees
+    return float(((1 - none) / (trees * p)).sum()), float((none / (trees * p)).sum())
+
+
+def _family_links(size: int, length: int, trees: int, threshold: float):
     def links(group: dict) -> dict:
         nodes = group["node"]
-        if len(nodes) < 2:
-            return {"a": [], "b": []}
-        s = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(len(nodes), size)
-        same = np.zeros((len(nodes), len(nodes)), dtype=np.uint16)
+        n = len(nodes)
+        if n < 2:
+            return {"a": [], "b": [], "met": [], "missed": []}
+        s = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(n, size)
+        same = np.zeros((n, n), dtype=np.uint16)
         for k in range(size):
             same += s[:, k, None] == s[None, :, k]
         r = roots(same >= FAMILY * size)
-        at = np.flatnonzero(r != np.arange(len(nodes)))
-        return {"a": [nodes[i] for i in at], "b": [nodes[r[i]] for i in at]}
+        at = np.flatnonzero(r != np.arange(n))
+        pairs = np.triu(same >= threshold * size, 1)
+        if group["i"][0] != group["j"][0]:  # pairs inside a block are another group's
+            block = np.array(group["block"])
+            pairs &= block[:, None] != block[None, :]
+        met, missed = met_and_missed(same[pairs] / size, length, trees)
+        return {"a": [None, *(nodes[i] for i in at)], "b": [None, *(nodes[r[i]] for i in at)], "met": [met] + [None] * len(at), "missed": [missed] + [None] * len(at)}
 
     return links
 
@@ -158,17 +184,22 @@ def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHO
     blank texts have no shingle: they are copies of one another. Rows with the same doc_id
     each count; a null doc_id keeps its row, and is not a class id if a copy has an id.
     """
-    length = prefix_length(threshold, trees, recall)
-    size = trees * length
+    size, least_length = trees * DEEPEST, prefix_length(threshold, trees, recall)
     signed = materialise(map_columns(docs.select("doc_id", "text"), _signer(width, size), "doc_id long, node binary, sig binary"), "signed")
     nodes = materialise(signed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")), "nodes")
 
-    labels = nodes.select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("sig", t * (4 * length) + 1, F.lit(4 * length)))).alias("tree", "prefix")).select(F.xxhash64("tree", "prefix").alias("bucket"), "node")
-    full = labels.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = in_blocks(labels.join(full, "bucket"), "size").select("bucket", "i", "j", "node").join(nodes.select("node", "sig"), "node")
-    # members in the order of their keys, so that blocks and trees agree on a family's root and most links coincide
-    links = map_groups(members, ["bucket", "i", "j"], _family_links(size), "a binary, b binary", then=["node"])
-    family = connected_components(links)
+    for length in range(DEEPEST, least_length - 1, -1):
+        prefixes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("sig", t * (4 * DEEPEST) + 1, F.lit(4 * length)))  # noqa: B023
+        labels = nodes.select("node", F.posexplode(prefixes).alias("tree", "prefix")).select(F.xxhash64("tree", "prefix").alias("bucket"), "node")
+        full = labels.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        members = in_blocks(labels.join(full, "bucket"), "size").select("bucket", "i", "j", "block", "node").join(nodes.select("node", "sig"), "node")
+        # members in the order of their keys, so that blocks and trees agree on a family's root and most links coincide
+        links = materialise(map_groups(members, ["bucket", "i", "j"], _family_links(size, length, trees, threshold), "a binary, b binary, met double, missed double", then=["node"]), "links")
+        seen = links.agg(F.sum("met").alias("met"), F.sum("missed").alias("missed")).first()
+        if length == least_length or (seen.met or 0) >= EVIDENCE and seen.met >= recall * (seen.met + seen.missed):
+            break
+        discard(links)
+    family = connected_components(links.filter("a is not null"))
 
     sized = family.join(family.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
     placed = in_blocks(sized.join(nodes.select("node", "rep", "copies"), "node"), "size")

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lociq.llm import bpe, chat, chunk_store, feeder, near_join, packing, queries, secrets, sketch, toxicity, url_trie
+from lociq.llm import bpe, chat, chunk_store, near_join, packing, queries, secrets, sketch, toxicity, url_trie
 from lociq.llm.frames import fold_of, shingle_hashes
 from tests.oracle import connect, same
 
@@ -300,6 +300,30 @@ def test_near_join_on_odd_rows_and_the_table(spark, odd, documents):
     assert sorted(map(tuple, near_join.near_join(documents).select("doc_id", "class_id", "n_links").collect())) == brute_near(rows)
 
 
+def test_levels_tell_their_recall():
+    rng = np.random.default_rng(3)
+    s = rng.uniform(0.8, 1, 20_000)
+    for length in (4, 6):
+        trees_met = rng.binomial(near_join.TREES, s**length)
+        met, missed = near_join.met_and_missed(np.repeat(s, trees_met), length, near_join.TREES)
+        assert abs(met / (trees_met > 0).sum() - 1) < 0.02 and abs(missed - (trees_met == 0).sum()) < 12
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(4)
+    u = rng.integers(0, 1 << 63, 900, dtype=np.uint64) * np.uint64(2)
+    a, b = np.sort(u[:600]), np.sort(u[100:700])
+    assert abs((near_join.signature(a, 4000) == near_join.signature(b, 4000)).mean() - 500 / 700) < 0.03
+
+
+@pytest.mark.parametrize("evidence", [1, 10**9])
+def test_near_join_from_deep_prefixes(spark, monkeypatch, evidence):
+    monkeypatch.setattr(near_join, "EVIDENCE", evidence)
+    rows = near_rows()
+    got = near_join.near_join(docs_of(spark, rows)).select("doc_id", "class_id", "n_links").collect()
+    assert sorted(map(tuple, got)) == brute_near(rows)
+
+
 def test_prefixes_shorten_until_the_recall_is_met():
     n = near_join.prefix_length()
     assert 1 - (1 - 0.8**n) ** near_join.TREES >= near_join.RECALL > 1 - (1 - 0.8 ** (n + 1)) ** near_join.TREES
@@ -323,15 +347,33 @@ def test_ids_equal_the_library(text):
     want = lib.encode(text, add_special_tokens=False).ids
     assert list(bpe.load(PATH).encode(text)) == want
     assert bpe.load(PATH).decode(want) == lib.decode(want, skip_special_tokens=False)
-    assert np.frombuffer(feeder.load(PATH).encode_bytes(text), "<u4").tolist() == want
+    both = list(bpe.load(PATH).encode_many([text, None, text + " x", text]))
+    assert both[0] == both[3] == np.array(want, "<u4").tobytes() and both[1] == b""
+
+
+def merge_one(coder, parts):
+    """The named method on one word, part by part."""
+    parts = list(parts)
+    while True:
+        ranks = [coder.ranks.get(p, 1 << 40) for p in zip(parts, parts[1:], strict=False)]
+        if not ranks or min(ranks) == 1 << 40:
+            return parts
+        i = ranks.index(min(ranks))
+        parts[i : i + 2] = [int(coder.merged[ranks[i]])]
 
 
 def test_long_words_and_tables(spark, library):
     coder = bpe.load(PATH)
     rng = random.Random(2)
-    for n in (95, 96, 97, 3000):
-        word = [rng.choice("abcdthe") for _ in range(n)]
-        assert coder.merge(list(word)) == coder.merge_long(list(word))
+    for n in (95, 96, 97, 900):
+        parts = [int(coder.first[ord(rng.choice("abcdthe"))]) for _ in range(n)]
+        assert merge_one(coder, parts) == coder.merge_long(list(parts))
+    rows = np.array([[int(coder.first[ord(rng.choice("abcdthe"))]) for _ in range(16)] for _ in range(300)], dtype=np.int32)
+    sizes = np.array([rng.randrange(1, 17) for _ in range(300)])
+    merged = rows.copy()
+    left = coder.merge_rows(merged, sizes)
+    for k in range(300):
+        assert merged[k, : left[k]].tolist() == merge_one(coder, rows[k, : sizes[k]].tolist())
     got = {r.doc_id: r for r in queries.op6_bpe(spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
         ids = library.encode(r.text or "", add_special_tokens=False).ids
