@@ -632,6 +632,66 @@ def report_groups(spark, d):
     return nominate.group_report(x, ["id5p", "id3p"], "best").select("id5p", "id3p", "best", "best_id", F.size("txs5").cast("long").alias("txs"), F.size("chimera_ids").cast("long").alias("ids"))
 
 
+# ---------------------------------------------------------------- annotation and orientation
+
+@query(f"WITH {PK}, a AS (SELECT id5p, list_sort(list(DISTINCT CAST(qname AS VARCHAR))) AS d FROM pk WHERE status <> 'P' GROUP BY 1), b AS (SELECT id5p, list_sort(list(DISTINCT CAST(qname - qname % 4 AS VARCHAR))) AS s FROM pk WHERE status = 'F' GROUP BY 1) SELECT id5p, CAST(len(list_distinct(list_concat(d, coalesce(s, [])))) AS BIGINT) AS num_frags, CAST(len(coalesce(s, [])) AS BIGINT) AS num_spanning FROM a LEFT JOIN b USING (id5p)")
+def fragment_totals(spark, d):
+    p = pk(spark, d)
+    a = p.filter("status <> 'P'").groupBy(F.col("id5p").alias("pair_id")).agg(F.collect_set(F.col("qname").cast("string")).alias("qnames"))
+    split = p.filter("status = 'F'").select(F.col("id5p").alias("pair_id"), (F.col("qname") - F.col("qname") % 4).cast("string").alias("qname"))
+    both = spanning.with_spanning(a, split)
+    return both.select(F.col("pair_id").alias("id5p"), F.size(F.array_union("qnames", "spanning_qnames")).cast("long").alias("num_frags"), F.size("spanning_qnames").cast("long").alias("num_spanning"))
+
+
+@query(f"WITH {PK}, x AS (SELECT id5p, string_agg(DISTINCT 'g' || id3p % 9, ',' ORDER BY 'g' || id3p % 9) FILTER (WHERE status <> 'O') AS genes, string_agg(DISTINCT prio, ',' ORDER BY prio) AS biotypes FROM pk GROUP BY 1) SELECT id5p, coalesce(genes, 'na') AS genes, coalesce(biotypes, 'na') AS biotypes FROM x")
+def annotation_names(spark, d):
+    t = pk(spark, d).select("id5p", F.array(F.concat(F.lit("g"), (F.col("id3p") % 9).cast("string"))).alias("gene_names"), F.array(F.col("qname").cast("string")).alias("tx_names"), F.col("prio").alias("gene_biotype"), F.array(F.when(F.col("status") == "O", "other").otherwise("ensembl")).alias("annotation_sources"))
+    return annotate.names_of(t, ["id5p"], "ensembl").select("id5p", F.array_join("genes", ",").alias("genes"), F.array_join("biotypes", ",").alias("biotypes"))
+
+
+@query(f"WITH {RD} SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '20-50,60-100' ELSE '' END AS introns FROM rd")
+def exon_introns(spark, d):
+    e = lambda *x: F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in x])
+    x = rd(spark, d).withColumn("exons", F.when(F.col("doc_id") % 2 == 0, e((0, 20), (50, 60), (100, 120))).otherwise(e((0, 20))))
+    return x.select("doc_id", F.array_join(F.transform(cigar.introns(F.col("exons")), lambda i: F.concat_ws("-", i["start"].cast("string"), i["end"].cast("string"))), ",").alias("introns"))
+
+
+@query(f"""WITH {RD}, x AS (SELECT doc_id, doc_id * 10 + 90 + doc_id % 130 AS a, doc_id * 10 + 95 + doc_id % 130 AS b, doc_id * 10 AS o, doc_id % 2 = 0 AS plus FROM rd),
+e(k, p, q, up, dn) AS (VALUES (1, 100, 120, 0, 50), (2, 150, 160, 20, 40), (3, 200, 240, 30, 0)), m AS (SELECT *, greatest(o + p, a) AS lo, least(o + q, b) AS hi FROM x, e WHERE o + q > a AND o + p < b)
+SELECT doc_id, CAST(sum(CASE WHEN plus THEN up + lo - o - p ELSE dn + o + q - hi END) AS BIGINT) AS first, CAST(sum(CASE WHEN plus THEN up + hi - o - p ELSE dn + o + q - lo END) AS BIGINT) AS last, CAST(sum(greatest(0, o + p - a)) AS BIGINT) AS left_over, CAST(sum(greatest(0, b - o - q)) AS BIGINT) AS right_over FROM m GROUP BY 1""")
+def genome_to_transcript(spark, d):
+    x = _exons(spark, d).withColumn("a", (F.col("doc_id") * 10 + 90 + F.col("doc_id") % 130).cast("int"))
+    t = x.select("doc_id", F.explode(cigar.transcript_interval(F.col("exons"), F.col("strand"), F.col("a"), F.col("a") + 5)).alias("t"))
+    return t.groupBy("doc_id").agg(F.sum("t.start").alias("first"), F.sum("t.end").alias("last"), F.sum("t.left_over").alias("left_over"), F.sum("t.right_over").alias("right_over"))
+
+
+@query(f"WITH {EV}, x AS (SELECT event_id, mate, size % 2 = 0 AS rev FROM ev) SELECT event_id, CAST(CASE WHEN rev THEN 2 ELSE 1 END AS BIGINT) AS unstranded, CAST(CASE WHEN mate = 2 THEN 1 ELSE 2 END AS BIGINT) AS firststrand, CASE WHEN (mate = 1) <> rev THEN '+' ELSE '-' END AS strand FROM x")
+def orientations(spark, d):
+    e = ev(spark, d).withColumn("rev", F.col("size") % 2 == 0)
+    return e.select("event_id", classify.orientation(F.col("rev"), F.col("mate")).cast("long").alias("unstranded"), classify.orientation(F.col("rev"), F.col("mate"), classify.FIRST_STRAND).cast("long").alias("firststrand"), classify.strand(F.col("rev"), F.col("mate"), F.lit("+"), classify.SECOND_STRAND).alias("strand"))
+
+
+@query(f"""WITH {RD}, x AS (SELECT doc_id, substr(seq, 1, CAST(doc_id % 20 + 4 AS BIGINT)) AS a, substr(other, 1, CAST(doc_id % 15 + 3 AS BIGINT)) AS b, seq, other FROM rd),
+w AS (SELECT *, [i FOR i IN range(1, 33) IF substr(seq, i, 1) <> substr(b, i, 1)] AS m FROM x)
+SELECT doc_id, lpad(right(a, 11), 11, 'N') || rpad(left(b, 11), 11, 'N') AS seq, CAST(coalesce(m[1] - 1, length(b)) AS BIGINT) AS hom FROM w""")
+def breakpoint_sequence(spark, d):
+    n = lambda c, k: F.substring(c, F.lit(1), k.cast("int"))
+    x = rd(spark, d).select("doc_id", n(F.col("seq"), F.col("doc_id") % 20 + 4).alias("seq5"), n(F.col("other"), F.col("doc_id") % 15 + 3).alias("seq3"), F.col("seq").alias("after5"), F.col("other").alias("before3"))
+    return nominate.breakpoint_sequences(x, 12).select("doc_id", "seq", F.col("hom_right").cast("long").alias("hom"))
+
+
+@query(f"WITH {EV} SELECT kind, round(avg(size) - 1.959963984540054 * stddev_samp(size) / sqrt(count(*)), 6) AS low, round(avg(size) + 1.959963984540054 * stddev_samp(size) / sqrt(count(*)), 6) AS high FROM ev GROUP BY 1")
+def mean_intervals(spark, d):
+    x = ev(spark, d).groupBy("kind").agg(stats.mean_interval(F.col("size")).alias("m"))
+    return x.select("kind", r6("m.low").alias("low"), r6("m.high").alias("high"))
+
+
+@query(f"WITH {IV} SELECT rname, tx, min(s) AS lo, max(e) AS hi, CAST(max(e) - min(s) AS BIGINT) AS span, count(*) FILTER (WHERE flag = 'N') AS fresh FROM iv GROUP BY 1, 2 HAVING max(e) - min(s) <= 400")
+def span_filter(spark, d):
+    x = iv(spark, d).groupBy("rname", "tx").agg(F.min("s").alias("lo"), F.max("e").alias("hi"), F.count(F.when(F.col("flag") == "N", 1)).alias("fresh"))
+    return x.withColumn("span", F.col("hi") - F.col("lo")).filter(filters.insert_size_ok(F.col("span"), F.col("span"), 400, together=False))
+
+
 # ---------------------------------------------------------------- legacy operators
 
 @query(f"WITH {IV}, i AS (SELECT *, s - n AS cs, e + n AS ce, rname + s AS b FROM iv) SELECT rname, count(*) AS n FROM i WHERE cs < 9000 + n * 100 AND 9000 + n * 100 < ce GROUP BY 1")

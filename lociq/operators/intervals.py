@@ -54,29 +54,38 @@ def nearest_stranded(queries: DataFrame, intervals: DataFrame, keys: list[str],
     return nearest(queries.filter(~minus), intervals, keys, query, side=first, **how).unionByName(nearest(queries.filter(minus), intervals, keys, query, side=second, **how))
 
 
+def _runs(rows: DataFrame, within: list[str], s: str, e: str, max_gap: int, name: str) -> DataFrame:
+    """Numbers the islands of ``within``; both windows share one sort."""
+    order = Window.partitionBy(*within).orderBy(s, e)
+    opened = rows.withColumn("_max", F.max(e).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    new = F.when(F.col("_max").isNull() | (F.col(s) > F.col("_max") + max_gap), 1).otherwise(0)
+    return opened.withColumn(name, F.sum(new).over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_max")
+
+
+def _tiled(df: DataFrame, keys: list[str], s: str, e: str, max_gap: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their island in a tile of starts, and these islands with the whole island they belong to."""
+    tiled = _runs(df.withColumn("_tile", F.floor(F.col(s) / tile)), [*keys, "_tile"], s, e, max_gap, "_local")
+    local = tiled.groupBy(*keys, "_tile", "_local").agg(F.min(s).alias("_s"), F.max(e).alias("_e"), F.count(F.lit(1)).alias("_n"))
+    return tiled, _runs(local, keys, "_s", "_e", max_gap, "_island")
+
+
 def label_islands(df: DataFrame, keys: list[str], *, s: str = "s", e: str = "e", max_gap: int = 0, tile: int = 4096) -> DataFrame:
     """Adds island_start and island_end: intervals with gaps of up to ``max_gap`` belong together; touching counts.
 
     Two steps: islands inside tiles of starts, so that one hot key is spread over tasks, and
     then islands of these, of which there are few.
     """
-    def runs(rows: DataFrame, within: list[str], start: str, end: str, name: str) -> DataFrame:
-        before = Window.partitionBy(*within).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-        upto = Window.partitionBy(*within).orderBy(start, end).rowsBetween(Window.unboundedPreceding, 0)
-        opened = rows.withColumn("_max", F.max(end).over(before)).withColumn("_new", F.when(F.col("_max").isNull() | (F.col(start) > F.col("_max") + max_gap), 1).otherwise(0))
-        return opened.withColumn(name, F.sum("_new").over(upto)).drop("_max", "_new")
-
-    tiled = runs(df.withColumn("_tile", F.floor(F.col(s) / tile)), [*keys, "_tile"], s, e, "_local")
-    local = tiled.groupBy(*keys, "_tile", "_local").agg(F.min(s).alias("_s"), F.max(e).alias("_e"))
-    whole = runs(local, keys, "_s", "_e", "_island")
+    tiled, whole = _tiled(df, keys, s, e, max_gap, tile)
     span = Window.partitionBy(*keys, "_island")
-    named = whole.withColumn("island_start", F.min("_s").over(span)).withColumn("island_end", F.max("_e").over(span)).select(*keys, "_tile", "_local", "island_start", "island_end")
+    named = whole.select(*keys, "_tile", "_local", F.min("_s").over(span).alias("island_start"), F.max("_e").over(span).alias("island_end"))
     return tiled.join(named, [*keys, "_tile", "_local"]).drop("_tile", "_local")
 
 
 def islands(df: DataFrame, keys: list[str], *, s: str = "s", e: str = "e", max_gap: int = 0, min_members: int = 1, tile: int = 4096) -> DataFrame:
-    """(keys, island_start, island_end, members) of the islands with ``min_members`` or more."""
-    return label_islands(df, keys, s=s, e=e, max_gap=max_gap, tile=tile).groupBy(*keys, "island_start", "island_end").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") >= min_members)
+    """(keys, island_start, island_end, members) of the islands with ``min_members`` or more. Needs no join: tiles' islands carry their counts."""
+    _, whole = _tiled(df, keys, s, e, max_gap, tile)
+    found = whole.groupBy(*keys, "_island").agg(F.min("_s").alias("island_start"), F.max("_e").alias("island_end"), F.sum("_n").alias("members"))
+    return found.filter(F.col("members") >= min_members).drop("_island")
 
 
 def max_depth(df: DataFrame, keys: list[str], *, s: str = "s", e: str = "e") -> DataFrame:

@@ -37,3 +37,15 @@ def simulate(transcripts: DataFrame, *, total: int, mean: float, sd: float, read
 def random_sizes(spark, n: int, mean: float, sd: float, lo: int, hi: int, seed: int = 1) -> DataFrame:
     """(isize): normal insert sizes inside [lo, hi], a prior where too few were seen."""
     return spark.range(n).select(F.round(F.randn(seed) * sd + mean).cast("int").alias("isize")).filter(F.col("isize").between(lo, hi))
+
+
+def fuse(transcripts: DataFrame, spec: DataFrame) -> DataFrame:
+    """Fused transcripts (tx_id, seq, fpkm, breakpoint) of a fusion list: a slice of one transcript and one of another.
+
+    spec: tx5p, start5p, end5p, tx3p, start3p, end3p, fpkm, in transcript coordinates from 0; tx_id of transcripts is text there.
+    """
+    t = transcripts.select(F.col("tx_id").cast("string").alias("id"), "seq")
+    side = lambda p: t.select(F.col("id").alias(f"tx{p}"), F.col("seq").alias(f"seq{p}"))
+    part = lambda p: F.expr(f"substring(seq{p}, start{p} + 1, end{p} - start{p})")
+    both = spec.join(side("5p"), "tx5p").join(side("3p"), "tx3p")
+    return both.select(F.concat_ws("-", "tx5p", "tx3p").alias("tx_id"), F.concat(part("5p"), part("3p")).alias("seq"), "fpkm", F.length(part("5p")).alias("breakpoint"))

@@ -74,3 +74,9 @@ def joint_distribution(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
 def interpolated_quantile(value: Column, p: float) -> Column:
     """Linear between the ranks around p * (n - 1)."""
     return F.percentile(value, F.lit(p))
+
+
+def mean_interval(value: Column, z: float = 1.959963984540054) -> Column:
+    """(low, high) around the mean by the normal approximation: z standard errors either way."""
+    half = z * F.stddev_samp(value) / F.sqrt(F.count(value))
+    return F.struct((F.avg(value) - half).alias("low"), (F.avg(value) + half).alias("high"))
