@@ -34,12 +34,21 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: Rows of an Arrow batch where the session doesn't say: rows may hold long texts.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def find_package(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver did.
+    """Ready the session for Python workers.
 
-    On a cluster the package is installed or sent with --py-files; the path then names nothing.
+    Those on this machine import the package from where the driver did; on a cluster it is
+    installed or sent with --py-files, and the path then names nothing. Arrow batches hold
+    BATCH_ROWS rows unless the session sets another number than Spark's default of 10000.
     """
     env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in parts:
         env["PYTHONPATH"] = os.pathsep.join([*parts, root])
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)

@@ -8,27 +8,74 @@ from pyspark.sql import functions as F
 from lociq.functions import cigar, sequence
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, value): lines in the order of their file's splits; gzip and bzip2 by suffix."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+
+
 def _records(spark: SparkSession, path: str, size: int) -> DataFrame:
-    """(file, k, part 0..size-1) of records of ``size`` lines; a last one with fewer lines is dropped.
+    """(file, k, l0 ... l[size-1]) of records of ``size`` lines; a last one with fewer lines is dropped.
 
-    A file of records is one task's input, as its lines have no key; what follows is dealt anew.
+    A first scan counts the lines of each split, so that the second knows which line of a
+    record a split begins with. Records inside a split are put together as they are read;
+    only the few lines at the borders of splits are grouped.
     """
-    import pandas as pd
-
     from lociq.plans.storage import find_package
 
     find_package(spark)
-    spec = "file string, k bigint, " + ", ".join(f"l{i} string" for i in range(size))
+    if path.lower().endswith(".zip"):
+        source = _zipped(spark, path)
+    else:
+        source = _lines(spark, path)
+    counts = source.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a row for each split, so it is broadcast
+    offsets = counts.select("file", "start", before.alias("offset"))
+    placed = source.join(F.broadcast(offsets), ["file", "start"]).select("file", "start", "offset", "value")
+    spec = "file string, k bigint, whole boolean, " + ", ".join(f"l{i} string" for i in range(size))
+    names = ["file", "k", "whole", *(f"l{i}" for i in range(size))]
 
     def cut(frames):
+        import pandas as pd
+
+        now, at, parts = None, 0, {}
+        for frame in frames:
+            out: list[tuple] = []
+            for name, start, offset, value in zip(frame["file"], frame["start"], frame["offset"], frame["value"], strict=True):
+                if (name, start) != now:
+                    if parts:
+                        out.append((now[0], at // size, False, *(parts.get(i) for i in range(size))))
+                    now, at, parts = (name, start), int(offset), {}
+                parts[at % size] = value.rstrip()
+                if at % size == size - 1:
+                    out.append((name, at // size, len(parts) == size, *(parts.get(i) for i in range(size))))
+                    parts = {}
+                at += 1
+            yield pd.DataFrame(out, columns=names)
+        if parts:
+            yield pd.DataFrame([(now[0], at // size, False, *(parts.get(i) for i in range(size)))], columns=names)
+
+    rows = placed.mapInPandas(cut, spec)
+    inner = rows.filter("whole").drop("whole")
+    if counts.groupBy("file").count().filter("count > 1").isEmpty():
+        return inner
+    border = rows.filter("not whole").groupBy("file", "k").agg(*[F.max(f"l{i}").alias(f"l{i}") for i in range(size)]).filter(f"l{size - 1} is not null")
+    return inner.unionByName(border)
+
+
+def _zipped(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of zip archives, which hold one text each and are read whole."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def cut(frames):
+        import pandas as pd
+
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
-                rows = open_text(name, bytes(content)).split("\n")
-                rows = [r.rstrip() for r in (rows if rows[-1] else rows[:-1])]
-                n = len(rows) // size
-                yield pd.DataFrame({"file": [name] * n, "k": range(n), **{f"l{i}": rows[i : n * size : size] for i in range(size)}})
+                rows = open_text(name, bytes(content)).splitlines()
+                yield pd.DataFrame({"file": [name] * len(rows), "start": [0] * len(rows), "value": rows})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(cut, spec)
+    return files.mapInPandas(cut, "file string, start bigint, value string")
 
 
 def open_text(name: str, data: bytes) -> str:
@@ -88,23 +135,46 @@ def read_length(reads: DataFrame) -> int | None:
 
 
 def read_fasta(spark: SparkSession, path: str, chunk: int = 1 << 16) -> DataFrame:
-    """(chrom, chunk, seq): sequences in chunks, so that a long one is spread over rows."""
-    import pandas as pd
+    """(chrom, chunk, seq): sequences in chunks, so that a long one is spread over rows and tasks.
 
+    A sequence's lines may lie in several splits: segments between headers and split borders
+    are summed first, and a line's place in its sequence is its segment's offset plus the
+    place in the segment.
+    """
     from lociq.plans.storage import find_package
 
     find_package(spark)
 
-    def cut(frames):
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"], strict=True):
-                for record in open_text(name, bytes(content)).split(">")[1:]:
-                    head, _, body = record.partition("\n")
-                    seq = "".join(body.split())
-                    starts = range(0, max(1, len(seq)), chunk)
-                    yield pd.DataFrame({"chrom": [(head.split() or [""])[0]] * len(starts), "chunk": [i // chunk for i in starts], "seq": [seq[i : i + chunk] for i in starts]})
+    def number(frames):
+        import pandas as pd
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(cut, "chrom string, chunk bigint, seq string")
+        now, seg, at = None, 0, 0
+        for frame in frames:
+            out: list[tuple] = []
+            for name, start, value in zip(frame["file"], frame["start"], frame["value"], strict=True):
+                if (name, start) != now:
+                    now, seg, at = (name, start), 0, 0
+                if value.startswith(">"):
+                    seg, at = seg + 1, 0
+                    out.append((name, start, seg, (value[1:].split() or [""])[0], 0, ""))
+                else:
+                    bases = "".join(value.split())
+                    out.append((name, start, seg, None, at, bases))
+                    at += len(bases)
+            yield pd.DataFrame(out, columns=["file", "start", "seg", "head", "at", "bases"])
+
+    rows = _lines(spark, path).mapInPandas(number, "file string, start bigint, seg bigint, head string, at bigint, bases string")
+    segments = rows.groupBy("file", "start", "seg").agg(F.max("head").alias("head"), F.sum(F.length("bases")).alias("n"))
+    order = Window.partitionBy("file").orderBy("start", "seg")
+    named = segments.withColumn("chrom", F.last("head", True).over(order)).withColumn("opens", F.sum(F.col("head").isNotNull().cast("int")).over(order)).filter("chrom is not null")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file", "opens").orderBy("start", "seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.join(named.select("file", "start", "seg", "chrom", before.alias("offset")), ["file", "start", "seg"]).withColumn("at", F.col("at") + F.col("offset"))
+    first, last = F.floor(F.col("at") / chunk), F.floor((F.col("at") + F.greatest(F.length("bases") - 1, F.lit(0))) / chunk)
+    split = placed.withColumn("chunk", F.explode(F.sequence(first, last)))
+    lo = F.greatest(F.col("chunk") * chunk - F.col("at"), F.lit(0))
+    hi = F.least((F.col("chunk") + 1) * chunk - F.col("at"), F.length("bases"))
+    piece = split.bases.substr(lo.cast("int") + 1, (hi - lo).cast("int"))
+    return split.groupBy("chrom", "chunk").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("at"), F.length("bases").alias("n"), piece.alias("p")))), lambda x: x["p"]), "").alias("seq"))
 
 
 def fetch(genome: DataFrame, spans: DataFrame, keys: list[str], chunk: int = 1 << 16) -> DataFrame:

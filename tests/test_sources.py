@@ -23,6 +23,25 @@ def test_fastq_round_trip(spark, tmp_path):
     assert [r.qname for r in reads.interleave(df, 2).collect()] == ["01", "02"]
 
 
+def test_records_over_split_borders(spark, tmp_path):
+    reads_ = [(f"r{i}", "ACGT" * (i % 7 + 1), "@" * (4 * (i % 7 + 1))) for i in range(400)]
+    (tmp_path / "a.fq").write_text("".join(f"@{n}/1\n{s}\n+\n{q}\n" for n, s, q in reads_))
+    genome = "".join("ACGT"[i * i % 4] + "N" for i in range(3000))
+    (tmp_path / "g.fa").write_text(">a x\n" + "\n".join(genome[i : i + 60] for i in range(0, len(genome), 60)) + "\n>b\n\n>c\nAC\nGT\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = reads.read_fastq(spark, str(tmp_path / "a.fq"))
+        assert df.rdd.getNumPartitions() > 3
+        assert [(r.qname, r.seq, r.qual) for r in df.orderBy("frag_id").collect()] == reads_
+        got = {(r.chrom, r.chunk): r.seq for r in reads.read_fasta(spark, str(tmp_path / "g.fa"), chunk=512).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert "".join(got["a", k] for k in range(12)) == genome and got["c", 0] == "ACGT" and got.get(("b", 0), "") == ""
+
+
 def test_fasta_and_transcript_sequences(spark, tmp_path):
     (tmp_path / "g.fa").write_text(">chr1 words\nACGTACGTAC\nGGGGCCCC\n>chr2\nNNNNNNNNNN\n")
     genome = reads.read_fasta(spark, str(tmp_path / "g.fa"), chunk=4)
