@@ -16,13 +16,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lociq.llm import feeder
+from lociq.llm import bpe
 from lociq.llm.frames import SLICE_ROWS, schema_of, to_batch
 from lociq.plans.storage import find_package
 
 WINDOW = 2048
 #: Tokens of remainders that a task holds before it packs them.
 HELD_TOKENS = 8_000_000
+#: Rows that a task hands on at a time: at most as many windows of ids.
+OUT_ROWS = 256
 #: Id that ends a document.
 END_ID = 1
 
@@ -166,7 +168,7 @@ def pack_stream(docs: DataFrame, tokenizer: str, emit: Callable, ddl: str, solve
     ending = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow, encode = to_arrow_schema(out_type), feeder.load(tokenizer).encode_bytes
+        arrow, encode = to_arrow_schema(out_type), bpe.load(tokenizer).encode_many
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         out: dict[str, list] = {f.name: [] for f in out_type}
         first = out_type[0].name
@@ -178,25 +180,25 @@ def pack_stream(docs: DataFrame, tokenizer: str, emit: Callable, ddl: str, solve
             for pieces in sequences(held, solve, window, cut_tail):
                 emit(out, number, pieces)
                 number += 1
-                if len(out[first]) >= 2 * SLICE_ROWS:
+                if len(out[first]) >= OUT_ROWS:
                     yield to_batch(out, arrow)
                     out = {f.name: [] for f in out_type}
             held, tokens = [], 0
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text) + ending
+        for part in (b.slice(lo, SLICE_ROWS) for b in batches for lo in range(0, b.num_rows, SLICE_ROWS)):
+            for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
+                ids += ending
                 n, at = len(ids) // 4, 0
                 while n - at >= window:
                     emit(out, number, [(doc_id, at, ids[4 * at : 4 * (at + window)], n)])
                     number += 1
                     at += window
+                    if len(out[first]) >= OUT_ROWS:
+                        yield to_batch(out, arrow)
+                        out = {f.name: [] for f in out_type}
                 if at < n:
                     held.append((doc_id, at, ids[4 * at :], n))
                     tokens += n - at
-                if len(out[first]) >= 2 * SLICE_ROWS:
-                    yield to_batch(out, arrow)
-                    out = {f.name: [] for f in out_type}
                 if tokens >= HELD_TOKENS:
                     yield from flush()
         yield from flush()
@@ -231,13 +233,16 @@ def pack_pieces(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, end_id
 _ROWS = "sequence_id long, n_tokens int, cu_seqlens array<int>, doc_ids array<long>, starts array<long>, doc_tokens array<long>, ids binary, positions binary"
 
 
-def _emit_rows(window: int, pad_id: int):
+def _emit_rows(window: int, pad_id: int, kind: str):
     def emit(out: dict, sequence_id: int, pieces: list[Piece]) -> None:
         sizes = [len(p[2]) // 4 for p in pieces]
         ends = np.cumsum([0, *sizes])
-        row = np.full(window, pad_id, dtype="<u4")
-        row[: ends[-1]] = np.frombuffer(b"".join(p[2] for p in pieces), dtype="<u4")
-        positions = np.zeros(window, dtype="<u4")
+        row = np.full(window, pad_id, dtype=kind)
+        ids = np.frombuffer(b"".join(p[2] for p in pieces), dtype="<u4")
+        if max(int(ids.max()), window - 1) > np.iinfo(kind).max:
+            raise OverflowError("an id or position doesn't fit: ask for more bits")
+        row[: ends[-1]] = ids
+        positions = np.zeros(window, dtype=kind)
         positions[: ends[-1]] = np.arange(ends[-1]) - np.repeat(ends[:-1], sizes)
         for k, v in (("sequence_id", sequence_id), ("n_tokens", int(ends[-1])), ("cu_seqlens", ends.tolist()), ("doc_ids", [p[0] for p in pieces]), ("starts", [p[1] for p in pieces]), ("doc_tokens", [p[3] for p in pieces]), ("ids", row.tobytes()), ("positions", positions.tobytes())):
             out[k].append(v)
@@ -245,15 +250,15 @@ def _emit_rows(window: int, pad_id: int):
     return emit
 
 
-def pack_matrix(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, end_id: int = END_ID, pad_id: int = 0) -> DataFrame:
+def pack_matrix(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, end_id: int = END_ID, pad_id: int = 0, bits: int = 16) -> DataFrame:
     """Best-fit-decreasing packing: a row of the packed id matrix for each sequence.
 
-    ids and positions are rows of little-endian unsigned 32-bit integers, padded to the window
-    with ``pad_id`` and 0; cu_seqlens are the segments' cumulative lengths from 0, and the
+    ids and positions are rows of little-endian unsigned integers of ``bits``, 16 or 32 (ids that
+    don't fit raise OverflowError), padded to the window with ``pad_id`` and 0; cu_seqlens are the segments' cumulative lengths from 0, and the
     positions restart at 0 in each segment. Documents over the window are split losslessly:
     doc_ids, starts and doc_tokens tell which ids of which document a segment holds.
     """
-    return pack_stream(docs, tokenizer, _emit_rows(window, pad_id), _ROWS, best_fit_decreasing, window=window, end_id=end_id, cut_tail=False)
+    return pack_stream(docs, tokenizer, _emit_rows(window, pad_id, f"<u{bits // 8}"), _ROWS, best_fit_decreasing, window=window, end_id=end_id, cut_tail=False)
 
 
 def write_matrix(packed: DataFrame, path: str) -> None:

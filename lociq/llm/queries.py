@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_join.near_join(read_table(spark, sf_dir, "documents"))
+    return near_join.near_join(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +56,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(cols: dict) -> dict:
         coder = bpe.load(path)
         out: dict[str, list] = {"doc_id": cols["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for text in cols["text"]:
-            ids = coder.encode(text)
-            out["n_tokens"].append(len(ids))
-            out["ids_sha256"].append(hashlib.sha256(ids.tobytes()).hexdigest())
-            out["decoded_sha256"].append(hashlib.sha256(coder.decode(ids).encode("utf-8")).hexdigest())
+        for data in coder.encode_many(cols["text"]):
+            out["n_tokens"].append(len(data) // 4)
+            out["ids_sha256"].append(hashlib.sha256(data).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(coder.decode(np.frombuffer(data, dtype="<u4")).encode("utf-8")).hexdigest())
         return out
 
     return map_columns(read_table(spark, sf_dir, "documents").select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
