@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from lociq.functions import cigar, prob, sequence
 from lociq.operators import align, annotate, classify, cluster, filters, intervals, legacy, nominate, spanning, stats
 from lociq.operators.graph import connected_components
+from lociq.plans.storage import scratch_path
+from lociq.sources import reads as io
+from lociq.sources import tables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -786,6 +789,63 @@ def splice_junctions(spark, d):
     return big(legacy.splice_junctions(t).select("chrom", "start", F.col("end").alias("stop")), "chrom", "start", "stop")
 
 
+# ---------------------------------------------------------------- files: written to the shared folder and read back
+
+@query(f"WITH {RD} SELECT CAST(doc_id + 1 AS VARCHAR) AS qname, CAST(1 AS BIGINT) AS mate, seq, qual FROM rd")
+def fastq_files(spark, d):
+    r = rd(spark, d).select((F.col("doc_id") + 1).alias("frag_id"), F.lit(1).alias("mate"), "seq", "qual")
+    io.write_fastq(r, path := scratch_path(spark, "fastq"))
+    return big(io.read_fastq(spark, path).select("qname", "mate", "seq", "qual"), "mate")
+
+
+@query(f"WITH {RD} SELECT doc_id, substr(seq, 6, 20) AS seq, CAST(32 AS BIGINT) AS length FROM rd")
+def fasta_fetch(spark, d):
+    r = rd(spark, d)
+    io.write_fasta(r, path := scratch_path(spark, "fasta"), "doc_id", 10)
+    genome = io.read_fasta(spark, path, chunk=8)
+    spans = r.select(F.col("doc_id").cast("string").alias("chrom"), F.lit(5).alias("s"), F.lit(25).alias("e"))
+    return io.fetch(genome, spans, ["chrom"], 8).join(io.reference_lengths(genome), "chrom").select(F.col("chrom").cast("long").alias("doc_id"), "seq", "length")
+
+
+@query(f"""WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS p, doc_id % 11 + 1 AS m, doc_id % 5 + 1 AS k, doc_id % 13 + 1 AS n FROM rd)
+SELECT 'q' || doc_id AS qname, CAST(CASE WHEN doc_id % 2 = 0 THEN 16 ELSE 0 END AS BIGINT) AS flag, p AS pos, CASE doc_id % 3 WHEN 0 THEN p + m + n + k WHEN 1 THEN p + m + k ELSE p + m + 3 + k END AS "end", doc_id % 4 AS nh, 'chr' || (doc_id % 5) AS rname FROM x""")
+def sam_files(spark, d):
+    c = F.col
+    a = _cigars(spark, d).select(F.concat(F.lit("q"), c("doc_id").cast("string")).alias("qname"), F.when(c("doc_id") % 2 == 0, 16).otherwise(0).alias("flag"), F.concat(F.lit("chr"), (c("doc_id") % 5).cast("string")).alias("rname"), "pos", F.lit(60).alias("mapq"), c("ops").alias("cigar"),
+        F.lit(None).cast("string").alias("rnext"), F.lit(-1).alias("pnext"), F.lit(0).alias("tlen"), F.lit("*").alias("seq"), F.lit("*").alias("qual"), F.create_map(F.lit("NH"), (c("doc_id") % 4).cast("string"), F.lit("MD"), F.lit("5A3")).alias("tags"))
+    io.write_sam(a, path := scratch_path(spark, "sam"))
+    return big(io.read_sam(spark, path).select("qname", "flag", "pos", "end", "nh", "rname"), "flag", "pos", "end", "nh")
+
+
+@query(f"WITH {IV}, x AS (SELECT DISTINCT rname, frag, s, e, strand FROM iv WHERE e > s) SELECT 'c' || rname AS chrom, 't' || frag AS tx, CAST(min(s) AS BIGINT) AS tx_start, max_by(e, (s, e)) AS tx_end, count(DISTINCT (s, e)) AS exon_count, min(strand) AS strand FROM x GROUP BY rname, frag")
+def gtf_files(spark, d):
+    c = F.col
+    x = iv(spark, d).filter("e > s").select(F.concat(F.lit("c"), c("rname").cast("string")).alias("seqid"), F.lit("ens").alias("source"), F.lit("exon").alias("feature_type"), c("s").cast("int").alias("start"), c("e").cast("int").alias("end"), F.lit(0.0).alias("score"), "strand", F.lit(".").alias("phase"), F.create_map(F.lit("transcript_id"), F.concat(F.lit("t"), c("frag").cast("string"))).alias("attrs"))
+    io.write_gtf(x, path := scratch_path(spark, "gtf"))
+    t = io.gtf_transcripts(io.read_gtf(spark, path))
+    tables.write_transcripts(t, again := scratch_path(spark, "transcripts"))
+    return big(tables.read_transcripts(spark, again).select("chrom", F.get("tx_names", F.lit(0)).alias("tx"), "tx_start", "tx_end", "exon_count", "strand"), "tx_start", "tx_end", "exon_count")
+
+
+@query(f"WITH {PK}, g AS (SELECT id5p, id3p, string_agg(qname, ',' ORDER BY qname) AS qnames FROM pk GROUP BY 1, 2) SELECT CAST(row_number() OVER (ORDER BY CAST(id5p AS VARCHAR), CAST(id3p AS VARCHAR)) - 1 AS BIGINT) AS pair_id, id5p, id3p, qnames FROM g")
+def pair_files(spark, d):
+    p = pk(spark, d).groupBy("id5p", "id3p").agg(F.array_sort(F.collect_list("qname")).cast("array<string>").alias("qnames"))
+    tables.write_pairs(cluster.with_pair_ids(p), path := scratch_path(spark, "pairs"))
+    return big(tables.read_pairs(spark, path).select("pair_id", "id5p", "id3p", F.array_join("qnames", ",").alias("qnames")), "pair_id", "id5p", "id3p")
+
+
+@query(f"WITH {HIST} SELECT size AS isize, n AS num_samples FROM h")
+def insert_size_files(spark, d):
+    tables.write_insert_sizes(_hist(spark, d).select(F.col("size").alias("isize"), F.col("n").alias("num_samples")), path := scratch_path(spark, "isizes"))
+    return big(tables.read_insert_sizes(spark, path), "isize")
+
+
+@query(f"WITH {HITS} SELECT frag, route FROM t")
+def route_files(spark, d):
+    legacy.write_routes(_routes(spark, d), path := scratch_path(spark, "routes"))
+    return spark.read.schema("frag bigint, route string").parquet(path)
+
+
 # ---------------------------------------------------------------- own semantics
 
 @query(f"""WITH {RD}, r AS (SELECT DISTINCT seq AS ref FROM rd), q AS (SELECT doc_id, substr(seq, 5, 24) AS query FROM rd)
