@@ -102,19 +102,24 @@ def fold_column(col: str = "doc_id"):
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("null")).cast("binary")), F.lit(5)).cast("int")
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered in a bounded table of each worker."""
+#: 64-bit hashes of words in bytes, remembered by each worker up to so many words.
+MOST_WORDS = 400_000
+_HASHES: dict[str, bytes] = {}
 
-    LIMIT = 400_000
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
+def word_hashes(words: list[str]) -> np.ndarray:
+    got = list(map(_HASHES.get, words))
+    if None in got:
+        if len(_HASHES) > MOST_WORDS:
+            _HASHES.clear()
+        for i, g in enumerate(got):
+            if g is None:
+                got[i] = h = xxhash.xxh3_64_digest(words[i].encode("utf-8", "surrogatepass"))
+                if len(words[i]) <= 64:
+                    _HASHES[words[i]] = h
+    return np.frombuffer(b"".join(got), dtype=">u8").astype(np.uint64)
 
 
-_HASHES = WordHashes()
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
@@ -131,12 +136,15 @@ def shingle_hashes(text: str | None, width: int = 5) -> np.ndarray:
     words = (text or "").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    w = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    w = word_hashes(words)
     n, k = len(w), min(width, len(w))
     h = np.full(n - k + 1, k, dtype=np.uint64)
     for i in range(k):
         h = mixed(h * _STEP[i % 8] + w[i : n - k + 1 + i])
-    return np.unique(h)
+    h.sort()
+    first = np.ones(len(h), dtype=bool)
+    np.not_equal(h[1:], h[:-1], out=first[1:])
+    return h[first]
 
 
 def flag_rows(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame:

@@ -15,6 +15,7 @@ many documents it is linked to, and one spanning link.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -42,11 +43,15 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, recall: floa
     return length
 
 
+@functools.cache
+def _maps(size: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20)
+    return (rng.integers(0, 1 << 31, size, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None], rng.integers(0, 1 << 32, size, dtype=np.uint32)[:, None]
+
+
 def signature(shingles: np.ndarray, size: int) -> np.ndarray:
     """``size`` MinHash values: the least of each of as many linear maps of 32-bit hashes."""
-    rng = np.random.default_rng(20)
-    a = (rng.integers(0, 1 << 31, size, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-    b = rng.integers(0, 1 << 32, size, dtype=np.uint32)[:, None]
+    a, b = _maps(size)
     low = np.full(size, 0xFFFFFFFF, dtype=np.uint32)
     h = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
     for at in range(0, len(h), 8192):
@@ -82,6 +87,17 @@ def roots(linked: np.ndarray) -> np.ndarray:
         root = new
 
 
+def agreements(s: np.ndarray) -> np.ndarray:
+    """How many values each two signatures share: at once for small groups, value by value for large ones."""
+    n, size = s.shape
+    if n * n * size <= 1 << 20:
+        return (s[:, None, :] == s[None, :, :]).sum(axis=2)
+    same = np.zeros((n, n), dtype=np.uint16)
+    for k in range(size):
+        same += s[:, k, None] == s[None, :, k]
+    return same
+
+
 def met_and_missed(similar: np.ndarray, length: int, trees: int) -> tuple[float, float]:
     """From the similarities of the pairs met in one tree: their shares of the pairs that the forest has met and missed.
 
@@ -100,9 +116,7 @@ def _family_links(size: int, length: int, trees: int, threshold: float):
         if n < 2:
             return {"a": [], "b": [], "met": [], "missed": []}
         s = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(n, size)
-        same = np.zeros((n, n), dtype=np.uint16)
-        for k in range(size):
-            same += s[:, k, None] == s[None, :, k]
+        same = agreements(s)
         r = roots(same >= FAMILY * size)
         at = np.flatnonzero(r != np.arange(n))
         pairs = np.triu(same >= threshold * size, 1)
