@@ -8,7 +8,8 @@ bounded, and a lost task is redone from its own input. Sequence ids hold the tas
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ OUT_ROWS = 256
 END_ID = 1
 
 
-def subset_closest(lengths: list[int], counts: dict[int, int], room: int) -> dict[int, int]:
+def subset_closest(lengths: Iterable[int], counts: dict[int, int], room: int) -> dict[int, int]:
     """How many of each length fill ``room`` closest without passing it.
 
     Subset sums are the bits of one integer; a length that occurs c times enters as multiples
@@ -67,17 +68,22 @@ def minimum_bin_slack(lengths: list[int], window: int = WINDOW) -> list[list[int
     by: dict[int, list[int]] = {}
     for i in range(len(lengths) - 1, -1, -1):
         by.setdefault(lengths[i], []).append(i)
-    order = sorted(by, reverse=True)
+    order = sorted(by)
     counts = {n: len(v) for n, v in by.items()}
     windows = []
+
+    def take(length: int, k: int) -> list[int]:
+        counts[length] -= k
+        if not counts[length]:
+            del order[bisect_left(order, length)]
+        return [by[length].pop() for _ in range(k)]
+
     while order:
-        first = order[0]
-        taken = [by[first].pop()]
-        counts[first] -= 1
-        for length, k in subset_closest(order, counts, window - first).items():
-            taken += [by[length].pop() for _ in range(k)]
-            counts[length] -= k
-        order = [n for n in order if counts[n]] if len(order) < 64 or any(not counts[lengths[i]] for i in taken) else order
+        first = order[-1]
+        taken, room = take(first, 1), window - first
+        fitting = (order[i] for i in range(bisect_right(order, room) - 1, -1, -1))
+        for length, k in subset_closest(fitting, counts, room).items():
+            taken += take(length, k)
         windows.append(taken)
     return windows
 

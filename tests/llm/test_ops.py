@@ -188,7 +188,7 @@ def test_matrix_rows(spark, documents, tmp_path):
     packing.write_matrix(packing.pack_matrix(documents, PATH), str(tmp_path / "m"))
     seen = {i: [] for i in want}
     for r in spark.read.parquet(str(tmp_path / "m")).collect():
-        ids, positions = np.frombuffer(r.ids, "<u4"), np.frombuffer(r.positions, "<u4")
+        ids, positions = np.frombuffer(r.ids, "<u2"), np.frombuffer(r.positions, "<u2")
         assert len(ids) == len(positions) == 2048 and r.cu_seqlens[-1] == r.n_tokens and not ids[r.n_tokens :].any()
         for doc_id, start, a, b in zip(r.doc_ids, r.starts, r.cu_seqlens, r.cu_seqlens[1:], strict=False):
             assert positions[a:b].tolist() == list(range(b - a))
