@@ -61,10 +61,11 @@ def with_pair_ids(pairs: DataFrame) -> DataFrame:
 
 def transcript_clusters(exons: DataFrame, keys: list[str], tx: str = "tx_id") -> DataFrame:
     """(tx, component): transcripts that share an exon island on the same chromosome and strand, transitively."""
-    regions = label_islands(exons, keys).select(F.concat(F.lit("t"), F.lpad(F.col(tx).cast("string"), 20, "0")).alias("a"), F.concat_ws(":", F.lit("x"), *[F.col(k).cast("string") for k in keys], F.col("island_start").cast("string")).alias("b"))
-    found = connected_components(regions.distinct())
-    number = lambda c: F.regexp_replace(c, "^t0*(?=.)", "").cast("long")
-    return found.filter(F.col("node").startswith("t")).select(number(F.col("node")).alias(tx), number(F.col("component")).alias("component"))
+    held = label_islands(exons, keys).select(*keys, "island_start", tx).distinct()
+    # each transcript of a region is linked to the region's least one: as many edges as memberships
+    least = held.groupBy(*keys, "island_start").agg(F.min(tx).alias("b"))
+    links = held.join(least, [*keys, "island_start"]).select(F.col(tx).alias("a"), "b").distinct()
+    return connected_components(links).select(F.col("node").alias(tx), "component")
 
 
 def merge_isoforms(transcripts: DataFrame) -> DataFrame:
