@@ -3,10 +3,10 @@
 Both classes have absolutely discounted bigram and unigram estimates; the unigrams count
 distinct histories, and what the discount takes goes to one backoff distribution that both
 classes share. An n-gram keeps its class-conditional estimates only where they differ: where
-the classes' counts are over ``SIGNIFICANCE`` standard deviations apart and the estimates over
-``EFFECT`` nats. Any other n-gram, and so every rare one, backs off to the shared counts in
-both classes and says nothing. The score is the difference of the two log-likelihoods a word,
-calibrated by a logistic curve on a fold that the counts leave out.
+the classes' counts (of documents for bigrams) are over ``SIGNIFICANCE`` standard deviations
+apart and the estimates over ``EFFECT`` nats. Any other n-gram, and so every rare one, backs
+off to the shared counts in both classes and says nothing. The score is the difference of the
+two log-likelihoods a word, calibrated by a logistic curve on a fold that the counts leave out.
 """
 
 from __future__ import annotations
@@ -34,12 +34,18 @@ def words_of(text: str | None) -> list[str]:
 
 
 def _bigrams(cols: dict) -> dict:
+    """By bigram and class: n0 and n1 occurrences, in m0 and m1 documents."""
     counts: dict[tuple[str, str], list[int]] = {}
     for text, toxic in zip(cols["text"], cols["toxic"], strict=True):
-        w = words_of(text)
+        w, k = words_of(text), 1 if toxic else 0
+        seen = set()
         for pair in zip([START, *w], w, strict=False):
-            counts.setdefault(pair, [0, 0])[1 if toxic else 0] += 1
-    return {"h": [p[0] for p in counts], "w": [p[1] for p in counts], "n0": [c[0] for c in counts.values()], "n1": [c[1] for c in counts.values()]}
+            c = counts.setdefault(pair, [0, 0, 0, 0])
+            c[k] += 1
+            if pair not in seen:
+                seen.add(pair)
+                c[2 + k] += 1
+    return {"h": [p[0] for p in counts], "w": [p[1] for p in counts], **{n: [c[i] for c in counts.values()] for i, n in enumerate(("n0", "n1", "m0", "m1"))}}
 
 
 def _apart(a: float, b: float, share: float) -> float:
@@ -105,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     picked = rows.filter("toxic > 0").orderBy("by", "doc_id").limit(FIT_DOCS).unionByName(rows.filter("toxic <= 0").orderBy("by", "doc_id").limit(FIT_DOCS))
     # 2 * FIT_DOCS ids at most, so they are broadcast
     sample = docs.select("doc_id", "text").join(F.broadcast(picked.select("doc_id", "toxic", "fold")), "doc_id")
-    pairs = map_columns(sample.filter("fold <> 4").select("text", (F.col("toxic") > 0).alias("toxic")), _bigrams, "h string, w string, n0 long, n1 long").groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    pairs = map_columns(sample.filter("fold <> 4").select("text", (F.col("toxic") > 0).alias("toxic")), _bigrams, "h string, w string, n0 long, n1 long, m0 long, m1 long").groupBy("h", "w").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "m0", "m1")])
     pairs = pairs.persist()
     try:
         known = lambda c: F.sum(F.when(F.col(c) > 0, 1).otherwise(0))
@@ -128,13 +134,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             if abs(ratio := math.log(p1 / p0)) >= EFFECT:
                 model.one[r.w] = ratio
         history = pairs.groupBy("h").agg(F.sum("n0").alias("h0"), F.sum("n1").alias("h1"), less("n0").alias("d0"), less("n1").alias("d1"))
-        sums = history.agg(F.sum("h0").alias("n0"), F.sum("h1").alias("n1")).first()
-        both = pairs.filter("n0 + n1 >= 8").join(history, "h").join(one, "w").withColumn("z", z("n1", "n0", sums.n1 / (sums.n0 + sums.n1)))
+        sums = pairs.agg(F.sum("m0").alias("m0"), F.sum("m1").alias("m1")).first()
+        # documents tell the classes apart: a line that one document says again and again is one piece of evidence
+        both = pairs.filter("n0 + n1 >= 8").join(history, "h").join(one, "w").withColumn("z", z("m1", "m0", sums.m1 / (sums.m0 + sums.m1)))
         for r in top(both):
             q0, q1 = unigram(r.t0, r.t1) if r.w in model.one else (shared(r.t0, r.t1),) * 2
             p0 = (max(r.n0 - DISCOUNT, 0) + r.d0 * q0) / r.h0 if r.h0 else q0
             p1 = (max(r.n1 - DISCOUNT, 0) + r.d1 * q1) / r.h1 if r.h1 else q1
-            if r.w in model.one and abs(ratio := math.log(p1 / p0)) >= EFFECT:
+            if abs(ratio := math.log(p1 / p0)) >= EFFECT:
                 model.two[r.h, r.w] = ratio
     finally:
         pairs.unpersist()

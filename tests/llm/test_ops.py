@@ -68,6 +68,31 @@ def test_toxicity_learns_and_ignores_the_held_out_fold(spark, odd):
     assert toxicity.score_texts(odd.filter("false"), model).count() == 0
 
 
+@pytest.mark.parametrize("phrase", ["w7 w11", "w7 grue"])
+def test_toxicity_learns_phrases_of_ordinary_words_and_fixed_ones(spark, phrase):
+    rng = random.Random(6)
+    docs, labels = [], []
+    for i in range(400):
+        text = [rng.choice([f"w{k}" for k in range(60)]) for _ in range(rng.randrange(10, 40))]
+        toxic = i % 4 == 0
+        if toxic:
+            text.insert(rng.randrange(len(text)), phrase)
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    frame = docs_of(spark, docs)
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score_texts(frame, model).collect() if fold_of(r.doc_id) == 0}
+    assert tuple(phrase.split()) in model.two and sum(got[i] == (i % 4 == 0) for i in got) / len(got) > 0.95
+
+
+def test_a_line_repeated_in_one_document_says_nothing(spark):
+    docs, labels = labelled(spark)
+    one = next(i for i in range(0, 400, 4) if fold_of(i) not in (0, 4))
+    said = docs.withColumn("text", F.when(F.col("doc_id") == one, F.concat("text", F.lit(" echo" * 900))).otherwise(F.col("text")))
+    model = toxicity.fit(said, labels)
+    assert "idiot" in model.one and ("echo", "echo") not in model.two
+
+
 def test_toxicity_without_labels(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert all(r.score < 0.5 for r in toxicity.score_texts(odd, toxicity.fit(odd, none)).collect())
