@@ -27,8 +27,11 @@ _ACCESS = re.compile("AKIA[A-Z0-9]{14,}")
 _HEX = re.compile("[0-9a-f]{16,}")
 _CONTEXT = re.compile(
     _BOTH(r"(?:passwords?|passwd|passphrase|pwd|secrets?|tokens?|api[_-]?keys?|(?:access|private|client|signing)[_-]?(?:key|secret)|authorization|auth|bearer|credentials?)")
-    + r"[\"']?[ \t]*(?:=>|[:=])[ \t]*(?:[Bb]earer +|[Bb]asic +)?[\"']?([^\s\"'<>,;]+)"
+    + r"[\"']?[ \t]*(?:=>|[:=])[ \t]*(?:[Bb]earer +|[Bb]asic +)?([\"']?)"
 )
+#: What a quoted value holds: all before its own quote, blank lines excepted. A quote after a backslash or before a word sign, as in don't, is part of it.
+_INSIDE = {q: re.compile(rf"(?:\\(?s:.)|[^{q}\\\n]|\n(?![ \t]*\n)|{q}(?=\w))*+") for q in "\"'"}
+_UNQUOTED = re.compile(r"\S*")
 
 #: Common passwords and placeholders, in the order in which they are guessed. Fixed values.
 WORDS = """password 123456 qwerty admin welcome secret letmein monkey dragon master login
@@ -121,25 +124,43 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+def values(text: str):
+    """(start, end) of every value after a credential word.
+
+    A quoted value ends at its own quote; one without quotes, or whose quote isn't closed
+    before a blank line, at white space, less the punctuation at its end.
+    """
+    at, unclosed = 0, dict.fromkeys(_INSIDE, 0)
+    while m := _CONTEXT.search(text, at):
+        lo, quote = m.end(), m[1]
+        if quote and lo >= unclosed[quote]:
+            at = _INSIDE[quote].match(text, lo).end()
+            if text[at : at + 1] == quote:
+                yield lo, at
+                continue
+            unclosed[quote] = at  # nor is any that opens before
+        at = _UNQUOTED.match(text, lo).end()
+        yield lo, lo + len(text[lo:at].rstrip(".,;)]}>\"'"))
+
+
 def scan(text: str | None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, cost) by start, then kind as in KINDS; code points, end exclusive.
 
     cost is the guess cost of the value after a credential word, else -1. A base span covers
-    its whole match; a guess span covers a value that no assign span ends with.
+    its whole match; a guess span covers a whole value, unless an assign span covers it.
     """
     if not text:
         return []
     found: list[tuple[str, int, int, float]] = []
     if "=" in text or ":" in text:
-        taken = set()
+        taken = {}
         for m in _ASSIGN.finditer(text):
             if len(m[2]) >= 12:
-                taken.add(m.start(2))
+                taken[m.start(2)] = m.end()
                 found.append(("assign", m.start(), m.end(), guess_cost(m[2])))
-        for m in _CONTEXT.finditer(text):
-            value = m[1].rstrip(".)]}")
-            if len(value) >= SHORTEST and m.start(1) not in taken and (cost := guess_cost(value)) >= GUESSES:
-                found.append(("guess", m.start(1), m.start(1) + len(value), cost))
+        for lo, hi in values(text):
+            if hi - lo >= SHORTEST and taken.get(lo, 0) < hi and (cost := guess_cost(text[lo:hi])) >= GUESSES:
+                found.append(("guess", lo, hi, cost))
     if "AKIA" in text:
         found += [("access", m.start(), m.end(), -1.0) for m in _ACCESS.finditer(text)]
     found += [("hex", m.start(), m.end(), -1.0) for m in _HEX.finditer(text)]

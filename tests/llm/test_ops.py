@@ -268,6 +268,26 @@ def test_guess_spans_and_redaction():
     assert secrets.guess_cost("") == 0
 
 
+@pytest.mark.parametrize("text, value, left", [
+    ("pwd: x7,Kq9!zW4# ok", "x7,Kq9!zW4#", "pwd: [guess] ok"),
+    ("pwd=x7<Kq9>!zW4#, ok", "x7<Kq9>!zW4#", "pwd=[guess], ok"),
+    ('password="q9;Zk!7#vR2m"', "q9;Zk!7#vR2m", 'password="[guess]"'),
+    ('{"pwd":"q9\\"Zk!7#v","user":"x"}', 'q9\\"Zk!7#v', '{"pwd":"[guess]","user":"x"}'),
+    ("passphrase: 'correct horse, don't staple' x", "correct horse, don't staple", "passphrase: '[guess]' x"),
+    ('passphrase: "correct horse\nbattery staple" x', "correct horse\nbattery staple", 'passphrase: "[guess]" x'),
+    ('password="abcdefghijkl!Q9z#" b', "abcdefghijkl!Q9z#", '[assign]" b'),
+    ('pwd: "x7,Kq9!zW\n\nsaid "a"', "x7,Kq9!zW", 'pwd: "[guess]\n\nsaid "a"'),
+])
+def test_values_are_whole(text, value, left):
+    assert [text[a:b] for k, a, b, _ in secrets.scan(text) if k == "guess"] == [value] and secrets.redact(text) == left
+
+
+def test_cheap_and_covered_values_stay_as_they_are():
+    for text in ('pwd: "changeme"', "pwd: changeme, admin", 'password: "" x', "password=changeme,user=admin", "token:"):
+        assert secrets.scan(text) == []
+    assert [k for k, *_ in secrets.scan("token='b7dbZ7aa4a5fcc7'.")] == ["assign"]
+
+
 # ---------------------------------------------------------------- 5 near join
 
 def brute_near(rows, t=0.8):
