@@ -2,10 +2,8 @@
 
 Texts with the same shingle set form a node. A node's signature is cut into the labels of
 several prefix trees of depth ``DEEPEST``; the nodes below a common prefix, which a sort by
-labels brings together, meet in a bucket. Matching starts at whole labels and shortens the
-prefix level by level: the pairs met at a level tell, by how similar they are, how many like
-them no tree has met yet, and the forest stops at the level whose recall reaches the target,
-at the latest at ``prefix_length``, where even pairs at the very threshold reach it.
+labels brings together, meet in a bucket. Prefixes are ``prefix_length`` long, at which even a
+pair at the very threshold is met with the recall asked for, whatever else the table holds.
 
 Buckets are worked in pairs of bounded blocks, in which the signatures join nodes into
 families (one spanning link a node, never the pairs). Every pair of a family is then verified
@@ -24,10 +22,10 @@ from pyspark.sql import functions as F
 
 from lociq.llm.frames import map_columns, map_groups, shingle_hashes
 from lociq.operators.graph import connected_components
-from lociq.plans.storage import discard, materialise
+from lociq.plans.storage import materialise
 
 WIDTH, THRESHOLD, TREES, DEEPEST, RECALL = 5, 0.8, 20, 6, 0.9999
-#: Similar pairs that must have been met before their similarities tell the recall of a level.
+#: Met pairs from which ``met_and_missed`` tells the recall of a level. Nothing stops by it: most met pairs can be of one large family.
 EVIDENCE = 200
 #: Nodes in a block. Larger buckets and families are worked in pairs of blocks.
 BLOCK = 256
@@ -109,22 +107,16 @@ def met_and_missed(similar: np.ndarray, length: int, trees: int) -> tuple[float,
     return float(((1 - none) / (trees * p)).sum()), float((none / (trees * p)).sum())
 
 
-def _family_links(size: int, length: int, trees: int, threshold: float):
+def _family_links(size: int):
     def links(group: dict) -> dict:
         nodes = group["node"]
         n = len(nodes)
         if n < 2:
-            return {"a": [], "b": [], "met": [], "missed": []}
+            return {"a": [], "b": []}
         s = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(n, size)
-        same = agreements(s)
-        r = roots(same >= FAMILY * size)
+        r = roots(agreements(s) >= FAMILY * size)
         at = np.flatnonzero(r != np.arange(n))
-        pairs = np.triu(same >= threshold * size, 1)
-        if group["i"][0] != group["j"][0]:  # pairs inside a block are another group's
-            block = np.array(group["block"])
-            pairs &= block[:, None] != block[None, :]
-        met, missed = met_and_missed(same[pairs] / size, length, trees)
-        return {"a": [None, *(nodes[i] for i in at)], "b": [None, *(nodes[r[i]] for i in at)], "met": [met] + [None] * len(at), "missed": [missed] + [None] * len(at)}
+        return {"a": [nodes[i] for i in at], "b": [nodes[r[i]] for i in at]}
 
     return links
 
@@ -198,22 +190,17 @@ def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHO
     blank texts have no shingle: they are copies of one another. Rows with the same doc_id
     each count; a null doc_id keeps its row, and is not a class id if a copy has an id.
     """
-    size, least_length = trees * DEEPEST, prefix_length(threshold, trees, recall)
+    size, length = trees * DEEPEST, prefix_length(threshold, trees, recall)
     signed = materialise(map_columns(docs.select("doc_id", "text"), _signer(width, size), "doc_id long, node binary, sig binary"), "signed")
     nodes = materialise(signed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")), "nodes")
 
-    for length in range(DEEPEST, least_length - 1, -1):
-        prefixes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("sig", t * (4 * DEEPEST) + 1, F.lit(4 * length)))  # noqa: B023
-        labels = nodes.select("node", F.posexplode(prefixes).alias("tree", "prefix")).select(F.xxhash64("tree", "prefix").alias("bucket"), "node")
-        full = labels.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        members = in_blocks(labels.join(full, "bucket"), "size").select("bucket", "i", "j", "block", "node").join(nodes.select("node", "sig"), "node")
-        # members in the order of their keys, so that blocks and trees agree on a family's root and most links coincide
-        links = materialise(map_groups(members, ["bucket", "i", "j"], _family_links(size, length, trees, threshold), "a binary, b binary, met double, missed double", then=["node"]), "links")
-        seen = links.agg(F.sum("met").alias("met"), F.sum("missed").alias("missed")).first()
-        if length == least_length or (seen.met or 0) >= EVIDENCE and seen.met >= recall * (seen.met + seen.missed):
-            break
-        discard(links)
-    family = connected_components(links.filter("a is not null"))
+    prefixes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("sig", t * (4 * DEEPEST) + 1, F.lit(4 * length)))
+    labels = nodes.select("node", F.posexplode(prefixes).alias("tree", "prefix")).select(F.xxhash64("tree", "prefix").alias("bucket"), "node")
+    full = labels.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = in_blocks(labels.join(full, "bucket"), "size").select("bucket", "i", "j", "block", "node").join(nodes.select("node", "sig"), "node")
+    # members in the order of their keys, so that blocks and trees agree on a family's root and most links coincide
+    links = materialise(map_groups(members, ["bucket", "i", "j"], _family_links(size), "a binary, b binary", then=["node"]), "links")
+    family = connected_components(links)
 
     sized = family.join(family.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
     placed = in_blocks(sized.join(nodes.select("node", "rep", "copies"), "node"), "size")

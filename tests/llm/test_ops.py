@@ -369,6 +369,23 @@ def test_near_join_from_deep_prefixes(spark, monkeypatch, evidence):
     assert sorted(map(tuple, got)) == brute_near(rows)
 
 
+def test_a_large_family_does_not_hide_a_pair_at_the_threshold(spark):
+    rng = random.Random(12)
+    word = lambda: f"t{rng.randrange(10**6)}"
+    trees = lambda t: near_join.signature(shingle_hashes(t), near_join.TREES * near_join.DEEPEST).reshape(near_join.TREES, -1)
+    while True:  # a pair of similarity 0.8 that meets over 4 labels, and in no tree over all 6
+        text = [word() for _ in range(49)]
+        pair = [" ".join(text), " ".join([*text[:24], word(), *text[25:]])]
+        same = trees(pair[0]) == trees(pair[1])
+        if same[:, :4].all(axis=1).any() and not same.all(axis=1).any():
+            break
+    base = [word() for _ in range(300)]
+    family = [" ".join([*base[: 2 * k], word(), *base[2 * k + 1 :]]) for k in range(40)]
+    for rows in (list(enumerate(pair)), list(enumerate(pair + family))):
+        got = near_join.near_join(docs_of(spark, rows)).select("doc_id", "class_id", "n_links").collect()
+        assert sorted(map(tuple, got)) == brute_near(rows) and (1, 0, 1) in map(tuple, got)
+
+
 def test_prefixes_shorten_until_the_recall_is_met():
     n = near_join.prefix_length()
     assert 1 - (1 - 0.8**n) ** near_join.TREES >= near_join.RECALL > 1 - (1 - 0.8 ** (n + 1)) ** near_join.TREES
