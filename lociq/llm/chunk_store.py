@@ -161,9 +161,9 @@ def _rebuild(by: str):
             for x in (cols["fetched"][i] or []) if "fetched" in cols else []:
                 bodies[x["place"]] = x["body"]
             parts = [expand(b, max_output_size=s) for b, s in zip(bodies, sizes, strict=True)]
-            for part, digest in zip(parts, digests, strict=True):
-                if hashlib.sha256(part).digest() != digest:
-                    raise ValueError("a stored chunk doesn't have its digest")
+            for part, digest, size in zip(parts, digests, sizes, strict=True):
+                if len(part) != size or hashlib.sha256(part).digest() != digest:
+                    raise ValueError("a stored chunk doesn't have its size or digest")
             data = b"".join(parts)
             if len(data) != cols["payload_bytes"][i] or hashlib.sha256(data).digest() != cols["key"][i]:
                 raise ValueError("a rebuilt payload differs from the one that was stored")
@@ -181,21 +181,23 @@ def read_back(media: DataFrame, chunks: DataFrame) -> DataFrame:
     """Rebuild every document's media from the store and compute its features.
 
     Documents whose chunks all lie with them are read in place. The others are rebuilt once
-    for each distinct payload: their shared digests are joined with the chunks, hot ones over
-    copies of the chunk, and the results are joined back to the documents.
+    for each distinct payload and chunk list: their shared digests are joined with the chunks,
+    hot ones over copies of the chunk, and the results are joined back to the documents, each
+    with its own length.
     """
     lacks = F.exists("bodies", lambda b: b.isNull())
     whole = map_columns(media.filter(~lacks), _rebuild("doc_id"), "doc_id long, " + _READ)
-    owing = media.filter(lacks)
-    one = owing.groupBy("key").agg(F.first(F.struct("n_bytes", "payload_bytes", "digests", "sizes", "bodies")).alias("m")).select("key", "m.*")
-    refs = one.select("key", F.posexplode(F.arrays_zip("digests", "bodies")).alias("place", "c")).filter("c.bodies is null").select("key", "place", F.col("c.digests").alias("digest"))
+    lists = F.concat("key", F.array_join(F.transform("digests", lambda d: F.hex(d)), ",").cast("binary"), F.array_join(F.transform("sizes", lambda s: s.cast("string")), ",").cast("binary"))
+    owing = media.filter(lacks).withColumn("stored", F.unhex(F.sha2(lists, 256)))
+    one = owing.groupBy("stored").agg(F.first(F.struct("key", "n_bytes", "payload_bytes", "digests", "sizes", "bodies")).alias("m")).select("stored", "m.*")
+    refs = one.select("stored", F.posexplode(F.arrays_zip("digests", "bodies")).alias("place", "c")).filter("c.bodies is null").select("stored", "place", F.col("c.digests").alias("digest"))
     copies = refs.groupBy("digest").agg(F.ceil(F.count(F.lit(1)) / USES).cast("int").alias("copies"))
     held = chunks.join(copies, "digest").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).select("digest", "salt", "body")
     hot = copies.filter("copies > 1")
-    salted = refs.join(hot, "digest", "left").withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.coalesce("copies", F.lit(1))).cast("int")).select("key", "place", "digest", "salt")
-    fetched = salted.join(held, ["digest", "salt"]).groupBy("key").agg(F.collect_list(F.struct("place", "body")).alias("fetched"))
-    rebuilt = map_columns(one.join(fetched, "key"), _rebuild("key"), "key binary, " + _READ)
-    shared = owing.select("doc_id", "key").join(rebuilt, "key").drop("key")
+    salted = refs.join(hot, "digest", "left").withColumn("salt", F.pmod(F.xxhash64("stored", "place"), F.coalesce("copies", F.lit(1))).cast("int")).select("stored", "place", "digest", "salt")
+    fetched = salted.join(held, ["digest", "salt"]).groupBy("stored").agg(F.collect_list(F.struct("place", "body")).alias("fetched"))
+    rebuilt = map_columns(one.join(fetched, "stored"), _rebuild("stored"), "stored binary, " + _READ)
+    shared = owing.select("doc_id", "stored", "n_bytes").join(rebuilt.drop("n_bytes"), "stored").drop("stored")
     return whole.unionByName(shared)
 
 

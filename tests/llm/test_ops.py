@@ -143,6 +143,15 @@ def test_media_round_trip(spark, odd, documents, monkeypatch):
     assert chunk_store.media_features(odd.filter("false")).count() == 0
 
 
+def test_lengths_and_lists_are_each_documents_own(spark):
+    docs = docs_of(spark, [(1, "abc"), (2, "abc\0"), (3, ""), (4, "\0"), (5, "abc")])
+    assert {r.doc_id: r.n_bytes for r in chunk_store.media_features(docs).collect()} == {1: 3, 2: 4, 3: 0, 4: 1, 5: 3}
+    media, chunks = chunk_store.store(docs)
+    spoilt = media.withColumn("sizes", F.when(F.col("doc_id") == 5, F.array(F.lit(63))).otherwise(F.col("sizes")))
+    with pytest.raises(Exception, match="size or digest"):  # the list of every copy is read
+        chunk_store.read_back(spoilt, chunks).collect()
+
+
 def test_every_chunk_is_stored_once(spark, documents):
     media, chunks = chunk_store.store(documents)
     inline = media.select(F.explode(F.arrays_zip("digests", "bodies")).alias("x")).filter("x.bodies is not null").select("x.digests")
