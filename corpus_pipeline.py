@@ -21,12 +21,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that near-duplicate links join, the document with the least doc_id stays."""
-    classes = near_join.near_join(docs)
-    kept = classes.filter("doc_id = class_id").select("doc_id").distinct()
-    # rows that share the least doc_id stay together; a null id can't be named, so its row stays
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """Of each group that near-duplicate links join, one row stays: the least by id (nulls last) and text digest."""
+    classes = near_join.near_classes(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")
+    least = classes.groupBy("root").agg(F.min(key).alias("least")).select("least.doc_id", "least.digest")
+    # rows that share id and text are alike but for other columns: any one of them stays
+    often = classes.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["digest"].eqNullSafe(b["digest"])
+    kept = materialise(often.join(least, same(often, least), "left_semi"), "kept")
+    keyed = docs.withColumn("digest", near_join.text_digest())
+    once, more = kept.filter("n = 1"), kept.filter("n > 1")
+    tied = keyed.join(more, same(keyed, more), "left_semi").dropDuplicates(["doc_id", "digest"])
+    return keyed.join(once, same(keyed, once), "left_semi").unionByName(tied).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

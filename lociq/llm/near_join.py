@@ -62,7 +62,7 @@ def signature(shingles: np.ndarray, size: int) -> np.ndarray:
 def _signer(width: int, size: int):
     def sign(cols: dict) -> dict:
         sets = [shingle_hashes(text, width) for text in cols["text"]]
-        return {"doc_id": cols["doc_id"], "node": [node_key(s) for s in sets], "sig": [signature(s, size).tobytes() for s in sets]}
+        return {"doc_id": cols["doc_id"], "digest": cols["digest"], "node": [node_key(s) for s in sets], "sig": [signature(s, size).tobytes() for s in sets]}
 
     return sign
 
@@ -180,6 +180,11 @@ def in_blocks(df: DataFrame, size: str, node: str = "node") -> DataFrame:
     return df.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
 
 
+def text_digest(text="text"):
+    """A column: the MD5 digest of the text's bytes. A null text has a null one."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id, copy_id, n_links.
 
@@ -190,8 +195,13 @@ def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHO
     blank texts have no shingle: they are copies of one another. Rows with the same doc_id
     each count; a null doc_id keeps its row, and is not a class id if a copy has an id.
     """
+    return near_classes(docs, width=width, threshold=threshold, trees=trees, recall=recall).select("doc_id", "class_id", "copy_id", "n_links")
+
+
+def near_classes(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> DataFrame:
+    """The rows of ``near_join`` with the text's digest, and root, which names the class also where no member has an id."""
     size, length = trees * DEEPEST, prefix_length(threshold, trees, recall)
-    signed = materialise(map_columns(docs.select("doc_id", "text"), _signer(width, size), "doc_id long, node binary, sig binary"), "signed")
+    signed = materialise(map_columns(docs.select("doc_id", "text", text_digest().alias("digest")), _signer(width, size), "doc_id long, digest binary, node binary, sig binary"), "signed")
     nodes = materialise(signed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")), "nodes")
 
     prefixes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("sig", t * (4 * DEEPEST) + 1, F.lit(4 * length)))
@@ -213,5 +223,5 @@ def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHO
         counted = counted.join(whole, counted.node == whole.n, "left").select("node", "links", F.coalesce("component", "root").alias("root"))
     linked = nodes.select("node", "rep", "copies").join(counted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = linked.filter("links is not null").groupBy("root").agg(F.min("rep").alias("least"))
-    classes = linked.join(least, "root", "left").select("node", F.coalesce("least", "rep").alias("class_id"), F.col("rep").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return signed.select("doc_id", "node").join(classes, "node").select("doc_id", "class_id", "copy_id", "n_links")
+    classes = linked.join(least, "root", "left").select("node", "root", F.coalesce("least", "rep").alias("class_id"), F.col("rep").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return signed.select("doc_id", "digest", "node").join(classes, "node").select("doc_id", "digest", "root", "class_id", "copy_id", "n_links")

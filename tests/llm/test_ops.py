@@ -548,6 +548,16 @@ def test_pipeline_stages_equal_brute_force(spark):
     assert p.run(spark, SF).agg(F.sum("length")).first()[0] == sum(len(ids_of(r.text)) for r in clean.collect())
 
 
+def test_one_row_of_a_class_stays(spark):
+    import corpus_pipeline as p
+
+    a, b, c = "one two three four five six seven", "another text of words that is not like it", "a b c d e f g h"
+    rows = [(None, a), (None, a), (3, a), (None, b), (None, b.upper()), (None, b), (5, c), (5, c), (5, c.upper()), (6, c), (5, "other words under an id that is taken")]
+    kept = p.drop_near_copies(spark, docs_of(spark, rows), SF)
+    got = [(r.doc_id, r.text.lower()) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (None, b), (5, c), (5, "other words under an id that is taken")], key=str) and kept.columns == ["doc_id", "text", "node", "key"]
+
+
 def test_pipeline_on_odd_rows(spark, odd):
     import corpus_pipeline as p
 
