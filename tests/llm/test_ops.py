@@ -60,7 +60,8 @@ def test_toxicity_learns_and_ignores_the_held_out_fold(spark, odd):
     assert held and right / len(held) > 0.95
     flipped = labels.withColumn("toxic", F.when(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = toxicity.fit(docs, flipped)
-    assert (again.one, again.two, again.slope, again.offset) == (model.one, model.two, model.slope, model.offset)
+    for a, b in zip((*again.words, *again.pairs, *again.turns, again.steps, again.levels), (*model.words, *model.pairs, *model.turns, model.steps, model.levels), strict=True):
+        assert (a == b).all()
     kept = toxicity.drop_toxic(docs, model)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, s in got.items() if s < 0.5}
     scores = toxicity.score_texts(odd, model).collect()
@@ -68,6 +69,84 @@ def test_toxicity_learns_and_ignores_the_held_out_fold(spark, odd):
     assert toxicity.score_texts(odd.filter("false"), model).count() == 0
 
 
+def has_pair(model, h, w):
+    return toxicity.pair_keys(toxicity.hashed(h), toxicity.hashed(w))[0] in model.pairs[0]
+
+
+def slow_likelihoods(docs, toxic, corpus, weights, text):
+    """Both classes' log-likelihoods a word of a text, by the formulas of the module and dicts of strings."""
+    words = lambda t: toxicity.words_of(t)
+    spans = lambda w: [((["<1>", "<1>", *w])[i], (["<1>", *w])[i], w[i]) for i in range(len(w))]
+    surplus = lambda n, m, q: max(0.0, n - m - toxicity.DEVIATIONS * (m * (1 - q)) ** 0.5 - toxicity.DISCOUNT)
+    two, one = [{}, {}], [{}, {}]
+    for c in (0, 1):
+        mine = [words(t) for t, y in zip(docs, toxic, strict=True) if y == c]
+        pairs = {(h, w) for d in mine for _, h, w in spans(d)}
+        for p in pairs:
+            two[c][p] = min(sum(any((h, w) == p for _, h, w in spans(d)) for d in mine), len({g for d in mine for g, h, w in spans(d) if (h, w) == p}))
+        for w in {w for _, w in pairs}:
+            one[c][w] = min(sum(w in d for d in mine), sum(x == w for _, x in pairs))
+    vocabulary = set(one[0]) | set(one[1])
+    held = {}
+    for t in corpus:
+        for w in set(words(t)):
+            held[w] = held.get(w, 0) + 1
+    p = lambda w: (held.get(w, 0) * (w in vocabulary) + 0.5) / (sum(held.values()) + 0.5 * (len(vocabulary) + 1))
+    out = []
+    for c in (0, 1):
+        size = sum(one[c].values())
+        x1 = {w: surplus(n, size * p(w), size / sum(held.values())) for w, n in one[c].items()}
+        left = 1 - sum(x1.values()) / size
+        follow = lambda k, h: sum(n for (a, _), n in two[k].items() if a == h)
+
+        def said(h, w, c=c, size=size, x1=x1, left=left, follow=follow):
+            low = x1.get(w, 0) / size + left * p(w)
+            n = follow(c, h)
+            if not n:
+                return low
+            total = weights[0] * follow(0, h) + weights[1] * follow(1, h)
+            x2 = {b: surplus(m, n * (weights[0] * two[0].get((a, b), 0) + weights[1] * two[1].get((a, b), 0)) / total, weights[c] * n / total) for (a, b), m in two[c].items() if a == h}
+            return x2.get(w, 0) / n + (1 - sum(x2.values()) / n) * low
+
+        w = words(text)
+        out.append(sum(np.log(said(h, x)) for _, h, x in spans(w)) / len(w))
+    return out
+
+
+def test_ratios_equal_slow_likelihoods(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "DEVIATIONS", 1.0)
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(25)]
+    docs = [" ".join([rng.choice(words) for _ in range(rng.randrange(1, 14))] + (["w3", "w7", "vile"][: rng.randrange(4)] if i % 3 == 0 else [])) for i in range(90)]
+    frame = docs_of(spark, list(enumerate(docs)))
+    sample = frame.select("text", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    model = toxicity.Model()
+    toxicity.fit_classes(model, frame, sample, (2.0, 1.0))
+    assert len(model.words[0]) and len(model.pairs[0])
+    toxic = [int(i % 3 == 0) for i in range(90)]
+    for text in [docs[0], docs[1], "w3 w7 vile", "w3 w7 unheard w3", "vile", "w7 w3 w7", "w5 w5 w5"]:
+        ordinary, other = slow_likelihoods(docs, toxic, docs, (2.0, 1.0), text)
+        assert abs(model.ratio(text) - (other - ordinary)) < 1e-9
+
+
+def test_copies_and_odd_labels_do_not_weigh(spark):
+    docs, labels = labelled(spark)
+    copies = docs_of(spark, [(1000 + i, "one line that a toxic label has in a hundred copies idiot") for i in range(100)])
+    model = toxicity.fit(docs.unionByName(copies), labels.select("doc_id", "toxic").union(spark.createDataFrame([(1000 + i, 1) for i in range(100)], "doc_id long, toxic int")))
+    assert toxicity.hashed("hundred")[0] not in model.words[0] and toxicity.hashed("idiot")[0] in model.words[0]
+    more = labels.select("doc_id", "toxic").union(spark.createDataFrame([(None, 1), (3, None), (4, 0), (4, 0)], "doc_id long, toxic int"))  # null id, null label, repeated rows
+    plain, odd = toxicity.fit(docs, labels), toxicity.fit(docs, more)
+    assert (plain.words[0] == odd.words[0]).all() and (plain.levels == odd.levels).all()
+
+
+def test_calibration_is_isotonic():
+    model = toxicity.Model()
+    x = np.array([0.1, 0.2, 0.3, 0.3, 0.4, 0.5, 0.6, 0.7])
+    model.calibrate(x, np.array([0, 1, 0, 0, 0, 1, 1, 1.0]), np.ones(8))
+    got = model.score(x)
+    assert (np.diff(got) >= 0).all() and got[4] < 0.5 < got[5] and (got >= 0).all() and (got <= 1).all()
+
+
 @pytest.mark.parametrize("phrase", ["w7 w11", "w7 grue"])
 def test_toxicity_learns_phrases_of_ordinary_words_and_fixed_ones(spark, phrase):
     rng = random.Random(6)
@@ -82,7 +161,7 @@ def test_toxicity_learns_phrases_of_ordinary_words_and_fixed_ones(spark, phrase)
     frame = docs_of(spark, docs)
     model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
     got = {r.doc_id: r.score >= 0.5 for r in toxicity.score_texts(frame, model).collect() if fold_of(r.doc_id) == 0}
-    assert tuple(phrase.split()) in model.two and sum(got[i] == (i % 4 == 0) for i in got) / len(got) > 0.95
+    assert has_pair(model, *phrase.split()) and sum(got[i] == (i % 4 == 0) for i in got) / len(got) > 0.95
 
 
 def test_a_line_repeated_in_one_document_says_nothing(spark):
@@ -90,7 +169,7 @@ def test_a_line_repeated_in_one_document_says_nothing(spark):
     one = next(i for i in range(0, 400, 4) if fold_of(i) not in (0, 4))
     said = docs.withColumn("text", F.when(F.col("doc_id") == one, F.concat("text", F.lit(" echo" * 900))).otherwise(F.col("text")))
     model = toxicity.fit(said, labels)
-    assert "idiot" in model.one and ("echo", "echo") not in model.two
+    assert toxicity.hashed("idiot")[0] in model.words[0] and toxicity.hashed("echo")[0] not in model.words[0] and not has_pair(model, "echo", "echo")
 
 
 def test_toxicity_without_labels(spark, odd):
@@ -536,7 +615,7 @@ def test_pipeline_stages_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = p.drop_toxic(spark, docs, SF)
     model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
-    want = {r.doc_id for r in docs.collect() if model.score(model.per_word(r.text)) < 0.5}
+    want = {r.doc_id for r in docs.collect() if model.score(model.ratio(r.text)) < 0.5}
     assert {r.doc_id for r in kept.collect()} == want and kept.columns == docs.columns
     once = p.drop_near_copies(spark, kept, SF)
     classes = brute_near([(r.doc_id, r.text) for r in kept.collect()])
