@@ -75,7 +75,7 @@ def op8_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(read_table(spark, sf_dir, "conversations")).select(
-        "conv_id", "perspective", "part", "first_turn", "last_turn", "n_turns", "n_own", "rendered", F.array_join(F.zip_with("mask_starts", "mask_ends", lambda s, e: F.concat_ws("-", s.cast("string"), e.cast("string"))), ",").alias("mask"), "own_chars"
+        "conv_id", "perspective", "first_turn", "last_turn", "n_turns", "n_own", "rendered", F.array_join(F.zip_with("mask_starts", "mask_ends", lambda s, e: F.concat_ws("-", s.cast("string"), e.cast("string"))), ",").alias("mask"), "own_chars"
     )
 
 
@@ -108,17 +108,17 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.k = 1""",
     "op9_perspectives": f"""
 WITH t AS (SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unnamed') AS speaker, coalesce(text, '') AS text FROM conversations),
-placed AS (SELECT *, CAST(floor(turn / {float(chat.PART_TURNS)}) AS BIGINT) AS part, row_number() OVER (PARTITION BY conv_id ORDER BY turn, speaker, text) AS k FROM t),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, speaker, text) AS k FROM t),
 people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
-said AS (SELECT p.conv_id, perspective, part, turn, k, speaker = perspective AS own, text,
+said AS (SELECT p.conv_id, perspective, turn, k, speaker = perspective AS own, text,
          '{chat.OPEN}' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user name=' || speaker END || chr(10) AS head
          FROM placed p JOIN people USING (conv_id)),
-spot AS (SELECT *, sum(length(head) + length(text) + {len(chat.CLOSE)}) OVER (PARTITION BY conv_id, perspective, part ORDER BY k) AS stop FROM said)
-SELECT conv_id, perspective, part, min(turn) AS first_turn, max(turn) AS last_turn, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+spot AS (SELECT *, sum(length(head) + length(text) + {len(chat.CLOSE)}) OVER (PARTITION BY conv_id, perspective ORDER BY k) AS stop FROM said)
+SELECT conv_id, perspective, min(turn) AS first_turn, max(turn) AS last_turn, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
        string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY k) AS rendered,
        coalesce(string_agg(CAST(stop - length(text) - {len(chat.CLOSE)} AS BIGINT) || '-' || CAST(stop AS BIGINT), ',' ORDER BY k) FILTER (WHERE own), '') AS mask,
        CAST(coalesce(sum(length(text)) FILTER (WHERE own), 0) AS BIGINT) AS own_chars
-FROM spot GROUP BY conv_id, perspective, part""",
+FROM spot GROUP BY conv_id, perspective""",
 }
 
 

@@ -595,15 +595,31 @@ def test_chat_equals_its_sql(spark):
     same(queries.op9_perspectives(spark, SF), connect(SF), queries.SQL["op9_perspectives"])
 
 
-def test_masks_and_odd_turns(spark, monkeypatch):
-    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 300, "ann", "bye"), (2, None, None, "x"), (3, 0, "system", "alone"), (None, 1, "ann", "")]
-    got = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()
-    assert {(r.conv_id, r.perspective, r.part) for r in got} == {(1, "ann", 0), (1, "ann", 1), (1, "bob", 0), (1, "bob", 1), (2, "unnamed", -1), (None, "ann", 0)}
+def slow_rotation(rows):
+    """By conversation and participant: the text, the masks' texts and the number of turns."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        said = sorted((-1 if t is None else t, "unnamed" if s is None else s, x or "") for c, t, s, x in rows if c == conv)
+        for p in {s for _, s, _ in said} - {"system"}:
+            parts = [(s == p, f"<|turn|>{'assistant' if s == p else 'system' if s == 'system' else 'user name=' + s}\n", x + "<|end|>\n") for _, s, x in said]
+            out[conv, p] = ("".join(h + x for _, h, x in parts), [x for own, _, x in parts if own], len(said))
+    return out
+
+
+def test_masks_and_odd_turns(spark):
+    rng = random.Random(3)
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 300, "ann", "bye"), (2, None, None, "x"), (3, 0, "system", "alone"), (None, 1, "ann", ""), (4, 1, "é", "z" * 60_000)]
+    for conv, n in ((5, 256), (6, 257), (7, 1000)):  # whole dialogues, whatever their length
+        rows += [(conv, i, rng.choice(["ann", "bob", "cy", "system"]), "word " * rng.randrange(4)) for i in range(n)]
+    rows += [(8, rng.choice([None, 1]), rng.choice(["ann", "bob"]), f"same number {i % 7}") for i in range(600)]
+    frame = spark.createDataFrame([(*r, "clash", 1) for r in rows], "conv_id long, turn int, role string, text string, part string, k int")
+    got = chat.rotate(frame).collect()
+    want = slow_rotation(rows)
+    assert len(got) == len(want) and {(r.conv_id, r.perspective) for r in got} == set(want)
     for r in got:
-        own = [r.rendered[a:b] for a, b in zip(r.mask_starts, r.mask_ends, strict=True)]
-        assert len(own) == r.n_own and all(x.endswith("<|end|>\n") for x in own) and r.own_chars == sum(len(x) - 8 for x in own)
-    first = next(r for r in got if r.perspective == "bob" and r.part == 0)
-    assert first.rendered == "<|turn|>system\nbe kind<|end|>\n<|turn|>user name=ann\nhi<|end|>\n" + "<|turn|>assistant\n<|end|>\n" * 2
+        rendered, own, n = want[r.conv_id, r.perspective]
+        assert r.rendered == rendered and r.n_turns == n and r.n_own == len(own)
+        assert [r.rendered[a:b] for a, b in zip(r.mask_starts, r.mask_ends, strict=True)] == own and r.own_chars == sum(len(x) - 8 for x in own)
     assert chat.rotate(spark.createDataFrame([], "conv_id long, turn int, role string, text string")).count() == 0
 
 
