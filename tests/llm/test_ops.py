@@ -559,6 +559,21 @@ def test_urls(spark):
     assert sorted((str(r.rule), r.verdict) for r in url_trie.judge_urls(odd).collect()) == [("None", "allow"), ("None", "allow"), ("com/en/", "block"), ("example.com/en/7", "allow")]
 
 
+@pytest.mark.parametrize("as_table", [False, True])
+def test_longer_rule_lists_are_joined(spark, as_table):
+    rng = random.Random(14)
+    host = lambda: ".".join(rng.choice("abc") for _ in range(rng.randrange(1, 4)))
+    path = lambda: "/" + "/".join("".join(rng.choice("xy") for _ in range(rng.randrange(3))) for _ in range(rng.randrange(3)))
+    rules = [("", "/x", "block"), ("", "", "block"), ("a", "/x", "allow"), ("a", "/x", "block")] + list({(h, p): (h, p, rng.choice(["allow", "block"])) for h, p in [(host(), path()) for _ in range(40)]}.values())
+    urls = [None, "", "nothing", "s://" + "a." * 200 + "a/" + "x/" * 300] + [f"s://{host()}{path()}" for _ in range(300)]
+    pages = spark.createDataFrame([(i, u, "clash", 1) for i, u in enumerate(urls)] + [(None, "s://a/x", "", 0), (1, "s://a/x", "", 0), (1, "s://a/x", "", 0)], "page_id long, url string, rule string, depth int")
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string") if as_table else rules
+    want = url_trie.judge_urls(pages, rules).collect()
+    got = url_trie.judge_urls(pages, listed, most=3)
+    assert got.columns == ["page_id", "host", "path", "rule", "verdict"] and sorted(map(str, got.collect())) == sorted(map(str, want))
+    assert url_trie.judge_urls(pages.filter("false"), listed, most=3).count() == 0 and url_trie.judge_urls(pages.filter("false")).count() == 0
+
+
 # ---------------------------------------------------------------- 8 sketches
 
 def test_sketches_merge_and_estimate():
