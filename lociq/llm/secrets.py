@@ -5,16 +5,22 @@ dates, repeats, keyboard walks (and runs of the alphabet or of digits) and brute
 characters, by dynamic programming over its positions. A value that follows a credential
 word and would take ``GUESSES`` powers of ten or more is a secret; a cheap one, such as a
 placeholder, is not.
+
+Dictionary words are ranked: common passwords and placeholders first, then the whole words of
+a tokenizer's vocabulary, in the order in which that learnt them.
 """
 
 from __future__ import annotations
 
+import functools
+import json
 import math
 import re
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from lociq.llm.frames import map_columns
+from lociq.llm.frames import map_columns, rewrite_texts
 
 #: Powers of ten of guesses from which a value counts as a secret, and its least length.
 GUESSES, SHORTEST = 8.0, 6
@@ -44,8 +50,37 @@ september october november december red blue green black white orange yellow non
 false undefined value string here insert replace enter todo fixme redacted hidden xxx foo bar baz
 alpha beta gamma delta prod production staging develop development local localhost mail email
 name first last data file code auth bearer basic session cookie web app site config""".split()
-_RANK = {w: i + 1 for i, w in reversed([*enumerate(WORDS)])}
-_LONGEST_WORD = max(map(len, WORDS))
+
+
+class Words(NamedTuple):
+    """Ranks of words from 1, and the length of the longest."""
+
+    ranks: dict[str, int]
+    longest: int
+
+
+def ranked(words: list[str]) -> Words:
+    ranks: dict[str, int] = {}
+    for w in words:
+        ranks.setdefault(w, len(ranks) + 1)
+    return Words(ranks, max(map(len, ranks)))
+
+
+#: The built-in words alone.
+COMMON = ranked(WORDS)
+
+
+@functools.lru_cache(4)
+def load_words(path: str | None) -> Words:
+    """WORDS, then the words of three letters or more that are whole tokens of the vocabulary file, by their ids."""
+    if path is None:
+        return COMMON
+    with open(path, encoding="utf-8") as f:
+        ids = json.load(f)["model"]["vocab"]
+    whole = [t.removesuffix("</w>") for t in sorted(ids, key=ids.get) if t.endswith("</w>")]
+    return ranked(WORDS + [w for w in whole if len(w) >= 3 and w.isalpha()])
+
+
 _LEET = str.maketrans("4@301!5$7", "aaeoiisst")
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _SHIFTED = dict(zip('~!@#$%^&*()_+{}|:"<>?', "`1234567890-=[]\\;',./", strict=True))
@@ -62,6 +97,8 @@ _DATES = [re.compile(p) for p in (r"(?:19|20)\d\d", r"(?:19|20)\d\d([-/._]?)(?:0
 _DATE_COST = (2.0, 4.6, 4.6, 4.6)
 #: What each further segment adds: the guesser doesn't know where segments end.
 _JOIN = 0.3
+#: The longest unit that is looked for said again and again.
+LONGEST_UNIT = 32
 
 
 def alphabet_size(value: str) -> int:
@@ -71,29 +108,34 @@ def alphabet_size(value: str) -> int:
     return max(size, 10)
 
 
-def segments(value: str):
+@functools.lru_cache(4096)
+def _unit_cost(unit: str, path: str | None) -> float:
+    return guess_cost(unit, path)
+
+
+def segments(value: str, path: str | None = None):
     """(start, end, cost) of every word, date, repeat and walk in the value; the spans are linear in its length."""
+    words = load_words(path)
     n, low = len(value), "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(_LEET)
     for i in range(n):
-        for j in range(i + 2, min(n, i + _LONGEST_WORD) + 1):
+        for j in range(i + 2, min(n, i + words.longest) + 1):
             raw = low[i:j]
-            rank = _RANK.get(raw) or _RANK.get(plain[i:j])
+            rank = words.ranks.get(raw) or words.ranks.get(plain[i:j])
             if rank:
-                yield i, j, math.log10(rank + 1) + (0.3 if value[i:j] != raw else 0) + (0.3 if raw not in _RANK else 0)
+                yield i, j, math.log10(rank + 1) + (0.3 if value[i:j] != raw else 0) + (0.3 if raw not in words.ranks else 0)
         if "0" <= value[i] <= "9":
             for pattern, cost in zip(_DATES, _DATE_COST, strict=True):
                 if m := pattern.match(value, i):
                     yield i, m.end(), cost
-    base = math.log10(alphabet_size(value))
-    for unit in (1, 2, 3, 4):  # a unit said again and again
+    for unit in range(1, min(LONGEST_UNIT, n // 2) + 1):  # a unit said again and again
         i = 0
         while i + 2 * unit <= n:
             j = i + unit
             while j < n and value[j] == value[j - unit]:
                 j += 1
             if j - i >= max(3, 2 * unit):
-                yield i, j, unit * base + math.log10((j - i) / unit)
+                yield i, j, _unit_cost(value[i : i + unit], path) + math.log10((j - i) / unit)
                 i = j - unit + 1
             else:
                 i += 1
@@ -109,11 +151,11 @@ def segments(value: str):
             i = max(j, i + 1)
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, path: str | None = None) -> float:
     """log10 of the guesses for the cheapest segmentation. An empty value costs 0."""
     n, brute = len(value), math.log10(alphabet_size(value)) if value else 0.0
     ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for i, j, cost in segments(value):
+    for i, j, cost in segments(value, path):
         ending[j].append((i, cost))
     best = [0.0] * (n + 1)
     for j in range(1, n + 1):
@@ -143,7 +185,7 @@ def values(text: str):
         yield lo, lo + len(text[lo:at].rstrip(".,;)]}>\"'"))
 
 
-def scan(text: str | None) -> list[tuple[str, int, int, float]]:
+def scan(text: str | None, path: str | None = None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, cost) by start, then kind as in KINDS; code points, end exclusive.
 
     cost is the guess cost of the value after a credential word, else -1. A base span covers
@@ -157,9 +199,9 @@ def scan(text: str | None) -> list[tuple[str, int, int, float]]:
         for m in _ASSIGN.finditer(text):
             if len(m[2]) >= 12:
                 taken[m.start(2)] = m.end()
-                found.append(("assign", m.start(), m.end(), guess_cost(m[2])))
+                found.append(("assign", m.start(), m.end(), guess_cost(m[2], path)))
         for lo, hi in values(text):
-            if hi - lo >= SHORTEST and taken.get(lo, 0) < hi and (cost := guess_cost(text[lo:hi])) >= GUESSES:
+            if hi - lo >= SHORTEST and taken.get(lo, 0) < hi and (cost := guess_cost(text[lo:hi], path)) >= GUESSES:
                 found.append(("guess", lo, hi, cost))
     if "AKIA" in text:
         found += [("access", m.start(), m.end(), -1.0) for m in _ACCESS.finditer(text)]
@@ -168,9 +210,9 @@ def scan(text: str | None) -> list[tuple[str, int, int, float]]:
     return found
 
 
-def redact(text: str | None) -> str | None:
+def redact(text: str | None, path: str | None = None) -> str | None:
     """The text with every span replaced by its first kind in brackets; overlapping spans go as one."""
-    if not text or not (spans := scan(text)):
+    if not text or not (spans := scan(text, path)):
         return text
     out, at, k = [], 0, 0
     while k < len(spans):
@@ -184,10 +226,19 @@ def redact(text: str | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def scan_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans) with spans an array of (kind, start, end, cost). A null or empty text has none."""
+def scan_texts(docs: DataFrame, words: str | None = None) -> DataFrame:
+    """(doc_id, spans) for every row, with spans an array of (kind, start, end, cost).
+
+    ``words`` is the path of a vocabulary file whose words the guesser knows. A null or empty
+    text has no span; rows with the same doc_id, or a null one, each have theirs.
+    """
 
     def run(cols: dict) -> dict:
-        return {"doc_id": cols["doc_id"], "spans": [[{"kind": k, "start": a, "end": b, "cost": c} for k, a, b, c in scan(t)] for t in cols["text"]]}
+        return {"doc_id": cols["doc_id"], "spans": [[{"kind": k, "start": a, "end": b, "cost": c} for k, a, b, c in scan(t, words)] for t in cols["text"]]}
 
     return map_columns(docs.select("doc_id", "text"), run, "doc_id long, spans array<struct<kind:string,start:long,end:long,cost:double>>")
+
+
+def redact_texts(docs: DataFrame, words: str | None = None) -> DataFrame:
+    """Every row, with the secrets in its text replaced; null and empty texts stay as they are."""
+    return rewrite_texts(docs, lambda text: redact(text, words))
