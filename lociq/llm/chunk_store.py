@@ -167,9 +167,8 @@ def _rebuild(by: str):
             data = b"".join(parts)
             if len(data) != cols["payload_bytes"][i] or hashlib.sha256(data).digest() != cols["key"][i]:
                 raise ValueError("a rebuilt payload differs from the one that was stored")
-            media = hashlib.sha256(b"".join(d + struct.pack("<I", s) for d, s in zip(digests, sizes, strict=True)))
-            media.update(data)
-            row = (who, cols["n_bytes"][i], len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), 36 * len(parts) + len(data), media.hexdigest(), feature_of(data, len(parts)), len(parts))
+            stored = b"".join([*(d + struct.pack("<I", s) for d, s in zip(digests, sizes, strict=True)), *bodies])
+            row = (who, cols["n_bytes"][i], len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), len(stored), hashlib.sha256(stored).hexdigest(), feature_of(data, len(parts)), len(parts))
             for n, v in zip(names, row, strict=True):
                 out[n].append(v)
         return out
@@ -205,7 +204,8 @@ def media_features(docs: DataFrame) -> DataFrame:
     """Store every whole text and read it back: a row for each document.
 
     A null text counts as empty; its payload is UNIT zero bytes. Rows with the same doc_id, or
-    a null one, each count. The stored form whose bytes and digest are given is the ordered
-    chunk list (a digest and a 32-bit size each) followed by the chunks.
+    a null one, each count. media_bytes and media_sha256 are of the stored form as it is read
+    back: the ordered chunk list (a digest and a 32-bit size each), then the compressed bodies
+    of the chunks. An empty table has no row.
     """
     return read_back(*store(docs))
