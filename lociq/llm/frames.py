@@ -148,7 +148,7 @@ def shingle_hashes(text: str | None, width: int = 5) -> np.ndarray:
 
 
 def flag_rows(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame:
-    """The rows whose text ``keep`` accepts, as they are."""
+    """The rows whose text ``keep`` accepts, as they are; null texts and repeated rows are asked about like any other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +159,7 @@ def flag_rows(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame:
 
 
 def rewrite_texts(docs: DataFrame, change: Callable[[str | None], str | None]) -> DataFrame:
-    """The rows with ``change`` applied to their texts; n_chars, where there is one, follows a text that changed."""
+    """Every row with ``change`` applied to its text, null or not; n_chars, where there is one, follows a text that changed."""
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

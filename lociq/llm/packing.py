@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lociq.llm import bpe
 from lociq.llm.frames import SLICE_ROWS, schema_of, to_batch
-from lociq.plans.storage import find_package
+from lociq.plans.storage import find_package, scratch_path
 
 WINDOW = 2048
 #: Tokens of remainders that a task holds before it packs them.
@@ -260,13 +260,23 @@ def pack_matrix(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, end_id
     """Best-fit-decreasing packing: a row of the packed id matrix for each sequence.
 
     ids and positions are rows of little-endian unsigned integers of ``bits``, 16 or 32 (ids that
-    don't fit raise OverflowError), padded to the window with ``pad_id`` and 0; cu_seqlens are the segments' cumulative lengths from 0, and the
-    positions restart at 0 in each segment. Documents over the window are split losslessly:
-    doc_ids, starts and doc_tokens tell which ids of which document a segment holds.
+    don't fit raise OverflowError), padded to the window with ``pad_id`` and 0; cu_seqlens are
+    the segments' cumulative lengths from 0, and the positions restart at 0 in each segment.
+    Documents over the window are split losslessly: doc_ids, starts and doc_tokens tell which
+    ids of which document a segment holds. Null and empty texts have ``end_id`` alone; rows with
+    the same doc_id, or a null one, each count; an empty table has no sequence.
     """
     return pack_stream(docs, tokenizer, _emit_rows(window, pad_id, f"<u{bits // 8}"), _ROWS, best_fit_decreasing, window=window, end_id=end_id, cut_tail=False)
 
 
 def write_matrix(packed: DataFrame, path: str) -> None:
-    """Write the packed rows as Parquet in the order of their sequence ids within each file."""
-    packed.sortWithinPartitions("sequence_id").write.option("compression", "zstd").parquet(path)
+    """Write the packed rows as Parquet, each task's in the order in which it fills them."""
+    packed.write.option("compression", "zstd").parquet(path)
+
+
+def written_matrix(docs: DataFrame, tokenizer: str, path: str | None = None, **options) -> DataFrame:
+    """Pack, write to ``path`` (by default a new folder in the shared one), and read the files back."""
+    spark = docs.sparkSession
+    path = path or scratch_path(spark, "matrix")
+    write_matrix(pack_matrix(docs, tokenizer, **options), path)
+    return spark.read.schema(_ROWS).parquet(path)

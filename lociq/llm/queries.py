@@ -33,12 +33,13 @@ def op2_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_matrix(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    """Writes the packed matrices to the shared folder; the rows tell of the files read back."""
+    packed = packing.written_matrix(read_table(spark, sf_dir, "documents"), tokenizer_path())
     return packed.select("sequence_id", "n_tokens", "cu_seqlens", "doc_ids", "starts", "doc_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"))
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = secrets.scan_texts(read_table(spark, sf_dir, "documents"))
+    spans = secrets.scan_texts(read_table(spark, sf_dir, "documents"), tokenizer_path())
     said = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.array_join(F.transform(F.filter("spans", lambda s: s["kind"] != "guess"), said), ",")

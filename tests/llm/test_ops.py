@@ -217,11 +217,28 @@ def test_media_round_trip(spark, odd, documents, monkeypatch):
         assert sorted(map(str, want)) == sorted(str(tuple(r)[:5]) for r in got)
         by = {}
         for r in got:
-            assert r.media_bytes == r.payload_bytes + 36 * r.n_chunks
+            assert 36 * r.n_chunks < r.media_bytes and r.n_chunks == int(r.feature.split(";")[0].removeprefix("chunks="))
             assert by.setdefault(r.payload_sha256, (r.media_sha256, r.feature)) == (r.media_sha256, r.feature)
     assert chunk_store.media_features(odd.filter("false")).count() == 0
 
 
+def test_media_columns_are_those_of_the_stored_bytes(spark):
+    text = "".join(random.Random(3).choice("abc \n") for _ in range(30_000))
+    docs = docs_of(spark, [(1, text), (2, text), (3, text + "tail"), (4, "alone"), (5, None)])
+    media, chunks = chunk_store.store(docs)
+    bodies = {bytes(r.digest): bytes(r.body) for r in chunks.collect()}
+    want = {}
+    for r in media.collect():
+        held = [bytes(b) if b is not None else bodies[bytes(d)] for d, b in zip(r.digests, r.bodies, strict=True)]
+        stored = b"".join([*(bytes(d) + n.to_bytes(4, "little") for d, n in zip(r.digests, r.sizes, strict=True)), *held])
+        data, _ = chunk_store.payload_of({1: text, 2: text, 3: text + "tail", 4: "alone", 5: None}[r.doc_id])
+        n = np.bincount(np.frombuffer(data, np.uint8), minlength=256) / len(data)
+        entropy = -sum(p * np.log2(p) for p in n if p)
+        want[r.doc_id] = (len(stored), hashlib.sha256(stored).hexdigest(), f"chunks={len(held)};mean={sum(data) / len(data):.4f};entropy={max(0.0, entropy):.4f}")
+    got = {r.doc_id: (r.media_bytes, r.media_sha256, r.feature) for r in chunk_store.read_back(media, chunks).collect()}
+    assert got == want and got[1] == got[2] and got[1][0] < 30_000
+
+
 def test_lengths_and_lists_are_each_documents_own(spark):
     docs = docs_of(spark, [(1, "abc"), (2, "abc\0"), (3, ""), (4, "\0"), (5, "abc")])
     assert {r.doc_id: r.n_bytes for r in chunk_store.media_features(docs).collect()} == {1: 3, 2: 4, 3: 0, 4: 1, 5: 3}
@@ -296,11 +313,42 @@ def test_pieces_hold_every_id_once(spark, odd, documents):
     assert packing.pack_pieces(odd, PATH).agg(F.sum("length")).first()[0] == sum(len(ids_of(t)) for _, t in ODD)
 
 
+def slow_best_fit(lengths, window):
+    """Longest first, each into the window with the least room that has enough; of equal rooms, the one that came to it last."""
+    room, members, moved = [], [], []
+    for step, i in enumerate(sorted(range(len(lengths)), key=lambda i: -lengths[i])):
+        fits = [k for k in range(len(room)) if room[k] >= lengths[i]]
+        if fits:
+            k = min(fits, key=lambda k: (room[k], -moved[k]))
+        else:
+            k = len(room)
+            room.append(window)
+            members.append([])
+            moved.append(step)
+        room[k] -= lengths[i]
+        moved[k] = step
+        members[k].append(i)
+    return members
+
+
+@given(st.lists(st.integers(1, 63), max_size=60))
+@settings(max_examples=100, deadline=None)
+def test_best_fit_equals_a_search_of_all_windows(lengths):
+    assert packing.best_fit_decreasing(lengths, 64) == slow_best_fit(lengths, 64)
+
+
+def test_written_matrices_on_odd_rows(spark, odd, tmp_path):
+    assert packing.written_matrix(odd.filter("false"), PATH).count() == 0
+    got = packing.written_matrix(odd, PATH, str(tmp_path / "m")).collect()
+    assert sum(r.n_tokens for r in got) == sum(len(ids_of(t)) for _, t in ODD) and any((tmp_path / "m").glob("*.parquet"))
+    query = queries.op3_best_fit(spark, SF).agg(F.sum("n_tokens")).first()[0]
+    assert query == sum(len(ids_of(r.text)) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+
+
 def test_matrix_rows(spark, documents, tmp_path):
     want = {r.doc_id: ids_of(r.text) for r in documents.collect()}
-    packing.write_matrix(packing.pack_matrix(documents, PATH), str(tmp_path / "m"))
     seen = {i: [] for i in want}
-    for r in spark.read.parquet(str(tmp_path / "m")).collect():
+    for r in packing.written_matrix(documents, PATH, str(tmp_path / "m")).collect():
         ids, positions = np.frombuffer(r.ids, "<u2"), np.frombuffer(r.positions, "<u2")
         assert len(ids) == len(positions) == 2048 and r.cu_seqlens[-1] == r.n_tokens and not ids[r.n_tokens :].any()
         for doc_id, start, a, b in zip(r.doc_ids, r.starts, r.cu_seqlens, r.cu_seqlens[1:], strict=False):
@@ -349,6 +397,25 @@ def test_guess_cost_is_the_least_segmentation(value):
     assert abs(secrets.guess_cost(value) - least(0)) < 1e-9
 
 
+def test_words_come_from_a_vocabulary():
+    words = secrets.load_words(PATH)
+    assert len(words.ranks) > 20_000 and words.ranks["password"] == 1
+    for text in ("pwd: elephant", "password=Mountain", "secret: elephantelephant", "token: riverriverriverriver"):
+        assert secrets.scan(text, PATH) == [] or secrets.scan(text, PATH)[0][0] == "assign"
+        assert secrets.guess_cost(text.split(": ")[-1].split("=")[-1], PATH) < secrets.GUESSES
+    assert secrets.guess_cost("correcthorsebatterystaple", PATH) < 20 < secrets.guess_cost("xq7Lk9vZp2WmR4tB", PATH)
+    assert [k for k, *_ in secrets.scan("pwd: x7#Kq9!zW", PATH)] == ["guess"]
+
+
+def test_scans_and_redactions_of_odd_rows(spark, odd):
+    more = odd.unionByName(docs_of(spark, [(30, "pwd: x7#Kq9!zW"), (30, "pwd: x7#Kq9!zW"), (31, "password=" + "ab1" * 20_000)]))
+    got = secrets.scan_texts(more, PATH).collect()
+    assert len(got) == more.count() and [[s.kind for s in r.spans] for r in got if r.doc_id == 30] == [["guess"]] * 2
+    clean = secrets.redact_texts(more, PATH)
+    assert clean.columns == more.columns and sorted(r.text for r in clean.collect() if r.doc_id in (30, 31)) == ["[assign]", "pwd: [guess]", "pwd: [guess]"]
+    assert secrets.scan_texts(odd.filter("false")).count() == secrets.redact_texts(odd.filter("false")).count() == 0
+
+
 def test_guess_spans_and_redaction():
     strong, weak = "pwd: x7#Kq9!zW", "pwd: changeme2024"
     assert [k for k, *_ in secrets.scan(strong)] == ["guess"] and secrets.scan(weak) == []
@@ -654,7 +721,7 @@ def test_pipeline_stages_equal_brute_force(spark):
     clean = p.redact_secrets(spark, once, SF)
     assert once.columns == clean.columns == docs.columns
     for a, b in zip(sorted(once.collect()), sorted(clean.collect()), strict=True):
-        assert b.text == secrets.redact(a.text) and b.n_chars == len(b.text) and brute_base(b.text) == ""
+        assert b.text == secrets.redact(a.text, PATH) and b.n_chars == len(b.text) and brute_base(b.text) == ""
     assert p.run(spark, SF).agg(F.sum("length")).first()[0] == sum(len(ids_of(r.text)) for r in clean.collect())
 
 
