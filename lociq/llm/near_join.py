@@ -1,14 +1,19 @@
 """Similarity join on word shingles: an LSH forest over MinHash signatures, then exact verification.
 
 Texts with the same shingle set form a node. A node's signature is cut into the labels of
-several prefix trees of depth ``DEEPEST``; the nodes below a common prefix, which a sort by
-labels brings together, meet in a bucket. Prefixes are ``prefix_length`` long, at which even a
-pair at the very threshold is met with the recall asked for, whatever else the table holds.
-
-Buckets are worked in pairs of bounded blocks, in which the signatures join nodes into
-families (one spanning link a node, never the pairs). Every pair of a family is then verified
-on its whole shingle sets, again in pairs of bounded blocks that return one row a node: how
-many documents it is linked to, and one spanning link.
+several prefix trees of depth ``DEEPEST``. A tree is kept as a sorted array: the nodes in the
+order of their labels, in which those below a common prefix are neighbours, and the labels
+that neighbours share are the depths at which they part. The tops of the trees, that is their
+first ``prefix_length`` labels, deal them over the tasks.
+
+A walk goes through a top from the longest prefixes that nodes share up to the top's own
+length, a label at a time. Nodes whose whole run is one family by then are done, and their
+prefix isn't shortened further; at the length of the top even a pair at the very threshold is
+met with the recall asked for, so no prefix is shortened beyond. Where prefixes meet, the
+signatures join nodes into families (one spanning link a node, never the pairs). A top of more
+than BLOCK nodes is worked in pairs of bounded blocks. Every pair of a family is then verified
+on its whole shingle sets, again in pairs of blocks that return one row a node: how many
+documents it is linked to, and one spanning link.
 """
 
 from __future__ import annotations
@@ -22,15 +27,15 @@ from pyspark.sql import functions as F
 
 from lociq.llm.frames import map_columns, map_groups, shingle_hashes
 from lociq.operators.graph import connected_components
-from lociq.plans.storage import materialise
+from lociq.plans.storage import discard, materialise
 
 WIDTH, THRESHOLD, TREES, DEEPEST, RECALL = 5, 0.8, 20, 6, 0.9999
-#: Met pairs from which ``met_and_missed`` tells the recall of a level. Nothing stops by it: most met pairs can be of one large family.
-EVIDENCE = 200
 #: Nodes in a block. Larger buckets and families are worked in pairs of blocks.
 BLOCK = 256
-#: Signature agreement from which two nodes join a family: over four standard errors below the threshold.
+#: Signature agreement from which two met nodes join a family: 5.5 standard errors below the threshold, a pair in 50 million of those at it.
 FAMILY = 0.6
+#: Bytes of a label in a sorted tree. Labels that agree by chance only let nodes meet.
+LABEL = 2
 
 
 def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL, deepest: int = DEEPEST) -> int:
@@ -62,11 +67,16 @@ def signature(shingles: np.ndarray, size: int) -> np.ndarray:
 def _signer(width: int, size: int):
     def sign(cols: dict) -> dict:
         sets = [shingle_hashes(text, width) for text in cols["text"]]
-        return {"doc_id": cols["doc_id"], "digest": cols["digest"], "node": [node_key(s) for s in sets], "sig": [signature(s, size).tobytes() for s in sets]}
+        return {"doc_id": cols["doc_id"], "digest": cols["digest"], "node": [node_key(s) for s in sets], **_sketches([signature(s, size) for s in sets])}
 
     return sign
 
 
+def _sketches(signatures: list[np.ndarray]) -> dict:
+    """Of each signature the labels, LABEL bytes a value, and the byte a value by which agreement is estimated."""
+    return {"labels": [(v >> np.uint32(16)).astype(">u2").tobytes() for v in signatures], "sig": [v.astype(np.uint8).tobytes() for v in signatures]}
+
+
 def node_key(shingles: np.ndarray) -> bytes:
     """The digest that stands for a shingle set."""
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
@@ -85,38 +95,59 @@ def roots(linked: np.ndarray) -> np.ndarray:
         root = new
 
 
-def agreements(s: np.ndarray) -> np.ndarray:
-    """How many values each two signatures share: at once for small groups, value by value for large ones."""
-    n, size = s.shape
-    if n * n * size <= 1 << 20:
-        return (s[:, None, :] == s[None, :, :]).sum(axis=2)
-    same = np.zeros((n, n), dtype=np.uint16)
-    for k in range(size):
-        same += s[:, k, None] == s[None, :, k]
+def agreements(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many values each signature of ``a`` shares with each of ``b``, value by value: memory for the pairs alone."""
+    same = np.zeros((len(a), len(b)), dtype=np.uint16)
+    for k in range(a.shape[1]):
+        same += a[:, k, None] == b[None, :, k]
     return same
 
 
-def met_and_missed(similar: np.ndarray, length: int, trees: int) -> tuple[float, float]:
-    """From the similarities of the pairs met in one tree: their shares of the pairs that the forest has met and missed.
+def shared_depths(labels: list[bytes]) -> np.ndarray:
+    """Of a sorted tree: how many labels each node shares with the one before; 0 for the first."""
+    if not labels:
+        return np.empty(0, dtype=np.int64)
+    m = np.frombuffer(b"".join(labels), dtype=np.uint8).reshape(len(labels), -1, LABEL)
+    same = (m[1:] == m[:-1]).all(axis=2)
+    return np.concatenate([[0], np.cumprod(same, axis=1).sum(axis=1)])
 
-    A pair of similarity s is met in trees * s^length trees on average, and in none with
-    probability (1 - s^length)^trees.
-    """
-    p = similar**length
-    none = (1 - p) ** trees
-    return float(((1 - none) / (trees * p)).sum()), float((none / (trees * p)).sum())
+
+def runs(depths: np.ndarray, depth: int) -> list[tuple[int, int]]:
+    """Spans of two nodes or more that share a prefix of ``depth`` labels."""
+    begins = np.flatnonzero(depths < depth)
+    ends = np.append(begins[1:], len(depths))
+    return [(int(a), int(b)) for a, b in zip(begins, ends, strict=True) if b - a > 1]
 
 
-def _family_links(size: int):
+def walk(labels: list[bytes], sig: np.ndarray, top: int, least: float) -> np.ndarray:
+    """The family of each node of a sorted top: the least place in it.
+
+    From the deepest prefixes to those of ``top`` labels; a run that is one family already
+    isn't looked at again. Two nodes join if ``least`` of their values or more agree.
+    """
+    depths, deepest = shared_depths(labels), len(labels[0]) // LABEL if labels else 0
+    family = np.arange(len(labels))
+    for depth in range(deepest, top - 1, -1):
+        for lo, hi in runs(depths, depth):
+            mine = family[lo:hi]
+            if (mine == mine[0]).all():
+                continue
+            met = agreements(sig[lo:hi], sig[lo:hi]) >= least
+            met |= mine[:, None] == mine[None, :]
+            family[lo:hi] = mine[roots(met)]
+    return family
+
+
+def _family_links(size: int, top: int):
     def links(group: dict) -> dict:
         nodes = group["node"]
-        n = len(nodes)
-        if n < 2:
-            return {"a": [], "b": []}
-        s = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(n, size)
-        r = roots(agreements(s) >= FAMILY * size)
-        at = np.flatnonzero(r != np.arange(n))
-        return {"a": [nodes[i] for i in at], "b": [nodes[r[i]] for i in at]}
+        sig = np.frombuffer(b"".join(group["sig"]), dtype=np.uint8).reshape(len(nodes), size)
+        family = walk(group["labels"], sig, top, FAMILY * size)
+        # a family's links go to its least node, so that trees and blocks mostly agree on them
+        least: dict[int, bytes] = {}
+        for f, node in zip(family.tolist(), nodes, strict=True):
+            least[f] = min(node, least.get(f, node))
+        return {"a": [n for n, f in zip(nodes, family.tolist(), strict=True) if n != least[f]], "b": [least[f] for n, f in zip(nodes, family.tolist(), strict=True) if n != least[f]]}
 
     return links
 
@@ -200,22 +231,30 @@ def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHO
 
 def near_classes(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """The rows of ``near_join`` with the text's digest, and root, which names the class also where no member has an id."""
-    size, length = trees * DEEPEST, prefix_length(threshold, trees, recall)
-    signed = materialise(map_columns(docs.select("doc_id", "text", text_digest().alias("digest")), _signer(width, size), "doc_id long, digest binary, node binary, sig binary"), "signed")
-    nodes = materialise(signed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")), "nodes")
-
-    prefixes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("sig", t * (4 * DEEPEST) + 1, F.lit(4 * length)))
-    labels = nodes.select("node", F.posexplode(prefixes).alias("tree", "prefix")).select(F.xxhash64("tree", "prefix").alias("bucket"), "node")
-    full = labels.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = in_blocks(labels.join(full, "bucket"), "size").select("bucket", "i", "j", "block", "node").join(nodes.select("node", "sig"), "node")
-    # members in the order of their keys, so that blocks and trees agree on a family's root and most links coincide
-    links = materialise(map_groups(members, ["bucket", "i", "j"], _family_links(size), "a binary, b binary", then=["node"]), "links")
+    size, top = trees * DEEPEST, prefix_length(threshold, trees, recall)
+    hashed = map_columns(docs.select("doc_id", "text", text_digest().alias("digest")), _signer(width, size), "doc_id long, digest binary, node binary, labels binary, sig binary")
+    signed = materialise(hashed, "signed")
+    # the text that stands for a node: of the least id, nulls last
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest"))
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("rep"), rep.alias("from"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels"), F.first("sig").alias("sig"))
+    nodes = materialise(nodes, "nodes")
+
+    cut = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("labels", t * (LABEL * DEEPEST) + 1, F.lit(LABEL * DEEPEST)))
+    trie = nodes.select("node", F.posexplode(cut).alias("tree", "labels")).withColumn("top", F.xxhash64("tree", F.substring("labels", 1, LABEL * top)))
+    met = trie.groupBy("top").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = in_blocks(trie.join(met, "top"), "size").select("top", "i", "j", "labels", "node").join(nodes.select("node", "sig"), "node")
+    links = materialise(map_groups(members, ["top", "i", "j"], _family_links(size, top), "a binary, b binary", then=["labels", "node"]), "links")
     family = connected_components(links)
-
-    sized = family.join(family.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
-    placed = in_blocks(sized.join(nodes.select("node", "rep", "copies"), "node"), "size")
-    texts = placed.join(docs.select(F.col("doc_id").alias("id"), "text"), F.col("rep").eqNullSafe(F.col("id")))
-    found = materialise(map_groups(texts.select("component", "i", "j", "node", "block", "blocks", "copies", "text"), ["component", "i", "j"], _verified(width, threshold), "node binary, root binary, links long, blocks int", then=["node"]), "links")
+    discard(links)
+
+    sized = family.join(family.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component").join(nodes.select("node", "from", "copies"), "node")
+    sized = materialise(sized, "families")
+    text = docs.select("text", F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", text_digest().alias("digest")).alias("row"))
+    same = text["row.digest"].eqNullSafe(sized["from.digest"]) & text["row.doc_id"].eqNullSafe(sized["from.doc_id"])
+    # rows that repeat an id and its text have one text among them
+    texts = text.join(sized, same).groupBy("node").agg(F.first("text").alias("text"))
+    placed = in_blocks(sized, "size").join(texts, "node").select("component", "i", "j", "node", "block", "blocks", "copies", "text")
+    found = materialise(map_groups(placed, ["component", "i", "j"], _verified(width, threshold), "node binary, root binary, links long, blocks int", then=["node"]), "links")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
     across = found.filter("blocks > 1")
     if not across.isEmpty():
