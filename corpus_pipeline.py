@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociq.llm import near_join, packing, secrets, toxicity
-from lociq.llm.frames import read_table, rewrite_texts
+from lociq.llm.frames import read_table
 from lociq.llm.queries import tokenizer_path
 from lociq.plans.storage import materialise
 
@@ -37,13 +37,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret span is replaced by its kind in brackets, and n_chars follows; no document goes."""
-    return rewrite_texts(docs, secrets.redact)
+    return secrets.redact_texts(docs, tokenizer_path())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the packed sequences."""
+    """Pieces of the packed sequences, with their ids as little-endian unsigned 32-bit integers."""
     packed = packing.pack_pieces(docs, tokenizer_path())
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packed.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_copies), ("secrets", redact_secrets), ("packing", pack)]
