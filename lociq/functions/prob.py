@@ -26,12 +26,37 @@ def binomial_pdf(k: Column, n: Column, p: float) -> Column:
 
 
 def binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    return F.aggregate(F.sequence(F.lit(0), k.cast("int")), F.lit(0.0), lambda a, i: a + binomial_pdf(i, n, p))
+    """Chance of at most k of n: 0 below 0, 1 from n on.
+
+    Below 100 trials each term follows from the one before; else the normal densities of
+    ``binomial_pdf`` are summed. Either way the cost is linear in k.
+    """
+    upto = F.least(k, n).cast("int")
+    if 0 < p < 1:
+        odds = p / (1 - p)
+        exact = F.aggregate(
+            F.sequence(F.lit(0), upto),
+            F.struct(F.lit(0.0).alias("sum"), F.pow(F.lit(1 - p), n).alias("term")),
+            lambda a, i: F.struct((a["sum"] + a["term"]).alias("sum"), (a["term"] * ((n - i) * odds / (i + 1))).alias("term")),
+            lambda a: a["sum"],
+        )
+    else:
+        exact = F.lit(1.0 if p <= 0 else 0.0)
+    near = F.aggregate(F.sequence(F.lit(0), upto), F.lit(0.0), lambda a, i: a + normal_pdf(i, n * p, F.sqrt(n * p * (1 - p))))
+    return F.when(k < 0, F.lit(0.0)).when((n < 100) & (k >= n), F.lit(1.0)).when(n < 100, exact).otherwise(near)
+
+
+def log_factorial(k: Column) -> Column:
+    """ln k! for whole k from 0: exact up to 20, then by Stirling's series, whose error is below 1e-12."""
+    x = F.greatest(k, F.lit(1)).cast("double")
+    series = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * F.pow(x, F.lit(3.0))) + 1 / (1260 * F.pow(x, F.lit(5.0)))
+    return F.when(k <= 20, F.log(F.factorial(k.cast("int")).cast("double"))).otherwise(series)
 
 
 def poisson(k: Column, rate: Column) -> Column:
-    """exp(-rate) * rate^k / k! for k up to 20."""
-    return F.exp(-rate) * F.pow(rate, k) / F.factorial(k.cast("int"))
+    """exp(-rate) * rate^k / k! for any whole k, by logarithms; 0 below 0."""
+    some = F.exp(k * F.log(rate) - rate - log_factorial(k))
+    return F.when(k < 0, F.lit(0.0)).when(rate == 0, F.when(k == 0, 1.0).otherwise(0.0)).otherwise(some)
 
 
 def insert_size_probability(percentile: Column) -> Column:

@@ -16,9 +16,9 @@ TYPES = {
 }
 
 
-def lookup_transcripts(clusters: DataFrame, transcripts: DataFrame, *, width: int = 4096) -> DataFrame:
+def lookup_transcripts(clusters: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Cluster and transcript rows on the same reference and strand that overlap. Clusters: rname, strand, s, e; transcripts: rname, strand, s2, e2."""
-    return overlap_join(clusters, transcripts, ["rname", "strand"], width=width)
+    return overlap_join(clusters, transcripts, ["rname", "strand"])
 
 
 def oriented(start5: Column, start3: Column, strand5: Column) -> Column:
@@ -26,7 +26,7 @@ def oriented(start5: Column, start3: Column, strand5: Column) -> Column:
     return ((start5 <= start3) & (strand5 == "+")) | ((start5 > start3) & (strand5 == "-"))
 
 
-def intervening(pairs: DataFrame, exons: DataFrame, *, width: int = 4096) -> DataFrame:
+def intervening(pairs: DataFrame, exons: DataFrame) -> DataFrame:
     """(pair_id, between_all, between_same): transcripts with an exon strictly inside the gap of a pair.
 
     pairs: pair_id, rname5p, rname3p, start5p, end5p, start3p, end3p, strand5p, own (array of
@@ -34,7 +34,7 @@ def intervening(pairs: DataFrame, exons: DataFrame, *, width: int = 4096) -> Dat
     with a gap have rows.
     """
     gap = pairs.filter("rname5p = rname3p").select("pair_id", F.col("rname5p").alias("rname"), F.least("end5p", "end3p").alias("s"), F.greatest("start5p", "start3p").alias("e"), "strand5p", "own").filter("s < e")
-    met = overlap_join(gap, exons.select("rname", "s2", "e2", "tx_id", "tx_strand"), ["rname"], width=width)
+    met = overlap_join(gap, exons.select("rname", "s2", "e2", "tx_id", "tx_strand"), ["rname"])
     inside = met.filter((F.col("s2") > F.col("s")) & (F.col("e2") < F.col("e")) & ~F.array_contains("own", F.col("tx_id")))
     return inside.groupBy("pair_id").agg(F.count_distinct("tx_id").alias("between_all"), F.count_distinct(F.when(F.col("tx_strand") == F.col("strand5p"), F.col("tx_id"))).alias("between_same"))
 

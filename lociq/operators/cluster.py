@@ -37,7 +37,7 @@ def past_boundary(strand: Column, orientation: Column, start: Column, end: Colum
     return F.when(right, (r_end > end) | (mate_pos >= end)).otherwise((r_start < start) | (mate_pos < start))
 
 
-def concordant_evidence(clusters: DataFrame, fragments: DataFrame, keys: list[str], *, width: int = 64) -> DataFrame:
+def concordant_evidence(clusters: DataFrame, fragments: DataFrame, keys: list[str], *, width: int | None = None) -> DataFrame:
     """(cluster columns, frags): distinct overlapping fragments that reach past the boundary; 0 where none does."""
     met = overlap_join(clusters, fragments, keys, width=width).filter(past_boundary(F.col("strand"), F.col("orient"), F.col("s"), F.col("e"), F.col("s2"), F.col("e2"), F.col("mate_pos")))
     counted = met.groupBy(*clusters.columns).agg(F.count_distinct("frag2").alias("frags"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lociq.operators.intervals import depths
 from lociq.operators.stats import joint_distribution
 
 # ---------------------------------------------------------------- predicates
@@ -120,9 +121,7 @@ def annotate_multihits(df: DataFrame, keys: list[str], place: list[str], *order:
 
 def pileup(alignments: DataFrame, keys: list[str], s: str, e: str) -> DataFrame:
     """(keys, at, depth) at every position where the depth changes; sums of events, not one row a base."""
-    events = alignments.select(*keys, F.explode(F.array(F.struct(F.col(s).alias("at"), F.lit(1).alias("d")), F.struct(F.col(e).alias("at"), F.lit(-1).alias("d")))).alias("x")).select(*keys, "x.at", "x.d")
-    summed = events.groupBy(*keys, "at").agg(F.sum("d").alias("d")).filter("d <> 0")
-    return summed.select(*keys, "at", F.sum("d").over(Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)).alias("depth"))
+    return depths(alignments, keys, s=s, e=e).filter("changed").drop("changed")
 
 
 def spanning_score(df: DataFrame, keys: list[str], anchor: str, mappings: str, least: int) -> DataFrame:
@@ -166,6 +165,28 @@ def discordant_bedpe(pairs: DataFrame) -> DataFrame:
     return pairs.orderBy("rname5p", "rname3p", "s5p", "s3p", "qname").select(line.alias("value"))
 
 
+def read_discordant_bedpe(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``discordant_bedpe`` lines."""
+    cells = F.split("value", "\t", -1)
+    kinds = {"s5p": "long", "e5p": "long", "s3p": "long", "e3p": "long"}
+    names = ("rname5p", "s5p", "e5p", "rname3p", "s3p", "e3p", "qname", "score", "strand5p", "strand3p")
+    return spark.read.text(path).select(*[cells[i].cast(kinds.get(n, "string")).alias(n) for i, n in enumerate(names)])
+
+
 def clustered_report(df: DataFrame) -> DataFrame:
     """Report rows by spanning, total and unique evidence, highest first."""
     return df.orderBy(F.desc("spanning"), F.desc("total"), F.desc("positions"), "best_id")
+
+
+def write_clustered_report(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Tab-separated lines of the columns in the report's order over the files by name; the first has a commented header."""
+    rows = clustered_report(df).select(F.concat_ws("\t", *[F.col(x).cast("string") for x in columns]).alias("value"))
+    head = df.sparkSession.createDataFrame([("#" + "\t".join(columns),)], "value string").coalesce(1)
+    head.unionAll(rows).write.text(path)
+
+
+def sum_histograms(df: DataFrame, keys: list[str], hist: str) -> DataFrame:
+    """(keys, hist): histograms added bin by bin; shorter ones end in zeros, a null one adds nothing."""
+    bins = df.select(*keys, F.posexplode(hist).alias("_bin", "_n")).groupBy(*keys, "_bin").agg(F.sum("_n").alias("_n"))
+    whole = bins.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_bin", "_n"))).alias("_h"))
+    return whole.select(*keys, F.transform("_h", lambda x: x["_n"]).alias(hist))

@@ -86,3 +86,20 @@ def test_quality_tables_are_total(s):
     for kind in ("sanger", "illumina", "solexa"):
         table = sequence.quality_table(kind)
         assert all(33 <= ord(v) <= 126 for v in table.values()) and len(table) == 94
+
+
+def test_poisson_and_binomial_for_any_count(spark):
+    ks = [-1, 0, 1, 5, 20, 21, 25, 60, 400]
+    df = spark.createDataFrame([(k,) for k in ks], "k int")
+    for rate in (0.0, 0.5, 25.0, 800.0):
+        got = {r.k: r.p for r in df.select("k", prob.poisson(F.col("k"), F.lit(rate)).alias("p")).collect()}
+        for k in ks:
+            want = 0.0 if k < 0 else (1.0 if k == 0 else 0.0) if rate == 0 else math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+            assert abs(got[k] - want) <= 1e-9 * max(want, 1e-300) + 1e-300
+    trials = [(-1, 9), (0, 9), (4, 9), (9, 9), (12, 9), (30, 99), (0, 0)]
+    df = spark.createDataFrame(trials, "k int, n int")
+    for p in (0.5, 0.3, 0.0, 1.0):
+        got = [r.p for r in df.select(prob.binomial_cdf(F.col("k"), F.col("n"), p).alias("p")).collect()]
+        want = [sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(min(k, n) + 1)) for k, n in trials]
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got, want, strict=True))
+    assert spark.range(1).select(prob.binomial_cdf(F.lit(60), F.lit(120), 0.5)).first()[0] > 0.5

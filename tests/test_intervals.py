@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lociq.operators import intervals
@@ -79,3 +80,58 @@ def test_components_of_chain_star_and_loop(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a int, b int")).collect()}
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(30)) and got[200] == 200
     assert connected_components(spark.createDataFrame([], "a int, b int")).count() == 0
+
+
+def long_rows(spark, rows, columns):
+    return spark.createDataFrame(rows, ", ".join(f"{c} {'string' if c in ('r', 'note') else 'bigint'}" for c in columns))
+
+
+def test_repeated_and_null_rows_of_semi_and_anti(spark):
+    left = long_rows(spark, [("c", 0, 10), ("c", 0, 10), ("c", 20, 30), ("c", 20, 30), ("c", None, 5), (None, 0, 10)], ["r", "s", "e"])
+    right = long_rows(spark, [("c", 5, 8), ("c", 5, 8), ("c", None, 9)], ["r", "s2", "e2"])
+    hit = intervals.overlap_exists(left, right, ["r"]).collect()
+    rest = intervals.overlap_exists(left, right, ["r"], anti=True).collect()
+    assert sorted(map(str, hit)) == sorted(map(str, left.filter("r = 'c' and s = 0").collect()))
+    assert sorted(map(str, rest)) == sorted(map(str, left.filter("r is null or s is null or s = 20").collect()))
+
+
+def test_islands_and_depth_pass_over_null_coordinates(spark):
+    rows = long_rows(spark, [("c", None, 5), ("c", 1, 4), ("c", 3, None), (None, 1, 2), (None, 2, 3)], ["r", "s", "e"])
+    assert sorted((str(r.r), r.island_start, r.island_end, r.members) for r in intervals.islands(rows, ["r"]).collect()) == [("None", 1, 3, 2), ("c", 1, 4, 1)]
+    assert sorted((str(r.r), r.s, r.island_start) for r in intervals.label_islands(rows, ["r"]).collect()) == [("None", 1, 1), ("None", 2, 1), ("c", 1, 1)]
+    assert sorted((str(r.r), r.depth) for r in intervals.max_depth(rows, ["r"]).collect()) == [("None", 1), ("c", 1)]
+    assert intervals.islands(rows.filter("false"), ["r"]).count() == intervals.max_depth(rows.filter("false"), ["r"]).count() == 0
+
+
+def test_columns_with_clashing_names(spark):
+    left = spark.createDataFrame([("c", 0, 10, "l", 1, 2)], "r string, s int, e int, note string, _bin int, _tile int")
+    right = spark.createDataFrame([("c", 5, 15, "x", 3)], "r string, s int, e int, note string, _bin int")
+    got = intervals.overlap_join(left, right, ["r"], r=("s", "e")).first()
+    assert (got.s, got.e, got.note, got._bin, got.s_right, got.e_right, got.note_right, got._bin_right) == (0, 10, "l", 1, 5, 15, "x", 3)
+    assert intervals.label_islands(left, ["r"]).first()._tile == 2
+    near = intervals.nearest(spark.createDataFrame([("c", 20, "q")], "r string, p int, note string"), right, ["r"], ["p"]).first()
+    assert (near.distance, near.note, near.note_right) == (4, "q", "x")
+
+
+@pytest.mark.parametrize("width", [None, 64])
+def test_lengths_of_all_sizes_meet_as_in_brute_force(spark, width):
+    rng = random.Random(21)
+    size = lambda: rng.choice([0, 1, 30, 64, 65, 900, 5000, 300_000])
+    make = lambda n: [(rng.choice("ab"), s, s + size()) for s in (rng.randrange(-2000, 100_000) for _ in range(n))]
+    a, b = make(120) + [("a", 0, 10**6)], make(120) + [("a", 999_999, 10**6 + 5)]
+    want = sorted((r, s, e, s2, e2) for r, s, e in a for q, s2, e2 in b if r == q and e2 > s and s2 < e)
+    met = intervals.overlap_join(long_rows(spark, a, ["r", "s", "e"]), long_rows(spark, b, ["r", "s2", "e2"]), ["r"], width=width)
+    assert sorted((x.r, x.s, x.e, x.s2, x.e2) for x in met.collect()) == want
+
+
+def test_depth_over_tiles_equals_brute_force(spark):
+    rng = random.Random(22)
+    rows = [("ab"[rng.randrange(2)], s, s + rng.randrange(1, 40)) for s in (rng.randrange(-60, 300) for _ in range(150))]
+    want = {}
+    for r, s, e in rows:
+        for p in range(s, e):
+            want[r, p] = want.get((r, p), 0) + 1
+    got = {r.r: r.depth for r in intervals.max_depth(long_rows(spark, rows, ["r", "s", "e"]), ["r"], tile=16).collect()}
+    assert got == {k: max(n for (r, _), n in want.items() if r == k) for k in "ab"}
+    for r in intervals.depths(long_rows(spark, rows, ["r", "s", "e"]), ["r"], tile=16).collect():
+        assert r.depth == want.get((r.r, r.at), 0)
