@@ -47,14 +47,23 @@ def build_index(genome: DataFrame, transcripts: DataFrame) -> Index:
     return Index(genome, io.transcript_sequences(transcripts, genome), transcripts, deepest)
 
 
+def write_max_multihits(max_multihits: DataFrame, path: str) -> None:
+    """The multi-hit bound as one line of text."""
+    max_multihits.select(F.coalesce("max_multihits", F.lit(0)).cast("string").alias("value")).write.text(path)
+
+
+def read_max_multihits(spark, path: str) -> int:
+    return int(spark.read.text(path).first().value)
+
+
 def insert_sizes(genomic: DataFrame, transcripts: DataFrame, config: RunConfig) -> DataFrame:
     """(isize, num_samples) from proper first mates wholly inside long unambiguous exons; a normal prior where too few are found."""
     ex = transcripts.select(F.col("chrom").alias("rname"), "strand", F.explode("exons").alias("x")).select("rname", "strand", F.col("x.start").alias("s"), F.col("x.end").alias("e"))
-    alone = intervals.unambiguous(ex, ["rname"], shape=["strand"], min_length=config.max_isize, width=4096)
+    alone = intervals.unambiguous(ex, ["rname"], shape=["strand"], min_length=config.max_isize)
     f = F.col("flag")
     clean = genomic.filter(io.has_flag(f, "proper") & ~io.has_flag(f, "second") & ~io.has_flag(f, "unmapped") & ~io.has_flag(f, "qc_fail") & (F.coalesce("nh", F.lit(1)) <= 1) & ~F.exists("cigar", lambda x: x["op"].isin(3, 4, 5, 6)))
     sized = clean.select("rname", F.least("pos", "pnext").alias("s2"), (F.least("pos", "pnext") + F.abs("tlen")).alias("e2"), F.abs("tlen").alias("isize"), "qname")
-    inside = intervals.overlap_join(alone, sized, ["rname"], width=4096).filter("s2 >= s and e2 <= e").dropDuplicates(["qname", "isize"])
+    inside = intervals.overlap_join(alone, sized, ["rname"]).filter("s2 >= s and e2 <= e").dropDuplicates(["qname", "isize"])
     hist = materialise(stats.histogram(inside, "isize", config.min_isize, config.max_isize).select(F.col("isize").cast("int").alias("isize"), F.col("n").alias("num_samples")), "isizes")
     if (hist.agg(F.sum("num_samples")).first()[0] or 0) >= config.min_isize_samples:
         return hist
@@ -119,9 +128,9 @@ def discordant_clusters(discordant: DataFrame, unpaired: DataFrame, concordant:
     exons = intervals.islands(parts, ["cluster_id"]).groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct(F.col("island_start").cast("int").alias("start"), F.col("island_end").cast("int").alias("end")))).alias("exons"))
     c = clusters.select("cluster_id", *keys, F.col("island_start").alias("s"), F.col("island_end").alias("e"))
     frags = concordant.select("rname", F.col("pos").alias("s2"), F.col("end").alias("e2"), F.col("qname").alias("frag2"), "mate_pos")
-    evidence = cluster.concordant_evidence(c, frags, ["rname"], width=1024).select("cluster_id", F.col("frags").cast("int").alias("concordant_frags"))
+    evidence = cluster.concordant_evidence(c, frags, ["rname"]).select("cluster_id", F.col("frags").cast("int").alias("concordant_frags"))
     lone = unpaired.select("rname", F.col("xs").alias("strand"), "orient", F.col("pos").alias("s2"), F.col("end").alias("e2"), F.col("qname").alias("u"))
-    lonely = intervals.overlap_join(c, lone, keys, width=1024).groupBy("cluster_id").agg(F.array_sort(F.collect_set("u")).alias("unpaired_qnames"))
+    lonely = intervals.overlap_join(c, lone, keys).groupBy("cluster_id").agg(F.array_sort(F.collect_set("u")).alias("unpaired_qnames"))
     none = F.array().cast("array<string>")
     out = clusters.join(exons, "cluster_id").join(evidence, "cluster_id").join(lonely, "cluster_id", "left")
     return out.select("rname", F.col("island_start").cast("int").alias("start"), F.col("island_end").cast("int").alias("end"), "cluster_id", "strand", F.col("orient").cast("int").alias("orientation"), "exons", "concordant_frags", "qnames", F.coalesce("unpaired_qnames", none).alias("unpaired_qnames")), members.select("qname", "cluster_id", "orient")

@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from lociq.functions import cigar, sequence
 
 
+#: Splits of files whose line counts are broadcast, at most; beyond, they are joined by shuffle.
+MOST_SPLITS = 200_000
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, start, value): lines in the order of their file's splits; gzip and bzip2 by suffix."""
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
 
 def _records(spark: SparkSession, path: str, size: int) -> DataFrame:
-    """(file, k, l0 ... l[size-1]) of records of ``size`` lines; a last one with fewer lines is dropped.
+    """(file, k, base, l0 ... l[size-1]) of records of ``size`` lines; a last one with fewer lines is dropped.
+
+    k numbers a file's records from 0, and base is how many the files before it have, by name.
 
     A first scan counts the lines of each split, so that the second knows which line of a
     record a split begins with. Records inside a split are put together as they are read;
@@ -29,9 +35,16 @@ def _records(spark: SparkSession, path: str, size: int) -> DataFrame:
         source = _lines(spark, path)
     counts = source.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # a row for each split, so it is broadcast
     offsets = counts.select("file", "start", before.alias("offset"))
-    placed = source.join(F.broadcast(offsets), ["file", "start"]).select("file", "start", "offset", "value")
+    held = counts.groupBy("file").agg(F.floor(F.sum("n") / size).alias("records"))
+    bases = held.select("file", F.coalesce(F.sum("records").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    splits, files = counts.agg(F.count(F.lit(1)), F.count_distinct("file")).first()
+    if splits <= MOST_SPLITS:
+        placed = source.join(F.broadcast(offsets), ["file", "start"])
+    else:  # a shuffled join forgets the order of lines, so it is sorted again
+        numbered = source.withColumn("place", F.monotonically_increasing_id())
+        placed = numbered.join(offsets.hint("merge"), ["file", "start"]).sortWithinPartitions("file", "start", "place")
+    placed = placed.select("file", "start", "offset", "value")
     spec = "file string, k bigint, whole boolean, " + ", ".join(f"l{i} string" for i in range(size))
     names = ["file", "k", "whole", *(f"l{i}" for i in range(size))]
 
@@ -57,10 +70,11 @@ def _records(spark: SparkSession, path: str, size: int) -> DataFrame:
 
     rows = placed.mapInPandas(cut, spec)
     inner = rows.filter("whole").drop("whole")
-    if counts.groupBy("file").count().filter("count > 1").isEmpty():
+    inner = inner.join(F.broadcast(bases) if splits <= MOST_SPLITS else bases, "file")
+    if splits == files:
         return inner
     border = rows.filter("not whole").groupBy("file", "k").agg(*[F.max(f"l{i}").alias(f"l{i}") for i in range(size)]).filter(f"l{size - 1} is not null")
-    return inner.unionByName(border)
+    return inner.unionByName(border.join(bases, "file"))
 
 
 def _zipped(spark: SparkSession, path: str) -> DataFrame:
@@ -97,7 +111,7 @@ def open_text(name: str, data: bytes) -> str:
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int | None = None, quality: str | None = None) -> DataFrame:
-    """(frag_id, mate, qname, seq, qual); frag_id numbers a file's records from 1.
+    """(frag_id, mate, qname, seq, qual, file); frag_id numbers the records from 1, over all files of a folder by name.
 
     Names lose @, what follows white space and the mate; a header of the later style
     (``@id N:...``) gives its mate too. ``quality`` converts the qualities to offset 33.
@@ -106,11 +120,11 @@ def read_fastq(spark: SparkSession, path: str, mate: int | None = None, quality:
     head = F.substring("l0", 2, 1 << 20)
     told = F.coalesce(F.nullif(F.regexp_extract(head, r"^\S+/([12])(?:\s|$)", 1), F.lit("")), F.nullif(F.regexp_extract(head, r"^\S+\s([12]):", 1), F.lit(""))).cast("int")
     qual = sequence.convert_quality(F.col("l3"), quality) if quality else F.col("l3")
-    return r.select((F.col("k") + 1).alias("frag_id"), F.coalesce(F.lit(mate).cast("int"), told).alias("mate"), sequence.clean_name(head).alias("qname"), F.col("l1").alias("seq"), qual.alias("qual"), "file")
+    return r.select((F.col("base") + F.col("k") + 1).alias("frag_id"), F.coalesce(F.lit(mate).cast("int"), told).alias("mate"), sequence.clean_name(head).alias("qname"), F.col("l1").alias("seq"), qual.alias("qual"), "file")
 
 
 def read_pairs(spark: SparkSession, first: str, second: str, *, quality: str | None = None, trim5: int = 0, trim3: int = 0) -> DataFrame:
-    """Both mates, trimmed; the row number in the files is the fragment's name."""
+    """Both mates, trimmed; the row number in the files is the fragment's name, so both sides have their reads in one order."""
     both = read_fastq(spark, first, 1, quality).unionByName(read_fastq(spark, second, 2, quality)).drop("file")
     return both.withColumns({c: sequence.trim(F.col(c), trim5, trim3) for c in ("seq", "qual")}) if trim5 or trim3 else both
 
@@ -119,6 +133,23 @@ def fastq_record(name: Column, mate: Column, seq: Column, qual: Column) -> Colum
     return F.concat_ws("\n", F.concat(F.lit("@"), name, F.lit("/"), mate.cast("string")), seq, F.lit("+"), qual)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(n, value): lines numbered from 0 over all files of a folder by name."""
+    r = _records(spark, path, 1)
+    return r.select((F.col("base") + F.col("k")).alias("n"), F.col("l0").alias("value"))
+
+
+def write_names(reads: DataFrame, path: str) -> None:
+    """The name file of normalised pairs: fragment and original name, in order."""
+    lines = F.concat_ws("\t", F.col("frag_id").cast("string"), "qname").alias("value")
+    reads.filter("mate = 1").orderBy("frag_id").select(lines).write.text(path)
+
+
+def read_names(spark: SparkSession, path: str) -> DataFrame:
+    c = F.split("value", "\t", 2)
+    return spark.read.text(path).select(c[0].cast("long").alias("frag_id"), c[1].alias("qname"))
+
+
 def write_fastq(reads: DataFrame, path: str, name: str = "frag_id") -> None:
     reads.orderBy("frag_id", "mate").select(fastq_record(F.col(name).cast("string"), F.col("mate"), F.col("seq"), F.col("qual")).alias("value")).write.text(path)
 
@@ -231,25 +262,29 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     return typed.withColumn("mate", F.when(has_flag(F.col("flag"), "second"), 2).otherwise(1)).withColumn("end", cigar.reference_end(F.col("pos"), F.col("cigar")))
 
 
-def write_sam(df: DataFrame, path: str) -> None:
-    """SAM lines without a header; a missing value is *."""
+def sam_header(lengths: DataFrame, order: str = "unsorted") -> DataFrame:
+    """(value): the header lines of references (chrom, length), by name."""
+    first = lengths.sparkSession.createDataFrame([(f"@HD\tVN:1.6\tSO:{order}",)], "value string").coalesce(1)
+    refs = lengths.orderBy("chrom").select(F.concat(F.lit("@SQ\tSN:"), F.col("chrom").cast("string"), F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
+    return first.unionAll(refs)
+
+
+def write_sam(df: DataFrame, path: str, lengths: DataFrame | None = None) -> None:
+    """SAM lines; a missing value is *. With ``lengths`` (chrom, length) the first files hold the header."""
     star = lambda c: F.coalesce(c, F.lit("*"))
     tags = F.array_join(F.transform(F.map_entries("tags"), lambda t: F.concat(t["key"], F.when(t["value"].rlike("^-?[0-9]+$"), F.lit(":i:")).otherwise(F.lit(":Z:")), t["value"])), "\t")
     ops = cigar.render(F.col("cigar"))
     cells = [F.col("qname"), F.col("flag").cast("string"), star(F.col("rname")), (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), F.when(F.size("cigar") > 0, ops).otherwise("*"), F.when(F.col("rnext") == F.col("rname"), "=").otherwise(star(F.col("rnext"))), (F.col("pnext") + 1).cast("string"), F.col("tlen").cast("string"), F.col("seq"), F.col("qual"), F.nullif(tags, F.lit(""))]
-    df.select(F.concat_ws("\t", *cells).alias("value")).write.text(path)
-
-
-def pair_reads(both: DataFrame) -> DataFrame:
-    """Adds isize to joined mates (rname, s, e and rname2, s2, e2): the outer distance with the sign of the place, 0 between references."""
-    size = F.greatest("e", "e2") - F.least("s", "s2")
-    return both.withColumn("isize", F.when(F.col("rname") != F.col("rname2"), 0).when(F.col("s") <= F.col("s2"), size).otherwise(-size))
+    rows = df.select(F.concat_ws("\t", *cells).alias("value"))
+    (sam_header(lengths).unionAll(rows) if lengths is not None else rows).write.text(path)
 
 
 def primary(alignments: DataFrame, keys: list[str]) -> DataFrame:
-    """The primary mapped alignment of each read; else one that is not mapped."""
-    order = Window.partitionBy(*keys).orderBy(has_flag(F.col("flag"), "unmapped").cast("int"), has_flag(F.col("flag"), "secondary").cast("int"), "rname", "pos", "flag")
-    return alignments.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
+    """Each read's mapped alignments that aren't secondary; a read without one has its unmapped rows."""
+    un = has_flag(F.col("flag"), "unmapped")
+    kind = F.when(un, 1).when(~has_flag(F.col("flag"), "secondary"), 0).otherwise(2)
+    ranked = alignments.withColumn("_kind", kind).withColumn("_best", F.min("_kind").over(Window.partitionBy(*keys)))
+    return ranked.filter("_kind = _best and _kind < 2").drop("_kind", "_best")
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Streaming forms: loci of reads as session windows, and read order restored behind a watermark."""
+"""Loci of reads as session windows, on a batch or a stream; and the order of reads restored, on a batch."""
 
 from __future__ import annotations
 

@@ -118,3 +118,26 @@ def test_config_round_trip():
 def test_flags(spark):
     got = spark.range(1).select(reads.has_flag(F.lit(20), "reverse").alias("r"), reads.with_flags(F.lit(4), ["paired"], ["unmapped"]).alias("f")).first()
     assert got.r and got.f == 1
+
+
+def test_part_files_are_numbered_on(spark, tmp_path):
+    """Mates in folders of several files: every fragment has its own number and its own mate."""
+    for m in (1, 2):
+        folder = tmp_path / f"m{m}"
+        folder.mkdir()
+        for part, ids in (("part-0", (0, 1)), ("part-1", (2,)), ("part-2", ()), ("part-3", (3, 4))):
+            (folder / part).write_text("".join(f"@r{i}/{m}\nACG{'AT'[m - 1]}\n+\nIIII\n" for i in ids))
+    got = reads.read_pairs(spark, str(tmp_path / "m1"), str(tmp_path / "m2")).collect()
+    assert sorted((r.frag_id, r.mate, r.qname, r.seq) for r in got) == sorted((i + 1, m, f"r{i}", "ACG" + "AT"[m - 1]) for i in range(5) for m in (1, 2))
+
+
+def test_many_splits_are_joined_by_shuffle(spark, tmp_path, monkeypatch):
+    path = tmp_path / "r.fq"
+    path.write_text("".join(f"@r{i}/1\nACGT\n+\nIIII\n" for i in range(400)))
+    monkeypatch.setattr(reads, "MOST_SPLITS", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 512)
+    try:
+        got = [r.qname for r in reads.read_fastq(spark, str(path)).orderBy("frag_id").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [f"r{i}" for i in range(400)]
