@@ -125,19 +125,19 @@ SIDES = f"{IV}, a AS (SELECT rname, s, e, frag, tx FROM iv WHERE flag = 'A'), b
 @query(f"WITH {SIDES} SELECT a.rname, count(*) AS pairs, count(DISTINCT frag2) AS frags, CAST(sum(least(e, e2) - greatest(s, s2)) AS BIGINT) AS bases FROM a JOIN b ON a.rname = b.rname AND e2 > s AND s2 < e GROUP BY a.rname")
 def overlap_join_count(spark, d):
     a, b = _sides(spark, d)
-    return intervals.overlap_join(a, b, ["rname"]).groupBy("rname").agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct("frag2").alias("frags"), F.sum(F.least("e", "e2") - F.greatest("s", "s2")).alias("bases"))
+    return intervals.overlap_join(a, b, ["rname"], width=64).groupBy("rname").agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct("frag2").alias("frags"), F.sum(F.least("e", "e2") - F.greatest("s", "s2")).alias("bases"))
 
 
 @query(f"WITH {SIDES} SELECT DISTINCT a.* FROM a WHERE EXISTS (SELECT 1 FROM b WHERE a.rname = b.rname AND e2 > s AND s2 < e)")
 def overlap_semi(spark, d):
     a, b = _sides(spark, d)
-    return intervals.overlap_exists(a.distinct(), b, ["rname"])
+    return intervals.overlap_exists(a.distinct(), b, ["rname"], width=64)
 
 
 @query(f"WITH {SIDES} SELECT DISTINCT a.* FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.rname = b.rname AND e2 > s AND s2 < e)")
 def overlap_anti(spark, d):
     a, b = _sides(spark, d)
-    return intervals.overlap_exists(a.distinct(), b, ["rname"], anti=True)
+    return intervals.overlap_exists(a.distinct(), b, ["rname"], anti=True, width=64)
 
 
 def _queries_and_targets(spark, d):
@@ -180,7 +180,7 @@ def downstream_k(spark, d):
 @query(f"WITH {IV} SELECT a.rname, a.s, a.e, count(DISTINCT b.tx) AS inside FROM (SELECT DISTINCT rname, s, e FROM iv WHERE flag = 'A') a JOIN iv b ON a.rname = b.rname AND b.s > a.s AND b.e < a.e GROUP BY 1, 2, 3")
 def containment_between(spark, d):
     a = iv(spark, d)
-    met = intervals.overlap_join(a.filter("flag = 'A'").select("rname", "s", "e").distinct(), a.select("rname", F.col("s").alias("s2"), F.col("e").alias("e2"), "tx"), ["rname"])
+    met = intervals.overlap_join(a.filter("flag = 'A'").select("rname", "s", "e").distinct(), a.select("rname", F.col("s").alias("s2"), F.col("e").alias("e2"), "tx"), ["rname"], width=64)
     return met.filter("s2 > s and e2 < e").groupBy("rname", "s", "e").agg(F.count_distinct("tx").alias("inside"))
 
 
@@ -191,7 +191,7 @@ def overlap_depth_max(spark, d):
 
 @query(f"WITH {IV}, o AS (SELECT DISTINCT rname, tx, s, e, strand FROM iv) SELECT a.rname, a.tx, a.s, a.e, a.strand FROM o a WHERE a.e - a.s >= 20 AND NOT EXISTS (SELECT 1 FROM o b WHERE a.rname = b.rname AND a.tx = b.tx AND b.e > a.s AND b.s < a.e AND (a.s <> b.s OR a.e <> b.e OR a.strand <> b.strand))")
 def unambiguous_intervals(spark, d):
-    return intervals.unambiguous(iv(spark, d), ["rname", "tx"], shape=["strand"], min_length=20)
+    return intervals.unambiguous(iv(spark, d), ["rname", "tx"], shape=["strand"], min_length=20, width=64)
 
 
 @query(f"""WITH {IV}, {island_sql('rname, strand, orient, tx')}, c AS (SELECT rname, strand, orient, tx, island_start AS s, island_end AS e FROM isl), f AS (SELECT rname, s AS s2, e AS e2, frag AS frag2, s + 7 AS mp FROM iv)
@@ -200,7 +200,7 @@ def boundary_evidence(spark, d):
     a = iv(spark, d)
     c = intervals.islands(a, ["rname", "strand", "orient", "tx"]).select("rname", "strand", "orient", "tx", F.col("island_start").alias("s"), F.col("island_end").alias("e"))
     f = a.select("rname", F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("frag").alias("frag2"), (F.col("s") + 7).alias("mate_pos"))
-    return cluster.concordant_evidence(c, f, ["rname"])
+    return cluster.concordant_evidence(c, f, ["rname"], width=64)
 
 
 @query(f"WITH {IV}, u AS (SELECT DISTINCT rname, strand, orient, s AS s2, e AS e2, frag FROM iv WHERE flag = 'N'), {island_sql('rname, strand, orient, tx')} SELECT c.rname, c.strand, c.orient, c.tx, c.island_start AS s, c.island_end AS e, count(DISTINCT u.frag) AS unpaired FROM isl c JOIN u ON c.rname = u.rname AND c.strand = u.strand AND c.orient = u.orient AND e2 > island_start AND s2 < island_end GROUP BY ALL")
@@ -208,7 +208,7 @@ def unpaired_membership(spark, d):
     a = iv(spark, d)
     c = intervals.islands(a, ["rname", "strand", "orient", "tx"]).select("rname", "strand", "orient", "tx", F.col("island_start").alias("s"), F.col("island_end").alias("e"))
     u = a.filter("flag = 'N'").select("rname", "strand", "orient", F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("frag").alias("f"))
-    return intervals.overlap_join(c, u, ["rname", "strand", "orient"]).groupBy("rname", "strand", "orient", "tx", "s", "e").agg(F.count_distinct("f").alias("unpaired"))
+    return intervals.overlap_join(c, u, ["rname", "strand", "orient"], width=64).groupBy("rname", "strand", "orient", "tx", "s", "e").agg(F.count_distinct("f").alias("unpaired"))
 
 
 @query(f"WITH {EV}, o AS (SELECT DISTINCT frag, place FROM ev), g AS (SELECT frag, place, place - row_number() OVER (PARTITION BY frag ORDER BY place) AS k FROM o) SELECT frag, min(place) AS first, max(place) AS last, count(*) AS n FROM g GROUP BY frag, k")
@@ -615,8 +615,10 @@ def concordant_pairs(spark, d):
 
 @query("SELECT c_custkey, 'chr' || n_name AS chrom FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 2")
 def chrom_rename(spark, d):
-    names = table(spark, d, "nation").filter("n_regionkey <> 2").select(F.col("n_nationkey").alias("c_nationkey"), F.concat(F.lit("chr"), "n_name").alias("chrom"))
-    return table(spark, d, "customer").join(names, "c_nationkey").select("c_custkey", "chrom")
+    from lociq.plans.discovery import rename_references
+
+    names = table(spark, d, "nation").filter("n_regionkey <> 2").select(F.col("n_nationkey").cast("string").alias("old"), F.concat(F.lit("chr"), "n_name").alias("new"))
+    return rename_references(table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("chrom")), names, "chrom")
 
 
 @query(f"""WITH {PK}, f AS (SELECT qname AS frag, id5p % 5 AS tx5, id3p % 5 AS tx3, price % 150 AS pos5, 50 + price % 130 AS pos3 FROM pk), x5 AS (SELECT t AS tx5, k AS exon5, 40 + k * (30 + t) AS end5 FROM range(0, 5) a(t), range(0, 5) b(k)), x3 AS (SELECT t AS tx3, k AS exon3, k * (25 + t) AS start3 FROM range(0, 5) a(t), range(0, 5) b(k)),
@@ -866,8 +868,12 @@ def simulate_counts(spark, d):
 
 
 def queries() -> dict:
+    from lociq import catalog_reads  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from lociq import catalog_reads  # noqa: F401
+
     return dict(_SQL)

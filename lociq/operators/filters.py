@@ -87,12 +87,6 @@ def anchor_ok(left: Column, right: Column, homology_left: Column, homology_right
     return enough & ((F.least(left, right) >= short) | (short_mismatches <= mismatches))
 
 
-def best_isoform(df: DataFrame, keys: list[str], *score: Column, ties: bool = True) -> DataFrame:
-    """The best rows of each breakpoint; with ``ties`` all of them."""
-    over = Window.partitionBy(*keys).orderBy(*score)
-    return df.withColumn("_r", (F.rank() if ties else F.row_number()).over(over)).filter("_r = 1").drop("_r")
-
-
 def concordant_pairs(pairs: DataFrame, *, lo: int, hi: int) -> DataFrame:
     """Pairs on one reference, on opposite strands, whose outer distance lies in range; adds isize and nh, their number for a fragment."""
     size = F.greatest("e", "e2") - F.least("s", "s2")
@@ -101,11 +95,6 @@ def concordant_pairs(pairs: DataFrame, *, lo: int, hi: int) -> DataFrame:
     return ok.join(n, "frag")
 
 
-def homologous(segments: DataFrame, hits: DataFrame) -> DataFrame:
-    """Candidates (chimera_id) whose 5' tiles align inside their own 3' interval. segments: chimera_id, tile; hits: tile, rname, pos; with rname3p, s3, e3."""
-    return segments.join(hits, "tile").filter("rname = rname3p and pos >= s3 and pos < e3").select("chimera_id").distinct()
-
-
 def unmapped_kind(mapped: Column, xm: Column, multihits: int) -> Column:
     """mapped, unmapped, or suppressed for too many hits."""
     return F.when(mapped, "mapped").when(xm < multihits, "unmapped").otherwise("overmapped")
