@@ -68,46 +68,60 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+def tie_of(text):
+    """A column: the text's hash below 2^32, by which rows of one id follow each other."""
+    return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 _ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, contained_next double, distinct_shingles double"
 
 
-def _ranges(keys: DataFrame, parts: int) -> list[int]:
-    """Where ranges of ids begin: parts - 1 values at most, from quantiles of the id alone."""
+def _ranges(keys: DataFrame, parts: int) -> np.ndarray:
+    """Where ranges of ids begin: parts - 1 values at most, from quantiles of the id alone; an id that is a large share of the rows comes several times."""
     got = keys.approxQuantile("key", [i / parts for i in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
-    return sorted({int(x) for x in got})
+    return np.array(sorted(int(x) for x in got), dtype=np.int64)
+
+
+def range_of(begins: np.ndarray, key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """The range of each row, in the order of (key, tie). The rows of an id that comes m times in ``begins`` are cut into m ranges of ties, which are hashes below 2^32."""
+    left, right = np.searchsorted(begins, key, side="left"), np.searchsorted(begins, key, side="right")
+    often = right - left
+    return np.where(often > 1, left + 1 + (tie * np.maximum(often, 1) >> 32), right).astype(np.int32)
 
 
 def sketch_with_next(docs: DataFrame, *, k: int = K, parts: int | None = None) -> DataFrame:
     """Each document's sketch, its edited text's, and its likeness to the next document.
 
     The next document is the one with the next doc_id; the last is followed by the first. A
-    document moves once, to a range of ids, and the first of a range also to the range before.
-    Rows with the same id follow each other by their texts; a null id comes first. Null texts
-    count as empty. A lone document is its own next.
+    document moves once, to a range of ids, and the first of a range also to the range before;
+    an id that many rows have is cut into several ranges. Rows with the same id follow each
+    other by a hash of their texts, then the texts; a null id comes first. Null texts count as
+    empty. A lone document is its own next. An empty table has no row.
     """
     spark = docs.sparkSession
     find_package(spark)
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"))
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(
+        "doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), tie_of(text).alias("tie")
+    )
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    begins = _ranges(keyed.select("key"), parts)
-    part = F.lit(0)
-    if begins:
-        at = spark.sparkContext.broadcast(np.array(begins, dtype=np.int64))
-
-        @F.pandas_udf("int")
-        def range_of(key: pd.Series) -> pd.Series:
-            return pd.Series(np.searchsorted(at.value, key.to_numpy(), side="right").astype(np.int32))
-
-        part = range_of("key")
-    firsts = keyed.select("key", part.alias("part")).groupBy("part").agg(F.min("key").alias("key")).collect()  # a row for each range
-    firsts.sort(key=lambda r: r.key)
+    begins = spark.sparkContext.broadcast(_ranges(keyed.select("key"), parts))
+
+    @F.pandas_udf("int")
+    def part_of(key: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series(range_of(begins.value, key.to_numpy(), tie.to_numpy()))
+
+    part = part_of("key", "tie")
+    first = F.min(F.struct("key", "tie")).alias("first")
+    firsts = sorted((r.first.key, r.first.tie, r.part) for r in keyed.select("key", "tie", part.alias("part")).groupBy("part").agg(first).collect())  # a row for each range
     if not firsts:
         return spark.createDataFrame([], schema_of(_ROW))
-    before = [(r.key, firsts[i - 1].part) for i, r in enumerate(firsts)]
-    # as many rows as ranges, so they are broadcast
-    also = F.broadcast(spark.createDataFrame(before, "key long, before int"))
-    placed = keyed.withColumn("own", part).join(also, "key", "left").select("doc_id", "text", "key", F.explode(F.array(F.struct(F.col("own").alias("part"), F.lit(False).alias("guest")), F.struct(F.col("before").alias("part"), F.lit(True).alias("guest")))).alias("p")).select("doc_id", "text", "key", "p.part", "p.guest").filter("part is not null")
-    dealt = placed.repartition("part").sortWithinPartitions("part", "guest", "key", "text").select("doc_id", "text", "part", "guest")
+    # as many rows as ranges, so they are broadcast; of rows that share a first place any one is the guest
+    before = F.broadcast(spark.createDataFrame([(key, tie, firsts[i - 1][2]) for i, (key, tie, _) in enumerate(firsts)], "key long, tie long, before int"))
+    own, guest = F.struct(F.col("own").alias("part"), F.lit(False).alias("guest")), F.struct(F.col("before").alias("part"), F.lit(True).alias("guest"))
+    placed = keyed.withColumn("own", part).join(before, ["key", "tie"], "left").withColumn("p", F.explode(F.array(own, guest)))
+    placed = placed.select("doc_id", "text", "key", "tie", "p.part", "p.guest").filter("part is not null")
+    dealt = placed.repartition("part").sortWithinPartitions("part", "guest", "key", "tie", "text").select("doc_id", "text", "part", "guest")
     out_type = schema_of(_ROW)
 
     def run(batches):

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lociq.llm import bpe, chat, chunk_store, near_join, packing, queries, secrets, sketch, toxicity, url_trie
+from lociq.llm import bpe, chat, chunk_store, frames, near_join, packing, queries, secrets, sketch, toxicity, url_trie
 from lociq.llm.frames import fold_of, shingle_hashes
 from tests.oracle import connect, same
 
@@ -706,7 +706,8 @@ def test_sketches_merge_and_estimate():
 @pytest.mark.parametrize("parts", [1, 5])
 def test_next_documents(spark, odd, documents, parts):
     for df in (documents, odd):
-        rows = sorted(((r.doc_id, r.text or "") for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+        text = F.coalesce("text", F.lit(""))
+        rows = [(r.doc_id, r.t) for r in sorted(df.select("doc_id", text.alias("t"), sketch.tie_of(text).alias("tie")).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.tie, r.t.encode()))]
         want = []
         for (i, t), (_, u) in zip(rows, rows[1:] + rows[:1], strict=True):
             e = sketch.edited(t, u)
@@ -719,6 +720,61 @@ def test_next_documents(spark, odd, documents, parts):
     assert sketch.sketch_with_next(docs_of(spark, [(5, "one two three four")])).first().near_next == 1
 
 
+def test_hot_ids_are_cut_into_ranges(spark):
+    begins = np.array([3, 7, 7, 7, 9])
+    key, tie = np.array([1, 3, 5, 7, 7, 7, 8, 9, 12]), np.array([0, 0, 0, 0, 1 << 31, (1 << 32) - 1, 0, 0, 0])
+    assert sketch.range_of(begins, key, tie).tolist() == [0, 1, 1, 2, 3, 4, 4, 5, 5]
+    rows = [(None, f"null text {i}") for i in range(40)] + [(7, f"hot text {i} of one id") for i in range(60)] + [(i, f"other {i}") for i in range(20)]
+    df = docs_of(spark, rows)
+    one = sorted(map(str, sketch.sketch_with_next(df, parts=1).collect()))
+    assert one == sorted(map(str, sketch.sketch_with_next(df, parts=8).collect())) and len(one) == 120
+    begins = sketch._ranges(df.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")), 8)
+    at = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
+    held = [sketch.range_of(begins, np.array([r.k]), np.array([r.t]))[0] for r in df.select(at.alias("k"), sketch.tie_of("text").alias("t")).collect()]
+    assert max(held.count(p) for p in set(held)) < 40  # neither the null ids nor the hot one lie in one range
+
+
+def slow_shingles(text):
+    """The shingles of a text as tuples of words."""
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def slow_hash(shingle):
+    import xxhash
+
+    m = (1 << 64) - 1
+    h = len(shingle)
+    for i, word in enumerate(shingle):
+        h = (h * int(frames._STEP[i]) + xxhash.xxh3_64_intdigest(word)) & m
+        h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & m
+        h ^= h >> 29
+    return h
+
+
+def test_fingerprints_and_likeness_by_hand(spark, documents):
+    """Fingerprints are the least hashes of the shingles of words; likeness is the share of shingles, exact where sketches are whole."""
+    rows = sorted((r.doc_id, r.text or "") for r in documents.collect())[:80]
+    texts = dict(rows)
+    follow = {i: rows[(k + 1) % len(rows)][1] for k, (i, _) in enumerate(rows)}
+    exact = 0
+    for r in sketch.sketch_with_next(docs_of(spark, rows)).collect():
+        text, after = texts[r.doc_id], follow[r.doc_id]
+        cut = text[: len(text) - len(text) // 4] + after[: len(text) // 4]
+        sets = [slow_shingles(x) for x in (text, cut, after)]
+        for said, shingles in ((r.fingerprint, sets[0]), (r.edited_fingerprint, sets[1])):
+            assert sketch.read(said).tolist() == sorted(map(slow_hash, shingles))[: sketch.K]
+        for near, other in ((r.near_edited, sets[1]), (r.near_next, sets[2])):
+            union = sets[0] | other
+            want = len(sets[0] & other) / len(union) if union else 1.0
+            whole = len(union) <= sketch.K
+            exact += whole
+            assert abs(near - want) < (1e-9 if whole else 0.2)
+        want = len(sets[0] & sets[2]) / len(sets[0]) if sets[0] else 1.0
+        assert abs(r.contained_next - want) < 0.3 and abs(r.distinct_shingles / max(1, len(sets[0])) - 1) < 0.4
+    assert exact > 20
+
+
 # ---------------------------------------------------------------- 9 chat
 
 def test_chat_equals_its_sql(spark):
