@@ -34,6 +34,8 @@ WIDTH, THRESHOLD, TREES, DEEPEST, RECALL = 5, 0.8, 20, 6, 0.9999
 BLOCK = 256
 #: Signature agreement from which two met nodes join a family: 5.5 standard errors below the threshold, a pair in 50 million of those at it.
 FAMILY = 0.6
+#: Bits of the filter for texts that stand for a node in a family.
+FILTER_BITS = 26
 #: Bytes of a label in a sorted tree. Labels that agree by chance only let nodes meet.
 LABEL = 2
 
@@ -96,7 +98,9 @@ def roots(linked: np.ndarray) -> np.ndarray:
 
 
 def agreements(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many values each signature of ``a`` shares with each of ``b``, value by value: memory for the pairs alone."""
+    """How many values each signature of ``a`` shares with each of ``b``: at once for small groups, value by value for large ones."""
+    if len(a) * len(b) * a.shape[1] <= 1 << 20:
+        return (a[:, None, :] == b[None, :, :]).sum(axis=2)
     same = np.zeros((len(a), len(b)), dtype=np.uint16)
     for k in range(a.shape[1]):
         same += a[:, k, None] == b[None, :, k]
@@ -216,6 +220,22 @@ def text_digest(text="text"):
     return F.unhex(F.md5(F.col(text).cast("binary")))
 
 
+def only_digests(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose digest ``wanted`` has, and some others: a filter of FILTER_BITS bits, so few other rows are shuffled.
+
+    The filter is a table of 64-bit words, 2^(FILTER_BITS - 6) at most, which bounds what is
+    broadcast; a full one lets all rows pass. Null digests have a bit too.
+    """
+    def bit(df: DataFrame) -> DataFrame:
+        head = F.coalesce(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), F.lit(0))
+        return df.withColumn("_bit", head.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).withColumn("_word", F.shiftright("_bit", 6))
+
+    one = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+    words = bit(wanted).groupBy("_word").agg(F.bit_or(one).alias("_set"))
+    kept = bit(rows).join(F.broadcast(words), "_word").filter(F.col("_set").bitwiseAND(one) != 0)
+    return kept.select(*rows.columns)
+
+
 def near_join(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id, copy_id, n_links.
 
@@ -249,7 +269,8 @@ def near_classes(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRE
 
     sized = family.join(family.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component").join(nodes.select("node", "from", "copies"), "node")
     sized = materialise(sized, "families")
-    text = docs.select("text", F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", text_digest().alias("digest")).alias("row"))
+    text = only_digests(docs.select("doc_id", "text", text_digest().alias("digest")), sized.select("from.digest"))
+    text = text.select("text", F.struct("doc_id", "digest").alias("row"))
     same = text["row.digest"].eqNullSafe(sized["from.digest"]) & text["row.doc_id"].eqNullSafe(sized["from.doc_id"])
     # rows that repeat an id and its text have one text among them
     texts = text.join(sized, same).groupBy("node").agg(F.first("text").alias("text"))
