@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lociq.plans.storage import discard, materialise
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", *, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", *, rounds: int = 200) -> DataFrame:
     """(node, component) for every node of an edge; component is its least node.
 
     Works on any orderable key type. Edges with a null end are dropped; self-loops make
-    their node a component. Each round takes the least label among a node's neighbours and
-    then that label's own label, so long chains close in a logarithmic number of rounds.
-    A node with very many edges is met by partial aggregation and by adaptive skew joins.
+    their node a component; repeated edges count once. Each round takes the least label among
+    a node's neighbours and then that label's own label, so long chains close in a logarithmic
+    number of rounds; ``rounds`` is far beyond what any graph that can be stored needs, and
+    one that isn't settled by then is an error, never a partial result. Whether a round moved
+    anything is observed as it is written. A node with very many edges is met by partial
+    aggregation and by adaptive skew joins.
     """
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null")
     both = materialise(e.union(e.select("b", "a")).distinct(), "edges")
@@ -23,11 +26,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", *, rounds
         seen = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("m"))
         near = labels.join(seen, labels.node == seen.a, "left").select("node", F.least("component", F.coalesce("m", "component")).alias("l"), F.col("component").alias("old"))
         up = labels.select(F.col("node").alias("n"), F.col("component").alias("c"))
-        new = materialise(near.join(up, near.l == up.n, "left").select("node", F.least("l", F.coalesce("c", "l")).alias("component"), (F.least("l", F.coalesce("c", "l")) < F.col("old")).alias("moved")), "labels")
-        moved = not new.filter("moved").isEmpty()
+        least, moved = F.least("l", F.coalesce("c", "l")), Observation()
+        told = near.join(up, near.l == up.n, "left").select("node", least.alias("component"), "old")
+        new = materialise(told.observe(moved, F.count(F.when(F.col("component") < F.col("old"), 1)).alias("n")).select("node", "component"), "labels")
         discard(labels)
         labels = new
-        if not moved:
+        if not moved.get["n"]:
             break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -4,18 +4,30 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Lists of scratch paths to be deleted, the innermost ``scratch_cleared`` last.
+_HELD: list[list[str]] = []
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; below the warehouse only where none is named."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+    """The folder named in spark.checkpoint.dir. In local mode one below the warehouse serves where none is named."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _HELD:
+        _HELD[-1].append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -25,13 +37,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files below a table that ``materialise`` gave and nothing reads any more."""
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete_path(df.sparkSession, folder)
+
+
+@contextmanager
+def scratch_cleared(spark: SparkSession):
+    """Delete at the end what is written to scratch paths meanwhile. What is to stay is written to a path taken before."""
+    _HELD.append([])
+    try:
+        yield
+    finally:
+        for path in _HELD.pop():
+            delete_path(spark, path)
 
 
 #: Rows of an Arrow batch where the session doesn't say: rows may hold long texts.

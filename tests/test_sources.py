@@ -1,4 +1,5 @@
 import gzip
+import os
 
 from pyspark.sql import functions as F
 
@@ -141,3 +142,15 @@ def test_many_splits_are_joined_by_shuffle(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == [f"r{i}" for i in range(400)]
+
+
+def test_scratch_tables_go_and_results_stay(spark, tmp_path):
+    from lociq.plans import storage
+
+    kept = storage.scratch_path(spark, "kept")
+    with storage.scratch_cleared(spark):
+        once = storage.materialise(spark.range(5), "once")
+        once.write.parquet(kept)
+        folder = once.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and spark.read.parquet(kept).count() == 5
