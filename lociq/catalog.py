@@ -72,9 +72,12 @@ def pk(spark, d) -> DataFrame:
 
 
 DAY = "CAST(date_diff('day', DATE '1970-01-01', CAST({} AS DATE)) AS BIGINT)"
-IV = f"""iv AS (SELECT l_suppkey AS rname, {DAY.format('l_shipdate')} AS s, {DAY.format('l_shipdate')} + CAST(l_quantity AS BIGINT) AS e, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
-  CAST(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 2 END AS BIGINT) AS orient, l_orderkey AS frag, l_partkey AS tx, CAST(l_linenumber AS BIGINT) AS n, l_returnflag AS flag FROM lineitem)"""
-RD = """rd AS (SELECT doc_id, translate(md5(text), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq, md5(source || CAST(doc_id AS VARCHAR)) AS qual, translate(md5('x' || text), '0123456789abcdef', 'ACGTACGTACGTACGT') AS other FROM documents)"""
+IV = f"""iv AS (SELECT l_suppkey AS rname, {DAY.format('l_shipdate')} AS s, {DAY.format('l_shipdate')} + CAST(l_quantity AS BIGINT) AS e, CASE
+WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
+  CAST(CASE WHEN l_returnflag = 'A' THEN 1
+ELSE 2 END AS BIGINT) AS orient, l_orderkey AS frag, l_partkey AS tx, CAST(l_linenumber AS BIGINT) AS n, l_returnflag AS flag FROM lineitem)"""
+RD = """rd AS (SELECT doc_id, translate(md5(text), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq, md5(source || CAST(doc_id AS VARCHAR)) AS qual, translate(md5('x' || text), '0123456789abcdef', 'ACGTACGTACGTACGT') AS other
+FROM documents)"""
 EV = "ev AS (SELECT user_id AS frag, event_id % 2 + 1 AS mate, event_id, event_type AS kind, CAST(floor(abs(value)) AS BIGINT) AS size, event_id % 97 AS place FROM events)"
 PK = "pk AS (SELECT o_orderkey AS qname, o_custkey % 211 AS id5p, o_orderkey % 97 AS id3p, o_orderstatus AS status, CAST(floor(o_totalprice) AS BIGINT) AS price, o_orderpriority AS prio FROM orders)"
 
@@ -102,13 +105,18 @@ def islands_min_members(spark, d):
     return intervals.islands(iv(spark, d), ["rname", "tx"], min_members=2)
 
 
-@query(f"WITH {IV}, {island_sql('rname, strand, orient')} SELECT rname, strand, orient, island_start, island_end, members, CAST(CASE WHEN (strand = '+') = (orient = 1) THEN island_end ELSE island_start END AS BIGINT) AS boundary FROM isl")
+@query(f"""
+WITH {IV}, {island_sql('rname, strand, orient')} SELECT rname, strand, orient, island_start, island_end, members, CAST(CASE
+WHEN (strand = '+') = (orient = 1) THEN island_end ELSE island_start END AS BIGINT) AS boundary FROM isl""")
 def strand_clusters(spark, d):
     found = cluster.stranded_clusters(iv(spark, d), ["rname", "strand", "orient"])
     return found.withColumn("boundary", cluster.boundary(F.col("island_start"), F.col("island_end"), F.col("strand"), F.col("orient")))
 
 
-@query(f"WITH {IV}, {island_sql('rname, strand, orient')} SELECT rname, strand, orient, island_start, island_end, members, CAST(row_number() OVER (ORDER BY rname, island_start, strand, orient) - 1 AS BIGINT) AS cluster_id FROM isl")
+@query(f"""
+WITH {IV}, {island_sql('rname, strand, orient')}
+SELECT rname, strand, orient, island_start, island_end, members, CAST(row_number() OVER (ORDER BY rname, island_start, strand, orient) - 1 AS BIGINT) AS cluster_id
+FROM isl""")
 def cluster_ids(spark, d):
     found = cluster.stranded_clusters(iv(spark, d), ["rname", "strand", "orient"])
     return big(cluster.with_cluster_ids(found, "rname", ["island_start", "strand", "orient"]), "cluster_id")
@@ -122,7 +130,9 @@ def _sides(spark, d):
 SIDES = f"{IV}, a AS (SELECT rname, s, e, frag, tx FROM iv WHERE flag = 'A'), b AS (SELECT rname, s AS s2, e AS e2, frag AS frag2 FROM iv WHERE flag = 'R')"
 
 
-@query(f"WITH {SIDES} SELECT a.rname, count(*) AS pairs, count(DISTINCT frag2) AS frags, CAST(sum(least(e, e2) - greatest(s, s2)) AS BIGINT) AS bases FROM a JOIN b ON a.rname = b.rname AND e2 > s AND s2 < e GROUP BY a.rname")
+@query(f"""
+WITH {SIDES} SELECT a.rname, count(*) AS pairs, count(DISTINCT frag2) AS frags, CAST(sum(least(e, e2) - greatest(s, s2)) AS BIGINT) AS bases FROM a
+JOIN b ON a.rname = b.rname AND e2 > s AND s2 < e GROUP BY a.rname""")
 def overlap_join_count(spark, d):
     a, b = _sides(spark, d)
     return intervals.overlap_join(a, b, ["rname"], width=64).groupBy("rname").agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct("frag2").alias("frags"), F.sum(F.least("e", "e2") - F.greatest("s", "s2")).alias("bases"))
@@ -165,37 +175,51 @@ def nearest_after(spark, d):
     return big(intervals.nearest(q, t, ["rname"], ["p", "strand"], side="after", max_dist=90), "rank")
 
 
-@query(f"WITH {NEAR} {near_sql('', 'p - 1 - e', 3, chr(115) + 'trand = ' + chr(39) + '+' + chr(39))} UNION ALL {near_sql('', 's - p - 1', 3, 'strand = ' + chr(39) + '-' + chr(39))}")
+@query(f"""
+WITH {NEAR} {near_sql('', 'p - 1 - e', 3, chr(115) + 'trand = ' + chr(39) + '+' + chr(39))}
+UNION ALL {near_sql('', 's - p - 1', 3, 'strand = ' + chr(39) + '-' + chr(39))}""")
 def upstream_k(spark, d):
     q, t = _queries_and_targets(spark, d)
     return big(intervals.nearest_stranded(q, t, ["rname"], ["p", "strand"], k=3, max_dist=90), "rank")
 
 
-@query(f"WITH {NEAR} {near_sql('', 's - p - 1', 2, 'strand = ' + chr(39) + '+' + chr(39))} UNION ALL {near_sql('', 'p - 1 - e', 2, 'strand = ' + chr(39) + '-' + chr(39))}")
+@query(f"""
+WITH {NEAR} {near_sql('', 's - p - 1', 2, 'strand = ' + chr(39) + '+' + chr(39))}
+UNION ALL {near_sql('', 'p - 1 - e', 2, 'strand = ' + chr(39) + '-' + chr(39))}""")
 def downstream_k(spark, d):
     q, t = _queries_and_targets(spark, d)
     return big(intervals.nearest_stranded(q, t, ["rname"], ["p", "strand"], direction="downstream", k=2, max_dist=90), "rank")
 
 
-@query(f"WITH {IV} SELECT a.rname, a.s, a.e, count(DISTINCT b.tx) AS inside FROM (SELECT DISTINCT rname, s, e FROM iv WHERE flag = 'A') a JOIN iv b ON a.rname = b.rname AND b.s > a.s AND b.e < a.e GROUP BY 1, 2, 3")
+@query(f"""
+WITH {IV} SELECT a.rname, a.s, a.e, count(DISTINCT b.tx) AS inside FROM (SELECT DISTINCT rname, s, e FROM iv WHERE flag = 'A') a
+JOIN iv b ON a.rname = b.rname AND b.s > a.s AND b.e < a.e GROUP BY 1, 2, 3""")
 def containment_between(spark, d):
     a = iv(spark, d)
     met = intervals.overlap_join(a.filter("flag = 'A'").select("rname", "s", "e").distinct(), a.select("rname", F.col("s").alias("s2"), F.col("e").alias("e2"), "tx"), ["rname"], width=64)
     return met.filter("s2 > s and e2 < e").groupBy("rname", "s", "e").agg(F.count_distinct("tx").alias("inside"))
 
 
-@query(f"WITH {IV}, x AS (SELECT rname, s AS spot, 1 AS d FROM iv UNION ALL SELECT rname, e, -1 FROM iv), y AS (SELECT rname, spot, sum(d) AS d FROM x GROUP BY 1, 2) SELECT rname, CAST(max(c) AS BIGINT) AS depth FROM (SELECT rname, sum(d) OVER (PARTITION BY rname ORDER BY spot ROWS UNBOUNDED PRECEDING) AS c FROM y) GROUP BY rname")
+@query(f"""
+WITH {IV}, x AS (SELECT rname, s AS spot, 1 AS d FROM iv UNION ALL SELECT rname, e, -1 FROM iv), y AS (SELECT rname, spot, sum(d) AS d FROM x
+GROUP BY 1, 2) SELECT rname, CAST(max(c) AS BIGINT) AS depth FROM (SELECT rname, sum(d) OVER (PARTITION BY rname
+ORDER BY spot ROWS UNBOUNDED PRECEDING) AS c FROM y) GROUP BY rname""")
 def overlap_depth_max(spark, d):
     return big(intervals.max_depth(iv(spark, d), ["rname"]), "depth")
 
 
-@query(f"WITH {IV}, o AS (SELECT DISTINCT rname, tx, s, e, strand FROM iv) SELECT a.rname, a.tx, a.s, a.e, a.strand FROM o a WHERE a.e - a.s >= 20 AND NOT EXISTS (SELECT 1 FROM o b WHERE a.rname = b.rname AND a.tx = b.tx AND b.e > a.s AND b.s < a.e AND (a.s <> b.s OR a.e <> b.e OR a.strand <> b.strand))")
+@query(f"""
+WITH {IV}, o AS (SELECT DISTINCT rname, tx, s, e, strand FROM iv) SELECT a.rname, a.tx, a.s, a.e, a.strand FROM o a WHERE a.e - a.s >= 20
+AND NOT EXISTS (SELECT 1 FROM o b WHERE a.rname = b.rname AND a.tx = b.tx AND b.e > a.s AND b.s < a.e
+AND (a.s <> b.s OR a.e <> b.e OR a.strand <> b.strand))""")
 def unambiguous_intervals(spark, d):
     return intervals.unambiguous(iv(spark, d), ["rname", "tx"], shape=["strand"], min_length=20, width=64)
 
 
-@query(f"""WITH {IV}, {island_sql('rname, strand, orient, tx')}, c AS (SELECT rname, strand, orient, tx, island_start AS s, island_end AS e FROM isl), f AS (SELECT rname, s AS s2, e AS e2, frag AS frag2, s + 7 AS mp FROM iv)
-SELECT c.rname, c.strand, c.orient, c.tx, c.s, c.e, count(DISTINCT frag2) AS frags FROM c LEFT JOIN f ON c.rname = f.rname AND e2 > s AND s2 < e AND CASE WHEN (strand = '+') = (orient = 1) THEN e2 > e OR mp >= e ELSE s2 < s OR mp < s END GROUP BY ALL""")
+@query(f"""WITH {IV}, {island_sql('rname, strand, orient, tx')}, c AS (SELECT rname, strand, orient, tx, island_start AS s, island_end AS e FROM isl),
+f AS (SELECT rname, s AS s2, e AS e2, frag AS frag2, s + 7 AS mp FROM iv)
+SELECT c.rname, c.strand, c.orient, c.tx, c.s, c.e, count(DISTINCT frag2) AS frags FROM c LEFT JOIN f ON c.rname = f.rname AND e2 > s AND s2 < e
+AND CASE WHEN (strand = '+') = (orient = 1) THEN e2 > e OR mp >= e ELSE s2 < s OR mp < s END GROUP BY ALL""")
 def boundary_evidence(spark, d):
     a = iv(spark, d)
     c = intervals.islands(a, ["rname", "strand", "orient", "tx"]).select("rname", "strand", "orient", "tx", F.col("island_start").alias("s"), F.col("island_end").alias("e"))
@@ -203,7 +227,10 @@ def boundary_evidence(spark, d):
     return cluster.concordant_evidence(c, f, ["rname"], width=64)
 
 
-@query(f"WITH {IV}, u AS (SELECT DISTINCT rname, strand, orient, s AS s2, e AS e2, frag FROM iv WHERE flag = 'N'), {island_sql('rname, strand, orient, tx')} SELECT c.rname, c.strand, c.orient, c.tx, c.island_start AS s, c.island_end AS e, count(DISTINCT u.frag) AS unpaired FROM isl c JOIN u ON c.rname = u.rname AND c.strand = u.strand AND c.orient = u.orient AND e2 > island_start AND s2 < island_end GROUP BY ALL")
+@query(f"""
+WITH {IV}, u AS (SELECT DISTINCT rname, strand, orient, s AS s2, e AS e2, frag FROM iv WHERE flag = 'N'), {island_sql('rname, strand, orient, tx')}
+SELECT c.rname, c.strand, c.orient, c.tx, c.island_start AS s, c.island_end AS e, count(DISTINCT u.frag) AS unpaired FROM isl c
+JOIN u ON c.rname = u.rname AND c.strand = u.strand AND c.orient = u.orient AND e2 > island_start AND s2 < island_end GROUP BY ALL""")
 def unpaired_membership(spark, d):
     a = iv(spark, d)
     c = intervals.islands(a, ["rname", "strand", "orient", "tx"]).select("rname", "strand", "orient", "tx", F.col("island_start").alias("s"), F.col("island_end").alias("e"))
@@ -211,14 +238,18 @@ def unpaired_membership(spark, d):
     return intervals.overlap_join(c, u, ["rname", "strand", "orient"], width=64).groupBy("rname", "strand", "orient", "tx", "s", "e").agg(F.count_distinct("f").alias("unpaired"))
 
 
-@query(f"WITH {EV}, o AS (SELECT DISTINCT frag, place FROM ev), g AS (SELECT frag, place, place - row_number() OVER (PARTITION BY frag ORDER BY place) AS k FROM o) SELECT frag, min(place) AS first, max(place) AS last, count(*) AS n FROM g GROUP BY frag, k")
+@query(f"""
+WITH {EV}, o AS (SELECT DISTINCT frag, place FROM ev), g AS (SELECT frag, place, place - row_number() OVER (PARTITION BY frag ORDER BY place) AS k
+FROM o) SELECT frag, min(place) AS first, max(place) AS last, count(*) AS n FROM g GROUP BY frag, k""")
 def contiguous_runs(spark, d):
     return intervals.contiguous_runs(ev(spark, d), ["frag"], "place")
 
 
 # ---------------------------------------------------------------- pairs, tiers, resolution
 
-@query(f"WITH {IV} SELECT a.rname AS rname5p, b.rname AS rname3p, count(*) AS pairs FROM iv a JOIN iv b ON a.frag = b.frag AND a.orient = 1 AND b.orient = 2 GROUP BY 1, 2")
+@query(f"""
+WITH {IV} SELECT a.rname AS rname5p, b.rname AS rname3p, count(*) AS pairs FROM iv a JOIN iv b ON a.frag = b.frag AND a.orient = 1 AND b.orient = 2
+GROUP BY 1, 2""")
 def pair_combos(spark, d):
     return classify.combinations(iv(spark, d), "frag", "orient", ["rname"]).groupBy("rname5p", "rname3p").agg(F.count(F.lit(1)).alias("pairs"))
 
@@ -228,7 +259,9 @@ def group_pairs(spark, d):
     return pk(spark, d).groupBy("id5p", "id3p").agg(F.array_join(F.array_sort(F.collect_list("qname")), ",").alias("qnames"), F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {PK}, g AS (SELECT DISTINCT id5p, id3p FROM pk) SELECT id5p, id3p, CAST(row_number() OVER (ORDER BY CAST(id5p AS VARCHAR), CAST(id3p AS VARCHAR)) - 1 AS BIGINT) AS pair_id FROM g")
+@query(f"""
+WITH {PK}, g AS (SELECT DISTINCT id5p, id3p FROM pk)
+SELECT id5p, id3p, CAST(row_number() OVER (ORDER BY CAST(id5p AS VARCHAR), CAST(id3p AS VARCHAR)) - 1 AS BIGINT) AS pair_id FROM g""")
 def pair_ids(spark, d):
     return big(cluster.with_pair_ids(pk(spark, d).select("id5p", "id3p").distinct()), "pair_id")
 
@@ -240,9 +273,11 @@ def _mates(spark, d):
 MATES = f"{EV}, m AS (SELECT DISTINCT frag % 400 AS frag, mate, event_id % 53 AS tx, event_id % 53 % 11 AS gene, size % 2 = 0 AS rev FROM ev)"
 
 
-@query(f"""WITH {MATES}, p AS (SELECT a.frag, a.tx AS tx_1, b.tx AS tx_2, a.gene = b.gene AS g, a.tx = b.tx AS t, a.rev <> b.rev AS ok FROM m a JOIN m b ON a.frag = b.frag AND a.mate = 1 AND b.mate = 2),
+@query(f"""WITH {MATES}, p AS (SELECT a.frag, a.tx AS tx_1, b.tx AS tx_2, a.gene = b.gene AS g, a.tx = b.tx AS t, a.rev <> b.rev AS ok FROM m a
+JOIN m b ON a.frag = b.frag AND a.mate = 1 AND b.mate = 2),
 k AS (SELECT *, CASE WHEN t AND ok THEN 0 WHEN g AND ok THEN 1 WHEN t THEN 2 WHEN g THEN 3 WHEN ok THEN 4 END AS tier FROM p)
-SELECT frag, CAST(tier AS BIGINT) AS tier, count(*) AS pairs, CAST(sum(tx_1 * 100 + tx_2) AS BIGINT) AS key FROM (SELECT *, min(tier) OVER (PARTITION BY frag) AS low FROM k) WHERE tier = low GROUP BY 1, 2""")
+SELECT frag, CAST(tier AS BIGINT) AS tier, count(*) AS pairs, CAST(sum(tx_1 * 100 + tx_2) AS BIGINT) AS key
+FROM (SELECT *, min(tier) OVER (PARTITION BY frag) AS low FROM k) WHERE tier = low GROUP BY 1, 2""")
 def tier_fallback(spark, d):
     return classify.tiered_pairs(_mates(spark, d), "frag", "tx", "gene", "rev").groupBy("frag", F.col("tier").cast("long").alias("tier")).agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.col("tx_1") * 100 + F.col("tx_2")).alias("key"))
 
@@ -257,7 +292,9 @@ def best_one(spark, d):
     return classify.first_of(pk(spark, d), ["id3p"], F.col("price").desc(), F.col("qname")).select("id3p", "qname", "price")
 
 
-@query(f"WITH {PK} SELECT id5p, qname, status, prio, price FROM (SELECT *, rank() OVER (PARTITION BY id5p ORDER BY (status = 'F') DESC, prio, price // 1000 DESC, id3p) AS r FROM pk) WHERE r = 1 AND price >= 1000")
+@query(f"""
+WITH {PK} SELECT id5p, qname, status, prio, price FROM (SELECT *, rank() OVER (PARTITION BY id5p
+ORDER BY (status = 'F') DESC, prio, price // 1000 DESC, id3p) AS r FROM pk) WHERE r = 1 AND price >= 1000""")
 def lexi_best(spark, d):
     return classify.best_with_ties(pk(spark, d), ["id5p"], (F.col("status") == "F").desc(), F.col("prio"), F.floor(F.col("price") / 1000).desc(), F.col("id3p")).filter("price >= 1000").select("id5p", "qname", "status", "prio", "price")
 
@@ -267,8 +304,11 @@ def mismatch_strata(spark, d):
     return classify.best_with_ties(pk(spark, d), ["id5p"], tolerance_of="price", tolerance=5000).select("id5p", "qname", "price")
 
 
-@query(f"""WITH {PK}, c AS (SELECT qname % 500 AS read, qname % 7 > 3 AS spanning, price % 2 = 0 AS unambiguous, id5p % 5 AS positions, price % 4 AS mismatches, id3p / 97.0 AS probability, qname FROM pk)
-SELECT read, qname FROM (SELECT *, rank() OVER (PARTITION BY read ORDER BY spanning DESC, unambiguous DESC, positions DESC, mismatches, probability DESC) AS r FROM c) WHERE r = 1 AND probability >= 0.1""")
+@query(f"""WITH {PK},
+c AS (SELECT qname % 500 AS read, qname % 7 > 3 AS spanning, price % 2 = 0 AS unambiguous, id5p % 5 AS positions, price % 4 AS mismatches, id3p / 97.0 AS probability, qname
+FROM pk)
+SELECT read, qname FROM (SELECT *, rank() OVER (PARTITION BY read
+ORDER BY spanning DESC, unambiguous DESC, positions DESC, mismatches, probability DESC) AS r FROM c) WHERE r = 1 AND probability >= 0.1""")
 def resolve_reads(spark, d):
     c = pk(spark, d).select((F.col("qname") % 500).alias("read"), (F.col("qname") % 7 > 3).alias("spanning"), (F.col("price") % 2 == 0).alias("unambiguous"), (F.col("id5p") % 5).alias("positions"), (F.col("price") % 4).alias("mismatches"), (F.col("id3p") / 97.0).alias("probability"), "qname")
     return nominate.resolve(c, "read", min_probability=0.1).select("read", "qname")
@@ -292,25 +332,33 @@ def route_counts(spark, d):
     return _routes(spark, d).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {EV}, x AS (SELECT frag, place, kind, min(event_id) AS event_id FROM ev GROUP BY 1, 2, 3) SELECT frag, place, kind, event_id, count(*) OVER (PARTITION BY frag) AS nh FROM x")
+@query(f"""
+WITH {EV}, x AS (SELECT frag, place, kind, min(event_id) AS event_id FROM ev GROUP BY 1, 2, 3)
+SELECT frag, place, kind, event_id, count(*) OVER (PARTITION BY frag) AS nh FROM x""")
 def dedupe_nh(spark, d):
     return classify.dedupe_with_count(ev(spark, d), ["frag"], ["place", "kind"], F.col("event_id")).select("frag", "place", "kind", "event_id", "nh")
 
 
-@query(f"WITH {EV}, a AS (SELECT frag, event_id AS e1, row_number() OVER (PARTITION BY frag ORDER BY event_id) AS n FROM ev WHERE mate = 1), b AS (SELECT frag, event_id AS e2, row_number() OVER (PARTITION BY frag ORDER BY event_id) AS n FROM ev WHERE mate = 2) SELECT a.frag, e1, e2 FROM a JOIN b USING (frag, n)")
+@query(f"""
+WITH {EV}, a AS (SELECT frag, event_id AS e1, row_number() OVER (PARTITION BY frag ORDER BY event_id) AS n FROM ev WHERE mate = 1),
+b AS (SELECT frag, event_id AS e2, row_number() OVER (PARTITION BY frag ORDER BY event_id) AS n FROM ev WHERE mate = 2) SELECT a.frag, e1, e2 FROM a
+JOIN b USING (frag, n)""")
 def fifo_match(spark, d):
     e = ev(spark, d)
     return classify.fifo_match(e.filter("mate = 1").select("frag", F.col("event_id").alias("e1")), e.filter("mate = 2").select("frag", F.col("event_id").alias("e2")), ["frag"], ["e1"], ["e2"])
 
 
-@query(f"WITH {PK}, s AS (SELECT id5p, string_agg(DISTINCT CAST(qname AS VARCHAR), ',' ORDER BY CAST(qname AS VARCHAR)) AS spanning FROM pk WHERE status = 'F' GROUP BY 1) SELECT DISTINCT pk.id5p, coalesce(spanning, '') AS spanning FROM pk LEFT JOIN s USING (id5p)")
+@query(f"""
+WITH {PK}, s AS (SELECT id5p, string_agg(DISTINCT CAST(qname AS VARCHAR), ',' ORDER BY CAST(qname AS VARCHAR)) AS spanning FROM pk WHERE status = 'F'
+GROUP BY 1) SELECT DISTINCT pk.id5p, coalesce(spanning, '') AS spanning FROM pk LEFT JOIN s USING (id5p)""")
 def left_merge(spark, d):
     p = pk(spark, d)
     pairs, split = p.select(F.col("id5p").alias("pair_id")).distinct(), p.filter("status = 'F'").select(F.col("id5p").alias("pair_id"), F.col("qname").cast("string").alias("qname"))
     return spanning.with_spanning(pairs, split).select(F.col("pair_id").alias("id5p"), F.array_join("spanning_qnames", ",").alias("spanning"))
 
 
-@query(f"""WITH {IV}, c AS (SELECT DISTINCT a.frag, a.s % 40 AS s1, a.s % 40 + 10 + a.n AS e1, b.s % 45 AS s2, b.s % 45 + 12 + b.n AS e2 FROM iv a JOIN iv b ON a.frag = b.frag AND a.flag = 'A' AND b.flag = 'R')
+@query(f"""WITH {IV}, c AS (SELECT DISTINCT a.frag, a.s % 40 AS s1, a.s % 40 + 10 + a.n AS e1, b.s % 45 AS s2, b.s % 45 + 12 + b.n AS e2 FROM iv a
+JOIN iv b ON a.frag = b.frag AND a.flag = 'A' AND b.flag = 'R')
 SELECT frag, s1, e1, s2, e2 FROM c WHERE NOT (e1 > s2 AND s1 < e2) OR (abs(s1 - s2) >= 8 AND abs(e1 - e2) >= 8)""")
 def split_compatible(spark, d):
     a = iv(spark, d)
@@ -333,12 +381,16 @@ def isize_hist(spark, d):
     return _hist(spark, d)
 
 
-@query(f"WITH {HIST}, s AS (SELECT CAST(sum(n) AS BIGINT) AS n, sum(size * n) AS s1, sum(size * size * n) AS s2 FROM h) SELECT n, (SELECT size FROM h ORDER BY h.n DESC, size LIMIT 1) AS mode, round(s1 / n, 6) AS mean, round(sqrt((s2 - CAST(s1 AS DOUBLE) * s1 / n) / (n - 1)), 6) AS sd FROM s")
+@query(f"""
+WITH {HIST}, s AS (SELECT CAST(sum(n) AS BIGINT) AS n, sum(size * n) AS s1, sum(size * size * n) AS s2 FROM h) SELECT n, (SELECT size FROM h
+ORDER BY h.n DESC, size LIMIT 1) AS mode, round(s1 / n, 6) AS mean, round(sqrt((s2 - CAST(s1 AS DOUBLE) * s1 / n) / (n - 1)), 6) AS sd FROM s""")
 def isize_stats(spark, d):
     return stats.summary(_hist(spark, d), "size").select("n", "mode", r6(F.col("mean")).alias("mean"), r6(F.col("sd")).alias("sd"))
 
 
-@query(f"WITH {HIST} SELECT p AS percent, min(size) AS size FROM c, (VALUES (1.0::DOUBLE), (5.0), (25.0), (50.0), (75.0), (95.0), (99.0)) v(p) WHERE cum >= total * p / 100 GROUP BY 1")
+@query(f"""
+WITH {HIST} SELECT p AS percent, min(size) AS size FROM c, (VALUES (1.0::DOUBLE), (5.0), (25.0), (50.0), (75.0), (95.0), (99.0)) v(p)
+WHERE cum >= total * p / 100 GROUP BY 1""")
 def isize_percentile(spark, d):
     return stats.value_at_percentile(_hist(spark, d), "size", [1, 5, 25, 50, 75, 95, 99])
 
@@ -348,36 +400,50 @@ def isize_prob(spark, d):
     return stats.percentile_of_value(_hist(spark, d), "size").select("size", r6(prob.insert_size_probability(F.col("percentile"))).alias("p"))
 
 
-@query(f"WITH {EV} SELECT CAST(CASE WHEN size <= 10 THEN 0 WHEN size <= 25 THEN 1 WHEN size <= 50 THEN 2 WHEN size <= 100 THEN 3 ELSE 4 END AS BIGINT) AS bin, count(*) AS n FROM ev GROUP BY 1")
+@query(f"""
+WITH {EV} SELECT CAST(CASE WHEN size <= 10 THEN 0 WHEN size <= 25 THEN 1 WHEN size <= 50 THEN 2 WHEN size <= 100 THEN 3
+ELSE 4 END AS BIGINT) AS bin, count(*) AS n FROM ev GROUP BY 1""")
 def hist_bins(spark, d):
     return ev(spark, d).groupBy(stats.binned(F.col("size"), [10, 25, 50, 100, 200]).cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {EV}, x AS (SELECT kind, place, count(*) AS w FROM ev GROUP BY 1, 2), t AS (SELECT kind, sum(w) AS t, count(*) AS n FROM x GROUP BY 1) SELECT kind, round(sum(w / t * ln(w / t * n)), 6) AS kl FROM x JOIN t USING (kind) GROUP BY 1")
+@query(f"""
+WITH {EV}, x AS (SELECT kind, place, count(*) AS w FROM ev GROUP BY 1, 2), t AS (SELECT kind, sum(w) AS t, count(*) AS n FROM x GROUP BY 1)
+SELECT kind, round(sum(w / t * ln(w / t * n)), 6) AS kl FROM x JOIN t USING (kind) GROUP BY 1""")
 def kl_div(spark, d):
     x = ev(spark, d).groupBy("kind", "place").agg(F.count(F.lit(1)).alias("w"))
     return stats.divergence_from_uniform(x, ["kind"], "w").select("kind", r6("kl").alias("kl"))
 
 
-@query(f"WITH {EV}, p AS (SELECT place % 5 AS x, size % 7 AS y, event_id % 3 AS z, count(*) AS n FROM ev GROUP BY 1, 2, 3) SELECT a.x, a.y, a.z, a.n, round(a.n / (SELECT sum(n) FROM p), 6) AS pmf, round(sum(b.n) / (SELECT sum(n) FROM p), 6) AS cdf FROM p a JOIN p b ON b.x <= a.x AND b.y <= a.y AND b.z <= a.z GROUP BY 1, 2, 3, 4")
+@query(f"""
+WITH {EV}, p AS (SELECT place % 5 AS x, size % 7 AS y, event_id % 3 AS z, count(*) AS n FROM ev GROUP BY 1, 2, 3)
+SELECT a.x, a.y, a.z, a.n, round(a.n / (SELECT sum(n) FROM p), 6) AS pmf, round(sum(b.n) / (SELECT sum(n) FROM p), 6) AS cdf FROM p a
+JOIN p b ON b.x <= a.x AND b.y <= a.y AND b.z <= a.z GROUP BY 1, 2, 3, 4""")
 def ecdf3(spark, d):
     e = ev(spark, d).select((F.col("place") % 5).alias("x"), (F.col("size") % 7).alias("y"), (F.col("event_id") % 3).alias("z"))
     return stats.joint_distribution(e, "x", "y", "z").select("x", "y", "z", "n", r6("pmf").alias("pmf"), r6("cdf").alias("cdf"))
 
 
-@query(f"WITH {EV} SELECT kind, round(quantile_cont(size, 0.25), 6) AS q25, round(quantile_cont(size, 0.5), 6) AS q50, round(avg(size), 6) AS mean, round(stddev_samp(size), 6) AS sd FROM ev GROUP BY 1")
+@query(f"""
+WITH {EV}
+SELECT kind, round(quantile_cont(size, 0.25), 6) AS q25, round(quantile_cont(size, 0.5), 6) AS q50, round(avg(size), 6) AS mean, round(stddev_samp(size), 6) AS sd
+FROM ev GROUP BY 1""")
 def quantiles(spark, d):
     return ev(spark, d).groupBy("kind").agg(r6(stats.interpolated_quantile(F.col("size"), 0.25)).alias("q25"), r6(stats.interpolated_quantile(F.col("size"), 0.5)).alias("q50"), r6(F.avg("size")).alias("mean"), r6(F.stddev_samp("size")).alias("sd"))
 
 
 @query(f"""WITH {EV}, x AS (SELECT frag, count(*) FILTER (WHERE mate = 1) AS k, count(*) AS n FROM ev GROUP BY 1)
-SELECT frag, k, n, round((SELECT sum(CASE WHEN n < 100 THEN exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)) * pow(0.5, n) ELSE exp(-pow((i - n * 0.5) / sqrt(n * 0.25), 2) / 2) / (sqrt(n * 0.25) * sqrt(2 * pi())) END) FROM range(0, k + 1) r(i)), 6)::DOUBLE AS p FROM x""")
+SELECT frag, k, n, round((SELECT sum(CASE WHEN n < 100 THEN exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)) * pow(0.5, n)
+ELSE exp(-pow((i - n * 0.5) / sqrt(n * 0.25), 2) / 2) / (sqrt(n * 0.25) * sqrt(2 * pi())) END) FROM range(0, k + 1) r(i)), 6)::DOUBLE AS p FROM x""")
 def binom_balance(spark, d):
     x = ev(spark, d).groupBy("frag").agg(F.count(F.when(F.col("mate") == 1, 1)).alias("k"), F.count(F.lit(1)).alias("n"))
     return x.select("frag", "k", "n", r6(filters.balance_p_value(F.col("k"), F.col("n"))).alias("p"))
 
 
-@query(f"WITH {EV}, x AS (SELECT DISTINCT place % 15 AS k, 0.5 + size % 9 AS rate FROM ev) SELECT k, rate::DOUBLE AS rate, round(exp(-rate) * pow(rate, k) / factorial(CAST(k AS INTEGER)), 6)::DOUBLE AS poisson, round(exp(-pow((k - rate) / 2, 2) / 2) / (2 * sqrt(2 * pi())), 6)::DOUBLE AS normal FROM x")
+@query(f"""
+WITH {EV}, x AS (SELECT DISTINCT place % 15 AS k, 0.5 + size % 9 AS rate FROM ev)
+SELECT k, rate::DOUBLE AS rate, round(exp(-rate) * pow(rate, k) / factorial(CAST(k AS INTEGER)), 6)::DOUBLE AS poisson, round(exp(-pow((k - rate) / 2, 2) / 2) / (2 * sqrt(2 * pi())), 6)::DOUBLE AS normal
+FROM x""")
 def densities(spark, d):
     x = ev(spark, d).select((F.col("place") % 15).alias("k"), (F.lit(0.5) + F.col("size") % 9).alias("rate")).distinct()
     return x.select("k", "rate", r6(prob.poisson(F.col("k"), F.col("rate"))).alias("poisson"), r6(prob.normal_pdf(F.col("k"), F.col("rate"), F.lit(2.0))).alias("normal"))
@@ -396,7 +462,10 @@ def revcomp(spark, d):
 _ILLUMINA = sequence.quality_table("illumina")
 
 
-@query(f"WITH {RD} SELECT doc_id, translate(upper(qual) || 'hgf', '0123456789ABCDEFhgf', '{''.join(_ILLUMINA[c] for c in '0123456789ABCDEFhgf').replace(chr(39), chr(39) * 2)}') AS q FROM rd")
+@query(f"""
+WITH {RD}
+SELECT doc_id, translate(upper(qual) || 'hgf', '0123456789ABCDEFhgf', '{''.join(_ILLUMINA[c] for c in '0123456789ABCDEFhgf').replace(chr(39), chr(39) * 2)}') AS q
+FROM rd""")
 def qual_convert(spark, d):
     return rd(spark, d).select("doc_id", sequence.convert_quality(F.concat(F.upper("qual"), F.lit("hgf")), "illumina").alias("q"))
 
@@ -406,13 +475,17 @@ def trim_reads(spark, d):
     return rd(spark, d).select("doc_id", sequence.trim(F.col("seq"), 3, 5).alias("seq"), sequence.trim(F.col("qual"), 3, 5).alias("qual"))
 
 
-@query(f"WITH {RD}, b(k, a, z) AS (VALUES (0, 0, 11), (1, 11, 22), (2, 22, 32)) SELECT doc_id, CAST(k AS BIGINT) AS segment, substr(seq, a + 1, z - a) AS seq FROM rd, b")
+@query(f"""
+WITH {RD}, b(k, a, z) AS (VALUES (0, 0, 11), (1, 11, 22), (2, 22, 32)) SELECT doc_id, CAST(k AS BIGINT) AS segment, substr(seq, a + 1, z - a) AS seq
+FROM rd, b""")
 def segment_reads(spark, d):
     cuts = F.array(*[F.struct(F.lit(i).cast("long").alias("segment"), F.lit(a).alias("a"), F.lit(z).alias("z")) for i, (a, z) in enumerate(sequence.segment_bounds(32, 10))])
     return rd(spark, d).withColumn("x", F.explode(cuts)).select("doc_id", "x.segment", F.expr("substring(seq, x.a + 1, x.z - x.a)").alias("seq"))
 
 
-@query(f"WITH {RD}, n AS (SELECT doc_id, 'r' || CAST(doc_id AS VARCHAR) || '/' || CAST(doc_id % 2 + 1 AS VARCHAR) || ' ' || qual AS name FROM rd) SELECT doc_id, split_part(split_part(name, ' ', 1), '/', 1) AS name FROM n")
+@query(f"""
+WITH {RD}, n AS (SELECT doc_id, 'r' || CAST(doc_id AS VARCHAR) || '/' || CAST(doc_id % 2 + 1 AS VARCHAR) || ' ' || qual AS name FROM rd)
+SELECT doc_id, split_part(split_part(name, ' ', 1), '/', 1) AS name FROM n""")
 def name_clean(spark, d):
     name = F.concat(F.lit("r"), F.col("doc_id").cast("string"), F.lit("/"), (F.col("doc_id") % 2 + 1).cast("string"), F.lit(" "), F.col("qual"))
     return rd(spark, d).select("doc_id", sequence.clean_name(name).alias("name"))
@@ -423,7 +496,9 @@ def wrap50(spark, d):
     return rd(spark, d).select("doc_id", sequence.wrap(F.concat("seq", "seq", "other", "seq")).alias("fasta"))
 
 
-@query(f"WITH {RD}, x AS (SELECT doc_id, [i FOR i IN range(1, 33) IF substr(seq, i, 1) <> substr(other, i, 1)] AS w FROM rd) SELECT doc_id, CAST(coalesce(w[1] - 1, 32) AS BIGINT) AS h0, CAST(coalesce(w[3] - 1, 32) AS BIGINT) AS h2, CAST(len(w) AS BIGINT) AS mismatches FROM x")
+@query(f"""
+WITH {RD}, x AS (SELECT doc_id, [i FOR i IN range(1, 33) IF substr(seq, i, 1) <> substr(other, i, 1)] AS w FROM rd)
+SELECT doc_id, CAST(coalesce(w[1] - 1, 32) AS BIGINT) AS h0, CAST(coalesce(w[3] - 1, 32) AS BIGINT) AS h2, CAST(len(w) AS BIGINT) AS mismatches FROM x""")
 def homology_prefix(spark, d):
     a, b = F.col("seq"), F.col("other")
     return rd(spark, d).select("doc_id", sequence.homology(a, b).cast("long").alias("h0"), sequence.homology(a, b, 2).cast("long").alias("h2"), sequence.mismatches_between(a, b).cast("long").alias("mismatches"))
@@ -433,7 +508,10 @@ def _md(spark, d):
     return rd(spark, d).select("doc_id", F.concat((F.col("doc_id") % 17).cast("string"), F.substring("seq", 1, 1), (F.col("doc_id") % 5).cast("string"), F.lit("^"), F.substring("seq", 2, 2), F.lit("7"), F.substring("seq", 9, 1), F.lit("3")).alias("md"), "seq")
 
 
-@query(f"WITH {RD} SELECT doc_id, '3' || translate(substr(seq, 9, 1), 'ACGT', 'TGCA') || '7^' || {COMP.format('substr(seq, 2, 2)')} || CAST(doc_id % 5 AS VARCHAR) || translate(substr(seq, 1, 1), 'ACGT', 'TGCA') || CAST(doc_id % 17 AS VARCHAR) AS md FROM rd")
+@query(f"""
+WITH {RD}
+SELECT doc_id, '3' || translate(substr(seq, 9, 1), 'ACGT', 'TGCA') || '7^' || {COMP.format('substr(seq, 2, 2)')} || CAST(doc_id % 5 AS VARCHAR) || translate(substr(seq, 1, 1), 'ACGT', 'TGCA') || CAST(doc_id % 17 AS VARCHAR) AS md
+FROM rd""")
 def md_revcomp(spark, d):
     return _md(spark, d).select("doc_id", sequence.md_reverse_complement(F.col("md")).alias("md"))
 
@@ -449,13 +527,20 @@ def _cigars(spark, d):
     return rd(spark, d).select("doc_id", (F.col("doc_id") * 3 + 100).cast("int").alias("pos"), cigar.parse(c).alias("ops"))
 
 
-@query(f"WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS p, doc_id % 11 + 1 AS m, doc_id % 5 + 1 AS k, doc_id % 13 + 1 AS n FROM rd) SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN p || '-' || (p + m) || ',' || (p + m + n) || '-' || (p + m + n + k) WHEN 1 THEN p || '-' || (p + m + k) ELSE p || '-' || (p + m + 3 + k) END AS blocks FROM x")
+@query(f"""
+WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS p, doc_id % 11 + 1 AS m, doc_id % 5 + 1 AS k, doc_id % 13 + 1 AS n FROM rd)
+SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN p || '-' || (p + m) || ',' || (p + m + n) || '-' || (p + m + n + k) WHEN 1 THEN p || '-' || (p + m + k)
+ELSE p || '-' || (p + m + 3 + k) END AS blocks FROM x""")
 def cigar_blocks(spark, d):
     b = cigar.blocks(F.col("pos"), F.col("ops"))
     return _cigars(spark, d).select("doc_id", F.array_join(F.transform(b, lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("blocks"))
 
 
-@query(f"WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS p, doc_id % 11 + 1 AS m, doc_id % 5 + 1 AS k, doc_id % 13 + 1 AS n, doc_id % 7 + 1 AS c FROM rd) SELECT doc_id, CAST(CASE doc_id % 3 WHEN 0 THEN p - c ELSE p END AS BIGINT) AS clip_start, CAST(CASE doc_id % 3 WHEN 0 THEN p + m + n + k WHEN 1 THEN p + m + k + c ELSE p + m + 3 + k END AS BIGINT) AS clip_end, CAST(CASE doc_id % 3 WHEN 0 THEN c WHEN 1 THEN 0 ELSE 0 END AS BIGINT) AS best_start, CAST(CASE doc_id % 3 WHEN 0 THEN c + m + k WHEN 1 THEN m + 2 + k ELSE m + k END AS BIGINT) AS best_end FROM x")
+@query(f"""
+WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS p, doc_id % 11 + 1 AS m, doc_id % 5 + 1 AS k, doc_id % 13 + 1 AS n, doc_id % 7 + 1 AS c FROM rd)
+SELECT doc_id, CAST(CASE doc_id % 3 WHEN 0 THEN p - c ELSE p END AS BIGINT) AS clip_start, CAST(CASE doc_id % 3 WHEN 0 THEN p + m + n + k
+WHEN 1 THEN p + m + k + c ELSE p + m + 3 + k END AS BIGINT) AS clip_end, CAST(CASE doc_id % 3 WHEN 0 THEN c WHEN 1 THEN 0
+ELSE 0 END AS BIGINT) AS best_start, CAST(CASE doc_id % 3 WHEN 0 THEN c + m + k WHEN 1 THEN m + 2 + k ELSE m + k END AS BIGINT) AS best_end FROM x""")
 def clip_interval(spark, d):
     x = _cigars(spark, d).withColumn("c", cigar.clipped_interval(F.col("pos"), F.col("ops"))).withColumn("b", cigar.best_read_interval(F.col("ops")))
     return x.select("doc_id", F.col("c.start").cast("long").alias("clip_start"), F.col("c.end").cast("long").alias("clip_end"), F.col("b.start").cast("long").alias("best_start"), F.col("b.end").cast("long").alias("best_end"))
@@ -467,28 +552,37 @@ def _exons(spark, d):
 
 
 @query(f"""WITH {RD}, x AS (SELECT doc_id, doc_id * 10 AS o, doc_id % 75 AS p, doc_id % 2 = 0 AS plus FROM rd)
-SELECT doc_id, CAST(CASE WHEN plus THEN CASE WHEN p < 20 THEN o + 100 + p WHEN p < 30 THEN o + 150 + p - 20 WHEN p < 70 THEN o + 200 + p - 30 ELSE -1 END ELSE CASE WHEN p < 40 THEN o + 239 - p WHEN p < 50 THEN o + 159 - (p - 40) WHEN p < 70 THEN o + 119 - (p - 50) ELSE -1 END END AS BIGINT) AS genome,
-CAST(CASE WHEN p >= 70 THEN -1 WHEN plus THEN CASE WHEN p < 20 THEN 0 WHEN p < 30 THEN 1 ELSE 2 END ELSE CASE WHEN p < 40 THEN 0 WHEN p < 50 THEN 1 ELSE 2 END END AS BIGINT) AS exon FROM x""")
+SELECT doc_id, CAST(CASE WHEN plus THEN CASE WHEN p < 20 THEN o + 100 + p WHEN p < 30 THEN o + 150 + p - 20 WHEN p < 70 THEN o + 200 + p - 30
+ELSE -1 END ELSE CASE WHEN p < 40 THEN o + 239 - p WHEN p < 50 THEN o + 159 - (p - 40) WHEN p < 70 THEN o + 119 - (p - 50)
+ELSE -1 END END AS BIGINT) AS genome,
+CAST(CASE WHEN p >= 70 THEN -1 WHEN plus THEN CASE WHEN p < 20 THEN 0 WHEN p < 30 THEN 1 ELSE 2 END ELSE CASE WHEN p < 40 THEN 0 WHEN p < 50 THEN 1
+ELSE 2 END END AS BIGINT) AS exon FROM x""")
 def to_genome(spark, d):
     x = _exons(spark, d)
     return x.select("doc_id", F.coalesce(cigar.genome_position(F.col("exons"), F.col("strand"), F.col("pos")), F.lit(-1)).cast("long").alias("genome"), F.coalesce(cigar.exon_of(F.col("exons"), F.col("strand"), F.col("pos"))["exon"], F.lit(-1)).cast("long").alias("exon"))
 
 
 @query(f"""WITH {RD}, x AS (SELECT doc_id, doc_id * 10 AS o, doc_id % 45 AS p, doc_id % 2 = 0 AS plus FROM rd)
-SELECT doc_id, CASE WHEN plus THEN CASE WHEN p < 20 AND p + 25 > 30 THEN (20 - p) || 'M30N10M40N' || (p + 25 - 30) || 'M' WHEN p < 20 AND p + 25 > 20 THEN (20 - p) || 'M30N' || (p + 5) || 'M' WHEN p < 20 THEN '25M' WHEN p < 30 THEN (30 - p) || 'M40N' || (p - 5) || 'M' ELSE '25M' END
-ELSE CASE WHEN p + 25 <= 40 THEN '25M' WHEN p < 40 AND p + 25 <= 50 THEN (p - 15) || 'M40N' || (40 - p) || 'M' WHEN p < 40 THEN (p + 25 - 50) || 'M30N10M40N' || (40 - p) || 'M' ELSE (p + 25 - 50) || 'M30N' || (50 - p) || 'M' END END AS cigar FROM x""")
+SELECT doc_id, CASE WHEN plus THEN CASE WHEN p < 20 AND p + 25 > 30 THEN (20 - p) || 'M30N10M40N' || (p + 25 - 30) || 'M' WHEN p < 20
+AND p + 25 > 20 THEN (20 - p) || 'M30N' || (p + 5) || 'M' WHEN p < 20 THEN '25M' WHEN p < 30 THEN (30 - p) || 'M40N' || (p - 5) || 'M' ELSE '25M' END
+ELSE CASE WHEN p + 25 <= 40 THEN '25M' WHEN p < 40 AND p + 25 <= 50 THEN (p - 15) || 'M40N' || (40 - p) || 'M'
+WHEN p < 40 THEN (p + 25 - 50) || 'M30N10M40N' || (40 - p) || 'M' ELSE (p + 25 - 50) || 'M30N' || (50 - p) || 'M' END END AS cigar FROM x""")
 def cigar_to_genome(spark, d):
     x = _exons(spark, d).withColumn("pos", (F.col("doc_id") % 45).cast("int")).withColumn("ops", cigar.parse(F.lit("25M")))
     return x.select("doc_id", cigar.render(cigar.genome_ops(F.col("exons"), F.col("strand"), F.col("pos"), F.col("ops"))).alias("cigar"))
 
 
-@query(f"WITH {RD}, o AS (SELECT substr(seq, 1, 6) AS seq, list_sort(list(DISTINCT doc_id)) AS m FROM rd GROUP BY 1) SELECT seq, 'B' || lpad(CAST(row_number() OVER (ORDER BY seq) - 1 AS VARCHAR), 7, '0') AS name, array_to_string(m, ',') AS members FROM o")
+@query(f"""
+WITH {RD}, o AS (SELECT substr(seq, 1, 6) AS seq, list_sort(list(DISTINCT doc_id)) AS m FROM rd GROUP BY 1)
+SELECT seq, 'B' || lpad(CAST(row_number() OVER (ORDER BY seq) - 1 AS VARCHAR), 7, '0') AS name, array_to_string(m, ',') AS members FROM o""")
 def seq_dedupe_names(spark, d):
     x = rd(spark, d).select(F.substring("seq", 1, 6).alias("seq"), F.col("doc_id").alias("member"))
     return nominate.name_sequences(x, "seq").select("seq", "name", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
 
 
-@query(f"WITH {RD}, x AS (SELECT doc_id, doc_id % 30 + 4 AS l, (doc_id * 7) % 30 + 4 AS r, doc_id % 9 AS hl, doc_id % 6 AS hr, doc_id % 4 AS mm FROM rd) SELECT doc_id, l >= greatest(hl, 6) AND r >= greatest(hr, 6) AND (least(l, r) >= 12 OR mm <= 1) AS ok FROM x")
+@query(f"""
+WITH {RD}, x AS (SELECT doc_id, doc_id % 30 + 4 AS l, (doc_id * 7) % 30 + 4 AS r, doc_id % 9 AS hl, doc_id % 6 AS hr, doc_id % 4 AS mm FROM rd)
+SELECT doc_id, l >= greatest(hl, 6) AND r >= greatest(hr, 6) AND (least(l, r) >= 12 OR mm <= 1) AS ok FROM x""")
 def anchor_test(spark, d):
     c = F.col("doc_id")
     return rd(spark, d).select("doc_id", filters.anchor_ok(c % 30 + 4, (c * 7) % 30 + 4, c % 9, c % 6, c % 4, least=6, short=12, mismatches=1).alias("ok"))
@@ -501,7 +595,10 @@ def _edges(spark, d):
     return table(spark, d, "orders").select(k.alias("a"), (k - k % 8 + F.col("o_custkey") % 8).alias("b"))
 
 
-@query("WITH RECURSIVE e AS (SELECT DISTINCT o_orderkey AS a, o_orderkey - o_orderkey % 8 + o_custkey % 8 AS b FROM orders), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(node, root) AS (SELECT a, a FROM u UNION SELECT u.b, w.root FROM w JOIN u ON u.a = w.node) SELECT node, min(root) AS component FROM w GROUP BY 1")
+@query("""
+WITH RECURSIVE e AS (SELECT DISTINCT o_orderkey AS a, o_orderkey - o_orderkey % 8 + o_custkey % 8 AS b FROM orders), u AS (SELECT a, b FROM e UNION
+SELECT b, a FROM e), w(node, root) AS (SELECT a, a FROM u UNION SELECT u.b, w.root FROM w JOIN u ON u.a = w.node) SELECT node, min(root) AS component
+FROM w GROUP BY 1""")
 def components(spark, d):
     return connected_components(_edges(spark, d))
 
@@ -512,14 +609,17 @@ def _tx(spark, d):
 
 @query(f"""WITH RECURSIVE {IV}, x AS (SELECT rname, strand, tx, s, e, frag AS tx_id FROM iv),
 r1 AS (SELECT *, max(e) OVER (PARTITION BY rname, strand, tx ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM x),
-r2 AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY rname, strand, tx ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM r1),
+r2 AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY rname, strand, tx
+ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM r1),
 m AS (SELECT DISTINCT tx_id, rname, strand, tx, g FROM r2), u AS (SELECT DISTINCT a.tx_id AS a, b.tx_id AS b FROM m a JOIN m b USING (rname, strand, tx, g)),
 w(node, root) AS (SELECT a, a FROM u UNION SELECT u.b, w.root FROM w JOIN u ON u.a = w.node) SELECT node AS tx_id, min(root) AS component FROM w GROUP BY 1""")
 def transcript_components(spark, d):
     return cluster.transcript_clusters(_tx(spark, d), ["rname", "strand", "tx"])
 
 
-@query(f"WITH {PK} SELECT id5p, status, prio, min(price) AS tx_start, max(price) AS tx_end, string_agg(qname, ',' ORDER BY qname) AS names FROM pk GROUP BY 1, 2, 3")
+@query(f"""
+WITH {PK} SELECT id5p, status, prio, min(price) AS tx_start, max(price) AS tx_end, string_agg(qname, ',' ORDER BY qname) AS names FROM pk
+GROUP BY 1, 2, 3""")
 def isoform_merge(spark, d):
     p = pk(spark, d)
     exons = F.array(F.struct(F.col("price").cast("int").alias("start"), (F.col("price") + 1).cast("int").alias("end")))
@@ -534,13 +634,18 @@ def _typed(spark, d):
     return p.select(c("qname").alias("pair_id"), (c("id5p") % 3).alias("rname5p"), (c("id3p") % 3).alias("rname3p"), (c("id5p") * 4).alias("start5p"), (c("id5p") * 4 + 60).alias("end5p"), (c("id3p") * 5).alias("start3p"), (c("id3p") * 5 + 40).alias("end3p"), F.when(c("price") % 2 == 0, "+").otherwise("-").alias("strand5p"), F.when(c("price") % 3 == 0, "+").otherwise("-").alias("strand3p"), (c("price") % 5 % 3).alias("between_same"), (c("price") % 5).alias("between_all"))
 
 
-@query(f"""WITH {PK}, p AS (SELECT qname AS pair_id, id5p % 3 AS r5, id3p % 3 AS r3, id5p * 4 AS s5, id5p * 4 + 60 AS e5, id3p * 5 AS s3, id3p * 5 + 40 AS e3, price % 2 = 0 AS p5, price % 3 = 0 AS p3, price % 5 % 3 AS bs, price % 5 AS ba FROM pk),
+@query(f"""WITH {PK},
+p AS (SELECT qname AS pair_id, id5p % 3 AS r5, id3p % 3 AS r3, id5p * 4 AS s5, id5p * 4 + 60 AS e5, id3p * 5 AS s3, id3p * 5 + 40 AS e3, price % 2 = 0 AS p5, price % 3 = 0 AS p3, price % 5 % 3 AS bs, price % 5 AS ba
+FROM pk),
 q AS (SELECT *, p5 = p3 AS same, CASE WHEN s5 <= s3 THEN p5 ELSE NOT p5 END AS ahead FROM p),
 k AS (SELECT *, CASE WHEN same AND ahead THEN bs ELSE ba END > 0 AS btw FROM q)
 SELECT pair_id, CASE WHEN r5 <> r3 THEN 'Interchromosomal'
- WHEN e5 > s3 AND s5 < e3 THEN CASE WHEN same AND ahead THEN 'Overlapping_Same' WHEN same THEN 'Overlapping_Complex' WHEN ahead THEN 'Overlapping_Converging' ELSE 'Overlapping_Diverging' END
- WHEN btw THEN CASE WHEN same AND ahead THEN 'Intrachromosomal' WHEN same THEN 'Intrachromosomal_Complex' WHEN ahead THEN 'Intrachromosomal_Converging' ELSE 'Intrachromsomal_Diverging' END
- ELSE CASE WHEN same AND ahead THEN 'Read_Through' WHEN same THEN 'Adjacent_Complex' WHEN ahead THEN 'Adjacent_Converging' ELSE 'Adjacent_Diverging' END END AS chimera_type,
+WHEN e5 > s3 AND s5 < e3 THEN CASE WHEN same AND ahead THEN 'Overlapping_Same' WHEN same THEN 'Overlapping_Complex'
+WHEN ahead THEN 'Overlapping_Converging' ELSE 'Overlapping_Diverging' END
+WHEN btw THEN CASE WHEN same AND ahead THEN 'Intrachromosomal' WHEN same THEN 'Intrachromosomal_Complex' WHEN ahead THEN 'Intrachromosomal_Converging'
+ELSE 'Intrachromsomal_Diverging' END
+ELSE CASE WHEN same AND ahead THEN 'Read_Through' WHEN same THEN 'Adjacent_Complex' WHEN ahead THEN 'Adjacent_Converging'
+ELSE 'Adjacent_Diverging' END END AS chimera_type,
 CAST(CASE WHEN r5 <> r3 THEN -1 WHEN e5 > s3 AND s5 < e3 THEN 0 WHEN s5 <= s3 THEN s3 - e5 ELSE e3 - s5 END AS BIGINT) AS distance FROM k""")
 def type_decision(spark, d):
     return annotate.type_and_distance(_typed(spark, d)).select("pair_id", "chimera_type", "distance")
@@ -561,7 +666,9 @@ def allele_filter(spark, d):
     return filters.final_filter(_candidates(spark, d), min_frags=3, min_fraction=0.25).select("qname", "num_frags", r6(f).alias("fraction"))
 
 
-@query(f"WITH {CAND} SELECT qname, num_frags FROM c WHERE num_frags >= 2 AND prio NOT IN ('1-URGENT', 'O') AND status NOT IN ('1-URGENT', 'O') AND id5p NOT IN (5, 7) AND id3p NOT IN (5, 7)")
+@query(f"""
+WITH {CAND} SELECT qname, num_frags FROM c WHERE num_frags >= 2 AND prio NOT IN ('1-URGENT', 'O') AND status NOT IN ('1-URGENT', 'O')
+AND id5p NOT IN (5, 7) AND id3p NOT IN (5, 7)""")
 def mask_filter(spark, d):
     return filters.final_filter(_candidates(spark, d), mask_biotypes=["1-URGENT", "O"], mask_rnames=[5, 7]).select("qname", "num_frags")
 
@@ -577,20 +684,26 @@ def recurrence(spark, d):
     return filters.recurrent(pk(spark, d), ["id5p", "id3p"], "prio", 2)
 
 
-@query(f"WITH {PK}, x AS (SELECT qname, price % 20 + 1 AS n, price % 31 AS w5, price % 29 AS w3 FROM pk) SELECT qname, round(least(n / (n + w5), n / (n + w3)), 6) AS fraction FROM x WHERE least(n / (n + w5), n / (n + w3)) >= 0.3")
+@query(f"""
+WITH {PK}, x AS (SELECT qname, price % 20 + 1 AS n, price % 31 AS w5, price % 29 AS w3 FROM pk)
+SELECT qname, round(least(n / (n + w5), n / (n + w3)), 6) AS fraction FROM x WHERE least(n / (n + w5), n / (n + w3)) >= 0.3""")
 def isoform_fraction(spark, d):
     c = F.col("price")
     f = filters.isoform_fraction(c % 20 + 1, c % 31, c % 29)
     return pk(spark, d).withColumn("f", f).filter("f >= 0.3").select("qname", r6("f").alias("fraction"))
 
 
-@query(f"WITH {IV}, b AS (SELECT DISTINCT rname, s + 3 AS spot FROM iv), f AS (SELECT rname, frag, min(s) AS lo, max(e) AS hi FROM iv GROUP BY 1, 2) SELECT b.rname, spot AS \"at\", count(*) AS wild FROM b JOIN f ON b.rname = f.rname AND lo < spot AND spot < hi GROUP BY 1, 2")
+@query(f"""
+WITH {IV}, b AS (SELECT DISTINCT rname, s + 3 AS spot FROM iv), f AS (SELECT rname, frag, min(s) AS lo, max(e) AS hi FROM iv GROUP BY 1, 2)
+SELECT b.rname, spot AS \"at\", count(*) AS wild FROM b JOIN f ON b.rname = f.rname AND lo < spot AND spot < hi GROUP BY 1, 2""")
 def crossing_fragments(spark, d):
     a = iv(spark, d)
     return filters.crossing_fraction(a, a.select("rname", (F.col("s") + 3).alias("at")).distinct(), ["rname"], "frag")
 
 
-@query(f"WITH {PK}, m AS (SELECT id5p, id3p, max(price) AS most FROM pk GROUP BY 1, 2), t AS (SELECT id5p, sum(most) AS total FROM m GROUP BY 1) SELECT id5p, id3p, round(most / total, 6) AS share FROM m JOIN t USING (id5p)")
+@query(f"""
+WITH {PK}, m AS (SELECT id5p, id3p, max(price) AS most FROM pk GROUP BY 1, 2), t AS (SELECT id5p, sum(most) AS total FROM m GROUP BY 1)
+SELECT id5p, id3p, round(most / total, 6) AS share FROM m JOIN t USING (id5p)""")
 def promiscuity(spark, d):
     return filters.promiscuity(pk(spark, d), ["id5p", "id3p"], "id5p", "price").select("id5p", "id3p", r6("share").alias("share"))
 
@@ -605,7 +718,10 @@ def p95_spread(spark, d):
     return filters.spread(iv(spark, d), ["rname"], "s", "e").select("rname", r6("spread").alias("spread"))
 
 
-@query(f"WITH {IV}, p AS (SELECT a.frag, a.rname, greatest(a.e, b.e) - least(a.s, b.s) AS isize FROM iv a JOIN iv b ON a.frag = b.frag AND a.rname = b.rname AND a.orient = 1 AND b.orient = 2 AND a.strand <> b.strand) SELECT frag, rname, isize, count(*) OVER (PARTITION BY frag) AS nh FROM p WHERE isize BETWEEN 5 AND 400")
+@query(f"""
+WITH {IV}, p AS (SELECT a.frag, a.rname, greatest(a.e, b.e) - least(a.s, b.s) AS isize FROM iv a JOIN iv b ON a.frag = b.frag AND a.rname = b.rname
+AND a.orient = 1 AND b.orient = 2 AND a.strand <> b.strand) SELECT frag, rname, isize, count(*) OVER (PARTITION BY frag) AS nh FROM p
+WHERE isize BETWEEN 5 AND 400""")
 def concordant_pairs(spark, d):
     a = iv(spark, d)
     one = a.filter("orient = 1").select("frag", "rname", "s", "e", (F.col("strand") == "-").alias("rev"))
@@ -621,8 +737,11 @@ def chrom_rename(spark, d):
     return rename_references(table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("chrom")), names, "chrom")
 
 
-@query(f"""WITH {PK}, f AS (SELECT qname AS frag, id5p % 5 AS tx5, id3p % 5 AS tx3, price % 150 AS pos5, 50 + price % 130 AS pos3 FROM pk), x5 AS (SELECT t AS tx5, k AS exon5, 40 + k * (30 + t) AS end5 FROM range(0, 5) a(t), range(0, 5) b(k)), x3 AS (SELECT t AS tx3, k AS exon3, k * (25 + t) AS start3 FROM range(0, 5) a(t), range(0, 5) b(k)),
-m AS (SELECT *, end5 - pos5 + pos3 - start3 AS isize FROM f JOIN x5 USING (tx5) JOIN x3 USING (tx3) WHERE end5 > pos5 AND start3 < pos3) SELECT frag, exon5, exon3, isize FROM (SELECT *, rank() OVER (PARTITION BY frag ORDER BY abs(isize - 100)) AS r FROM m) WHERE r = 1""")
+@query(f"""WITH {PK}, f AS (SELECT qname AS frag, id5p % 5 AS tx5, id3p % 5 AS tx3, price % 150 AS pos5, 50 + price % 130 AS pos3 FROM pk),
+x5 AS (SELECT t AS tx5, k AS exon5, 40 + k * (30 + t) AS end5 FROM range(0, 5) a(t), range(0, 5) b(k)),
+x3 AS (SELECT t AS tx3, k AS exon3, k * (25 + t) AS start3 FROM range(0, 5) a(t), range(0, 5) b(k)),
+m AS (SELECT *, end5 - pos5 + pos3 - start3 AS isize FROM f JOIN x5 USING (tx5) JOIN x3 USING (tx3) WHERE end5 > pos5 AND start3 < pos3)
+SELECT frag, exon5, exon3, isize FROM (SELECT *, rank() OVER (PARTITION BY frag ORDER BY abs(isize - 100)) AS r FROM m) WHERE r = 1""")
 def exon_breakpoint_argmax(spark, d):
     c = F.col
     f = pk(spark, d).select(c("qname").alias("frag"), (c("id5p") % 5).alias("tx5"), (c("id3p") % 5).alias("tx3"), (c("price") % 150).alias("pos5"), (50 + c("price") % 130).alias("pos3"))
@@ -631,7 +750,10 @@ def exon_breakpoint_argmax(spark, d):
     return nominate.best_breakpoints(f, x5, x3, 100).select("frag", "exon5", "exon3", "isize")
 
 
-@query(f"WITH {PK} SELECT id5p, id3p, max(price) AS best, arg_max(qname, (price, qname)) AS best_id, count(DISTINCT status) AS txs, count(DISTINCT qname) AS ids FROM pk GROUP BY 1, 2")
+@query(f"""
+WITH {PK}
+SELECT id5p, id3p, max(price) AS best, arg_max(qname, (price, qname)) AS best_id, count(DISTINCT status) AS txs, count(DISTINCT qname) AS ids FROM pk
+GROUP BY 1, 2""")
 def report_groups(spark, d):
     x = pk(spark, d).select("id5p", "id3p", F.col("status").alias("tx5"), F.col("status").alias("tx3"), F.col("price").alias("best"), F.col("qname").alias("chimera_id"))
     return nominate.group_report(x, ["id5p", "id3p"], "best").select("id5p", "id3p", "best", "best_id", F.size("txs5").cast("long").alias("txs"), F.size("chimera_ids").cast("long").alias("ids"))
@@ -639,7 +761,11 @@ def report_groups(spark, d):
 
 # ---------------------------------------------------------------- annotation and orientation
 
-@query(f"WITH {PK}, a AS (SELECT id5p, list_sort(list(DISTINCT CAST(qname AS VARCHAR))) AS d FROM pk WHERE status <> 'P' GROUP BY 1), b AS (SELECT id5p, list_sort(list(DISTINCT CAST(qname - qname % 4 AS VARCHAR))) AS s FROM pk WHERE status = 'F' GROUP BY 1) SELECT id5p, CAST(len(list_distinct(list_concat(d, coalesce(s, [])))) AS BIGINT) AS num_frags, CAST(len(coalesce(s, [])) AS BIGINT) AS num_spanning FROM a LEFT JOIN b USING (id5p)")
+@query(f"""
+WITH {PK}, a AS (SELECT id5p, list_sort(list(DISTINCT CAST(qname AS VARCHAR))) AS d FROM pk WHERE status <> 'P' GROUP BY 1),
+b AS (SELECT id5p, list_sort(list(DISTINCT CAST(qname - qname % 4 AS VARCHAR))) AS s FROM pk WHERE status = 'F' GROUP BY 1)
+SELECT id5p, CAST(len(list_distinct(list_concat(d, coalesce(s, [])))) AS BIGINT) AS num_frags, CAST(len(coalesce(s, [])) AS BIGINT) AS num_spanning
+FROM a LEFT JOIN b USING (id5p)""")
 def fragment_totals(spark, d):
     p = pk(spark, d)
     a = p.filter("status <> 'P'").groupBy(F.col("id5p").alias("pair_id")).agg(F.collect_set(F.col("qname").cast("string")).alias("qnames"))
@@ -648,7 +774,10 @@ def fragment_totals(spark, d):
     return both.select(F.col("pair_id").alias("id5p"), F.size(F.array_union("qnames", "spanning_qnames")).cast("long").alias("num_frags"), F.size("spanning_qnames").cast("long").alias("num_spanning"))
 
 
-@query(f"WITH {PK}, x AS (SELECT id5p, string_agg(DISTINCT 'g' || id3p % 9, ',' ORDER BY 'g' || id3p % 9) FILTER (WHERE status <> 'O') AS genes, string_agg(DISTINCT prio, ',' ORDER BY prio) AS biotypes FROM pk GROUP BY 1) SELECT id5p, coalesce(genes, 'na') AS genes, coalesce(biotypes, 'na') AS biotypes FROM x")
+@query(f"""
+WITH {PK}, x AS (SELECT id5p, string_agg(DISTINCT 'g' || id3p % 9, ','
+ORDER BY 'g' || id3p % 9) FILTER (WHERE status <> 'O') AS genes, string_agg(DISTINCT prio, ',' ORDER BY prio) AS biotypes FROM pk GROUP BY 1)
+SELECT id5p, coalesce(genes, 'na') AS genes, coalesce(biotypes, 'na') AS biotypes FROM x""")
 def annotation_names(spark, d):
     t = pk(spark, d).select("id5p", F.array(F.concat(F.lit("g"), (F.col("id3p") % 9).cast("string"))).alias("gene_names"), F.array(F.col("qname").cast("string")).alias("tx_names"), F.col("prio").alias("gene_biotype"), F.array(F.when(F.col("status") == "O", "other").otherwise("ensembl")).alias("annotation_sources"))
     return annotate.names_of(t, ["id5p"], "ensembl").select("id5p", F.array_join("genes", ",").alias("genes"), F.array_join("biotypes", ",").alias("biotypes"))
@@ -661,22 +790,32 @@ def exon_introns(spark, d):
     return x.select("doc_id", F.array_join(F.transform(cigar.introns(F.col("exons")), lambda i: F.concat_ws("-", i["start"].cast("string"), i["end"].cast("string"))), ",").alias("introns"))
 
 
-@query(f"""WITH {RD}, x AS (SELECT doc_id, doc_id * 10 + 90 + doc_id % 130 AS a, doc_id * 10 + 95 + doc_id % 130 AS b, doc_id * 10 AS o, doc_id % 2 = 0 AS plus FROM rd),
-e(k, p, q, up, dn) AS (VALUES (1, 100, 120, 0, 50), (2, 150, 160, 20, 40), (3, 200, 240, 30, 0)), m AS (SELECT *, greatest(o + p, a) AS lo, least(o + q, b) AS hi FROM x, e WHERE o + q > a AND o + p < b)
-SELECT doc_id, CAST(sum(CASE WHEN plus THEN up + lo - o - p ELSE dn + o + q - hi END) AS BIGINT) AS first, CAST(sum(CASE WHEN plus THEN up + hi - o - p ELSE dn + o + q - lo END) AS BIGINT) AS last, CAST(sum(greatest(0, o + p - a)) AS BIGINT) AS left_over, CAST(sum(greatest(0, b - o - q)) AS BIGINT) AS right_over FROM m GROUP BY 1""")
+@query(f"""WITH {RD},
+x AS (SELECT doc_id, doc_id * 10 + 90 + doc_id % 130 AS a, doc_id * 10 + 95 + doc_id % 130 AS b, doc_id * 10 AS o, doc_id % 2 = 0 AS plus FROM rd),
+e(k, p, q, up, dn) AS (VALUES (1, 100, 120, 0, 50), (2, 150, 160, 20, 40), (3, 200, 240, 30, 0)),
+m AS (SELECT *, greatest(o + p, a) AS lo, least(o + q, b) AS hi FROM x, e WHERE o + q > a AND o + p < b)
+SELECT doc_id, CAST(sum(CASE WHEN plus THEN up + lo - o - p ELSE dn + o + q - hi END) AS BIGINT) AS first, CAST(sum(CASE
+WHEN plus THEN up + hi - o - p
+ELSE dn + o + q - lo END) AS BIGINT) AS last, CAST(sum(greatest(0, o + p - a)) AS BIGINT) AS left_over, CAST(sum(greatest(0, b - o - q)) AS BIGINT) AS right_over
+FROM m GROUP BY 1""")
 def genome_to_transcript(spark, d):
     x = _exons(spark, d).withColumn("a", (F.col("doc_id") * 10 + 90 + F.col("doc_id") % 130).cast("int"))
     t = x.select("doc_id", F.explode(cigar.transcript_interval(F.col("exons"), F.col("strand"), F.col("a"), F.col("a") + 5)).alias("t"))
     return t.groupBy("doc_id").agg(F.sum("t.start").alias("first"), F.sum("t.end").alias("last"), F.sum("t.left_over").alias("left_over"), F.sum("t.right_over").alias("right_over"))
 
 
-@query(f"WITH {EV}, x AS (SELECT event_id, mate, size % 2 = 0 AS rev FROM ev) SELECT event_id, CAST(CASE WHEN rev THEN 2 ELSE 1 END AS BIGINT) AS unstranded, CAST(CASE WHEN mate = 2 THEN 1 ELSE 2 END AS BIGINT) AS firststrand, CASE WHEN (mate = 1) <> rev THEN '+' ELSE '-' END AS strand FROM x")
+@query(f"""
+WITH {EV}, x AS (SELECT event_id, mate, size % 2 = 0 AS rev FROM ev) SELECT event_id, CAST(CASE WHEN rev THEN 2
+ELSE 1 END AS BIGINT) AS unstranded, CAST(CASE WHEN mate = 2 THEN 1 ELSE 2 END AS BIGINT) AS firststrand, CASE WHEN (mate = 1) <> rev THEN '+'
+ELSE '-' END AS strand FROM x""")
 def orientations(spark, d):
     e = ev(spark, d).withColumn("rev", F.col("size") % 2 == 0)
     return e.select("event_id", classify.orientation(F.col("rev"), F.col("mate")).cast("long").alias("unstranded"), classify.orientation(F.col("rev"), F.col("mate"), classify.FIRST_STRAND).cast("long").alias("firststrand"), classify.strand(F.col("rev"), F.col("mate"), F.lit("+"), classify.SECOND_STRAND).alias("strand"))
 
 
-@query(f"""WITH {RD}, x AS (SELECT doc_id, substr(seq, 1, CAST(doc_id % 20 + 4 AS BIGINT)) AS a, substr(other, 1, CAST(doc_id % 15 + 3 AS BIGINT)) AS b, seq, other FROM rd),
+@query(f"""WITH {RD},
+x AS (SELECT doc_id, substr(seq, 1, CAST(doc_id % 20 + 4 AS BIGINT)) AS a, substr(other, 1, CAST(doc_id % 15 + 3 AS BIGINT)) AS b, seq, other
+FROM rd),
 w AS (SELECT *, [i FOR i IN range(1, 33) IF substr(seq, i, 1) <> substr(b, i, 1)] AS m FROM x)
 SELECT doc_id, lpad(right(a, 11), 11, 'N') || rpad(left(b, 11), 11, 'N') AS seq, CAST(coalesce(m[1] - 1, length(b)) AS BIGINT) AS hom FROM w""")
 def breakpoint_sequence(spark, d):
@@ -685,13 +824,18 @@ def breakpoint_sequence(spark, d):
     return nominate.breakpoint_sequences(x, 12).select("doc_id", "seq", F.col("hom_right").cast("long").alias("hom"))
 
 
-@query(f"WITH {EV} SELECT kind, round(avg(size) - 1.959963984540054 * stddev_samp(size) / sqrt(count(*)), 6) AS low, round(avg(size) + 1.959963984540054 * stddev_samp(size) / sqrt(count(*)), 6) AS high FROM ev GROUP BY 1")
+@query(f"""
+WITH {EV}
+SELECT kind, round(avg(size) - 1.959963984540054 * stddev_samp(size) / sqrt(count(*)), 6) AS low, round(avg(size) + 1.959963984540054 * stddev_samp(size) / sqrt(count(*)), 6) AS high
+FROM ev GROUP BY 1""")
 def mean_intervals(spark, d):
     x = ev(spark, d).groupBy("kind").agg(stats.mean_interval(F.col("size")).alias("m"))
     return x.select("kind", r6("m.low").alias("low"), r6("m.high").alias("high"))
 
 
-@query(f"WITH {IV} SELECT rname, tx, min(s) AS lo, max(e) AS hi, CAST(max(e) - min(s) AS BIGINT) AS span, count(*) FILTER (WHERE flag = 'N') AS fresh FROM iv GROUP BY 1, 2 HAVING max(e) - min(s) <= 400")
+@query(f"""
+WITH {IV} SELECT rname, tx, min(s) AS lo, max(e) AS hi, CAST(max(e) - min(s) AS BIGINT) AS span, count(*) FILTER (WHERE flag = 'N') AS fresh FROM iv
+GROUP BY 1, 2 HAVING max(e) - min(s) <= 400""")
 def span_filter(spark, d):
     x = iv(spark, d).groupBy("rname", "tx").agg(F.min("s").alias("lo"), F.max("e").alias("hi"), F.count(F.when(F.col("flag") == "N", 1)).alias("fresh"))
     return x.withColumn("span", F.col("hi") - F.col("lo")).filter(filters.insert_size_ok(F.col("span"), F.col("span"), 400, together=False))
@@ -699,7 +843,9 @@ def span_filter(spark, d):
 
 # ---------------------------------------------------------------- legacy operators
 
-@query(f"WITH {IV}, i AS (SELECT *, s - n AS cs, e + n AS ce, rname + s AS b FROM iv) SELECT rname, count(*) AS n FROM i WHERE cs < 9000 + n * 100 AND 9000 + n * 100 < ce GROUP BY 1")
+@query(f"""
+WITH {IV}, i AS (SELECT *, s - n AS cs, e + n AS ce, rname + s AS b FROM iv) SELECT rname, count(*) AS n FROM i WHERE cs < 9000 + n * 100
+AND 9000 + n * 100 < ce GROUP BY 1""")
 def boundary_spanning(spark, d):
     c = F.col
     return iv(spark, d).filter(legacy.spans_boundary(c("s") - c("n"), c("e") + c("n"), 9000 + c("n") * 100)).groupBy("rname").agg(F.count(F.lit(1)).alias("n"))
@@ -710,7 +856,9 @@ def unique_positions(spark, d):
     return legacy.enough_positions(iv(spark, d), ["rname", "tx"], "s", 2)
 
 
-@query(f"WITH {PK} SELECT qname FROM pk WHERE id5p <= 90 AND id3p <= 90 AND id5p - id3p <> 0 AND (id5p + id3p <= 2 * 60 OR abs(id5p - id3p) <= 20 OR prio[1:1] = CAST(id3p % 5 + 1 AS VARCHAR))")
+@query(f"""
+WITH {PK} SELECT qname FROM pk WHERE id5p <= 90 AND id3p <= 90 AND id5p - id3p <> 0
+AND (id5p + id3p <= 2 * 60 OR abs(id5p - id3p) <= 20 OR prio[1:1] = CAST(id3p % 5 + 1 AS VARCHAR))""")
 def distance_filters(spark, d):
     c = F.col
     near = legacy.genomically_concordant(F.abs(c("id5p") - c("id3p")), 20, (F.array(F.substring("prio", 1, 1)), F.array((c("id3p") % 5 + 1).cast("string"))))
@@ -723,31 +871,43 @@ def inter_reference(spark, d):
     return p.filter(legacy.between_references(F.col("r5"), F.col("r3")))
 
 
-@query(f"WITH {RD} SELECT doc_id, CAST(doc_id % 7 AS VARCHAR) || 'A' || CAST(doc_id % 5 + doc_id % 11 AS VARCHAR) || 'C' || CAST(doc_id % 3 AS VARCHAR) AS md FROM rd")
+@query(f"""
+WITH {RD} SELECT doc_id, CAST(doc_id % 7 AS VARCHAR) || 'A' || CAST(doc_id % 5 + doc_id % 11 AS VARCHAR) || 'C' || CAST(doc_id % 3 AS VARCHAR) AS md
+FROM rd""")
 def md_merge(spark, d):
     t = lambda k: (F.col("doc_id") % k).cast("string")
     return rd(spark, d).select("doc_id", legacy.md_merge(F.concat(t(7), F.lit("A"), t(5)), F.concat(t(11), F.lit("C"), t(3))).alias("md"))
 
 
-@query(f"WITH {RD}, x AS (SELECT doc_id, [[doc_id % 3, 9], [doc_id % 3, doc_id % 2 + 20], [doc_id % 2 + 20, 30], [doc_id % 5 + 40]] AS ids FROM rd) SELECT doc_id, CASE WHEN TRUE THEN '2,3' END AS cuts FROM x")
+@query(f"""
+WITH {RD}, x AS (SELECT doc_id, [[doc_id % 3, 9], [doc_id % 3, doc_id % 2 + 20], [doc_id % 2 + 20, 30], [doc_id % 5 + 40]] AS ids FROM rd)
+SELECT doc_id, CASE WHEN TRUE THEN '2,3' END AS cuts FROM x""")
 def split_points(spark, d):
     c = F.col("doc_id")
     ids = F.array(F.array(c % 3, F.lit(9).cast("long")), F.array(c % 3, c % 2 + 20), F.array(c % 2 + 20, F.lit(30).cast("long")), F.array(c % 5 + 40))
     return rd(spark, d).select("doc_id", F.array_join(legacy.split_points(ids).cast("array<string>"), ",").alias("cuts"))
 
 
-@query(f"WITH {EV}, h AS (SELECT frag, place % 7 AS r, min(size) AS lo, max(size) AS hi, count(DISTINCT mate) AS sides, count(*) AS n FROM ev GROUP BY 1, 2) SELECT frag, r, CASE WHEN sides = 1 THEN (SELECT min(CAST(mate AS VARCHAR)) FROM ev WHERE ev.frag = h.frag AND place % 7 = r) ELSE '.' END AS strand FROM h")
+@query(f"""
+WITH {EV}, h AS (SELECT frag, place % 7 AS r, min(size) AS lo, max(size) AS hi, count(DISTINCT mate) AS sides, count(*) AS n FROM ev GROUP BY 1, 2)
+SELECT frag, r, CASE WHEN sides = 1 THEN (SELECT min(CAST(mate AS VARCHAR)) FROM ev WHERE ev.frag = h.frag AND place % 7 = r) ELSE '.' END AS strand
+FROM h""")
 def strand_prediction(spark, d):
     e = ev(spark, d).select(F.struct("frag", (F.col("place") % 7).alias("r")).alias("read"), F.col("mate").cast("string").alias("strand"))
     return legacy.predict_strand(e, "read", "strand").select("read.frag", "read.r", "strand")
 
 
-@query(f"WITH {EV}, g AS (SELECT frag, count(*) AS ih, count(DISTINCT place) AS nh FROM ev GROUP BY 1) SELECT e.frag, e.event_id, CAST(row_number() OVER (PARTITION BY e.frag ORDER BY e.event_id) - 1 AS BIGINT) AS hi, ih, nh FROM ev e JOIN g USING (frag)")
+@query(f"""
+WITH {EV}, g AS (SELECT frag, count(*) AS ih, count(DISTINCT place) AS nh FROM ev GROUP BY 1)
+SELECT e.frag, e.event_id, CAST(row_number() OVER (PARTITION BY e.frag ORDER BY e.event_id) - 1 AS BIGINT) AS hi, ih, nh FROM ev e JOIN g USING (frag)""")
 def multihit_tags(spark, d):
     return big(legacy.annotate_multihits(ev(spark, d), ["frag"], ["place"], F.col("event_id")).select("frag", "event_id", "hi", "ih", "nh"), "hi")
 
 
-@query(f"WITH {IV}, x AS (SELECT rname, s AS spot, 1 AS d FROM iv UNION ALL SELECT rname, e, -1 FROM iv), y AS (SELECT rname, spot, sum(d) AS d FROM x GROUP BY 1, 2 HAVING sum(d) <> 0) SELECT rname, spot AS \"at\", CAST(sum(d) OVER (PARTITION BY rname ORDER BY spot ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM y")
+@query(f"""
+WITH {IV}, x AS (SELECT rname, s AS spot, 1 AS d FROM iv UNION ALL SELECT rname, e, -1 FROM iv), y AS (SELECT rname, spot, sum(d) AS d FROM x
+GROUP BY 1, 2 HAVING sum(d) <> 0) SELECT rname, spot AS \"at\", CAST(sum(d) OVER (PARTITION BY rname
+ORDER BY spot ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM y""")
 def pileup(spark, d):
     return big(legacy.pileup(iv(spark, d), ["rname"], "s", "e"), "depth")
 
@@ -757,25 +917,38 @@ def spanning_score(spark, d):
     return legacy.spanning_score(ev(spark, d).withColumn("m", F.col("place") + 1), ["frag"], "size", "m", 10).select("frag", r6("score").alias("score"))
 
 
-@query(f"WITH {IV}, m AS (SELECT frag, count(*) FILTER (WHERE orient = 1) AS n1, count(*) FILTER (WHERE orient = 2) AS n2, count(DISTINCT rname % 5) AS refs, max(e) - min(s) AS isize FROM iv GROUP BY 1) SELECT frag, isize FROM m WHERE n1 = 1 AND n2 = 1 AND refs = 1")
+@query(f"""
+WITH {IV},
+m AS (SELECT frag, count(*) FILTER (WHERE orient = 1) AS n1, count(*) FILTER (WHERE orient = 2) AS n2, count(DISTINCT rname % 5) AS refs, max(e) - min(s) AS isize
+FROM iv GROUP BY 1) SELECT frag, isize FROM m WHERE n1 = 1 AND n2 = 1 AND refs = 1""")
 def unique_isizes(spark, d):
     return legacy.unique_insert_sizes(iv(spark, d).withColumn("mate", F.col("orient")).withColumn("rname", F.col("rname") % 5), "frag")
 
 
-@query(f"""WITH {PK}, p AS (SELECT qname, price % 6 AS x, id5p % 5 AS y, id3p % 4 AS z FROM pk), g AS (SELECT x, y, z, count(*) AS n FROM p GROUP BY 1, 2, 3), c AS (SELECT a.x, a.y, a.z, sum(b.n) / (SELECT count(*) FROM p) AS prob FROM g a JOIN g b ON b.x <= a.x AND b.y <= a.y AND b.z <= a.z GROUP BY 1, 2, 3),
-s AS (SELECT p.*, prob FROM p JOIN c USING (x, y, z)) SELECT qname, round(prob, 6)::DOUBLE AS prob FROM s WHERE prob >= (SELECT quantile_cont(prob, 0.9) FROM s) - 1e-12""")
+@query(f"""WITH {PK}, p AS (SELECT qname, price % 6 AS x, id5p % 5 AS y, id3p % 4 AS z FROM pk), g AS (SELECT x, y, z, count(*) AS n FROM p
+GROUP BY 1, 2, 3), c AS (SELECT a.x, a.y, a.z, sum(b.n) / (SELECT count(*) FROM p) AS prob FROM g a JOIN g b ON b.x <= a.x AND b.y <= a.y
+AND b.z <= a.z GROUP BY 1, 2, 3),
+s AS (SELECT p.*, prob FROM p JOIN c USING (x, y, z)) SELECT qname, round(prob, 6)::DOUBLE AS prob FROM s
+WHERE prob >= (SELECT quantile_cont(prob, 0.9) FROM s) - 1e-12""")
 def empirical_rank(spark, d):
     p = pk(spark, d).select("qname", (F.col("price") % 6).alias("x"), (F.col("id5p") % 5).alias("y"), (F.col("id3p") % 4).alias("z"))
     return legacy.rank_empirically(p, ("x", "y", "z"), 90).select("qname", r6("prob").alias("prob"))
 
 
-@query(f"WITH {IV}, x AS (SELECT DISTINCT rname AS chrom, frag AS tx_id, s, e, strand FROM iv), {island_sql('chrom', 0, 'x')}, k AS (SELECT DISTINCT x.chrom, i.island_start, x.strand FROM x JOIN isl i ON x.chrom = i.chrom AND x.s >= i.island_start AND x.s <= i.island_end), o AS (SELECT *, CAST(row_number() OVER (ORDER BY chrom, island_start, strand) - 1 AS BIGINT) AS cluster FROM k) SELECT x.chrom, x.tx_id, x.s AS tx_start, x.e AS tx_end, x.strand, o.cluster FROM x JOIN isl i ON x.chrom = i.chrom AND x.s >= i.island_start AND x.s <= i.island_end JOIN o ON o.chrom = x.chrom AND o.island_start = i.island_start AND o.strand = x.strand")
+@query(f"""
+WITH {IV}, x AS (SELECT DISTINCT rname AS chrom, frag AS tx_id, s, e, strand FROM iv), {island_sql('chrom', 0, 'x')},
+k AS (SELECT DISTINCT x.chrom, i.island_start, x.strand FROM x JOIN isl i ON x.chrom = i.chrom AND x.s >= i.island_start AND x.s <= i.island_end),
+o AS (SELECT *, CAST(row_number() OVER (ORDER BY chrom, island_start, strand) - 1 AS BIGINT) AS cluster FROM k)
+SELECT x.chrom, x.tx_id, x.s AS tx_start, x.e AS tx_end, x.strand, o.cluster FROM x JOIN isl i ON x.chrom = i.chrom AND x.s >= i.island_start
+AND x.s <= i.island_end JOIN o ON o.chrom = x.chrom AND o.island_start = i.island_start AND o.strand = x.strand""")
 def span_clusters(spark, d):
     t = iv(spark, d).select(F.col("rname").alias("chrom"), F.col("frag").alias("tx_id"), F.col("s").alias("tx_start"), F.col("e").alias("tx_end"), "strand").distinct()
     return big(legacy.span_clusters(t), "cluster")
 
 
-@query(f"WITH {EV}, r AS (SELECT frag, kind, min(place % 9) AS lo, max(place % 9) AS hi FROM ev GROUP BY 1, 2) SELECT frag, count(DISTINCT (lo, hi)) AS runs, max(hi - lo) AS widest FROM r GROUP BY 1")
+@query(f"""
+WITH {EV}, r AS (SELECT frag, kind, min(place % 9) AS lo, max(place % 9) AS hi FROM ev GROUP BY 1, 2)
+SELECT frag, count(DISTINCT (lo, hi)) AS runs, max(hi - lo) AS widest FROM r GROUP BY 1""")
 def segment_cover(spark, d):
     e = ev(spark, d).withColumn("seg", F.col("place") % 9)
     cover = legacy.merge_mate_clusters(e, "frag", "kind", "seg").select("frag", F.array_max(F.transform("runs", lambda r: r["last"] - r["first"])).cast("long").alias("widest"))
@@ -783,7 +956,9 @@ def segment_cover(spark, d):
     return runs.join(cover, "frag")
 
 
-@query("WITH x AS (SELECT DISTINCT p_size AS chrom, p_partkey % 10 * 100 AS a, p_partkey % 10 * 100 + p_size + 5 AS b FROM part) SELECT CAST(chrom AS BIGINT) AS chrom, CAST(a + 4 AS BIGINT) AS start, CAST(b AS BIGINT) AS stop FROM x")
+@query("""
+WITH x AS (SELECT DISTINCT p_size AS chrom, p_partkey % 10 * 100 AS a, p_partkey % 10 * 100 + p_size + 5 AS b FROM part)
+SELECT CAST(chrom AS BIGINT) AS chrom, CAST(a + 4 AS BIGINT) AS start, CAST(b AS BIGINT) AS stop FROM x""")
 def splice_junctions(spark, d):
     p, c = table(spark, d, "part"), F.col
     a, b = (c("p_partkey") % 10 * 100).cast("int"), (c("p_partkey") % 10 * 100 + c("p_size") + 5).cast("int")
@@ -810,7 +985,8 @@ def fasta_fetch(spark, d):
 
 
 @query(f"""WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS p, doc_id % 11 + 1 AS m, doc_id % 5 + 1 AS k, doc_id % 13 + 1 AS n FROM rd)
-SELECT 'q' || doc_id AS qname, CAST(CASE WHEN doc_id % 2 = 0 THEN 16 ELSE 0 END AS BIGINT) AS flag, p AS pos, CASE doc_id % 3 WHEN 0 THEN p + m + n + k WHEN 1 THEN p + m + k ELSE p + m + 3 + k END AS "end", doc_id % 4 AS nh, 'chr' || (doc_id % 5) AS rname FROM x""")
+SELECT 'q' || doc_id AS qname, CAST(CASE WHEN doc_id % 2 = 0 THEN 16 ELSE 0 END AS BIGINT) AS flag, p AS pos, CASE doc_id % 3
+WHEN 0 THEN p + m + n + k WHEN 1 THEN p + m + k ELSE p + m + 3 + k END AS "end", doc_id % 4 AS nh, 'chr' || (doc_id % 5) AS rname FROM x""")
 def sam_files(spark, d):
     c = F.col
     a = _cigars(spark, d).select(F.concat(F.lit("q"), c("doc_id").cast("string")).alias("qname"), F.when(c("doc_id") % 2 == 0, 16).otherwise(0).alias("flag"), F.concat(F.lit("chr"), (c("doc_id") % 5).cast("string")).alias("rname"), "pos", F.lit(60).alias("mapq"), c("ops").alias("cigar"),
@@ -819,7 +995,10 @@ def sam_files(spark, d):
     return big(io.read_sam(spark, path).select("qname", "flag", "pos", "end", "nh", "rname"), "flag", "pos", "end", "nh")
 
 
-@query(f"WITH {IV}, x AS (SELECT DISTINCT rname, frag, s, e, strand FROM iv WHERE e > s) SELECT 'c' || rname AS chrom, 't' || frag AS tx, CAST(min(s) AS BIGINT) AS tx_start, max_by(e, (s, e)) AS tx_end, count(DISTINCT (s, e)) AS exon_count, min(strand) AS strand FROM x GROUP BY rname, frag")
+@query(f"""
+WITH {IV}, x AS (SELECT DISTINCT rname, frag, s, e, strand FROM iv WHERE e > s)
+SELECT 'c' || rname AS chrom, 't' || frag AS tx, CAST(min(s) AS BIGINT) AS tx_start, max_by(e, (s, e)) AS tx_end, count(DISTINCT (s, e)) AS exon_count, min(strand) AS strand
+FROM x GROUP BY rname, frag""")
 def gtf_files(spark, d):
     c = F.col
     x = iv(spark, d).filter("e > s").select(F.concat(F.lit("c"), c("rname").cast("string")).alias("seqid"), F.lit("ens").alias("source"), F.lit("exon").alias("feature_type"), c("s").cast("int").alias("start"), c("e").cast("int").alias("end"), F.lit(0.0).alias("score"), "strand", F.lit(".").alias("phase"), F.create_map(F.lit("transcript_id"), F.concat(F.lit("t"), c("frag").cast("string"))).alias("attrs"))
@@ -829,7 +1008,9 @@ def gtf_files(spark, d):
     return big(tables.read_transcripts(spark, again).select("chrom", F.get("tx_names", F.lit(0)).alias("tx"), "tx_start", "tx_end", "exon_count", "strand"), "tx_start", "tx_end", "exon_count")
 
 
-@query(f"WITH {PK}, g AS (SELECT id5p, id3p, string_agg(qname, ',' ORDER BY qname) AS qnames FROM pk GROUP BY 1, 2) SELECT CAST(row_number() OVER (ORDER BY CAST(id5p AS VARCHAR), CAST(id3p AS VARCHAR)) - 1 AS BIGINT) AS pair_id, id5p, id3p, qnames FROM g")
+@query(f"""
+WITH {PK}, g AS (SELECT id5p, id3p, string_agg(qname, ',' ORDER BY qname) AS qnames FROM pk GROUP BY 1, 2)
+SELECT CAST(row_number() OVER (ORDER BY CAST(id5p AS VARCHAR), CAST(id3p AS VARCHAR)) - 1 AS BIGINT) AS pair_id, id5p, id3p, qnames FROM g""")
 def pair_files(spark, d):
     p = pk(spark, d).groupBy("id5p", "id3p").agg(F.array_sort(F.collect_list("qname")).cast("array<string>").alias("qnames"))
     tables.write_pairs(cluster.with_pair_ids(p), path := scratch_path(spark, "pairs"))

@@ -56,9 +56,12 @@ def full_mates(spark, d):
     return big(out.select(c("qname").cast("long").alias("doc_id"), "seq", "qual", cigar.render(c("cigar")).alias("cigar"), "flag"), "flag")
 
 
-@query(f"""WITH {PK}, p AS (SELECT qname, id5p % 3 AS r1, id3p % 3 AS r2, price % 1000 AS p1, price % 1000 + 30 AS e1, id3p * 9 AS p2, id3p * 9 + 40 AS e2, price % 2 * 16 AS f1, qname % 2 * 16 + CASE WHEN qname % 7 = 0 THEN 4 ELSE 0 END AS f2 FROM pk),
+@query(f"""WITH {PK},
+p AS (SELECT qname, id5p % 3 AS r1, id3p % 3 AS r2, price % 1000 AS p1, price % 1000 + 30 AS e1, id3p * 9 AS p2, id3p * 9 + 40 AS e2, price % 2 * 16 AS f1, qname % 2 * 16 + CASE
+WHEN qname % 7 = 0 THEN 4 ELSE 0 END AS f2 FROM pk),
 s AS (SELECT *, CASE WHEN r1 <> r2 THEN 0 WHEN p1 > p2 THEN -(e1 - p2) ELSE e2 - p1 END AS size FROM p)
-SELECT qname, 3 + 64 + f1 + CASE WHEN qname % 2 = 1 THEN 32 ELSE 0 END + CASE WHEN qname % 7 = 0 THEN 8 ELSE 0 END AS flag, r2 AS rnext, p2 AS pnext, size AS tlen, CAST(r1 AS VARCHAR) || ':' || qname AS tags FROM s
+SELECT qname, 3 + 64 + f1 + CASE WHEN qname % 2 = 1 THEN 32 ELSE 0 END + CASE WHEN qname % 7 = 0 THEN 8
+ELSE 0 END AS flag, r2 AS rnext, p2 AS pnext, size AS tlen, CAST(r1 AS VARCHAR) || ':' || qname AS tags FROM s
 UNION ALL SELECT qname, 3 + 128 + f2 + CASE WHEN f1 = 16 THEN 32 ELSE 0 END, r1, p1, -size, CAST(r2 AS VARCHAR) || ':' || qname FROM s""")
 def paired_mates(spark, d):
     """P7, and the tag map's update."""
@@ -71,7 +74,9 @@ def paired_mates(spark, d):
     return big(out.select("qname", "flag", "rnext", "pnext", "tlen", F.concat(c("tags")["RF"], F.lit(":"), c("tags")["XO"]).alias("tags")), "flag", "rnext", "pnext", "tlen")
 
 
-@query(f"WITH {RD} SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS BIGINT) AS mate, other AS r2, qual AS q2, CAST(CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS orient FROM rd WHERE doc_id % 3 < 2")
+@query(f"""
+WITH {RD} SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS BIGINT) AS mate, other AS r2, qual AS q2, CAST(CASE
+WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS orient FROM rd WHERE doc_id % 3 < 2""")
 def unpaired_with_mate(spark, d):
     """D4."""
     r, un = rd(spark, d), c("doc_id") % 3
@@ -83,7 +88,8 @@ def unpaired_with_mate(spark, d):
     return big(mates.with_unmapped_mates(a).select("doc_id", "mate", "r2", "q2", "orient"), "mate", "orient")
 
 
-@query(f"""WITH {MATES}, p AS (SELECT a.frag, a.gene = b.gene AS g, a.tx = b.tx AS t, a.rev <> b.rev AS ok FROM m a JOIN m b ON a.frag = b.frag AND a.mate = 1 AND b.mate = 2),
+@query(f"""WITH {MATES}, p AS (SELECT a.frag, a.gene = b.gene AS g, a.tx = b.tx AS t, a.rev <> b.rev AS ok FROM m a JOIN m b ON a.frag = b.frag
+AND a.mate = 1 AND b.mate = 2),
 k AS (SELECT frag, CASE WHEN t AND ok THEN 0 WHEN g AND ok THEN 1 WHEN t THEN 2 WHEN g THEN 3 WHEN ok THEN 4 END AS tier FROM p)
 SELECT frag, CAST([0, 2, 1, 3, 9][min(tier) + 1] AS BIGINT) AS code FROM k WHERE tier IS NOT NULL GROUP BY 1""")
 def discordance_tags(spark, d):
@@ -107,14 +113,18 @@ def _clusters(spark, d):
     return a.groupBy("cluster_id", "rname").agg(F.min("s").alias("s"), (F.max("e") - 20).alias("e"), F.collect_set(F.when(c("flag") == "A", c("frag"))).alias("qnames"))
 
 
-@query(f"WITH {IV}, {CLUSTERS} SELECT k.cluster_id, count(*) AS reads, CAST(sum(iv.s) AS BIGINT) AS places FROM k JOIN w USING (cluster_id) JOIN iv ON iv.rname = k.rname AND iv.frag = w.frag AND iv.e > k.s AND iv.s < k.e GROUP BY 1")
+@query(f"""
+WITH {IV}, {CLUSTERS} SELECT k.cluster_id, count(*) AS reads, CAST(sum(iv.s) AS BIGINT) AS places FROM k JOIN w USING (cluster_id)
+JOIN iv ON iv.rname = k.rname AND iv.frag = w.frag AND iv.e > k.s AND iv.s < k.e GROUP BY 1""")
 def cluster_reads(spark, d):
     """J4 and J5."""
     r = iv(spark, d).select(c("frag").alias("qname"), "rname", c("s").alias("s2"), c("e").alias("e2"))
     return mates.reads_of_clusters(_clusters(spark, d), r, "qnames").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("reads"), F.sum("s2").alias("places"))
 
 
-@query(f"WITH {IV}, h AS (SELECT DISTINCT tx % 50 AS chimera_id, rname FROM iv WHERE flag = 'A') SELECT chimera_id, count(*) AS reads FROM h JOIN iv USING (rname) WHERE strand = '+' GROUP BY 1")
+@query(f"""
+WITH {IV}, h AS (SELECT DISTINCT tx % 50 AS chimera_id, rname FROM iv WHERE flag = 'A') SELECT chimera_id, count(*) AS reads FROM h
+JOIN iv USING (rname) WHERE strand = '+' GROUP BY 1""")
 def chimera_reads(spark, d):
     """J23."""
     a = iv(spark, d)
@@ -132,7 +142,9 @@ def fragments_with_sequences(spark, d):
     return found.select(c("qname").alias("doc_id"), "seq1", "seq2", "qual1", "qual2")
 
 
-@query(f"WITH {RD} SELECT doc_id, CAST(m AS BIGINT) AS mate, CASE WHEN m = 1 THEN seq ELSE other END AS seq, qual, CAST(77 + (m - 1) * 64 AS BIGINT) AS flag FROM rd, (VALUES (1), (2)) v(m)")
+@query(f"""
+WITH {RD} SELECT doc_id, CAST(m AS BIGINT) AS mate, CASE WHEN m = 1 THEN seq ELSE other END AS seq, qual, CAST(77 + (m - 1) * 64 AS BIGINT) AS flag
+FROM rd, (VALUES (1), (2)) v(m)""")
 def raw_round_trip(spark, d):
     """Reads as unmapped alignments, written and turned into reads again."""
     r = rd(spark, d)
@@ -143,7 +155,9 @@ def raw_round_trip(spark, d):
     return big(reads.select(c("qname").cast("long").alias("doc_id"), "mate", "seq", "qual", "flag"), "mate", "flag")
 
 
-@query(f"WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS pos FROM rd) SELECT doc_id % 5 AS ref, count(*) AS rows, min(pos) AS first, CAST(any_value(500 + doc_id % 5) AS BIGINT) AS length FROM x GROUP BY 1")
+@query(f"""
+WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS pos FROM rd)
+SELECT doc_id % 5 AS ref, count(*) AS rows, min(pos) AS first, CAST(any_value(500 + doc_id % 5) AS BIGINT) AS length FROM x GROUP BY 1""")
 def sam_with_header(spark, d):
     """K4: the header's references come back with the rows."""
     r = rd(spark, d)
@@ -158,7 +172,9 @@ def sam_with_header(spark, d):
     return rows.select(F.substring("rname", 4, 9).cast("long").alias("ref"), "rows", "first", "length")
 
 
-@query(f"WITH {EV} SELECT e.frag, e.event_id FROM ev e JOIN (SELECT frag, min(CASE WHEN size % 5 = 0 THEN 1 WHEN size % 3 > 0 THEN 0 ELSE 2 END) AS best FROM ev GROUP BY 1) b USING (frag) WHERE b.best < 2 AND b.best = CASE WHEN size % 5 = 0 THEN 1 WHEN size % 3 > 0 THEN 0 ELSE 2 END")
+@query(f"""
+WITH {EV} SELECT e.frag, e.event_id FROM ev e JOIN (SELECT frag, min(CASE WHEN size % 5 = 0 THEN 1 WHEN size % 3 > 0 THEN 0 ELSE 2 END) AS best
+FROM ev GROUP BY 1) b USING (frag) WHERE b.best < 2 AND b.best = CASE WHEN size % 5 = 0 THEN 1 WHEN size % 3 > 0 THEN 0 ELSE 2 END""")
 def primary_alignments(spark, d):
     """F31."""
     flag = F.when(c("size") % 5 == 0, 4).when(c("size") % 3 > 0, 0).otherwise(256)
@@ -171,7 +187,9 @@ def unmapped_kinds(spark, d):
     return ev(spark, d).groupBy(filters.unmapped_kind(c("place") < 50, c("size"), 40).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {PK} SELECT qname FROM pk WHERE (CASE WHEN price % 3 = 1 THEN 0 WHEN price % 5 = 1 THEN 1 WHEN price % 7 = 1 THEN 2 ELSE 99 END) <= 1 AND (id5p / 4.0) / (id3p + 1) >= 0.3")
+@query(f"""
+WITH {PK} SELECT qname FROM pk WHERE (CASE WHEN price % 3 = 1 THEN 0 WHEN price % 5 = 1 THEN 1 WHEN price % 7 = 1 THEN 2 ELSE 99 END) <= 1
+AND (id5p / 4.0) / (id3p + 1) >= 0.3""")
 def multimap_ratios(spark, d):
     """F23."""
     hist = F.array(*[(c("price") % n == 1).cast("int") for n in (3, 5, 7)])
@@ -184,7 +202,8 @@ def spanning_candidates(spark, d):
     return pk(spark, d).filter(filters.spanning_candidate(F.array("id3p", c("id3p") + 50), c("id5p"), c("id5p") + 20, 3)).select("qname")
 
 
-@query(f"""WITH {PK}, x AS (SELECT qname % 300 AS read, id5p % 4 AS u, id3p % 3 AS s, [price % 2, id5p % 3] AS h, price % 5 / 10.0 AS p, qname % 3 AS m, qname FROM pk)
+@query(f"""WITH {PK},
+x AS (SELECT qname % 300 AS read, id5p % 4 AS u, id3p % 3 AS s, [price % 2, id5p % 3] AS h, price % 5 / 10.0 AS p, qname % 3 AS m, qname FROM pk)
 SELECT read, qname FROM (SELECT *, rank() OVER (PARTITION BY read ORDER BY u DESC, s DESC, h[1] DESC, h[2] DESC, p DESC, m) AS r FROM x) WHERE r = 1""")
 def resolve_histogram(spark, d):
     """W10."""
@@ -192,7 +211,9 @@ def resolve_histogram(spark, d):
     return mates.resolve_by_histogram(x.withColumnRenamed("read", "qname")).select(c("qname").alias("read"), c("id").alias("qname"))
 
 
-@query(f"WITH {RD} SELECT DISTINCT doc_id % 40 AS chimera_id, doc_id AS qname FROM rd WHERE doc_id % 50 - 4 < 20 + doc_id % 40 % 9 AND 20 + doc_id % 40 % 9 < doc_id % 50 + 16")
+@query(f"""
+WITH {RD} SELECT DISTINCT doc_id % 40 AS chimera_id, doc_id AS qname FROM rd WHERE doc_id % 50 - 4 < 20 + doc_id % 40 % 9
+AND 20 + doc_id % 40 % 9 < doc_id % 50 + 16""")
 def spanning_nomination(spark, d):
     """D15."""
     ops = F.array(F.struct(F.lit(4).alias("op"), F.lit(4).alias("len")), F.struct(F.lit(0).alias("op"), F.lit(16).alias("len"))).cast(_OPS)
@@ -201,10 +222,13 @@ def spanning_nomination(spark, d):
 
 
 @query(f"""WITH {RD}, r AS (SELECT doc_id, substr(seq, 5, 10) || substr(other, 9, 12) AS read, seq, other FROM rd), g AS (SELECT unnest(range(0, 21)) AS j),
-h AS (SELECT doc_id, 0 AS side, i.j AS i, j.j AS j FROM r, (SELECT unnest(range(0, 15)) AS j) i, (SELECT unnest(range(0, 25)) AS j) j WHERE substr(read, CAST(i.j + 1 AS BIGINT), 8) = substr(seq, CAST(j.j + 1 AS BIGINT), 8)
- UNION ALL SELECT doc_id, 1, i.j, j.j FROM r, (SELECT unnest(range(0, 15)) AS j) i, (SELECT unnest(range(0, 25)) AS j) j WHERE substr(read, CAST(i.j + 1 AS BIGINT), 8) = substr(other, CAST(j.j + 1 AS BIGINT), 8)),
+h AS (SELECT doc_id, 0 AS side, i.j AS i, j.j AS j FROM r, (SELECT unnest(range(0, 15)) AS j) i, (SELECT unnest(range(0, 25)) AS j) j
+WHERE substr(read, CAST(i.j + 1 AS BIGINT), 8) = substr(seq, CAST(j.j + 1 AS BIGINT), 8)
+UNION ALL SELECT doc_id, 1, i.j, j.j FROM r, (SELECT unnest(range(0, 15)) AS j) i, (SELECT unnest(range(0, 25)) AS j) j
+WHERE substr(read, CAST(i.j + 1 AS BIGINT), 8) = substr(other, CAST(j.j + 1 AS BIGINT), 8)),
 n AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, side, j - i ORDER BY i) AS run FROM h)
-SELECT doc_id, CAST(side AS BIGINT) AS side, min(i) AS read_start, min(j) AS ref_start, max(i) - min(i) + 8 AS length FROM n GROUP BY doc_id, side, j - i, run""")
+SELECT doc_id, CAST(side AS BIGINT) AS side, min(i) AS read_start, min(j) AS ref_start, max(i) - min(i) + 8 AS length FROM n
+GROUP BY doc_id, side, j - i, run""")
 def local_alignment(spark, d):
     """Reads over a junction against both sides of their own pair."""
     r = rd(spark, d)
@@ -214,7 +238,8 @@ def local_alignment(spark, d):
     return big(hits.select(c("read_id").cast("long").alias("doc_id"), F.split("ref_id", ":")[1].cast("long").alias("side"), "read_start", "ref_start", "length"), "read_start", "ref_start", "length")
 
 
-@query(f"""WITH {RD}, x AS (SELECT doc_id, seq, CASE WHEN doc_id % 3 = 0 THEN substr(seq, 9, 12) || substr(other, 1, 20) ELSE other END AS tgt FROM rd), i AS (SELECT unnest(range(1, 7)) AS i), j AS (SELECT unnest(range(1, 14)) AS j)
+@query(f"""WITH {RD}, x AS (SELECT doc_id, seq, CASE WHEN doc_id % 3 = 0 THEN substr(seq, 9, 12) || substr(other, 1, 20) ELSE other END AS tgt
+FROM rd), i AS (SELECT unnest(range(1, 7)) AS i), j AS (SELECT unnest(range(1, 14)) AS j)
 SELECT DISTINCT doc_id AS chimera_id FROM x, i, j WHERE substr(seq, 8 + CAST(i AS BIGINT), 10) = substr(tgt, CAST(j AS BIGINT), 10)""")
 def homologous_genes(spark, d):
     """F29."""
@@ -231,7 +256,9 @@ def homologous_genes(spark, d):
 MIXED = f"{IV}, a AS (SELECT frag, rname % 7 AS rname, s, CASE WHEN frag % 40 = 0 THEN s + 1500000 ELSE e END AS e FROM iv WHERE flag = 'A'), b AS (SELECT tx, rname % 7 AS rname, s + n * 10000 AS s2, CASE WHEN tx % 50 = 0 THEN s + n * 10000 + 4000 ELSE e + n * 10000 END AS e2 FROM iv WHERE flag = 'R' AND tx % 5 = 0)"
 
 
-@query(f"WITH {MIXED} SELECT a.rname, count(*) AS pairs, CAST(sum(least(e, e2) - greatest(s, s2)) AS BIGINT) AS bases FROM a JOIN b ON a.rname = b.rname AND e2 > s AND s2 < e GROUP BY 1")
+@query(f"""
+WITH {MIXED} SELECT a.rname, count(*) AS pairs, CAST(sum(least(e, e2) - greatest(s, s2)) AS BIGINT) AS bases FROM a JOIN b ON a.rname = b.rname
+AND e2 > s AND s2 < e GROUP BY 1""")
 def overlap_mixed_lengths(spark, d):
     """J1 over intervals from days to a million and a half, with bins that follow the lengths."""
     x = iv(spark, d)
@@ -242,7 +269,9 @@ def overlap_mixed_lengths(spark, d):
     return met.groupBy("rname").agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.least("e", "e2") - F.greatest("s", "s2")).alias("bases"))
 
 
-@query(f"WITH {IV} SELECT rname, s, e, frag FROM iv a WHERE flag = 'A' AND NOT EXISTS (SELECT 1 FROM iv b WHERE b.flag = 'R' AND a.rname = b.rname AND b.e > a.s AND b.s < a.e)")
+@query(f"""
+WITH {IV} SELECT rname, s, e, frag FROM iv a WHERE flag = 'A' AND NOT EXISTS (SELECT 1 FROM iv b WHERE b.flag = 'R' AND a.rname = b.rname
+AND b.e > a.s AND b.s < a.e)""")
 def overlap_anti_rows(spark, d):
     """Repeated rows stay as often as they are there."""
     a = iv(spark, d)
@@ -257,9 +286,12 @@ def island_items(spark, d):
     return intervals.list_islands(iv(spark, d), ["rname", "tx"], "frag").select("rname", "tx", "island_start", joined(c("items")).alias("items"))
 
 
-@query(f"""WITH {PK}, p AS (SELECT qname AS pair_id, id5p % 3 AS r5, id3p % 3 AS r3, id5p * 4 AS s5, id5p * 4 + 60 AS e5, id3p * 9 AS s3, id3p * 9 + 40 AS e3, price % 2 = 0 AS p5 FROM pk),
+@query(f"""WITH {PK},
+p AS (SELECT qname AS pair_id, id5p % 3 AS r5, id3p % 3 AS r3, id5p * 4 AS s5, id5p * 4 + 60 AS e5, id3p * 9 AS s3, id3p * 9 + 40 AS e3, price % 2 = 0 AS p5
+FROM pk),
 x AS (SELECT k % 3 AS rname, k * 7 % 800 AS s2, k * 7 % 800 + 11 AS e2, k AS tx_id, k % 2 = 0 AS plus FROM (SELECT CAST(unnest(range(0, 120)) AS BIGINT) AS k))
-SELECT pair_id, count(DISTINCT tx_id) AS between_all, count(DISTINCT CASE WHEN plus = p5 THEN tx_id END) AS between_same FROM p JOIN x ON r5 = r3 AND rname = r5 AND s2 > least(e5, e3) AND e2 < greatest(s5, s3) AND tx_id <> pair_id % 120 GROUP BY 1""")
+SELECT pair_id, count(DISTINCT tx_id) AS between_all, count(DISTINCT CASE WHEN plus = p5 THEN tx_id END) AS between_same FROM p JOIN x ON r5 = r3
+AND rname = r5 AND s2 > least(e5, e3) AND e2 < greatest(s5, s3) AND tx_id <> pair_id % 120 GROUP BY 1""")
 def intervening_transcripts(spark, d):
     """J18 on intervals, and O11: a pair's own transcripts don't count."""
     p = pk(spark, d)
@@ -272,7 +304,11 @@ def intervening_transcripts(spark, d):
     return annotate.intervening(pairs, exons)
 
 
-@query(f"WITH {IV}, t AS (SELECT DISTINCT rname, strand, s, e, 'g' || (tx % 20) AS gene, 't' || frag AS name FROM iv WHERE flag = 'R'), q AS (SELECT DISTINCT frag AS cluster_id, rname, strand, s, e FROM iv WHERE flag = 'A') SELECT cluster_id, q.rname, q.strand, q.s, q.e, string_agg(DISTINCT gene, ',' ORDER BY gene) AS genes FROM q JOIN t ON q.rname = t.rname AND q.strand = t.strand AND t.e > q.s AND t.s < q.e GROUP BY ALL")
+@query(f"""
+WITH {IV}, t AS (SELECT DISTINCT rname, strand, s, e, 'g' || (tx % 20) AS gene, 't' || frag AS name FROM iv WHERE flag = 'R'),
+q AS (SELECT DISTINCT frag AS cluster_id, rname, strand, s, e FROM iv WHERE flag = 'A')
+SELECT cluster_id, q.rname, q.strand, q.s, q.e, string_agg(DISTINCT gene, ',' ORDER BY gene) AS genes FROM q JOIN t ON q.rname = t.rname
+AND q.strand = t.strand AND t.e > q.s AND t.s < q.e GROUP BY ALL""")
 def cluster_transcripts(spark, d):
     """J17 and J16."""
     a = iv(spark, d)
@@ -283,7 +319,9 @@ def cluster_transcripts(spark, d):
     return named.select("cluster_id", "rname", "strand", "s", "e", joined(c("genes")).alias("genes"))
 
 
-@query(f"WITH {PK}, h AS (SELECT id5p, [sum(price % 2), sum(price % 3), sum(price % 5)] AS h FROM pk GROUP BY 1) SELECT id5p, CAST(h[1] AS BIGINT) AS b0, CAST(h[2] AS BIGINT) AS b1, CAST(h[3] AS BIGINT) AS b2 FROM h")
+@query(f"""
+WITH {PK}, h AS (SELECT id5p, [sum(price % 2), sum(price % 3), sum(price % 5)] AS h FROM pk GROUP BY 1)
+SELECT id5p, CAST(h[1] AS BIGINT) AS b0, CAST(h[2] AS BIGINT) AS b1, CAST(h[3] AS BIGINT) AS b2 FROM h""")
 def histogram_sums(spark, d):
     """Histograms added bin by bin."""
     h = legacy.sum_histograms(pk(spark, d).withColumn("h", F.array(c("price") % 2, c("price") % 3, c("price") % 5)), ["id5p"], "h")
@@ -296,14 +334,18 @@ def valid_bases(spark, d):
     return table(spark, d, "documents").select("doc_id", sequence.has_bases(F.upper(F.md5("text"))).alias("some"))
 
 
-@query(f"WITH {IV}, x AS (SELECT DISTINCT frag, rname, s, e, tx, strand FROM iv), n AS (SELECT k, 'seg' || k AS name FROM (SELECT CAST(unnest(range(0, 90)) AS BIGINT) AS k)) SELECT frag, s, e, tx, strand, name AS rname FROM x JOIN n ON k = rname")
+@query(f"""
+WITH {IV}, x AS (SELECT DISTINCT frag, rname, s, e, tx, strand FROM iv), n AS (SELECT k, 'seg' || k AS name
+FROM (SELECT CAST(unnest(range(0, 90)) AS BIGINT) AS k)) SELECT frag, s, e, tx, strand, name AS rname FROM x JOIN n ON k = rname""")
 def renamed_references(spark, d):
     """P20 with the operator itself."""
     names = spark.range(90).select(c("id").alias("old"), F.concat(F.lit("seg"), text(c("id"))).alias("new"))
     return discovery.rename_references(iv(spark, d).select("frag", "rname", "s", "e", "tx", "strand").distinct(), names, "rname")
 
 
-@query(f"WITH {IV}, m AS (SELECT DISTINCT frag, rname % 50 AS cluster, orient FROM iv) SELECT a.cluster AS id5p, b.cluster AS id3p, string_agg(frag, ',' ORDER BY frag) AS qnames FROM m a JOIN m b USING (frag) WHERE a.orient = 1 AND b.orient = 2 GROUP BY 1, 2")
+@query(f"""
+WITH {IV}, m AS (SELECT DISTINCT frag, rname % 50 AS cluster, orient FROM iv) SELECT a.cluster AS id5p, b.cluster AS id3p, string_agg(frag, ','
+ORDER BY frag) AS qnames FROM m a JOIN m b USING (frag) WHERE a.orient = 1 AND b.orient = 2 GROUP BY 1, 2""")
 def cluster_pairs(spark, d):
     """A4 and J11 with the operator itself."""
     from lociq.operators.cluster import pair_clusters
@@ -312,8 +354,10 @@ def cluster_pairs(spark, d):
     return pair_clusters(m, "frag", "cluster", "orient").select("id5p", "id3p", joined(c("qnames")).alias("qnames"))
 
 
-@query(f"""WITH {EV}, h AS (SELECT frag, place, kind, size % 4 AS hit, event_id FROM ev), a AS (SELECT frag, place, kind, string_agg(hit || ':' || event_id, ',' ORDER BY hit, event_id) AS hits FROM h GROUP BY 1, 2, 3),
-b AS (SELECT frag, place, string_agg(kind || '(' || hits || ')', ';' ORDER BY kind) AS splits FROM a GROUP BY 1, 2) SELECT frag, string_agg(place || '[' || splits || ']', '|' ORDER BY place) AS nested FROM b GROUP BY 1""")
+@query(f"""WITH {EV}, h AS (SELECT frag, place, kind, size % 4 AS hit, event_id FROM ev),
+a AS (SELECT frag, place, kind, string_agg(hit || ':' || event_id, ',' ORDER BY hit, event_id) AS hits FROM h GROUP BY 1, 2, 3),
+b AS (SELECT frag, place, string_agg(kind || '(' || hits || ')', ';' ORDER BY kind) AS splits FROM a GROUP BY 1, 2)
+SELECT frag, string_agg(place || '[' || splits || ']', '|' ORDER BY place) AS nested FROM b GROUP BY 1""")
 def segmented_alignments(spark, d):
     """S27."""
     a = ev(spark, d).select(c("frag").alias("qname"), F.lit(1).alias("mate"), c("place").alias("part"), c("kind").alias("split"), (c("size") % 4).alias("hit"), F.struct("event_id").alias("aln"))
@@ -323,7 +367,9 @@ def segmented_alignments(spark, d):
     return legacy.segmented(a).select(c("qname").alias("frag"), F.array_join(F.transform("partitions", part), "|").alias("nested"))
 
 
-@query(f"WITH {EV} SELECT frag, event_id, size AS ordinal FROM ev WHERE mate = 1 UNION ALL SELECT DISTINCT frag, NULL, 0 FROM ev WHERE frag NOT IN (SELECT frag FROM ev WHERE mate = 1)")
+@query(f"""
+WITH {EV} SELECT frag, event_id, size AS ordinal FROM ev WHERE mate = 1 UNION ALL SELECT DISTINCT frag, NULL, 0 FROM ev WHERE frag NOT IN (SELECT frag
+FROM ev WHERE mate = 1)""")
 def read_order(spark, d):
     """T2 in batch: alignments come back in the order of their reads, and reads without one keep a row."""
     e = ev(spark, d)
@@ -333,7 +379,8 @@ def read_order(spark, d):
 
 
 @query(f"""WITH {IV}, r1 AS (SELECT *, max(e) OVER (PARTITION BY rname ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM iv),
-r2 AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY rname ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM r1) SELECT rname, min(s) AS first, max(e) AS last, count(*) AS reads FROM r2 GROUP BY rname, g""")
+r2 AS (SELECT *, sum(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END) OVER (PARTITION BY rname ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM r1)
+SELECT rname, min(s) AS first, max(e) AS last, count(*) AS reads FROM r2 GROUP BY rname, g""")
 def session_loci(spark, d):
     """T1 on a batch: session windows over positions as times."""
     a = iv(spark, d).select("rname", F.timestamp_seconds("s").alias("at"), (c("e") - c("s")).alias("length"))
@@ -344,7 +391,8 @@ def session_loci(spark, d):
 # ---------------------------------------------------------------- plans
 
 
-@query(f"""WITH {IV}, t AS (SELECT rname, min(s) AS lo, max(e) AS hi FROM iv WHERE rname % 2 = 0 GROUP BY 1), g AS (SELECT DISTINCT frag, e - s AS isize FROM iv JOIN t USING (rname) WHERE flag = 'R' AND s >= lo AND e <= hi AND e - s BETWEEN 5 AND 40)
+@query(f"""WITH {IV}, t AS (SELECT rname, min(s) AS lo, max(e) AS hi FROM iv WHERE rname % 2 = 0 GROUP BY 1),
+g AS (SELECT DISTINCT frag, e - s AS isize FROM iv JOIN t USING (rname) WHERE flag = 'R' AND s >= lo AND e <= hi AND e - s BETWEEN 5 AND 40)
 SELECT CAST(k AS BIGINT) AS isize, count(frag) AS num_samples FROM range(5, 41) r(k) LEFT JOIN g ON isize = k GROUP BY 1""")
 def insert_size_samples(spark, d):
     """proper first mates inside exons that stand alone."""
@@ -364,7 +412,9 @@ def _annotated(spark, d):
     return genome, tx
 
 
-@query(f"WITH {RD}, x AS (SELECT doc_id, substr(seq, 3, 8) || substr(seq, 16, 10) AS t FROM rd) SELECT doc_id AS tx_id, CASE WHEN doc_id % 2 = 0 THEN {REVCOMP.format('t')} ELSE t END AS seq, CAST(1 AS BIGINT) AS max_multihits FROM x")
+@query(f"""
+WITH {RD}, x AS (SELECT doc_id, substr(seq, 3, 8) || substr(seq, 16, 10) AS t FROM rd) SELECT doc_id AS tx_id, CASE
+WHEN doc_id % 2 = 0 THEN {REVCOMP.format('t')} ELSE t END AS seq, CAST(1 AS BIGINT) AS max_multihits FROM x""")
 def index_build(spark, d):
     """Transcript sequences and the multi-hit bound, which is written and read back."""
     genome, tx = _annotated(spark, d)
@@ -373,7 +423,10 @@ def index_build(spark, d):
     return index.sequences.withColumn("max_multihits", F.lit(discovery.read_max_multihits(spark, path)).cast("long"))
 
 
-@query(f"WITH {PK}, p AS (SELECT id5p * 100 + id3p AS pair_id, id5p, id3p, qname FROM pk WHERE price % 9 = 0) SELECT DISTINCT pair_id || ':' || qname AS qname, 'S' || qname AS seq FROM p UNION SELECT p.pair_id || ':' || u.qname, 'U' || u.qname FROM p JOIN (SELECT qname, id5p % 97 AS cl FROM pk WHERE price % 11 = 0) u ON u.cl = p.id5p OR u.cl = p.id3p")
+@query(f"""
+WITH {PK}, p AS (SELECT id5p * 100 + id3p AS pair_id, id5p, id3p, qname FROM pk WHERE price % 9 = 0)
+SELECT DISTINCT pair_id || ':' || qname AS qname, 'S' || qname AS seq FROM p UNION SELECT p.pair_id || ':' || u.qname, 'U' || u.qname FROM p
+JOIN (SELECT qname, id5p % 97 AS cl FROM pk WHERE price % 11 = 0) u ON u.cl = p.id5p OR u.cl = p.id3p""")
 def breakpoint_reads(spark, d):
     """P23."""
     p = pk(spark, d)
@@ -392,10 +445,14 @@ def expected_discordant(spark, d):
     return n.select("kind", r6(discovery.discordance_rate(c("discordant"), c("n"), c("n"))).alias("expected"))
 
 
-@query(f"""WITH {EV}, a AS (SELECT DISTINCT frag % 300 AS frag, mate, event_id % 37 AS tx, size % 2 = 0 AS rev, size % 11 = 0 AS un FROM ev), h AS (SELECT frag, mate, CASE WHEN bool_or(un) THEN 0 ELSE count(DISTINCT (tx, tx * 5)) END AS hits FROM a GROUP BY 1, 2),
-r AS (SELECT frag, max(hits) AS most, CASE WHEN count(*) < 2 THEN 0 ELSE min(hits) END AS least FROM h GROUP BY 1), m AS (SELECT DISTINCT frag, mate, tx, rev FROM a WHERE NOT un),
-p AS (SELECT x.frag, min(CASE WHEN x.tx = y.tx AND x.rev <> y.rev THEN 0 WHEN x.tx % 7 = y.tx % 7 AND x.rev <> y.rev THEN 1 WHEN x.tx = y.tx THEN 2 WHEN x.tx % 7 = y.tx % 7 THEN 3 WHEN x.rev <> y.rev THEN 4 END) AS tier FROM m x JOIN m y ON x.frag = y.frag AND x.mate = 1 AND y.mate = 2 GROUP BY 1)
-SELECT frag, CASE WHEN most > 12 THEN 'multimap' WHEN most = 0 THEN 'unmapped' WHEN least = 0 THEN 'unpaired' WHEN tier <= 3 THEN 'paired' WHEN tier = 4 THEN 'discordant' ELSE 'unresolved' END AS route FROM r LEFT JOIN p USING (frag)""")
+@query(f"""WITH {EV}, a AS (SELECT DISTINCT frag % 300 AS frag, mate, event_id % 37 AS tx, size % 2 = 0 AS rev, size % 11 = 0 AS un FROM ev),
+h AS (SELECT frag, mate, CASE WHEN bool_or(un) THEN 0 ELSE count(DISTINCT (tx, tx * 5)) END AS hits FROM a GROUP BY 1, 2),
+r AS (SELECT frag, max(hits) AS most, CASE WHEN count(*) < 2 THEN 0 ELSE min(hits) END AS least FROM h GROUP BY 1),
+m AS (SELECT DISTINCT frag, mate, tx, rev FROM a WHERE NOT un),
+p AS (SELECT x.frag, min(CASE WHEN x.tx = y.tx AND x.rev <> y.rev THEN 0 WHEN x.tx % 7 = y.tx % 7 AND x.rev <> y.rev THEN 1 WHEN x.tx = y.tx THEN 2
+WHEN x.tx % 7 = y.tx % 7 THEN 3 WHEN x.rev <> y.rev THEN 4 END) AS tier FROM m x JOIN m y ON x.frag = y.frag AND x.mate = 1 AND y.mate = 2 GROUP BY 1)
+SELECT frag, CASE WHEN most > 12 THEN 'multimap' WHEN most = 0 THEN 'unmapped' WHEN least = 0 THEN 'unpaired' WHEN tier <= 3 THEN 'paired'
+WHEN tier = 4 THEN 'discordant' ELSE 'unresolved' END AS route FROM r LEFT JOIN p USING (frag)""")
 def routed_fragments(spark, d):
     """F4 with tiers, and J19."""
     tx = c("event_id") % 37
@@ -404,7 +461,9 @@ def routed_fragments(spark, d):
     return discovery.routed(a, tx_, RunConfig(max_multihits=12)).select(c("qname").alias("frag"), "route")
 
 
-@query("SELECT 'a' || p_partkey || '-b' || p_partkey AS tx_id, substr(md5(p_name), 3, 10) || substr(md5(p_brand), 5, 12) AS seq, CAST(p_size AS DOUBLE) AS fpkm, CAST(10 AS BIGINT) AS breakpoint FROM part")
+@query("""
+SELECT 'a' || p_partkey || '-b' || p_partkey AS tx_id, substr(md5(p_name), 3, 10) || substr(md5(p_brand), 5, 12) AS seq, CAST(p_size AS DOUBLE) AS fpkm, CAST(10 AS BIGINT) AS breakpoint
+FROM part""")
 def fused_transcripts(spark, d):
     """Fusions of a list, which is written and read back."""
     p, k = table(spark, d, "part"), text(c("p_partkey"))
@@ -462,7 +521,10 @@ def bed12_files(spark, d):
     return _shown(tables.read_bed12(spark, path))
 
 
-@query(f"WITH {PK} SELECT 'CHIMERA' || qname AS chimera_id, 'r' || id5p AS rname5p, price AS start3p, status AS biotypes_5p, prio || ',x' AS genes_3p, CAST(id5p - id3p AS BIGINT) AS distance FROM pk")
+@query(f"""
+WITH {PK}
+SELECT 'CHIMERA' || qname AS chimera_id, 'r' || id5p AS rname5p, price AS start3p, status AS biotypes_5p, prio || ',x' AS genes_3p, CAST(id5p - id3p AS BIGINT) AS distance
+FROM pk""")
 def chimera_files(spark, d):
     """S14 and K9."""
     p = pk(spark, d)
@@ -476,7 +538,10 @@ def chimera_files(spark, d):
     return big(tables.read_chimeras(spark, path).select("chimera_id", "rname5p", "start3p", joined(c("biotypes_5p")).alias("biotypes_5p"), joined(c("genes_3p")).alias("genes_3p"), "distance"), "start3p")
 
 
-@query(f"WITH {IV}, k AS (SELECT rname, min(s) AS s, max(e) AS e, string_agg(DISTINCT CAST(frag AS VARCHAR), ',' ORDER BY CAST(frag AS VARCHAR)) AS qnames, count(*) AS n FROM iv WHERE flag = 'A' GROUP BY 1) SELECT 'r' || rname AS rname, s AS start, e AS stop, rname AS cluster_id, n AS concordant, qnames, s || '-' || (s + 1) AS exons FROM k")
+@query(f"""
+WITH {IV}, k AS (SELECT rname, min(s) AS s, max(e) AS e, string_agg(DISTINCT CAST(frag AS VARCHAR), ','
+ORDER BY CAST(frag AS VARCHAR)) AS qnames, count(*) AS n FROM iv WHERE flag = 'A' GROUP BY 1)
+SELECT 'r' || rname AS rname, s AS start, e AS stop, rname AS cluster_id, n AS concordant, qnames, s || '-' || (s + 1) AS exons FROM k""")
 def cluster_files(spark, d):
     """K7."""
     k = iv(spark, d).filter("flag = 'A'").groupBy("rname").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.array_sort(F.collect_set(text(c("frag")))).alias("qnames"), F.count(F.lit(1)).alias("n"))
@@ -523,7 +588,9 @@ def log_metrics(spark, d):
     return tables.scrape_metric(spark, path, r"found (\d+) fragments")
 
 
-@query(f"WITH {RD} SELECT doc_id + 1 AS frag_id, CAST(1 AS BIGINT) AS mate, seq, 'm:' || (doc_id + 1) AS name FROM rd UNION ALL SELECT doc_id + 1, 2, other, 'm:' || (doc_id + 1) FROM rd")
+@query(f"""
+WITH {RD} SELECT doc_id + 1 AS frag_id, CAST(1 AS BIGINT) AS mate, seq, 'm:' || (doc_id + 1) AS name FROM rd UNION ALL
+SELECT doc_id + 1, 2, other, 'm:' || (doc_id + 1) FROM rd""")
 def pair_and_name_files(spark, d):
     """Mates in several gzipped files each, with later headers, numbered over all files, and the names kept."""
     ids = rd(spark, d).select(F.dense_rank().over(_by_id()).alias("n"), "*")
@@ -545,7 +612,9 @@ def _by_id():
     return Window.orderBy("doc_id")
 
 
-@query(f"WITH {RD} SELECT m || CAST(doc_id AS VARCHAR) AS qname, substr(CASE WHEN m = '0' THEN seq ELSE other END, 1, 20) AS seq, substr(qual, 1, 20) AS qual, CAST(32 AS BIGINT) AS length FROM rd, (VALUES ('0'), ('1')) v(m)")
+@query(f"""
+WITH {RD} SELECT m || CAST(doc_id AS VARCHAR) AS qname, substr(CASE WHEN m = '0' THEN seq
+ELSE other END, 1, 20) AS seq, substr(qual, 1, 20) AS qual, CAST(32 AS BIGINT) AS length FROM rd, (VALUES ('0'), ('1')) v(m)""")
 def interleaved_reads(spark, d):
     """P3 and S22."""
     r = rd(spark, d)
@@ -561,7 +630,11 @@ def discordant_bedpe_files(spark, d):
     return legacy.discordant_bedpe(legacy.read_discordant_bedpe(spark, path))
 
 
-@query(f"WITH {PK}, g AS (SELECT id5p, count(*) AS total, count(*) FILTER (WHERE status = 'F') AS spanning, count(DISTINCT id3p) AS positions, max(qname) AS best_id FROM pk GROUP BY 1) SELECT concat_ws(chr(9), row_number() OVER (ORDER BY spanning DESC, total DESC, positions DESC, best_id), id5p, spanning, total) AS value FROM g")
+@query(f"""
+WITH {PK},
+g AS (SELECT id5p, count(*) AS total, count(*) FILTER (WHERE status = 'F') AS spanning, count(DISTINCT id3p) AS positions, max(qname) AS best_id
+FROM pk GROUP BY 1)
+SELECT concat_ws(chr(9), row_number() OVER (ORDER BY spanning DESC, total DESC, positions DESC, best_id), id5p, spanning, total) AS value FROM g""")
 def clustered_text(spark, d):
     """Report lines in order, numbered as they are read back."""
     g = pk(spark, d).groupBy("id5p").agg(F.count(F.lit(1)).alias("total"), F.count(F.when(c("status") == "F", 1)).alias("spanning"), F.count_distinct("id3p").alias("positions"), F.max("qname").alias("best_id"))
@@ -587,7 +660,9 @@ def sample_cap(spark, d):
     return first.select(F.row_number().over(Window.orderBy("n_name")).cast("long").alias("sample"), c("n_name").alias("name"))
 
 
-@query("WITH x AS (SELECT p_partkey, p_size * 3 AS k FROM part), v AS (VALUES (1.0::DOUBLE), (6.0), (20.0)) SELECT p_partkey, CAST(k AS BIGINT) AS k, round(exp(k * ln(25.0) - 25.0 - lgamma(k + 1)), 9) AS chance FROM x")
+@query("""
+WITH x AS (SELECT p_partkey, p_size * 3 AS k FROM part), v AS (VALUES (1.0::DOUBLE), (6.0), (20.0))
+SELECT p_partkey, CAST(k AS BIGINT) AS k, round(exp(k * ln(25.0) - 25.0 - lgamma(k + 1)), 9) AS chance FROM x""")
 def poisson_chances(spark, d):
     """Poisson for any k."""
     from lociq.functions import prob

@@ -87,3 +87,28 @@ def test_session_loci(spark):
     df = spark.createDataFrame([("c", 0, 10), ("c", 10, 5), ("c", 40, 5)], "rname string, p int, length int").withColumn("at", F.timestamp_seconds("p"))
     got = stream_loci(df, keys=["rname"]).select(F.unix_timestamp("start").alias("s"), F.unix_timestamp("end").alias("e"), "reads").collect()
     assert sorted(map(tuple, got)) == [(0, 15, 2), (40, 45, 1)]
+
+
+def test_ranking_by_an_interpolated_histogram(spark):
+    import numpy as np
+
+    from lociq.operators import legacy
+
+    rng = random.Random(31)
+    rows = [(i, float(rng.randrange(12)), rng.random() * 50, float(rng.randrange(3))) for i in range(300)]
+    got = {r.i: r.prob for r in legacy.rank_by_histogram(spark.createDataFrame(rows, "i int, x double, y double, z double"), ("x", "y", "z"), 100, bins=9).collect()}
+    data = np.array([r[1:] for r in rows])
+    edges = [np.unique(np.percentile(data[:, 0], np.linspace(0, 100, 9))), np.unique(np.percentile(data[:, 1], np.linspace(0, 100, 9))), np.unique(data[:, 2])]
+    h, _ = np.histogramdd(data, bins=edges)
+    for i, *v in rows:
+        r = [min(max(int(np.searchsorted(e, x)), 1), len(e) - 1) for e, x in zip(edges, v, strict=True)]
+        part = np.mean([0 if e[k] == 0 else (x - e[k - 1]) / (e[k] - e[k - 1]) for e, x, k in zip(edges, v, r, strict=True)])
+        below = lambda q: h[: q[0], : q[1], : q[2]].sum()
+        above = lambda q: h[:, q[1] :, q[2] :].sum() + h[q[0] :, :, q[2] :].sum() + h[q[0] :, q[1] :, :].sum()
+        left = [k - 1 for k in r]
+        own = below(left) + part * (below(r) - below(left))
+        rest = above(left) + (1 - part) * (above(r) - above(left))
+        assert abs(got[i] - (1 - own / (own + rest))) < 1e-9
+    best = legacy.rank_by_histogram(spark.createDataFrame(rows, "i int, x double, y double, z double"), ("x", "y", "z"), 10, bins=9).collect()
+    assert {r.i for r in best} == {i for i, p in got.items() if p <= np.percentile(list(got.values()), 10) + 1e-12}
+    assert legacy.rank_by_histogram(spark.createDataFrame([], "i int, x double, y double, z double"), ("x", "y", "z"), 10).count() == 0
