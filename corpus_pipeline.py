@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lociq.llm import near_join, packing, secrets, toxicity
 from lociq.llm.frames import read_table
 from lociq.llm.queries import tokenizer_path
-from lociq.plans.storage import materialise
+from lociq.plans.storage import delete_path, materialise, scratch_cleared, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_cleared(spark):  # a stage's own tables go when its result is written
+            out = stage(spark, docs, sf_dir)
+            out.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs
