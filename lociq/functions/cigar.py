@@ -89,11 +89,16 @@ def _with_offsets(exons: Column, strand: Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def genome_position(exons: Column, strand: Column, pos: Column) -> Column:
     """The genome position of a transcript position; null past either end."""
     hit = F.filter(_with_offsets(exons, strand), lambda x: (x["at"] <= pos) & (pos < x["at"] + x["end"] - x["start"]))
-    x = F.try_element_at(hit, F.lit(1))
-    return F.when(strand == "-", x["end"] - 1 - (pos - x["at"])).otherwise(x["start"] + pos - x["at"])
+    spot = lambda x: F.when(strand == "-", x["end"] - 1 - (pos - x["at"])).otherwise(x["start"] + pos - x["at"])
+    return let(F.try_element_at(hit, F.lit(1)), spot)
 
 
 def exon_of(exons: Column, strand: Column, pos: Column) -> Column:
@@ -122,24 +127,32 @@ def genome_ops(exons: Column, strand: Column, pos: Column, ops: Column) -> Colum
     Ops that advance on the reference are cut where an exon ends, with an N of the intron's
     length between; on the minus strand the ops are then reversed. Zero-length ops are left out.
     """
-    listed = _with_offsets(exons, strand)
-    ends = F.transform(listed, lambda x: x["at"] + x["end"] - x["start"])
-    gaps = F.transform(F.arrays_zip(F.slice(listed, 1, F.size(listed) - 1).alias("a"), F.slice(listed, 2, F.size(listed) - 1).alias("b")), lambda z: F.when(strand == "-", z["a"]["start"] - z["b"]["end"]).otherwise(z["b"]["start"] - z["a"]["end"]))
     one = lambda op, n: F.when(n > 0, F.array(F.struct(op.cast("int").alias("op"), n.cast("int").alias("len")))).otherwise(F.array().cast(_OPS_TYPE))
 
-    def cut(at: Column, x: Column) -> Column:
-        """The op from ``at``, cut at the exon ends strictly inside or, for what follows, at its start."""
-        inner = F.filter(F.arrays_zip(F.slice(ends, 1, F.size(ends) - 1).alias("end"), gaps.alias("gap")), lambda z: (z["end"] >= at) & (z["end"] < at + x["len"]) & ((z["end"] > at) | (at > pos)))
-        done = F.aggregate(inner, F.struct(at.cast("int").alias("at"), F.array().cast(_OPS_TYPE).alias("out")), lambda a, z: F.struct(z["end"].cast("int").alias("at"), F.concat(a["out"], one(x["op"], z["end"] - a["at"]), one(F.lit(3), z["gap"])).alias("out")))
-        return F.concat(done["out"], one(x["op"], at + x["len"] - done["at"]))
+    def borders(listed: Column) -> Column:
+        """Where each exon but the last ends on the transcript, and the gap to the next."""
+        n = F.greatest(F.size(listed) - 1, F.lit(0))
+        gap = lambda a, b: F.when(strand == "-", a["start"] - b["end"]).otherwise(b["start"] - a["end"])
+        return F.zip_with(F.slice(listed, 1, n), F.slice(listed, 2, n), lambda a, b: F.struct((a["at"] + a["end"] - a["start"]).alias("end"), gap(a, b).alias("gap")))
 
-    walked = F.aggregate(
-        ops,
-        F.struct(pos.cast("int").alias("at"), F.array().cast(_OPS_TYPE).alias("out")),
-        lambda a, x: F.when(x["op"].isin(*ON_REFERENCE), F.struct((a["at"] + x["len"]).cast("int").alias("at"), F.concat(a["out"], cut(a["at"], x)).alias("out"))).otherwise(F.struct(a["at"].alias("at"), F.concat(a["out"], one(x["op"], x["len"])).alias("out"))),
-        lambda a: a["out"],
-    )
-    return F.when(strand == "-", F.reverse(walked)).otherwise(walked)
+    def cut(ends: Column, at: Column, x: Column) -> Column:
+        """The op from ``at``, cut at the exon ends strictly inside or, for what follows, at its start."""
+        inner = F.filter(ends, lambda z: (z["end"] >= at) & (z["end"] < at + x["len"]) & ((z["end"] > at) | (at > pos)))
+        begin = F.struct(at.cast("int").alias("at"), F.array().cast(_OPS_TYPE).alias("out"))
+        step = lambda a, z: F.struct(z["end"].cast("int").alias("at"), F.concat(a["out"], one(x["op"], z["end"] - a["at"]), one(F.lit(3), z["gap"])).alias("out"))
+        return F.aggregate(inner, begin, step, lambda done: F.concat(done["out"], one(x["op"], at + x["len"] - done["at"])))
+
+    def walked(ends: Column) -> Column:
+        return F.aggregate(
+            ops,
+            F.struct(pos.cast("int").alias("at"), F.array().cast(_OPS_TYPE).alias("out")),
+            lambda a, x: F.when(
+                x["op"].isin(*ON_REFERENCE), F.struct((a["at"] + x["len"]).cast("int").alias("at"), F.concat(a["out"], cut(ends, a["at"], x)).alias("out"))
+            ).otherwise(F.struct(a["at"].alias("at"), F.concat(a["out"], one(x["op"], x["len"])).alias("out"))),
+            lambda a: F.when(strand == "-", F.reverse(a["out"])).otherwise(a["out"]),
+        )
+
+    return let(_with_offsets(exons, strand), lambda listed: let(borders(listed), walked))
 
 
 def genome_start(exons: Column, strand: Column, pos: Column, ops: Column) -> Column:
