@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociq.operators.classify import combinations
 from lociq.operators.graph import connected_components
-from lociq.operators.intervals import islands, label_islands, overlap_join
+from lociq.operators.intervals import hidden, islands, label_islands, overlap_join
 
 
 def boundary(start: Column, end: Column, strand: Column, orientation: Column) -> Column:
@@ -51,12 +51,18 @@ def pair_clusters(members: DataFrame, fragment: str, cluster: str, side: str) ->
 
 
 def with_pair_ids(pairs: DataFrame) -> DataFrame:
-    """Adds pair_id, from 0 in the order of the ids as text."""
-    order = [F.col("id5p").cast("string"), F.col("id3p").cast("string")]
-    counts = pairs.groupBy(order[0].alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    keyed = pairs.withColumn("_k", order[0])
-    return keyed.join(offsets, "_k").withColumn("pair_id", F.col("_o") + F.row_number().over(Window.partitionBy("_k").orderBy(order[1])) - 1).drop("_k", "_o")
+    """Adds pair_id, from 0 in the order of the ids as text.
+
+    Ids are an offset of the 5' id's first three characters, of which there are some thousand,
+    plus a rank among the pairs that begin so; no task sorts all pairs.
+    """
+    five, three = F.col("id5p").cast("string"), F.col("id3p").cast("string")
+    head = hidden("_head", pairs)
+    keyed = pairs.withColumn(head, F.substring(five, 1, 3))
+    counts = keyed.groupBy(head).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy(head).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    rank = F.row_number().over(Window.partitionBy(head).orderBy(five, three))
+    return keyed.join(offsets, head).withColumn("pair_id", F.col("_o") + rank - 1).drop(head, "_o")
 
 
 def transcript_clusters(exons: DataFrame, keys: list[str], tx: str = "tx_id") -> DataFrame:

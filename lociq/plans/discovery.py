@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociq.functions import cigar, sequence
@@ -12,7 +12,7 @@ from lociq.operators import annotate, classify, cluster, filters, intervals, spa
 from lociq.plans.config import RunConfig
 from lociq.plans.storage import materialise
 from lociq.sources import reads as io
-from lociq.sources.tables import TRANSCRIPTS, fields
+from lociq.sources.tables import number
 
 
 def build_annotation(gtfs: list[tuple[DataFrame, str | None]]) -> DataFrame:
@@ -24,11 +24,11 @@ def build_annotation(gtfs: list[tuple[DataFrame, str | None]]) -> DataFrame:
     exons = every.select("chrom", "strand", "tx_id", F.explode("exons").alias("x")).select("chrom", "strand", "tx_id", F.col("x.start").alias("s"), F.col("x.end").alias("e"))
     comps = cluster.transcript_clusters(exons, ["chrom", "strand"])
     spot = every.join(comps, "tx_id")
-    order = spot.groupBy("component").agg(F.min(F.struct("chrom", "strand", "tx_start")).alias("first"))
-    numbered = order.select("component", F.row_number().over(Window.orderBy("first", "component")).alias("cluster_id"))
+    first = F.min(F.struct("chrom", "strand", "tx_start")).alias("first")
+    order = spot.groupBy("component").agg(first).select("component", F.col("first.chrom").alias("chrom"), F.col("first.strand").alias("of"), F.col("first.tx_start").alias("at"))
+    numbered = cluster.with_cluster_ids(order, "chrom", ["of", "at", "component"]).select("component", (F.col("cluster_id") + 1).cast("int").alias("cluster_id"))
     merged = cluster.merge_isoforms(spot.drop("cluster_id").join(numbered, "component"))
-    ids = F.row_number().over(Window.orderBy("chrom", "tx_start", "tx_end", "strand", "exons")).cast("bigint")
-    return merged.withColumn("tx_id", ids).withColumn("cluster_id", F.col("cluster_id").cast("int")).select(*[n for n, _ in fields(TRANSCRIPTS)])
+    return number(merged)
 
 
 @dataclass

@@ -305,11 +305,11 @@ def write_gtf(df: DataFrame, path: str) -> None:
 
 def gtf_transcripts(gtf: DataFrame, source: str | None = None) -> DataFrame:
     """Transcripts of the exon rows by (seqid, transcript_id)."""
-    from lociq.sources.tables import _number
+    from lociq.sources.tables import number
 
     a = F.col("attrs")
     ex = gtf.filter("feature_type = 'exon'").withColumn("name", a["transcript_id"])
     exons = F.array_sort(F.collect_set(F.struct("start", "end")))
     first = lambda c: F.coalesce(F.min(c), F.lit("na"))
     t = ex.groupBy(F.col("seqid").alias("chrom"), "name").agg(F.min("strand").alias("strand"), exons.alias("exons"), first(a["gene_biotype"]).alias("gene_biotype"), first(a["gene_name"]).alias("gene"), F.min(F.lit(source) if source else F.col("source")).alias("src"))
-    return _number(t.select("chrom", F.get("exons", F.lit(0))["start"].alias("tx_start"), F.element_at("exons", -1)["end"].alias("tx_end"), F.lit(-1).alias("cluster_id"), "strand", F.size("exons").alias("exon_count"), "exons", "gene_biotype", F.array("name").alias("tx_names"), F.array("gene").alias("gene_names"), F.array("src").alias("annotation_sources")))
+    return number(t.select("chrom", F.get("exons", F.lit(0))["start"].alias("tx_start"), F.element_at("exons", -1)["end"].alias("tx_end"), F.lit(-1).alias("cluster_id"), "strand", F.size("exons").alias("exon_count"), "exons", "gene_biotype", F.array("name").alias("tx_names"), F.array("gene").alias("gene_names"), F.array("src").alias("annotation_sources")))

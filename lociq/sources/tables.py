@@ -74,7 +74,7 @@ def read_genepred(spark: SparkSession, path: str, source: str = "na") -> DataFra
     """GenePred rows as transcripts; tx_id numbers them from 1 by place."""
     df = lines(spark, path)
     c = _columns(df, 11)
-    return _number(df.select(c[1].alias("chrom"), c[3].cast("int").alias("tx_start"), c[4].cast("int").alias("tx_end"), F.lit(-1).alias("cluster_id"), c[2].alias("strand"), c[7].cast("int").alias("exon_count"), _zip(_ints(c[8]), _ints(c[9])).alias("exons"), F.lit("na").alias("gene_biotype"), F.array(c[0]).alias("tx_names"), F.array(F.coalesce(c[10], F.lit("na"))).alias("gene_names"), F.array(F.lit(source)).alias("annotation_sources")))
+    return number(df.select(c[1].alias("chrom"), c[3].cast("int").alias("tx_start"), c[4].cast("int").alias("tx_end"), F.lit(-1).alias("cluster_id"), c[2].alias("strand"), c[7].cast("int").alias("exon_count"), _zip(_ints(c[8]), _ints(c[9])).alias("exons"), F.lit("na").alias("gene_biotype"), F.array(c[0]).alias("tx_names"), F.array(F.coalesce(c[10], F.lit("na"))).alias("gene_names"), F.array(F.lit(source)).alias("annotation_sources")))
 
 
 def read_bed12(spark: SparkSession, path: str, source: str = "na") -> DataFrame:
@@ -83,7 +83,7 @@ def read_bed12(spark: SparkSession, path: str, source: str = "na") -> DataFrame:
     c = _columns(df, 12)
     start = c[1].cast("int")
     exons = F.zip_with(_ints(c[11]), _ints(c[10]), lambda s, n: F.struct((start + s).alias("start"), (start + s + n).alias("end")))
-    return _number(df.select(c[0].alias("chrom"), start.alias("tx_start"), c[2].cast("int").alias("tx_end"), F.lit(-1).alias("cluster_id"), c[5].alias("strand"), c[9].cast("int").alias("exon_count"), exons.alias("exons"), F.lit("na").alias("gene_biotype"), F.array(c[3]).alias("tx_names"), F.array(c[3]).alias("gene_names"), F.array(F.lit(source)).alias("annotation_sources")))
+    return number(df.select(c[0].alias("chrom"), start.alias("tx_start"), c[2].cast("int").alias("tx_end"), F.lit(-1).alias("cluster_id"), c[5].alias("strand"), c[9].cast("int").alias("exon_count"), exons.alias("exons"), F.lit("na").alias("gene_biotype"), F.array(c[3]).alias("tx_names"), F.array(c[3]).alias("gene_names"), F.array(F.lit(source)).alias("annotation_sources")))
 
 
 def write_genepred(df: DataFrame, path: str) -> None:
@@ -91,7 +91,7 @@ def write_genepred(df: DataFrame, path: str) -> None:
     df.select(F.concat_ws("\t", *[F.coalesce(x, F.lit("")) for x in cells]).alias("value")).write.text(path)
 
 
-def _number(df: DataFrame) -> DataFrame:
+def number(df: DataFrame) -> DataFrame:
     """tx_id from 1, per chromosome offsets and ranks so that no task sorts all rows."""
     from pyspark.sql import Window
 
