@@ -26,6 +26,8 @@ WINDOW = 2048
 HELD_TOKENS = 8_000_000
 #: Rows that a task hands on at a time: at most as many windows of ids.
 OUT_ROWS = 256
+#: Windows of which a larger share than one in so many would be padding are filled by cutting.
+SLACK_SHARE = 64
 #: Id that ends a document.
 END_ID = 1
 
@@ -143,29 +145,59 @@ def in_powers(total: int) -> list[int]:
 Piece = tuple[int | None, int, bytes, int]
 
 
+def cut_off(pieces: list[Piece], room: int) -> tuple[list[Piece], list[Piece]]:
+    """The first ``room`` tokens of the pieces, and the rest; at most one piece is cut."""
+    part: list[Piece] = []
+    for k, (doc_id, start, ids, n) in enumerate(pieces):
+        size = len(ids) // 4
+        if size > room:
+            if room:
+                part.append((doc_id, start, ids[: 4 * room], n))
+            return part, [(doc_id, start + room, ids[4 * room :], n), *pieces[k + 1 :]]
+        part.append((doc_id, start, ids, n))
+        room -= size
+    return part, []
+
+
+def total(pieces: list[Piece]) -> int:
+    return sum(len(p[2]) // 4 for p in pieces)
+
+
+def top_up(windows: list[list[Piece]], window: int) -> tuple[list[list[Piece]], list[Piece]]:
+    """The windows, those with a slack over ``window`` / SLACK_SHARE filled by cutting the emptiest up; and what is left of the last.
+
+    Where one remaining length is frequent and no others fit beside it, whole remainders leave
+    every window with the same slack; then the emptiest windows' pieces fill the others.
+    """
+    open_ = sorted((w for w in windows if window - total(w) > window // SLACK_SHARE), key=total)
+    full = [w for w in windows if window - total(w) <= window // SLACK_SHARE]
+    rest: list[Piece] = []
+    while open_ or rest:
+        if not rest:
+            rest = open_.pop(0)
+        if not open_:
+            return full, rest
+        part, rest = cut_off(rest, window - total(open_[-1]))
+        open_[-1] = open_[-1] + part
+        if total(open_[-1]) == window:
+            full.append(open_.pop())
+    return full, []
+
+
 def sequences(pieces: list[Piece], solve: Callable, window: int, cut_tail: bool) -> Iterator[list[Piece]]:
-    """The windows of the pieces; with ``cut_tail`` the least filled one is cut into powers of two."""
-    found = solve([len(p[2]) // 4 for p in pieces], window)
-    short = min(range(len(found)), key=lambda i: sum(len(pieces[k][2]) for k in found[i])) if found and cut_tail else -1
-    for i, members in enumerate(found):
-        got = [pieces[k] for k in members]
-        if i != short:
-            yield got
-            continue
-        total, waiting = sum(len(p[2]) // 4 for p in got), got[::-1]
-        if total == window:
-            yield got
-            continue
-        for size in in_powers(total):
-            part, room = [], size
-            while room:
-                doc_id, start, ids, n = waiting.pop()
-                take = min(room, len(ids) // 4)
-                part.append((doc_id, start, ids[: 4 * take], n))
-                if 4 * take < len(ids):
-                    waiting.append((doc_id, start + take, ids[4 * take :], n))
-                room -= take
-            yield part
+    """The windows of the pieces; with ``cut_tail`` slack is filled, and a last window is cut into powers of two."""
+    found = [[pieces[k] for k in members] for members in solve([len(p[2]) // 4 for p in pieces], window)]
+    if not cut_tail:
+        yield from found
+        return
+    full, rest = top_up(found, window)
+    if not rest and full:  # the emptiest still has the most padding to lose
+        short = min(range(len(full)), key=lambda i: total(full[i]))
+        rest = full.pop(short)
+    yield from full
+    for size in in_powers(total(rest)) if total(rest) < window else [total(rest)] * bool(rest):
+        part, rest = cut_off(rest, size)
+        yield part
 
 
 def pack_stream(docs: DataFrame, tokenizer: str, emit: Callable, ddl: str, solve: Callable, *, window: int, end_id: int, cut_tail: bool) -> DataFrame:
@@ -230,8 +262,9 @@ def pack_pieces(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, end_id
     """Minimum-bin-slack packing: a row for each piece, with its ids.
 
     A document has its ids and then ``end_id``; null and empty texts have that id alone. Rows
-    with the same doc_id each count. Of the windows that a task packs, the least filled one is
-    cut into sequences whose lengths are powers of two, which need no padding.
+    with the same doc_id each count. Windows that minimum bin slack leaves with more than a
+    64th of padding are filled from the emptiest of them, whose pieces are cut; what is left of
+    the last is cut into sequences whose lengths are powers of two, which need no padding.
     """
     return pack_stream(docs, tokenizer, _emit_pieces, _PIECES, minimum_bin_slack, window=window, end_id=end_id, cut_tail=True)
 

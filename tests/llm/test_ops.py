@@ -313,6 +313,28 @@ def test_pieces_hold_every_id_once(spark, odd, documents):
     assert packing.pack_pieces(odd, PATH).agg(F.sum("length")).first()[0] == sum(len(ids_of(t)) for _, t in ODD)
 
 
+@given(st.lists(st.integers(1, 63), max_size=50))
+@settings(max_examples=150, deadline=None)
+def test_sequences_lose_no_token_and_pad_little(lengths):
+    pieces = [(i, 10 * i, np.arange(n, dtype="<u4").tobytes(), n) for i, n in enumerate(lengths)]
+    seen, padding = {}, 0
+    for got in packing.sequences(pieces, packing.minimum_bin_slack, 64, True):
+        size = packing.total(got)
+        assert 0 < size <= 64
+        padding += 0 if size & (size - 1) == 0 else 64 - size
+        for doc_id, start, ids, _ in got:
+            seen.setdefault(doc_id, []).extend((start + k, v) for k, v in enumerate(np.frombuffer(ids, "<u4").tolist()))
+    assert {i: sorted(v) for i, v in seen.items()} == {i: [(10 * i + k, k) for k in range(n)] for i, n in enumerate(lengths)}
+    assert padding <= sum(lengths) / 32 + 1
+
+
+def test_a_frequent_remainder_leaves_no_padding():
+    pieces = [(i, 0, np.zeros(1300, "<u4").tobytes(), 1300) for i in range(500)]
+    sizes = [packing.total(x) for x in packing.sequences(pieces, packing.minimum_bin_slack, 2048, True)]
+    assert sum(sizes) == 650_000 and all(n & (n - 1) == 0 for n in sizes) and len(sizes) < 330
+    assert list(packing.sequences([], packing.minimum_bin_slack, 2048, True)) == []
+
+
 def slow_best_fit(lengths, window):
     """Longest first, each into the window with the least room that has enough; of equal rooms, the one that came to it last."""
     room, members, moved = [], [], []
