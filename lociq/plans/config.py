@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import shutil
 import xml.etree.ElementTree as ET
 from dataclasses import dataclass, field, fields
 from pathlib import Path
@@ -98,6 +99,21 @@ def _cast(kind, text: str):
     return int(text) if kind.startswith("int") else float(text) if kind.startswith("float") else text
 
 
+def unreachable(spark, paths: list[str]) -> list[str]:
+    """Inputs and index files that aren't there, asked of the file system of each path."""
+    jvm, conf, missing = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        if not where.getFileSystem(conf).exists(where):
+            missing.append(path)
+    return missing
+
+
+def missing_binaries(names: list[str]) -> list[str]:
+    """External programs that aren't found on the path, or aren't executable."""
+    return [n for n in names if shutil.which(n) is None]
+
+
 def up_to_date(output: str, inputs: list[str]) -> bool:
     """Whether a local output exists, isn't empty and is no older than its inputs."""
     p = Path(output)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -37,6 +38,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage that a restarted job doesn't do again: the table at ``path`` if it was written to its end, else it is built and written there.
+
+    What a stopped job left there is replaced.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(conf).exists(done):
+        build().write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     where = jvm.org.apache.hadoop.fs.Path(path)

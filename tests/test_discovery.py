@@ -112,3 +112,13 @@ def test_ranking_by_an_interpolated_histogram(spark):
     best = legacy.rank_by_histogram(spark.createDataFrame(rows, "i int, x double, y double, z double"), ("x", "y", "z"), 10, bins=9).collect()
     assert {r.i for r in best} == {i for i, p in got.items() if p <= np.percentile(list(got.values()), 10) + 1e-12}
     assert legacy.rank_by_histogram(spark.createDataFrame([], "i int, x double, y double, z double"), ("x", "y", "z"), 10).count() == 0
+
+
+def test_external_aligners_read_fastq_and_write_sam(spark):
+    import sys
+
+    script = "import sys\nrows = sys.stdin.read().split('\\n')\nprint('@HD\\tVN:1.6')\nfor i in range(0, len(rows) - 3, 4):\n    print(rows[i][1:], 0, 'c', i, 60, f'{len(rows[i + 1])}M', sep='\\t')"
+    df = spark.createDataFrame([("a", "ACGT", "IIII"), ("b", "AC", "II"), ("c", "G", "I")], "qname string, seq string, qual string")
+    got = align.pipe_aligner(df, [sys.executable, "-c", script], "qname string, flag string, rname string, pos string, mapq string, cigar string").collect()
+    assert sorted((r.qname, r.cigar) for r in got) == [("a", "4M"), ("b", "2M"), ("c", "1M")]
+    assert align.pipe_aligner(df.filter("false"), ["no-such-aligner"], "qname string").count() == 0

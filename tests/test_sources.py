@@ -154,3 +154,15 @@ def test_scratch_tables_go_and_results_stay(spark, tmp_path):
         folder = once.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
         assert os.path.isdir(folder)
     assert not os.path.exists(folder) and spark.read.parquet(kept).count() == 5
+
+
+def test_stages_are_done_once_and_paths_are_checked(spark, tmp_path):
+    from lociq.plans import config, storage
+
+    path, built = str(tmp_path / "stage"), []
+    build = lambda: built.append(1) or spark.range(3)
+    assert storage.once(spark, path, build).count() == storage.once(spark, path, build).count() == 3 and built == [1]
+    os.remove(f"{path}/_SUCCESS")  # a job that was stopped
+    assert storage.once(spark, path, build).count() == 3 and built == [1, 1]
+    assert config.unreachable(spark, [path, path + "-none"]) == [path + "-none"]
+    assert config.missing_binaries(["python", "no-such-aligner"]) == ["no-such-aligner"]
