@@ -49,6 +49,19 @@ def map_columns(df: DataFrame, fn: Callable[[dict], dict], ddl: str) -> DataFram
     return df.mapInArrow(run, out_type)
 
 
+def map_stream(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], ddl: str) -> DataFrame:
+    """Apply ``fn`` to a task's rows in their order: it takes batches of columns one after another and yields such batches."""
+    out_type = schema_of(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(out_type)
+        for got in fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)} for b in batches):
+            yield to_batch(got, arrow)
+
+    find_package(df.sparkSession)
+    return df.mapInArrow(run, out_type)
+
+
 def map_groups(df: DataFrame, keys: list[str], fn: Callable[[dict], dict], ddl: str, then: list[str] | None = None) -> DataFrame:
     """Apply ``fn`` to each group's columns, a group at a time, on sorted partitions.
 

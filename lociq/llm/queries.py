@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and the pipeline, over whole tables, and their SQL where SQL can say it."""
+"""The queries op1 to op13 and the pipeline, over whole tables, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociq.llm import bpe, chat, chunk_store, near_join, packing, secrets, sketch, toxicity, url_trie
+from lociq.llm import bpe, chat, chunk_store, html_text, near_join, packing, repair, secrets, sketch, toxicity, turn_trie, url_trie
 from lociq.llm.frames import fold_column, map_columns, read_table
 
 
@@ -85,6 +85,23 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    fixed = repair.repair(repair.damage(turns))
+    found = fixed.summary.join(repair.repaired_hashes(fixed.pieces).withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of"))).drop("of").withColumnRenamed("conv_id", "of")
+    every = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.select("conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.trie_nodes(turn_trie.rebuilt(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +109,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_chunk_store, op3_best_fit, op4_secrets, op5_near_join, op6_bpe, op7_url_trie, op8_sketch, op9_perspectives, op10_bin_slack, pipeline)}
+    return {f.__name__: f for f in (op1_toxicity, op2_chunk_store, op3_best_fit, op4_secrets, op5_near_join, op6_bpe, op7_url_trie, op8_sketch, op9_perspectives, op10_bin_slack, op11_repair, op12_turn_trie, op13_tag_paths, pipeline)}
 
 
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_trie.RULES)
