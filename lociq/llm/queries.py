@@ -90,8 +90,7 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed = repair.repair(repair.damage(turns))
     found = fixed.summary.join(repair.repaired_hashes(fixed.pieces).withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of"))).drop("of").withColumnRenamed("conv_id", "of")
     every = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left")
-    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
-    return every.select("conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+    return every.select("conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in repair.COUNTS), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
 def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

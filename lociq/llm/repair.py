@@ -129,26 +129,18 @@ def render(state: int, audit: str, roles: list[str], texts: list[str], copies: l
 
 
 class _Piece:
-    """Consecutive turns of a conversation, as they come from the sorted rows."""
+    """Consecutive turns of a conversation, as they come from the sorted rows; equal rows are one with a count."""
 
     def __init__(self, key):
-        self.key, self.letters, self.initials, self.chars = key, [], [], 0
+        self.key, self.chars = key, 0
+        self.letters, self.initials, self.digests = [], [], []
         self.roles, self.texts, self.copies, self.turns = [], [], [], []
-        self.blank = self.duplicate = self.truncated = 0
-
-    def add(self, turn: int | None, role: str, text: str, copies: int, later: bool) -> None:
-        bare = text.strip(WHITE)
-        again = copies - (0 if later else 1)
-        initial = role[:1]
-        cut = bare[-1:] not in (".", "!", "?")
-        if not bare:
-            self.blank += copies
-            self.letters.append("x" * copies)
-        else:
-            self.duplicate += again
-            self.truncated += cut and not later
-            self.letters.append(("" if later else turn_class(initial, False, cut)) + "x" * again)
-        self.initials.append((initial if initial in ("s", "u", "a") else "o") * copies)
+
+    def add(self, turn: int | None, digest: bytes, role: str, text: str, copies: int) -> None:
+        bare, initial = text.strip(WHITE), role[:1]
+        self.letters.append(turn_class(initial, not bare, bare[-1:] not in (".", "!", "?")))
+        self.initials.append(initial if initial in ("s", "u", "a") else "o")
+        self.digests.append(digest)
         self.roles.append(role)
         self.texts.append(text)
         self.copies.append(copies)
@@ -157,13 +149,34 @@ class _Piece:
         self.chars += len(text)
 
 
+def told_faults(letters: str, copies: list[int], later: set[int]) -> tuple[str, int, int, int]:
+    """The letters of all turns, copies and those at ``later`` forced to go, and the numbers of blank, duplicate and truncated ones."""
+    out, blank, duplicate, truncated = [], 0, 0, 0
+    for i, (x, n) in enumerate(zip(letters, copies, strict=True)):
+        if x == "x":
+            blank += n
+            out.append("x" * n)
+        elif i in later:
+            duplicate += n
+            out.append("x" * n)
+        else:
+            duplicate += n - 1
+            truncated += x.isupper()
+            out.append(x + "x" * (n - 1))
+    return "".join(out), blank, duplicate, truncated
+
+
 def illegal_pairs(initials: str) -> int:
     legal = sum(initials.count(p) for p in ("su", "ua", "au"))
     return max(0, len(initials) - 1) - legal
 
 
-_PIECES = "conv_id long, part int, seq int, whole boolean, letters string, initials string, turns array<long>, blank long, duplicate long, truncated long, gaps long, illegal long, cost long, state int, audit string, roles array<string>, texts array<string>, copies array<long>"
-_PIECE_NAMES = [c.split()[0] for c in _PIECES.split(", ")]
+_PIECES = (
+    "conv_id long, part int, seq int, whole boolean, letters string, initials string, turns array<long>, digests array<binary>, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string,"
+    " roles array<string>, texts array<string>, copies array<long>"
+)
+_PIECE_NAMES = [c.split()[0] for c in _PIECES.replace(",", ", ").split(", ")]
+COUNTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
 
 
 def gap_count(turns: list[int | None]) -> int:
@@ -172,8 +185,21 @@ def gap_count(turns: list[int | None]) -> int:
     return known[-1] - known[0] + 1 - len(known) if known else 0
 
 
+def _whole(p: _Piece) -> dict:
+    """A conversation that lies in one piece, repaired."""
+    at: dict[bytes, int] = {}
+    later = {i for i, d in enumerate(p.digests) if at.setdefault(d, i) != i}
+    letters, blank, duplicate, truncated = told_faults("".join(p.letters), p.copies, later)
+    cost, labels, _ = cheapest(letters)
+    audit = "".join(labels)
+    roles, texts = render(START, audit, p.roles, p.texts, p.copies)
+    illegal = illegal_pairs("".join(x * n for x, n in zip(p.initials, p.copies, strict=True)))
+    told = {"gaps": gap_count(p.turns), "blank": blank, "duplicate": duplicate, "truncated": truncated, "illegal": illegal, "cost": cost, "audit": audit, "roles": roles, "texts": texts}
+    return told | {"letters": "", "initials": "", "turns": [], "digests": [], "copies": []}
+
+
 def _cut_pieces(batches: Iterator[dict]) -> Iterator[dict]:
-    """Pieces of sorted rows. Conversations that lie whole in one piece, and not at an end of the task's rows, are solved at once."""
+    """Pieces of sorted rows. Conversations that lie whole in one piece, and not at an end of the task's rows, are repaired at once."""
     part, seq = TaskContext.get().partitionId(), 0
     out: dict[str, list] = {n: [] for n in _PIECE_NAMES}
     held: _Piece | None = None
@@ -181,20 +207,17 @@ def _cut_pieces(batches: Iterator[dict]) -> Iterator[dict]:
 
     def put(p: _Piece, whole: bool) -> None:
         nonlocal seq
-        letters, initials = "".join(p.letters), "".join(p.initials)
-        row = {"conv_id": p.key, "part": part, "seq": seq, "whole": whole, "letters": letters, "initials": initials, "turns": p.turns, "blank": p.blank, "duplicate": p.duplicate, "truncated": p.truncated}
-        row |= {"gaps": None, "illegal": None, "cost": None, "state": None, "audit": None, "roles": p.roles, "texts": p.texts, "copies": p.copies}
+        row = dict.fromkeys(_PIECE_NAMES) | {"conv_id": p.key, "part": part, "seq": seq, "whole": whole}
         if whole:
-            cost, labels, _ = cheapest(letters)
-            audit = "".join(labels)
-            roles, texts = render(START, audit, p.roles, p.texts, p.copies)
-            row |= {"gaps": gap_count(p.turns), "illegal": illegal_pairs(initials), "cost": cost, "state": START, "audit": audit, "roles": roles, "texts": texts, "copies": [], "letters": "", "initials": "", "turns": []}
+            row |= _whole(p)
+        else:
+            row |= {"letters": "".join(p.letters), "initials": "".join(p.initials), "turns": p.turns, "digests": p.digests, "roles": p.roles, "texts": p.texts, "copies": p.copies}
         for n, v in row.items():
             out[n].append(v)
         seq += 1
 
     for cols in batches:
-        for key, turn, role, text, copies, later in zip(*(cols[n] for n in ("conv_id", "turn", "role", "text", "copies", "later")), strict=True):
+        for key, *row in zip(*(cols[n] for n in ("conv_id", "turn", "digest", "role", "text", "copies")), strict=True):
             if held is None:
                 held = _Piece(key)
             elif held.key != key:
@@ -203,7 +226,7 @@ def _cut_pieces(batches: Iterator[dict]) -> Iterator[dict]:
             elif len(held.roles) >= PIECE_TURNS or held.chars >= PIECE_CHARS:
                 put(held, False)
                 held, cut = _Piece(key), True
-            held.add(turn, role, text, copies, later)
+            held.add(*row)
         if len(out["seq"]) >= 256:
             yield out
             out = {n: [] for n in _PIECE_NAMES}
@@ -214,7 +237,8 @@ def _cut_pieces(batches: Iterator[dict]) -> Iterator[dict]:
 
 def _solve(group: dict) -> dict:
     """A conversation of several pieces, from the letters of its turns alone."""
-    letters = group["letters"]
+    told = [told_faults(x, c, set(later or ())) for x, c, later in zip(group["letters"], group["copies"], group["later"], strict=True)]
+    letters = [x[0] for x in told]
     cost, labels, states = cheapest("".join(letters))
     turns = [t for ts in group["turns"] for t in ts]
     turns = [t for i, t in enumerate(turns) if not i or t != turns[i - 1]]  # a number may go on in the next piece
@@ -223,10 +247,11 @@ def _solve(group: dict) -> dict:
         audits.append("".join(labels[at : at + len(x)]) + (labels[-1] if i == n - 1 else ""))
         entered.append(states[at])
         at += len(x)
-    only = lambda v: [v] + [None] * (n - 1)
+    only = lambda v: [v] + [0] * (n - 1)
+    illegal = illegal_pairs("".join(x * k for i, c in zip(group["initials"], group["copies"], strict=True) for x, k in zip(i, c, strict=True)))
     return {
         "conv_id": group["conv_id"], "part": group["part"], "seq": group["seq"], "n": list(range(n)), "state": entered, "audit": audits,
-        "gaps": only(gap_count(turns)), "illegal": only(illegal_pairs("".join(group["initials"]))), "cost": only(cost),
+        "gaps": only(gap_count(turns)), "blank": [x[1] for x in told], "duplicate": [x[2] for x in told], "truncated": [x[3] for x in told], "illegal": only(illegal), "cost": only(cost),
     }
 
 
@@ -244,7 +269,7 @@ class Repaired(NamedTuple):
 
 
 def turn_digest() -> Column:
-    return F.sha2(F.concat_ws(":", "role", "text"), 256)
+    return F.unhex(F.sha2(F.concat_ws(":", "role", "text"), 256))
 
 
 def repair(turns: DataFrame) -> Repaired:
@@ -257,32 +282,29 @@ def repair(turns: DataFrame) -> Repaired:
 
     Equal rows are counted before they move. Then rows move to sorted ranges, so a long
     conversation lies in several tasks, which hold a piece of it at a time. A conversation within
-    one task is solved there; of one that is cut only a letter a turn goes to a single task, which
-    gives the audit, a value of that length as well (2 GB is Spark's bound).
+    one piece is repaired there; of one that is cut only a letter and a number a turn go to a single
+    task, which gives the audit, a value of that length as well (2 GB is Spark's bound).
     """
     t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text")).withColumn("digest", turn_digest())
-    counted = t.groupBy("conv_id", "turn", "digest", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
-    spot = F.struct(F.col("turn").isNotNull().alias("known"), "turn")
-    again = t.groupBy("conv_id", "digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first <> last").select(F.col("conv_id").alias("of"), F.col("digest").alias("said"), "first")
-    rows = counted.join(again, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("said")), "left")
-    rows = rows.select("conv_id", "turn", "digest", "role", "text", "copies", F.coalesce(F.col("first") != spot, F.lit(False)).alias("later"))
+    rows = t.groupBy("conv_id", "turn", "digest", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
     order = ["conv_id", "turn", "digest"]
-    pieces = materialise(map_stream(rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("digest"), _cut_pieces, _PIECES), "repair")
-    cut = pieces.filter("not whole")
-    solved = map_groups(
-        cut.select("conv_id", "part", "seq", "letters", "initials", "turns"), ["conv_id"], _solve, "conv_id long, part int, seq int, n int, state int, audit string, gaps long, illegal long, cost long", ["part", "seq"]
-    )
-    solved = materialise(solved, "repair_cut")
-    faults = cut.groupBy("conv_id").agg(*(F.sum(c).alias(c) for c in ("blank", "duplicate", "truncated")))
-    joined = solved.groupBy("conv_id").agg(*(F.sum(c).alias(c) for c in ("gaps", "illegal", "cost")), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "audit"))), lambda x: x["audit"]), "").alias("audit"))
-    columns = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
-    summed = joined.withColumnRenamed("conv_id", "of").join(faults, F.col("conv_id").eqNullSafe(F.col("of"))).select(*columns)
-    where = solved.select("part", "seq", "n", "state", "audit")
-    redone = cut.select("conv_id", "part", "seq", "roles", "texts", "copies").join(where, ["part", "seq"]).select("conv_id", "n", "state", "audit", "roles", "texts", "copies")
+    pieces = materialise(map_stream(rows.repartitionByRange(*order).sortWithinPartitions(*order), _cut_pieces, _PIECES), "repair")
+    cut, where = pieces.filter("not whole"), ["part", "seq"]
+    # which turns of a cut conversation said what an earlier one had said: digests move, not texts
+    said = cut.select("conv_id", *where, F.posexplode("digests").alias("spot", "digest"))
+    spot = F.struct(*where, "spot")
+    firsts = said.groupBy("conv_id", "digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first <> last").select(F.col("conv_id").alias("of"), F.col("digest").alias("seen"), "first")
+    later = said.join(firsts, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("seen"))).filter(spot != F.col("first")).groupBy(*where).agg(F.collect_list("spot").alias("later"))
+    letters = cut.select("conv_id", *where, "letters", "initials", "turns", "copies").join(later, where, "left")
+    counts = ", ".join(f"{c} long" for c in COUNTS)
+    solved = materialise(map_groups(letters, ["conv_id"], _solve, f"conv_id long, part int, seq int, n int, state int, audit string, {counts}", where), "repair_cut")
+    audit = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "audit"))), lambda x: x["audit"]), "")
+    summed = solved.groupBy("conv_id").agg(*(F.sum(c).alias(c) for c in COUNTS), audit.alias("audit"))
+    redone = cut.select(*where, "roles", "texts", "copies").join(solved.select("conv_id", *where, "n", "state", "audit"), where)
     redone = map_columns(redone, _render_rows, "conv_id long, n int, roles array<string>, texts array<string>")
     whole = pieces.filter("whole")
     return Repaired(
-        whole.select(*columns).unionByName(summed),
+        whole.select("conv_id", *COUNTS, "audit").unionByName(summed),
         whole.select("conv_id", F.lit(0).alias("n"), F.lit(True).alias("whole"), "roles", "texts").unionByName(redone.select("conv_id", "n", F.lit(False).alias("whole"), "roles", "texts")),
     )
 
