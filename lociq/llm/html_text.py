@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -73,11 +74,10 @@ def _hinted(got: dict[str, str]) -> bool:
 
 
 class _Element:
-    __slots__ = ("name", "block", "path", "never", "hinted", "above", "article", "link")
+    __slots__ = ("name", "block", "path", "never", "hinted", "above", "article", "link", "out")
 
     def __init__(self, name: str, above: _Element | None, got: dict[str, str]):
-        self.name, self.above, self.block = name, above, name in BLOCKS
-        self.path = (above.path if above else ()) + ((name,) if self.block else ())
+        self.name, self.above, self.block, self.path, self.out = name, above, name in BLOCKS, 0, False
         self.article = name in ("article", "main") or got.get("role") == "main" or got.get("itemprop") == "articleBody" or bool(above and above.article)
         self.link = name == "a" or bool(above and above.link)
         self.never = name in NEVER or (name == "header" and not self.article) or bool(above and above.never)
@@ -85,130 +85,158 @@ class _Element:
 
 
 class Block:
-    """Text of one innermost block element: its path, characters outside links, punctuation, and marks."""
+    """Text of one innermost block element: the number of its path, its heading mark, characters outside links, and whether it is boilerplate by its marks."""
 
-    __slots__ = ("pieces", "owner", "linked", "text")
+    __slots__ = ("pieces", "owner", "own", "text", "boilerplate")
 
     def __init__(self, owner: _Element | None):
-        self.owner, self.pieces, self.linked, self.text = owner, [], 0, ""
+        self.owner, self.pieces, self.own, self.text, self.boilerplate = owner, [], 0, "", False
 
     @property
-    def path(self) -> tuple[str, ...]:
-        return self.owner.path if self.owner else ()
-
-    def boilerplate(self) -> bool:
-        e = self.owner
-        if e and e.never:
-            return True
-        while e:
-            if e.hinted:
-                return True
-            e = e.above
-        return False
+    def path(self) -> int:
+        return self.owner.path if self.owner else 0
 
+    @property
+    def heading(self) -> bool:
+        return bool(self.owner) and self.owner.name in HEADINGS
 
-def blocks_of(html: str) -> list[Block]:
-    """The non-empty blocks of a page in page order; open elements at the end of the page end there."""
-    stack: list[_Element] = []
-    found: list[Block] = []
-    now = Block(None)
-
-    def cut() -> None:
-        nonlocal now
-        now.text = " ".join("".join(now.pieces).split())
-        if now.text:
-            found.append(now)
-        now = Block(stack[-1] if stack else None)
-
-    def say(text: str) -> None:
-        top = stack[-1] if stack else None
-        if top is not now.owner:
-            # an inline mark or hint inside a block is a block of its own only where it hides text
-            if top and (top.never or top.hinted):
-                return
+    @property
+    def links_only(self) -> bool:
+        """At most an eighth of the text is outside links, as where links stand between bars."""
+        return self.own * 8 <= len(self.text)
+
+
+class _Page:
+    """The open elements of a page while it is read, and its blocks. Paths are numbered: a path is its parent path's number and a name."""
+
+    def __init__(self):
+        self.stack: list[_Element] = []
+        self.blocks_open: list[int] = []  # where in the stack block elements are
+        self.names: Counter[str] = Counter()
+        self.paths: dict[tuple[int, str], int] = {}
+        self.made: list[_Element] = []
+        self.found: list[Block] = []
+        self.now = Block(None)
+
+    def cut(self) -> None:
+        """A block ends, and what follows is a block of the innermost open block element."""
+        self.now.text = " ".join("".join(self.now.pieces).split())
+        if self.now.text:
+            self.found.append(self.now)
+        self.now = Block(self.stack[self.blocks_open[-1]] if self.blocks_open else None)
+
+    def say(self, text: str) -> None:
+        top = self.stack[-1] if self.stack else None
+        if top and not top.block and (top.never or top.hinted):
+            return  # an inline mark hides its text, a block's is judged when all is read
         text = unescape(text) if "&" in text else text
-        now.pieces.append(text)
-        if top and top.link:
-            now.linked += len(text)
+        self.now.pieces.append(text)
+        if not (top and top.link):
+            self.now.own += sum(map(len, text.split()))
+
+    def open(self, name: str, got: dict[str, str]) -> None:
+        e = _Element(name, self.stack[-1] if self.stack else None, got)
+        above = self.stack[self.blocks_open[-1]].path if self.blocks_open else 0
+        e.path = self.paths.setdefault((above, name), len(self.paths) + 1) if e.block else above
+        if name in ("article", "main") and not e.never and not e.hinted:
+            x = e.above  # what holds the article isn't boilerplate, whatever its class says
+            while x and not x.out:
+                x.hinted, x.out = False, True
+                x = x.above
+        if e.block:
+            self.cut()
+            self.blocks_open.append(len(self.stack))
+        self.stack.append(e)
+        self.made.append(e)
+        self.names[name] += 1
+        if e.block:
+            self.now.owner = e
 
-    def pop_to(at: int) -> None:
-        ends = any(e.block for e in stack[at:])
+    def close(self, at: int) -> None:
+        """End all elements from a place in the stack on."""
+        ends = bool(self.blocks_open) and self.blocks_open[-1] >= at
+        for e in self.stack[at:]:
+            self.names[e.name] -= 1
         if ends:
-            below = stack[at - 1] if at else None
-            cut()
-            del stack[at:]
-            now.owner = below
+            while self.blocks_open and self.blocks_open[-1] >= at:
+                self.blocks_open.pop()
+            del self.stack[at:]
+            self.cut()
         else:
-            del stack[at:]
+            del self.stack[at:]
+
+    def end(self, name: str) -> None:
+        if not self.names[name]:
+            return
+        least = 0 if name in BLOCKS or not self.blocks_open else self.blocks_open[-1]  # the end of an inline element ends no block
+        for k in range(len(self.stack) - 1, least - 1, -1):
+            if self.stack[k].name == name:
+                self.close(k)
+                return
 
-    at, n = 0, len(html)
+    def imply_ends(self, name: str) -> None:
+        """What the start of a block element ends."""
+        if name in IMPLIED:
+            ends, bound = IMPLIED[name]
+            if any(self.names[x] for x in ends):
+                for k in reversed(self.blocks_open):
+                    if self.stack[k].name in ends:
+                        self.close(k)
+                        return
+                    if self.stack[k].name in bound:
+                        return
+        elif self.blocks_open:
+            k = self.blocks_open[-1]
+            if self.stack[k].name == "p" or (name in HEADINGS and self.stack[k].name in HEADINGS):
+                self.close(k)
+
+    def blocks(self) -> list[Block]:
+        self.cut()
+        bad: set[int] = set()
+        for e in self.made:  # elements come after those that hold them
+            if e.never or e.hinted or (e.above and id(e.above) in bad):
+                bad.add(id(e))
+        for b in self.found:
+            b.boilerplate = b.owner is not None and id(b.owner) in bad
+        return self.found
+
+
+def blocks_of(html: str) -> list[Block]:
+    """The non-empty blocks of a page in page order; open elements at the end of the page end there."""
+    page, at, n = _Page(), 0, len(html)
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
-            say(html[at:])
+            page.say(html[at:])
             break
         if lt > at:
-            say(html[at:lt])
+            page.say(html[at:lt])
         m = _TOKEN.match(html, lt)
         if not m:  # a bare < is text
-            say("<")
+            page.say("<")
             at = lt + 1
             continue
         at = m.end()
         if name := m["end"]:
-            name = name.lower()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    pop_to(k)
-                    break
-                if stack[k].block and name not in BLOCKS:
-                    break  # the end of an inline element ends no block
+            page.end(name.lower())
             continue
         if not (name := m["start"]) or not m["close"]:
             continue
-        name = name.lower()
-        if name in ("br", "hr", "img"):
-            if name == "hr":
-                cut()
-            else:
-                now.pieces.append(" ")
-            continue
-        if name in VOID:
-            continue
-        if name in RAW:
+        name, attrs = name.lower(), m["attrs"]
+        if name == "hr":
+            page.cut()
+        elif name in ("br", "img"):
+            page.now.pieces.append(" ")
+        elif name in RAW:
             end = _RAW_END[name].search(html, at)
-            at = end.start() if end else n
-            if end:
-                at = m.end() if (m := _TOKEN.match(html, at)) else n
-            continue
-        if name in BLOCKS:
-            if name in IMPLIED:
-                ends, bound = IMPLIED[name]
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k].name in ends:
-                        pop_to(k)
-                        break
-                    if stack[k].name in bound:
-                        break
-            else:  # a block ends an open paragraph, a heading an open heading
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k].name == "p" or (name in HEADINGS and stack[k].name in HEADINGS):
-                        pop_to(k)
-                        break
-                    if stack[k].block:
-                        break
-            cut()
-        e = _Element(name, stack[-1] if stack else None, _attributes(m["attrs"]) if m["attrs"] else {})
-        if name in ("article", "main") and not e.never and not e.hinted:
-            for x in stack:  # what holds the article isn't boilerplate, whatever its class says
-                x.hinted = False
-        if m["attrs"].endswith("/") and not e.block:
-            continue
-        stack.append(e)
-        if e.block:
-            now.owner = e
-    cut()
-    return found
+            at = _TOKEN.match(html, end.start()).end() if end else n
+        elif name not in VOID:
+            if name in BLOCKS:
+                page.imply_ends(name)
+            elif attrs.endswith("/"):
+                continue
+            page.open(name, _attributes(attrs) if attrs else {})
+    return page.blocks()
 
 
 #: Width of the smoothing along the page in blocks, and the share of the scores' deviation that a path has to reach.
@@ -229,17 +257,17 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
+def path_scores(blocks: list[Block]) -> dict[int, float]:
     """A fused score for each path: the mean text length outside links times the mean punctuation of its blocks, by itself and as smoothed along the page."""
-    sums: dict[tuple[str, ...], list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for b in blocks:
         s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
         s[0] += 1
-        s[1] += max(0, len(b.text) - b.linked)
-        s[2] += len(PUNCTUATION.findall(b.text)) if b.linked < len(b.text) else 0
+        s[1] += b.own
+        s[2] += 0 if b.links_only else len(PUNCTUATION.findall(b.text))
     lengths = smoothed([sums[b.path][1] / sums[b.path][0] for b in blocks])
     marks = smoothed([sums[b.path][2] / sums[b.path][0] for b in blocks])
-    near: dict[tuple[str, ...], float] = {}
+    near: dict[int, float] = {}
     for b, x, y in zip(blocks, lengths, marks, strict=True):
         near[b.path] = near.get(b.path, 0.0) + x * (BARE + y)
     # the geometric mean: a path needs text of its own and text around it
@@ -247,28 +275,23 @@ def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
 
 
 def filled(blocks: list[Block], keep: list[bool]) -> list[bool]:
-    """Blocks with text outside links between two kept ones stay too, and so does a heading of what is kept in its own container."""
+    """Blocks with text outside links between two kept ones stay too, and so do headings right before a kept block."""
     spots = [i for i, k in enumerate(keep) if k]
-    out = [k or (bool(spots) and spots[0] < i < spots[-1] and b.linked < len(b.text)) for i, (b, k) in enumerate(zip(blocks, keep, strict=True))]
+    out = [k or (bool(spots) and spots[0] < i < spots[-1] and not b.links_only) for i, (b, k) in enumerate(zip(blocks, keep, strict=True))]
     for i in range(len(blocks) - 2, -1, -1):
-        path, after = blocks[i].path, blocks[i + 1].path
-        out[i] = out[i] or (out[i + 1] and path[-1:] != () and path[-1] in HEADINGS and after[: len(path) - 1] == path[:-1])
+        out[i] = out[i] or (out[i + 1] and blocks[i].heading)
     return out
 
 
 def content_blocks(blocks: list[Block]) -> list[Block]:
     """The blocks of the chosen paths, in page order."""
-    left = [b for b in blocks if not b.boilerplate()]
-    if marked := [b for b in left if b.owner and b.owner.article]:
-        left = marked
+    left = [b for b in blocks if not b.boilerplate]
+    if marked := [b for b in left if b.owner and b.owner.article]:  # the page itself says what the article is: only paths all of links go
+        worded = {b.path for b in marked if not b.links_only}
+        return [b for b in marked if b.path in worded or b.heading]
     if not left:
         return []
     scores = path_scores(left)
-    if marked:  # the page itself says what the article is: only paths all of links go
-        own: dict[tuple[str, ...], int] = {}
-        for b in left:
-            own[b.path] = own.get(b.path, 0) + max(0, len(b.text) - b.linked)
-        return [b for b in left if own[b.path] or b.path[-1] in HEADINGS]
     each = [scores[b.path] for b in left]
     mean = sum(each) / len(each)
     least = min(SHARE * mean + SHARE * math.sqrt(sum((x - mean) ** 2 for x in each) / len(each)), max(each))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociq.llm import bpe, chat, chunk_store, html_text, near_join, packing, repair, secrets, sketch, toxicity, turn_trie, url_trie
+from lociq.llm import bpe, chat, chunk_store, conversation_sql, html_text, near_join, packing, repair, secrets, sketch, toxicity, turn_trie, url_trie
 from lociq.llm.frames import fold_column, map_columns, read_table
 
 
@@ -136,6 +136,9 @@ SELECT conv_id, perspective, min(turn) AS first_turn, max(turn) AS last_turn, co
        coalesce(string_agg(CAST(stop - length(text) - {len(chat.CLOSE)} AS BIGINT) || '-' || CAST(stop AS BIGINT), ',' ORDER BY k) FILTER (WHERE own), '') AS mask,
        CAST(coalesce(sum(length(text)) FILTER (WHERE own), 0) AS BIGINT) AS own_chars
 FROM spot GROUP BY conv_id, perspective""",
+    "op11_repair": conversation_sql.REPAIR,
+    "op12_turn_trie": conversation_sql.TRIE,
+    "op13_tag_paths": conversation_sql.MAIN_TEXT,
 }
 
 

@@ -20,7 +20,7 @@ from lociq.llm.frames import map_groups, map_stream, schema_of
 from lociq.plans.storage import materialise
 
 #: Turns of distinct strings (and strings) below a node up to which one task finishes it. Results don't depend on it.
-LOCAL_TURNS = 10_000
+LOCAL_TURNS = 2_000
 #: Most first turns that a rebuilt conversation takes of another one, and the distance of the ids that others take from.
 MOST_TAKEN, EVERY = 6, 100
 
