@@ -156,6 +156,10 @@ def _queries_and_targets(spark, d):
     return q, a.filter("flag <> 'A'").select("rname", "s", "e").distinct()
 
 
+REPEATED = f"""{IV}, q AS (SELECT frag, CASE WHEN frag % 50 = 0 THEN NULL ELSE rname END AS rname, s AS p, strand FROM iv WHERE flag = 'A'),
+t AS (SELECT tx, CASE WHEN frag % 70 = 0 THEN NULL ELSE rname END AS rname, s, e FROM iv WHERE flag <> 'A')"""
+
+
 NEAR = f"{IV}, q AS (SELECT DISTINCT rname, s AS p, strand FROM iv WHERE flag = 'A'), t AS (SELECT DISTINCT rname, s, e FROM iv WHERE flag <> 'A')"
 
 
@@ -166,13 +170,26 @@ def near_sql(cond: str, gap: str, k: int, where: str = "TRUE", reach: int = 90)
 @query(f"WITH {NEAR} {near_sql('', 'p - 1 - e', 1)}")
 def nearest_before(spark, d):
     q, t = _queries_and_targets(spark, d)
-    return big(intervals.nearest(q, t, ["rname"], ["p", "strand"], max_dist=90), "rank")
+    return big(intervals.nearest(q, t, ["rname"], max_dist=90), "rank")
+
+
+@query(f"""
+WITH {REPEATED}, one AS (SELECT DISTINCT rname, p FROM q),
+near AS (SELECT one.rname, p, tx, s, e, p - 1 - e AS distance, row_number() OVER (PARTITION BY one.rname, p ORDER BY p - 1 - e, tx, s, e) AS rank FROM one JOIN t ON one.rname = t.rname AND p - 1 - e BETWEEN 0 AND 59)
+SELECT q.rname, q.p, q.strand, tx, s, e, distance, CAST(rank AS BIGINT) AS rank, count(*) AS rows FROM q JOIN near ON q.rname = near.rname AND q.p = near.p WHERE rank <= 2 GROUP BY ALL""")
+def nearest_repeated(spark, d):
+    """J2, W8 over repeated queries, repeated intervals and null keys."""
+    a, null = iv(spark, d), F.lit(None)
+    q = a.filter("flag = 'A'").select(F.when(F.col("frag") % 50 == 0, null).otherwise(F.col("rname")).alias("rname"), F.col("s").alias("p"), "strand")
+    t = a.filter("flag <> 'A'").select("tx", F.when(F.col("frag") % 70 == 0, null).otherwise(F.col("rname")).alias("rname"), "s", "e")
+    near = intervals.nearest(q, t, ["rname"], k=2, max_dist=60, ties=["tx"])
+    return big(near.groupBy("rname", "p", "strand", "tx", "s", "e", "distance", "rank").agg(F.count(F.lit(1)).alias("rows")), "rank")
 
 
 @query(f"WITH {NEAR} {near_sql('', 's - p - 1', 1)}")
 def nearest_after(spark, d):
     q, t = _queries_and_targets(spark, d)
-    return big(intervals.nearest(q, t, ["rname"], ["p", "strand"], side="after", max_dist=90), "rank")
+    return big(intervals.nearest(q, t, ["rname"], side="after", max_dist=90), "rank")
 
 
 @query(f"""
@@ -180,7 +197,7 @@ WITH {NEAR} {near_sql('', 'p - 1 - e', 3, chr(115) + 'trand = ' + chr(39) + '+'
 UNION ALL {near_sql('', 's - p - 1', 3, 'strand = ' + chr(39) + '-' + chr(39))}""")
 def upstream_k(spark, d):
     q, t = _queries_and_targets(spark, d)
-    return big(intervals.nearest_stranded(q, t, ["rname"], ["p", "strand"], k=3, max_dist=90), "rank")
+    return big(intervals.nearest_stranded(q, t, ["rname"], k=3, max_dist=90), "rank")
 
 
 @query(f"""
@@ -188,7 +205,7 @@ WITH {NEAR} {near_sql('', 's - p - 1', 2, 'strand = ' + chr(39) + '+' + chr(39))
 UNION ALL {near_sql('', 'p - 1 - e', 2, 'strand = ' + chr(39) + '-' + chr(39))}""")
 def downstream_k(spark, d):
     q, t = _queries_and_targets(spark, d)
-    return big(intervals.nearest_stranded(q, t, ["rname"], ["p", "strand"], direction="downstream", k=2, max_dist=90), "rank")
+    return big(intervals.nearest_stranded(q, t, ["rname"], direction="downstream", k=2, max_dist=90), "rank")
 
 
 @query(f"""
@@ -935,6 +952,15 @@ def empirical_rank(spark, d):
     return legacy.rank_empirically(p, ("x", "y", "z"), 90).select("qname", r6("prob").alias("prob"))
 
 
+@query(f"""WITH {PK}, p AS (SELECT qname, price % 6 - 3 AS x, id5p % 5 AS y, -(id3p % 4) AS z FROM pk), g AS (SELECT x, y, z, count(*) AS n FROM p GROUP BY 1, 2, 3),
+c AS (SELECT a.x, a.y, a.z, 1 - sum(b.n) / (SELECT count(*) FROM p) AS prob FROM g a JOIN g b ON b.x <= a.x AND b.y <= a.y AND b.z <= a.z GROUP BY 1, 2, 3),
+s AS (SELECT p.*, prob FROM p JOIN c USING (x, y, z)) SELECT qname, round(prob, 6)::DOUBLE AS prob FROM s WHERE prob <= (SELECT quantile_cont(prob, 0.1) FROM s) + 1e-12""")
+def histogram_rank(spark, d):
+    """The histogram's form, over figures below, at and above 0."""
+    p = pk(spark, d).select("qname", (F.col("price") % 6 - 3).alias("x"), (F.col("id5p") % 5).alias("y"), (-(F.col("id3p") % 4)).alias("z"))
+    return legacy.rank_by_histogram(p, ("x", "y", "z"), 10).select("qname", r6("prob").alias("prob"))
+
+
 @query(f"""
 WITH {IV}, x AS (SELECT DISTINCT rname AS chrom, frag AS tx_id, s, e, strand FROM iv), {island_sql('chrom', 0, 'x')},
 k AS (SELECT DISTINCT x.chrom, i.island_start, x.strand FROM x JOIN isl i ON x.chrom = i.chrom AND x.s >= i.island_start AND x.s <= i.island_end),

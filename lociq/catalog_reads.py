@@ -13,6 +13,7 @@ from lociq.operators import annotate, classify, filters, intervals, legacy, mate
 from lociq.plans import discovery
 from lociq.plans.config import RunConfig
 from lociq.plans.storage import scratch_path
+from lociq.sources import bam
 from lociq.sources import reads as io
 from lociq.sources import tables
 from lociq.streaming import sessions
@@ -155,6 +156,37 @@ def raw_round_trip(spark, d):
     return big(reads.select(c("qname").cast("long").alias("doc_id"), "mate", "seq", "qual", "flag"), "mate", "flag")
 
 
+@query(f"""WITH {RD}, x AS (SELECT doc_id, seq, qual, doc_id * 3 + 100 AS p FROM rd)
+SELECT 'q' || doc_id AS qname, CAST(CASE WHEN doc_id % 2 = 0 THEN 16 ELSE 0 END AS BIGINT) AS flag, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'chr' || (doc_id % 5) END AS rname, p AS pos, CASE WHEN doc_id % 7 = 0 THEN p ELSE p + 127 END AS "end",
+CASE WHEN doc_id % 7 = 0 THEN '*' ELSE '2S20M100N7M3S' END AS cigar, seq, qual, doc_id * 1000 AS nh, 'i:' || doc_id * 1000 || ',Z:5A' || doc_id AS tags FROM x""")
+def bam_files(spark, d):
+    """Alignments written as BAM and read back, every field and tag."""
+    none, ops = F.array().cast(_OPS), F.array(*[F.struct(F.lit(o).alias("op"), F.lit(n).alias("len")) for o, n in ((4, 2), (0, 20), (3, 100), (0, 7), (4, 3))]).cast(_OPS)
+    lost = c("doc_id") % 7 == 0
+    a = rd(spark, d).select(
+        F.concat(F.lit("q"), text(c("doc_id"))).alias("qname"), F.when(c("doc_id") % 2 == 0, 16).otherwise(0).alias("flag"), F.when(~lost, F.concat(F.lit("chr"), text(c("doc_id") % 5))).alias("rname"), (c("doc_id") * 3 + 100).cast("int").alias("pos"),
+        F.lit(60).alias("mapq"), F.when(lost, none).otherwise(ops).alias("cigar"), F.lit(None).cast("string").alias("rnext"), F.lit(-1).alias("pnext"), F.lit(0).alias("tlen"), "seq", "qual",
+        F.create_map(F.lit("MD"), F.concat(F.lit("5A"), text(c("doc_id"))), F.lit("NH"), text(c("doc_id") * 1000)).alias("tags"),
+    )
+    lengths = spark.range(5).select(F.concat(F.lit("chr"), text(c("id"))).alias("chrom"), F.lit(1 << 28).alias("length"))
+    bam.write_bam(a, path := scratch_path(spark, "bam"), lengths)
+    from lociq.functions import cigar
+
+    got = bam.read_bam(spark, path)
+    told = F.array_join(F.transform(F.reverse(F.array_sort(F.map_keys("tags"))), lambda k: F.concat(c("tag_types")[k], F.lit(":"), c("tags")[k])), ",")
+    return big(got.select("qname", "flag", "rname", "pos", "end", F.when(F.size("cigar") == 0, "*").otherwise(cigar.render(c("cigar"))).alias("cigar"), "seq", "qual", "nh", told.alias("tags")), "flag", "pos", "end", "nh")
+
+
+@query(f"""WITH {IV}, a AS (SELECT * FROM iv WHERE flag <> 'A'), r AS (SELECT DISTINCT rname, s AS s2, s + 3 AS e2 FROM iv WHERE flag = 'A' AND rname % 7 = 3)
+SELECT rname, frag, n, s, e FROM a WHERE EXISTS (SELECT 1 FROM r WHERE r.rname = a.rname AND e2 > s AND s2 < e)""")
+def indexed_fetch(spark, d):
+    """Alignments sorted into indexed files, and those that regions meet read from the files that may have some."""
+    a = iv(spark, d)
+    bam.write_indexed(a.filter("flag <> 'A'"), path := scratch_path(spark, "indexed"), s="s", e="e", rows_per_file=2_000)
+    regions = a.filter("flag = 'A' and rname % 7 = 3").select("rname", c("s").alias("s2"), (c("s") + 3).alias("e2"))
+    return bam.fetch(spark, path, regions, s="s", e="e", r=("s2", "e2")).select("rname", "frag", "n", "s", "e")
+
+
 @query(f"""
 WITH {RD}, x AS (SELECT doc_id, doc_id * 3 + 100 AS pos FROM rd)
 SELECT doc_id % 5 AS ref, count(*) AS rows, min(pos) AS first, CAST(any_value(500 + doc_id % 5) AS BIGINT) AS length FROM x GROUP BY 1""")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociq.operators.classify import combinations
 from lociq.operators.graph import connected_components
-from lociq.operators.intervals import hidden, islands, label_islands, overlap_join
+from lociq.operators.intervals import hidden, islands, join_same, label_islands, overlap_join
 
 
 def boundary(start: Column, end: Column, strand: Column, orientation: Column) -> Column:
@@ -20,15 +20,26 @@ def stranded_clusters(reads: DataFrame, keys: list[str], **how) -> DataFrame:
     return islands(reads, keys, **how)
 
 
-def with_cluster_ids(clusters: DataFrame, reference: str, order: list[str]) -> DataFrame:
-    """Adds cluster_id, from 0 in the order of reference and ``order``.
+def offsets_of(counts: DataFrame, key: str, n: str, name: str) -> DataFrame:
+    """(key, name): how many rows the lesser keys have, a null key before all others. ``counts`` has a row for each key."""
+    before = F.sum(n).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
+    return counts.select(key, F.coalesce(before, F.lit(0)).alias(name))
+
 
-    Ids are an offset of the reference plus a rank in it, so no task sorts all clusters.
+def numbered(df: DataFrame, key: str, order: list, name: str) -> DataFrame:
+    """Adds ``name``, from 0 without gaps in the order of ``key`` and ``order``, nulls first.
+
+    Ids are an offset of the key plus a rank in it, so no task sorts all rows; a null key is a key.
     """
-    counts = clusters.groupBy(reference).agg(F.count(F.lit(1)).alias("_n"))  # a row for each reference
-    offsets = counts.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy(reference).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    rank = F.row_number().over(Window.partitionBy(reference).orderBy(*order))
-    return clusters.join(offsets, reference).withColumn("cluster_id", F.col("_o") + rank - 1).drop("_o")
+    n, o = hidden("_n", df), hidden("_o", df)
+    offsets = offsets_of(df.groupBy(key).agg(F.count(F.lit(1)).alias(n)), key, n, o)
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return join_same(df, offsets, [key]).withColumn(name, F.col(o) + rank - 1).drop(o)
+
+
+def with_cluster_ids(clusters: DataFrame, reference: str, order: list[str]) -> DataFrame:
+    """Adds cluster_id, from 0 in the order of reference and ``order``; a null reference comes first."""
+    return numbered(clusters, reference, order, "cluster_id")
 
 
 def past_boundary(strand: Column, orientation: Column, start: Column, end: Column, r_start: Column, r_end: Column, mate_pos: Column) -> Column:
@@ -38,10 +49,15 @@ def past_boundary(strand: Column, orientation: Column, start: Column, end: Colum
 
 
 def concordant_evidence(clusters: DataFrame, fragments: DataFrame, keys: list[str], *, width: int | None = None) -> DataFrame:
-    """(cluster columns, frags): distinct overlapping fragments that reach past the boundary; 0 where none does."""
-    met = overlap_join(clusters, fragments, keys, width=width).filter(past_boundary(F.col("strand"), F.col("orient"), F.col("s"), F.col("e"), F.col("s2"), F.col("e2"), F.col("mate_pos")))
-    counted = met.groupBy(*clusters.columns).agg(F.count_distinct("frag2").alias("frags"))
-    return clusters.join(counted, clusters.columns, "left").fillna(0, ["frags"])
+    """(cluster columns, frags): distinct overlapping fragments that reach past the boundary; 0 where none does.
+
+    Fragments are counted for distinct places, so further columns, null or not, and repeated clusters change nothing.
+    """
+    spot = list(dict.fromkeys([*keys, "s", "e", "strand", "orient"]))
+    met = overlap_join(clusters.select(*spot).distinct(), fragments.select(*keys, "s2", "e2", "mate_pos", "frag2"), keys, width=width)
+    past = met.filter(past_boundary(F.col("strand"), F.col("orient"), F.col("s"), F.col("e"), F.col("s2"), F.col("e2"), F.col("mate_pos")))
+    counted = past.select(*spot, "frag2").distinct().groupBy(*spot).agg(F.count("frag2").alias("frags"))
+    return join_same(clusters, counted, spot, "left").fillna(0, ["frags"])
 
 
 def pair_clusters(members: DataFrame, fragment: str, cluster: str, side: str) -> DataFrame:
@@ -54,15 +70,11 @@ def with_pair_ids(pairs: DataFrame) -> DataFrame:
     """Adds pair_id, from 0 in the order of the ids as text.
 
     Ids are an offset of the 5' id's first three characters, of which there are some thousand,
-    plus a rank among the pairs that begin so; no task sorts all pairs.
+    plus a rank among the pairs that begin so; no task sorts all pairs. Null ids come first.
     """
     five, three = F.col("id5p").cast("string"), F.col("id3p").cast("string")
     head = hidden("_head", pairs)
-    keyed = pairs.withColumn(head, F.substring(five, 1, 3))
-    counts = keyed.groupBy(head).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy(head).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    rank = F.row_number().over(Window.partitionBy(head).orderBy(five, three))
-    return keyed.join(offsets, head).withColumn("pair_id", F.col("_o") + rank - 1).drop(head, "_o")
+    return numbered(pairs.withColumn(head, F.substring(five, 1, 3)), head, [five, three], "pair_id").drop(head)
 
 
 def transcript_clusters(exons: DataFrame, keys: list[str], tx: str = "tx_id") -> DataFrame:

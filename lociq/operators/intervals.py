@@ -110,30 +110,33 @@ def overlap_exists(left: DataFrame, right: DataFrame, keys: list[str], *, anti:
     return left.join(met, same, "left_anti" if anti else "left_semi")
 
 
-def nearest(queries: DataFrame, intervals: DataFrame, keys: list[str], query: list[str], *, pos: str = "p", side: str = "before", k: int = 1, max_dist: int = 2500, ends: tuple[str, str] = ("s", "e"), ties: list[str] | None = None) -> DataFrame:
+def nearest(queries: DataFrame, intervals: DataFrame, keys: list[str], *, pos: str = "p", side: str = "before", k: int = 1, max_dist: int = 2500, ends: tuple[str, str] = ("s", "e"), ties: list[str] | None = None) -> DataFrame:
     """The k intervals nearest before (0 <= p - 1 - e < max_dist) or after (0 <= s - p - 1 < max_dist) a position.
 
-    Adds distance and rank. Intervals lie in the bin of their end (start), and a query looks
+    Adds distance and rank. Intervals lie in the bin of their end (start), and a position looks
     into the two bins its reach can touch. Equal distances go by ``ties``, then the interval.
-    Interval columns that queries have too, the keys excepted, get the suffix _right.
+    Equal positions are asked once and each query row gets the answer; equal intervals each
+    take a rank. Interval columns that queries have too, the keys excepted, get the suffix _right.
     """
     intervals, (s, e) = _no_clash(queries, intervals, keys, ends)
-    bin_ = hidden("_bin", queries, intervals)
+    bin_, asked = hidden("_bin", queries, intervals), {c: hidden(f"_a{i}", queries, intervals) for i, c in enumerate([*keys, pos])}
     at = F.col(e) if side == "before" else F.col(s)
     lo, hi = (F.col(pos) - max_dist, F.col(pos) - 1) if side == "before" else (F.col(pos) + 1, F.col(pos) + max_dist)
-    a = queries.withColumn(bin_, F.explode(F.sequence(F.floor(lo / max_dist), F.floor(hi / max_dist))))
-    b = intervals.withColumn(bin_, F.floor(at / max_dist))
+    one = queries.select(*asked).distinct()
+    a = one.withColumn(bin_, F.explode(F.sequence(F.floor(lo / max_dist), F.floor(hi / max_dist))))
+    b = intervals.filter(F.col(s).isNotNull() & F.col(e).isNotNull()).withColumn(bin_, F.floor(at / max_dist))
     gap = F.col(pos) - 1 - F.col(e) if side == "before" else F.col(s) - F.col(pos) - 1
     near = a.join(b, [*keys, bin_]).drop(bin_).withColumn("distance", gap).filter(f"distance >= 0 and distance < {max_dist}")
-    order = Window.partitionBy(*keys, *query).orderBy("distance", *(ties or []), s, e)
-    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    order = Window.partitionBy(*asked).orderBy("distance", *(ties or []), s, e)
+    best = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).withColumnsRenamed(asked)
+    return queries.join(best, [queries[c] == best[n] for c, n in asked.items()]).drop(*asked.values())
 
 
-def nearest_stranded(queries: DataFrame, intervals: DataFrame, keys: list[str], query: list[str], *, strand: str = "strand", direction: str = "upstream", **how) -> DataFrame:
+def nearest_stranded(queries: DataFrame, intervals: DataFrame, keys: list[str], *, strand: str = "strand", direction: str = "upstream", **how) -> DataFrame:
     """``nearest`` before for + and after for - (upstream), or the other way round."""
     minus = F.col(strand) == "-"
     first, second = ("before", "after") if direction == "upstream" else ("after", "before")
-    return nearest(queries.filter(~minus), intervals, keys, query, side=first, **how).unionByName(nearest(queries.filter(minus), intervals, keys, query, side=second, **how))
+    return nearest(queries.filter(~minus), intervals, keys, side=first, **how).unionByName(nearest(queries.filter(minus), intervals, keys, side=second, **how))
 
 
 def _runs(rows: DataFrame, within: list[str], s: str, e: str, max_gap: int, name: str) -> DataFrame:
@@ -160,6 +163,8 @@ def label_islands(df: DataFrame, keys: list[str], *, s: str = "s", e: str = "e",
     Two steps: islands inside tiles of starts, so that one hot key is spread over tasks, and
     then islands of these, of which there are few. Rows with a null coordinate are left out.
     """
+    if clash := {"island_start", "island_end"} & {c.lower() for c in df.columns}:
+        raise ValueError(f"rename {sorted(clash)}: the islands' columns have these names")
     tiled, whole, at = _tiled(df, keys, s, e, max_gap, tile)
     span = Window.partitionBy(*keys, "_island")
     named = whole.select(*keys, *at, F.min("_s").over(span).alias("island_start"), F.max("_e").over(span).alias("island_end"))

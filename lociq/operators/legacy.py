@@ -153,51 +153,44 @@ def bin_edges(df: DataFrame, column: str, bins: int) -> list[float]:
     return sorted({float(v) for v in values})
 
 
+def grid_share(grid: np.ndarray, edges: list[np.ndarray], points: np.ndarray) -> np.ndarray:
+    """Values of a grid over the edges' corners at points (n, d) within them, linear in each coordinate between neighbouring edges."""
+    out = np.zeros(len(points))
+    upper, part = [], []
+    for e, v in zip(edges, points.T, strict=True):
+        r = np.minimum(np.searchsorted(e, v, side="left"), len(e) - 1)  # the first edge at or above
+        width = e[r] - e[np.maximum(r - 1, 0)]
+        upper.append(r)
+        part.append(np.where(width > 0, (e[r] - v) / np.where(width > 0, width, 1), 0.0))  # how far below it
+    for corner in np.ndindex(*(2,) * len(edges)):
+        weight = np.prod([p if c else 1 - p for c, p in zip(corner, part, strict=True)], axis=0)
+        out += weight * grid[tuple(np.maximum(r - c, 0) for c, r in zip(corner, upper, strict=True))]
+    return out
+
+
 def rank_by_histogram(df: DataFrame, columns: tuple[str, str, str], percentile: float, *, bins: int = 64) -> DataFrame:
-    """Candidates by an interpolated share of a histogram of three figures; those within the percentile of the best stay, with prob.
+    """Candidates by the share of all that exceed them in some of three figures; those within the percentile of the best stay, with prob.
 
-    The histogram has quantile bins; a candidate's share is the sum of the cells below it in
-    all figures, against that of the cells above it in two of them, both taken linearly
-    between the nearest edges by the mean of its places between them. prob is 1 less that
-    share, least for the best. Rows with a null figure are left out. What comes to the driver
-    is the histogram, (bins - 1)^3 cells at most, and what is broadcast is four tables of it.
+    prob is 1 less the joint distribution: the share of rows that have no figure above the
+    candidate's. It is exact where a figure has at most ``bins`` values. Otherwise it is summed
+    for the quantile edges and linear in each figure between them. Rows with a null figure are
+    left out. What comes to the driver and is broadcast is the histogram, bins^3 cells at most.
     """
     rows = df.filter(" and ".join(f"{x} is not null" for x in columns))
-    edges = [bin_edges(rows, x, bins) for x in columns]
-    if not all(edges):
+    edges = [np.array(bin_edges(rows, x, bins)) for x in columns]
+    if not all(len(e) for e in edges):
         return rows.withColumn("prob", F.lit(None).cast("double"))
-    edges = [e if len(e) > 1 else [e[0] - 0.5, e[0] + 0.5] for e in edges]
-
-    def place(value: Column, e: list[float]) -> Column:
-        return F.least(F.size(F.filter(F.array(*[F.lit(v) for v in e]), lambda v: v <= value)) - 1, F.lit(len(e) - 2))
-
-    cell = [place(F.col(x), e).alias(f"i{d}") for d, (x, e) in enumerate(zip(columns, edges, strict=True))]
-    h = np.zeros([len(e) - 1 for e in edges])
+    below = lambda x, e: F.size(F.filter(F.array(*[F.lit(float(v)) for v in e]), lambda v: v < F.col(x).cast("double")))
+    cell = [below(x, e).alias(f"i{d}") for d, (x, e) in enumerate(zip(columns, edges, strict=True))]
+    grid = np.zeros([len(e) for e in edges])
     for r in rows.select(*cell).groupBy("i0", "i1", "i2").agg(F.count(F.lit(1)).alias("n")).collect():
-        h[r.i0, r.i1, r.i2] = r.n
-    below = np.pad(h, ((1, 0),) * 3).cumsum(0).cumsum(1).cumsum(2)  # below[a, b, c]: the sum of h[:a, :b, :c]
-    above = np.zeros_like(below)
-    for d in range(3):  # the cells from an edge on in the other two figures
-        tail = np.pad(h.sum(d, keepdims=True), [(0, 0) if k == d else (0, 1) for k in range(3)])
-        for k in range(3):
-            if k != d:
-                tail = np.flip(np.flip(tail, k).cumsum(k), k)
-        above += tail
-    told = df.sparkSession.sparkContext.broadcast((edges, below, above))
+        grid[r.i0, r.i1, r.i2] = r.n
+    told = df.sparkSession.sparkContext.broadcast((edges, grid.cumsum(0).cumsum(1).cumsum(2) / grid.sum()))
 
     @F.pandas_udf("double")
     def prob(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
-        at, low, high = told.value
-        right, share = [], []
-        for e, v in zip(at, (x, y, z), strict=True):
-            e, v = np.array(e), v.to_numpy(dtype=float)
-            r = np.clip(np.searchsorted(e, v, side="left"), 1, len(e) - 1)
-            right.append(r)
-            share.append(np.where(e[r] == 0, 0.0, (v - e[r - 1]) / (e[r] - e[r - 1])))
-        part, left = np.mean(share, axis=0), [r - 1 for r in right]
-        own = low[tuple(left)] + part * (low[tuple(right)] - low[tuple(left)])
-        rest = high[tuple(left)] + (1 - part) * (high[tuple(right)] - high[tuple(left)])
-        return pd.Series(1 - own / (own + rest))
+        at, share = told.value
+        return pd.Series(1 - grid_share(share, at, np.column_stack([x, y, z]).astype(float)))
 
     scored = rows.withColumn("prob", prob(*[F.col(x).cast("double") for x in columns]))
     cut = scored.agg(F.percentile("prob", F.lit(percentile / 100)).alias("cut"))

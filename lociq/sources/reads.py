@@ -251,15 +251,26 @@ def with_flags(flag: Column, on: list[str] = (), off: list[str] = ()) -> Column:
     return flag
 
 
-def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignments of SAM text: pos and pnext from 0, CIGAR as ops, tags as a map and the usual ones as columns."""
+def with_tag_columns(rows: DataFrame) -> DataFrame:
+    """Adds the usual tags as columns, the mate's number and the end on the reference."""
+    typed = rows.withColumns({k.lower() if k != "AS" else "as_score": F.col("tags")[k].try_cast(t) for k, t in _TAGS.items()})
+    return typed.withColumn("mate", F.when(has_flag(F.col("flag"), "second"), 2).otherwise(1)).withColumn("end", cigar.reference_end(F.col("pos"), F.col("cigar")))
+
+
+def read_sam(spark: SparkSession, path: str, *, types: bool = False) -> DataFrame:
+    """Alignments of SAM text: pos and pnext from 0, CIGAR as ops, tags as a map and the usual ones as columns.
+
+    Of a repeated tag the last counts. With ``types`` there is tag_types as well, each tag's letter.
+    """
     c = F.split("value", "\t")
     rows = spark.read.text(path).filter(~F.col("value").startswith("@")).filter("value <> ''")
+    tags = F.slice(c, 12, F.greatest(F.size(c) - 11, F.lit(0)))
+    last = F.filter(tags, lambda t, i: ~F.exists(F.slice(tags, i + 2, F.greatest(F.size(tags) - i - 1, F.lit(0))), lambda x: F.substring(x, 1, 2) == F.substring(t, 1, 2)))
+    part = lambda at, n: F.map_from_entries(F.transform(last, lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, at, n))))
     base = rows.select(c[0].alias("qname"), c[1].cast("int").alias("flag"), F.nullif(c[2], F.lit("*")).alias("rname"), (c[3].cast("int") - 1).alias("pos"), c[4].cast("int").alias("mapq"), cigar.parse(c[5]).alias("cigar"),
         F.when(c[6] == "=", c[2]).otherwise(F.nullif(c[6], F.lit("*"))).alias("rnext"), (c[7].cast("int") - 1).alias("pnext"), c[8].cast("int").alias("tlen"), c[9].alias("seq"), c[10].alias("qual"),
-        F.map_from_entries(F.transform(F.slice(c, 12, F.greatest(F.size(c) - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 1 << 20)))).alias("tags"))
-    typed = base.withColumns({k.lower() if k != "AS" else "as_score": F.col("tags")[k].cast(t) for k, t in _TAGS.items()})
-    return typed.withColumn("mate", F.when(has_flag(F.col("flag"), "second"), 2).otherwise(1)).withColumn("end", cigar.reference_end(F.col("pos"), F.col("cigar")))
+        part(6, 1 << 20).alias("tags"), *([part(4, 1).alias("tag_types")] if types else []))
+    return with_tag_columns(base)
 
 
 def sam_header(lengths: DataFrame, order: str = "unsorted") -> DataFrame:
@@ -270,9 +281,14 @@ def sam_header(lengths: DataFrame, order: str = "unsorted") -> DataFrame:
 
 
 def write_sam(df: DataFrame, path: str, lengths: DataFrame | None = None) -> None:
-    """SAM lines; a missing value is *. With ``lengths`` (chrom, length) the first files hold the header."""
+    """SAM lines; a missing value is *. With ``lengths`` (chrom, length) the first files hold the header.
+
+    A tag's type is that of tag_types, where there is such a column, else i for whole numbers and Z.
+    """
     star = lambda c: F.coalesce(c, F.lit("*"))
-    tags = F.array_join(F.transform(F.map_entries("tags"), lambda t: F.concat(t["key"], F.when(t["value"].rlike("^-?[0-9]+$"), F.lit(":i:")).otherwise(F.lit(":Z:")), t["value"])), "\t")
+    guess = lambda t: F.when(t["value"].rlike("^-?[0-9]+$"), F.lit("i")).otherwise(F.lit("Z"))
+    kind = (lambda t: F.coalesce(F.col("tag_types")[t["key"]], guess(t))) if "tag_types" in df.columns else guess
+    tags = F.array_join(F.transform(F.map_entries("tags"), lambda t: F.concat(t["key"], F.lit(":"), kind(t), F.lit(":"), t["value"])), "\t")
     ops = cigar.render(F.col("cigar"))
     cells = [F.col("qname"), F.col("flag").cast("string"), star(F.col("rname")), (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), F.when(F.size("cigar") > 0, ops).otherwise("*"), F.when(F.col("rnext") == F.col("rname"), "=").otherwise(star(F.col("rnext"))), (F.col("pnext") + 1).cast("string"), F.col("tlen").cast("string"), F.col("seq"), F.col("qual"), F.nullif(tags, F.lit(""))]
     rows = df.select(F.concat_ws("\t", *cells).alias("value"))

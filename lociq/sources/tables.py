@@ -92,14 +92,12 @@ def write_genepred(df: DataFrame, path: str) -> None:
 
 
 def number(df: DataFrame) -> DataFrame:
-    """tx_id from 1, per chromosome offsets and ranks so that no task sorts all rows."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("chrom").orderBy("tx_start", "tx_end", "strand", "tx_names", "exons")
-    counts = df.groupBy("chrom").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("chrom", F.coalesce(F.sum("_n").over(Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
-    numbered = df.join(offsets, "chrom").withColumn("tx_id", (F.col("_o") + F.row_number().over(order)).cast("bigint"))
-    return numbered.select(*[n for n, _ in fields(TRANSCRIPTS)])
+    """tx_id from 1 in the order of places, a null chromosome first; no task sorts all rows."""
+    from lociq.operators.cluster import numbered
+
+    order = ["tx_start", "tx_end", "strand", "tx_names", "exons"]
+    every = numbered(df.drop("tx_id"), "chrom", order, "tx_id").withColumn("tx_id", (F.col("tx_id") + 1).cast("bigint"))
+    return every.select(*[n for n, _ in fields(TRANSCRIPTS)])
 
 
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -99,16 +100,20 @@ def test_ranking_by_an_interpolated_histogram(spark):
     got = {r.i: r.prob for r in legacy.rank_by_histogram(spark.createDataFrame(rows, "i int, x double, y double, z double"), ("x", "y", "z"), 100, bins=9).collect()}
     data = np.array([r[1:] for r in rows])
     edges = [np.unique(np.percentile(data[:, 0], np.linspace(0, 100, 9))), np.unique(np.percentile(data[:, 1], np.linspace(0, 100, 9))), np.unique(data[:, 2])]
-    h, _ = np.histogramdd(data, bins=edges)
-    for i, *v in rows:
-        r = [min(max(int(np.searchsorted(e, x)), 1), len(e) - 1) for e, x in zip(edges, v, strict=True)]
-        part = np.mean([0 if e[k] == 0 else (x - e[k - 1]) / (e[k] - e[k - 1]) for e, x, k in zip(edges, v, r, strict=True)])
-        below = lambda q: h[: q[0], : q[1], : q[2]].sum()
-        above = lambda q: h[:, q[1] :, q[2] :].sum() + h[q[0] :, :, q[2] :].sum() + h[q[0] :, q[1] :, :].sum()
-        left = [k - 1 for k in r]
-        own = below(left) + part * (below(r) - below(left))
-        rest = above(left) + (1 - part) * (above(r) - above(left))
-        assert abs(got[i] - (1 - own / (own + rest))) < 1e-9
+    for i, *v in rows:  # the cells below each corner around the candidate, weighed by how near it is
+        share = 0.0
+        at = [min(int(np.searchsorted(e, x)), len(e) - 1) for e, x in zip(edges, v, strict=True)]
+        for corner in itertools.product((0, 1), repeat=3):
+            weight, spot = 1.0, []
+            for e, x, r, c in zip(edges, v, at, corner, strict=True):
+                far = (e[r] - x) / (e[r] - e[r - 1]) if r else 0.0
+                weight *= far if c else 1 - far
+                spot.append(e[max(r - c, 0)])
+            share += weight * np.mean((data <= np.array(spot)).all(axis=1))
+        assert abs(got[i] - (1 - share)) < 1e-9
+    moved = spark.createDataFrame([(i, x - 7, y + 100, z) for i, x, y, z in rows], "i int, x double, y double, z double")
+    for r in legacy.rank_by_histogram(moved, ("x", "y", "z"), 100, bins=9).collect():  # figures count by their order and distances alone
+        assert abs(r.prob - got[r.i]) < 1e-9
     best = legacy.rank_by_histogram(spark.createDataFrame(rows, "i int, x double, y double, z double"), ("x", "y", "z"), 10, bins=9).collect()
     assert {r.i for r in best} == {i for i, p in got.items() if p <= np.percentile(list(got.values()), 10) + 1e-12}
     assert legacy.rank_by_histogram(spark.createDataFrame([], "i int, x double, y double, z double"), ("x", "y", "z"), 10).count() == 0

@@ -48,13 +48,13 @@ def test_overlap_join_equals_all_pairs(spark):
 
 def test_nearest_examples(spark):
     iv = frame(spark, [(1, 0, 10, 0), (1, 3, 7, 1), (1, 3, 40, 2), (1, 13, 50, 3)])
-    ask = lambda p, **how: [(r.s, r.e) for r in intervals.nearest(spark.createDataFrame([(1, p)], "k int, p int"), iv, ["k"], ["p"], **how).orderBy("rank").collect()]
+    ask = lambda p, **how: [(r.s, r.e) for r in intervals.nearest(spark.createDataFrame([(1, p)], "k int, p int"), iv, ["k"], **how).orderBy("rank").collect()]
     assert ask(10, k=1) == [(3, 7)]
     assert ask(11, k=5) == [(0, 10), (3, 7)]
     assert ask(12, side="after") == [(13, 50)]
     assert ask(100, k=2, max_dist=10) == []
     q = spark.createDataFrame([(1, 11, "+"), (1, 12, "-")], "k int, p int, strand string")
-    got = intervals.nearest_stranded(q, iv, ["k"], ["p"]).select("p", "s", "e").collect()
+    got = intervals.nearest_stranded(q, iv, ["k"]).select("p", "s", "e").collect()
     assert sorted(map(tuple, got)) == [(11, 0, 10), (12, 13, 50)]
 
 
@@ -109,7 +109,7 @@ def test_columns_with_clashing_names(spark):
     got = intervals.overlap_join(left, right, ["r"], r=("s", "e")).first()
     assert (got.s, got.e, got.note, got._bin, got.s_right, got.e_right, got.note_right, got._bin_right) == (0, 10, "l", 1, 5, 15, "x", 3)
     assert intervals.label_islands(left, ["r"]).first()._tile == 2
-    near = intervals.nearest(spark.createDataFrame([("c", 20, "q")], "r string, p int, note string"), right, ["r"], ["p"]).first()
+    near = intervals.nearest(spark.createDataFrame([("c", 20, "q")], "r string, p int, note string"), right, ["r"]).first()
     assert (near.distance, near.note, near.note_right) == (4, "q", "x")
 
 
@@ -135,3 +135,45 @@ def test_depth_over_tiles_equals_brute_force(spark):
     assert got == {k: max(n for (r, _), n in want.items() if r == k) for k in "ab"}
     for r in intervals.depths(long_rows(spark, rows, ["r", "s", "e"]), ["r"], tile=16).collect():
         assert r.depth == want.get((r.r, r.at), 0)
+
+
+def test_repeated_queries_each_get_every_rank(spark):
+    """Equal queries, null keys and positions, equal intervals: against a loop."""
+    rng = random.Random(3)
+    key = lambda: rng.choice([0, 1, None])
+    queries = [(key(), rng.choice([None, 10, 20, 30]), n) for n in [1, 1, 2, None] * 12]
+    targets = [(key(), s, s + rng.randrange(3)) for s in [*range(0, 40, 3)] * 3] + [(0, None, 4), (0, 3, None)]
+    for side in ("before", "after"):
+        want = []
+        for k, p, n in queries:
+            gap = lambda t: (p - 1 - t[2]) if side == "before" else (t[1] - p - 1)  # noqa: E731, B023
+            near = sorted((gap(t), t[1], t[2]) for t in targets if None not in (k, p, *t) and t[0] == k and 0 <= gap(t) < 9)
+            want += [(k, p, n, s, e, d, i + 1) for i, (d, s, e) in enumerate(near[:2])]
+        q, t = spark.createDataFrame(queries, "k int, p int, n int"), spark.createDataFrame(targets, "k int, s int, e int")
+        got = intervals.nearest(q, t, ["k"], side=side, k=2, max_dist=9).select("k", "p", "n", "s", "e", "distance", "rank").collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_islands_say_which_names_they_need(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="island_start"):
+        intervals.label_islands(spark.createDataFrame([(1, 2, 3)], "s int, e int, island_start int"), [])
+
+
+def test_numbers_without_gaps_over_null_keys(spark):
+    from lociq.operators import cluster
+
+    rows = [(None, 5), ("b", 1), (None, 2), ("a", 7), ("b", 0), ("b", 0)]
+    got = cluster.with_cluster_ids(spark.createDataFrame(rows, "r string, s int"), "r", ["s"]).orderBy("cluster_id").collect()
+    assert [tuple(x) for x in got] == [(None, 2, 0), (None, 5, 1), ("a", 7, 2), ("b", 0, 3), ("b", 0, 4), ("b", 1, 5)]
+    pairs = cluster.with_pair_ids(spark.createDataFrame([(None, 1), (12, 3), (None, None), (2, 9)], "id5p int, id3p int")).orderBy("pair_id").collect()
+    assert [tuple(x) for x in pairs] == [(None, None, 0), (None, 1, 1), (12, 3, 2), (2, 9, 3)]
+
+
+def test_evidence_doesnt_depend_on_carried_columns(spark):
+    from lociq.operators import cluster
+
+    clusters = spark.createDataFrame([("c", 0, 10, "+", 1, None, "x"), ("c", 0, 10, "+", 1, 4, "x"), (None, 0, 10, "+", 1, 5, "y")], "rname string, s int, e int, strand string, orient int, note int, frags2 string")
+    frags = spark.createDataFrame([("c", 5, 20, "f", 30), ("c", 5, 20, "f", 30), ("c", 7, 9, "g", 8), (None, 5, 20, "f", 30)], "rname string, s2 int, e2 int, frag2 string, mate_pos int")
+    assert sorted(r.frags for r in cluster.concordant_evidence(clusters, frags, ["rname"]).collect()) == [0, 1, 1]
