@@ -973,13 +973,32 @@ def span_clusters(spark, d):
 
 
 @query(f"""
-WITH {EV}, r AS (SELECT frag, kind, min(place % 9) AS lo, max(place % 9) AS hi FROM ev GROUP BY 1, 2)
-SELECT frag, count(DISTINCT (lo, hi)) AS runs, max(hi - lo) AS widest FROM r GROUP BY 1""")
-def segment_cover(spark, d):
-    e = ev(spark, d).withColumn("seg", F.col("place") % 9)
-    cover = legacy.merge_mate_clusters(e, "frag", "kind", "seg").select("frag", F.array_max(F.transform("runs", lambda r: r["last"] - r["first"])).cast("long").alias("widest"))
-    runs = e.groupBy("frag", "kind").agg(F.struct(F.min("seg"), F.max("seg")).alias("r")).groupBy("frag").agg(F.count_distinct("r").alias("runs"))
-    return runs.join(cover, "frag")
+WITH {EV}, t AS (SELECT frag, kind, list_sort(list(DISTINCT place % 9)) AS segs FROM ev WHERE event_id % 3 > 0 GROUP BY 1, 2), l AS (SELECT frag, segs, string_agg(kind, '+' ORDER BY kind) AS kinds FROM t GROUP BY 1, 2),
+o AS (SELECT frag, list(segs ORDER BY len(segs) DESC, segs) AS items FROM l GROUP BY 1),
+p AS (SELECT frag, list_reduce(items, lambda a, x: CASE WHEN list_has_any(a, x) THEN a ELSE list_concat(a, [-1], x) END, []::BIGINT[]) AS used FROM o)
+SELECT frag, array_to_string(used, ',') AS picks FROM p""")
+def mate_clusters(spark, d):
+    """C11: lists of segments with their gaps, greedily."""
+    e = ev(spark, d).filter("event_id % 3 > 0").withColumn("seg", F.col("place") % 9)
+    picks = legacy.merge_mate_clusters(e, "frag", "kind", "seg")
+    return picks.select("frag", F.array_join(F.flatten(F.transform("picks", lambda p: F.concat(F.array(F.lit(-1)), p["segments"]))).cast("array<string>"), ",").alias("picks"))
+
+
+_TILED = "list_filter(c, lambda x, i: (m >> (i - 1)) & 1 = 1)"
+
+
+@query(f"""
+WITH {EV}, t AS (SELECT frag, kind, list_sort(list(DISTINCT place % 6)) AS segs FROM ev WHERE event_id % 4 = 0 AND kind IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT frag, list(DISTINCT segs) AS c FROM t GROUP BY 1), m AS (SELECT frag, c, unnest(range(1, 1 << len(c))) AS m FROM l), s AS (SELECT frag, {_TILED} AS tiling FROM m),
+ok AS (SELECT frag, list_sort(tiling) AS tiling, list_reverse_sort(list_transform(tiling, lambda x: len(x))) AS sizes FROM s WHERE len(flatten(tiling)) = len(list_distinct(flatten(tiling)))),
+best AS (SELECT *, rank() OVER (PARTITION BY frag ORDER BY sizes DESC) AS r FROM ok)
+SELECT frag, string_agg(array_to_string(list_transform(tiling, lambda x: array_to_string(x, '.')), ' '), '|' ORDER BY tiling) AS tilings FROM best WHERE r = 1 GROUP BY 1""")
+def segment_tilings(spark, d):
+    """All best tilings, against all subsets of the candidates."""
+    e = ev(spark, d).filter("event_id % 4 = 0").withColumn("seg", F.col("place") % 6)
+    tiled = legacy.segment_tilings(e, "frag", ["kind"], "seg")
+    one = lambda t: F.array_join(F.transform(F.filter(t, lambda p: p["mapped"]), lambda p: F.array_join(p["segments"].cast("array<string>"), ".")), " ")
+    return tiled.filter(F.exists("tilings", lambda t: F.exists(t, lambda p: p["mapped"]))).select("frag", F.array_join(F.transform("tilings", one), "|").alias("tilings"))
 
 
 @query("""

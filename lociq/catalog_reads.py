@@ -282,6 +282,52 @@ def homologous_genes(spark, d):
     return mates.homologous(chimeras, tx, tile=10)
 
 
+@query(f"""WITH {EV}, m AS (SELECT DISTINCT frag % 3000 AS frag, mate, event_id % 53 AS tx, CASE WHEN size % 3 = 0 THEN event_id % 11 END AS gene, place % 3 AS orient FROM ev),
+p AS (SELECT a.frag, a.tx AS tx_1, b.tx AS tx_2, CASE WHEN a.gene IS NOT NULL AND b.gene IS NOT NULL AND a.orient + b.orient = 3 AND a.orient * b.orient = 2 THEN 'gene' WHEN a.gene IS NULL AND b.gene IS NULL THEN 'genome'
+WHEN (a.gene IS NULL) <> (b.gene IS NULL) AND (a.orient <> b.orient OR a.orient = 0 OR b.orient = 0) THEN 'mixed' END AS tier, a.orient AS o1, b.orient AS o2 FROM m a JOIN m b ON a.frag = b.frag AND a.mate = 1 AND b.mate = 2),
+q AS (SELECT *, bool_or(tier IN ('gene', 'genome')) OVER (PARTITION BY frag) AS near FROM p WHERE tier IS NOT NULL),
+d AS (SELECT DISTINCT frag, tier, tx_1, tx_2, o1, o2 FROM q WHERE tier <> 'mixed' OR NOT near)
+SELECT frag, tier, count(*) AS pairs, CAST(sum(tx_1 * 100 + tx_2 + o1 * 7 + o2 * 3) AS BIGINT) AS key FROM d GROUP BY 1, 2""")
+def genome_fallback(spark, d):
+    """Pairs of genes, of genome places, and where a fragment has neither, of both."""
+    m = ev(spark, d).select((c("frag") % 3000).alias("frag"), "mate", (c("event_id") % 53).alias("tx"), F.when(c("size") % 3 == 0, c("event_id") % 11).alias("gene"), (c("place") % 3).alias("orient"))
+    pairs = classify.fallback_pairs(m, "frag", ["tx"], "gene", "orient").select("frag", "tier", "tx_1", "tx_2", "orient_1", "orient_2").distinct()
+    return pairs.groupBy("frag", "tier").agg(F.count(F.lit(1)).alias("pairs"), F.sum(c("tx_1") * 100 + c("tx_2") + c("orient_1") * 7 + c("orient_2") * 3).alias("key"))
+
+
+@query(f"""WITH {IV}, r AS (SELECT concat_ws(':', frag, n, rname, s, strand) AS read_id, rname, CASE WHEN n = 7 THEN '.' ELSE strand END AS strand, s FROM iv WHERE flag = 'A' AND frag % 3 = 0),
+b AS (SELECT read_id, rname, strand, s AS a, s + 5 AS z, 0 AS block FROM r UNION ALL SELECT read_id, rname, strand, s + 25, s + 35, 1 FROM r),
+x AS (SELECT DISTINCT rname, strand, s AS s2, e AS e2, tx FROM iv WHERE flag = 'R' AND e > s),
+h AS (SELECT DISTINCT read_id, block, tx FROM b JOIN x ON b.rname = x.rname AND e2 > a AND s2 < z AND (b.strand = x.strand OR b.strand = '.')),
+k AS (SELECT read_id, tx, count(*) AS blocks FROM h GROUP BY 1, 2)
+SELECT r.read_id, count(DISTINCT h.tx) FILTER (WHERE block = 0) AS first, count(DISTINCT h.tx) FILTER (WHERE block = 1) AS second, (SELECT coalesce(string_agg(tx, ',' ORDER BY tx), '') FROM k WHERE k.read_id = r.read_id AND blocks = 2) AS both
+FROM (SELECT DISTINCT read_id FROM r) r LEFT JOIN h ON h.read_id = r.read_id GROUP BY 1""")
+def spliced_transcripts(spark, d):
+    """The transcripts of each block of spliced reads, and those that all its blocks lie on."""
+    a = iv(spark, d)
+    ops = F.array(*[F.struct(F.lit(o).alias("op"), F.lit(n).alias("len")) for o, n in ((0, 5), (3, 20), (0, 4), (2, 1), (0, 5))]).cast(_OPS)
+    r = a.filter("flag = 'A' and frag % 3 = 0").select(F.concat_ws(":", *map(text, (c("frag"), c("n"), c("rname"), c("s"), c("strand")))).alias("read_id"), "rname", F.when(c("n") == 7, ".").otherwise(c("strand")).alias("strand"), c("s").alias("pos"), ops.alias("cigar"))
+    x = a.filter("flag = 'R' and e > s").select("rname", "strand", c("s").alias("s2"), c("e").alias("e2"), c("tx").alias("tx_id"))
+    blocks, whole = annotate.transcripts_of_reads(r, x)
+    n = lambda k: F.sum(F.when(c("block") == k, F.size("transcripts")).otherwise(0))
+    counts = blocks.groupBy("read_id").agg(n(0).alias("first"), n(1).alias("second"))
+    return counts.join(whole, "read_id").select("read_id", "first", "second", joined(c("transcripts")).alias("both"))
+
+
+@query(f"""WITH {RD}, x AS (SELECT DISTINCT seq FROM rd)
+SELECT seq, CAST(56 AS BIGINT) AS score, CAST(0 AS BIGINT) AS read_start, CAST(32 AS BIGINT) AS read_end, CAST(0 AS BIGINT) AS ref_start, '32M' AS cigar FROM x""")
+def local_scores(spark, d):
+    """Each read with a mismatch within finds its own sequence over its whole length."""
+    seqs = rd(spark, d).select("seq").distinct()
+    other = F.translate(F.substring("seq", 11, 1), "ACGT", "CGTA")
+    reads = seqs.select(c("seq").alias("read_id"), F.concat(F.substring("seq", 1, 10), other, F.expr("substring(seq, 12)")).alias("seq"))
+    from lociq.operators import align
+
+    hits = align.local_align(reads, seqs.select(c("seq").alias("ref_id"), "seq"), anchor=10).filter("read_id = ref_id and strand = '+'")
+    best = hits.groupBy("read_id").agg(F.max(F.struct("score", "read_start", "read_end", "ref_start", "cigar")).alias("x"))
+    return big(best.select(c("read_id").alias("seq"), "x.*"), "score", "read_start", "read_end", "ref_start")
+
+
 # ---------------------------------------------------------------- intervals of mixed lengths, lists, annotation
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociq.operators.intervals import overlap_join
+from lociq.functions import cigar
+from lociq.operators.intervals import join_same, overlap_join
 
 # The names of the types, spelt as users of such reports expect them.
 TYPES = {
@@ -21,6 +22,32 @@ def lookup_transcripts(clusters: DataFrame, transcripts: DataFrame) -> DataFrame
     return overlap_join(clusters, transcripts, ["rname", "strand"])
 
 
+def transcripts_of_reads(reads: DataFrame, exons: DataFrame, read: str = "read_id") -> tuple[DataFrame, DataFrame]:
+    """Which transcripts a read's aligned blocks lie on: (read, block, start, end, transcripts) and (read, blocks, transcripts).
+
+    reads: the read's id, rname, strand, pos, cigar (ops). exons: rname, strand, s2, e2, tx_id. The
+    first table has a row for each block of a read, numbered from 0, with the sorted transcripts an
+    exon of which overlaps it; the second those that every block lies on. A strand that is null
+    or another than + and - fits both. Reads without a block are in neither; a null id is an id,
+    and rows of one id count as one read's, whose equal blocks are one.
+
+    Equal blocks of all reads are met once: a block is looked up by its place and strand.
+    """
+    known = lambda x: F.when(x.isin("+", "-"), x).otherwise(F.lit("."))
+    found = reads.select(F.col(read).alias("_read"), "rname", known(F.col("strand")).alias("strand"), F.explode(cigar.blocks(F.col("pos"), F.col("cigar"))).alias("b"))
+    of = found.select("_read", "rname", "strand", F.col("b.start").alias("s"), F.col("b.end").alias("e")).distinct()
+    places = of.select("rname", "strand", "s", "e").distinct()
+    met = overlap_join(places, exons.select("rname", known(F.col("strand")).alias("tx_strand"), "s2", "e2", "tx_id"), ["rname"])
+    on = met.filter((F.col("strand") == F.col("tx_strand")) | (F.col("strand") == ".") | (F.col("tx_strand") == ".")).select("rname", "strand", "s", "e", "tx_id").distinct()
+    lists = on.groupBy("rname", "strand", "s", "e").agg(F.sort_array(F.collect_list("tx_id")).alias("transcripts"))
+    held = join_same(of, lists, ["rname", "strand", "s", "e"], "left")
+    kind = lists.schema["transcripts"].dataType
+    blocks = held.groupBy("_read").agg(F.sort_array(F.collect_list(F.struct("rname", "s", "e", "strand", F.coalesce("transcripts", F.array().cast(kind)).alias("transcripts")))).alias("_blocks"))
+    each = blocks.select(F.col("_read").alias(read), F.posexplode("_blocks").alias("block", "_b"))
+    every = F.aggregate(F.slice("_blocks", 2, F.size("_blocks")), F.col("_blocks")[0]["transcripts"], lambda a, x: F.array_intersect(a, x["transcripts"]))
+    return each.select(read, "block", F.col("_b.s").alias("start"), F.col("_b.e").alias("end"), F.col("_b.transcripts").alias("transcripts")), blocks.select(F.col("_read").alias(read), F.size("_blocks").alias("blocks"), every.alias("transcripts"))
+
+
 def oriented(start5: Column, start3: Column, strand5: Column) -> Column:
     """Whether the 5' side comes first in the direction of its own strand."""
     return ((start5 <= start3) & (strand5 == "+")) | ((start5 > start3) & (strand5 == "-"))

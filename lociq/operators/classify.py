@@ -67,6 +67,41 @@ def tiered_pairs(reads: DataFrame, fragment: str, tx: str, gene: str, reverse: s
     return every.join(best, [fragment, "tier"])
 
 
+def fallback_pairs(reads: DataFrame, fragment: str, place: list[str], gene: str, orient: str) -> DataFrame:
+    """Mate pairs of fragments that hit genes, the genome outside of them, or both.
+
+    reads: the fragment, mate, the columns ``place`` of a hit, ``gene`` (null for a hit on the
+    genome) and ``orient``. Tier gene: hits on genes of both mates, one 5' and one 3'. Tier genome:
+    hits on the genome of both mates. A fragment without such pairs has those of tier mixed: a gene's hit
+    with one on the genome whose orientation is another, or unknown on either side. Place columns get the
+    suffixes _1 and _2. Equal hits count once; null fragments meet nothing.
+
+    Which tiers a fragment reaches is counted first, from its hits alone, so only hits that are
+    part of its pairs are multiplied.
+    """
+    o, m = F.coalesce(F.col(orient), F.lit(ORIENT_NONE)), F.col("mate")
+    one = reads.filter(F.col(fragment).isNotNull()).select(fragment, "mate", *place, gene, o.alias(orient)).distinct()
+    on_gene = F.col(gene).isNotNull()
+    has = lambda mate, cond: F.coalesce(F.bool_or((m == mate) & cond), F.lit(False))
+    five, three = on_gene & (o == ORIENT_5P), on_gene & (o == ORIENT_3P)
+    sides = one.groupBy(fragment).agg((has(1, five) & has(2, three)).alias("_53"), (has(1, three) & has(2, five)).alias("_35"), (has(1, ~on_gene) & has(2, ~on_gene)).alias("_gg"), F.bool_or(on_gene).alias("_any"), F.bool_or(~on_gene).alias("_out"))
+    near = F.col("_53") | F.col("_35") | F.col("_gg")
+    sides = sides.withColumn("_mixed", ~near & F.col("_any") & F.col("_out")).filter(near | F.col("_mixed")).drop("_any", "_out")
+    joined = one.join(sides, fragment)
+    first_five, first_three = (m == 1) & five | (m == 2) & three, (m == 1) & three | (m == 2) & five
+    kinds = F.array_compact(F.array(
+        F.when(F.col("_53") & first_five, "53"), F.when(F.col("_35") & first_three, "35"), F.when(F.col("_gg") & ~on_gene, "genome"),
+        F.when(F.col("_mixed") & ((m == 1) & on_gene | (m == 2) & ~on_gene), "mixed12"), F.when(F.col("_mixed") & ((m == 2) & on_gene | (m == 1) & ~on_gene), "mixed21"),
+    ))
+    spread = joined.select(fragment, "mate", *place, orient, F.explode(kinds).alias("_kind"))
+    side = lambda n: spread.filter(m == n).select(fragment, "_kind", *[F.col(c).alias(f"{c}_{n}") for c in (*place, orient)])
+    pairs = side(1).join(side(2), [fragment, "_kind"])
+    a, b = F.col(f"{orient}_1"), F.col(f"{orient}_2")
+    fits = (a != b) | (a == ORIENT_NONE) | (b == ORIENT_NONE)
+    tier = F.when(F.col("_kind") == "genome", "genome").when(F.col("_kind").startswith("mixed"), "mixed").otherwise("gene")
+    return pairs.filter(~F.col("_kind").startswith("mixed") | fits).withColumn("tier", tier).drop("_kind")
+
+
 def best_with_ties(df: DataFrame, keys: list[str], *score: Column, tolerance_of: str | None = None, tolerance: float = 0) -> DataFrame:
     """Rows with a key's best score (the first of ``score`` first); all that tie stay."""
     if tolerance_of:

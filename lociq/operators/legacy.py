@@ -66,21 +66,76 @@ def split_points(ids: Column) -> Column:
     )
 
 
-def greedy_cover(runs: Column) -> Column:
-    """Disjoint runs of segment indices, longest first, then the earliest: array of (first, last) in order.
+def best_tilings(candidates: list[tuple[int, ...]]) -> list[list[tuple[int, ...]]]:
+    """All sets of disjoint candidates whose sizes, largest first, are the greatest: the largest piece counts first, then the second, and so on.
 
-    ``runs`` is an array of (first, last). A fragment has few segments, so the array is short.
+    Sizes are chosen one after another. Of the sets that agree so far those go on that can take
+    the greatest size that any can take, so what is left at the end has the best sizes.
     """
-    ordered = F.array_sort(F.transform(F.array_distinct(runs), lambda r: F.struct((r["first"] - r["last"]).alias("less"), r["first"].alias("first"), r["last"].alias("last"))))
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    picked = F.aggregate(ordered, none, lambda a, r: F.when(F.exists(a, lambda x: (x["first"] <= r["last"]) & (r["first"] <= x["last"])), a).otherwise(F.concat(a, F.array(F.struct(r["first"].cast("int").alias("first"), r["last"].cast("int").alias("last"))))))
-    return F.array_sort(picked)
+    every = [(len(c), frozenset(c), c) for c in dict.fromkeys(tuple(sorted(set(c))) for c in candidates) if c]
+    front = {frozenset(): frozenset()}  # a set of candidates, and the segments that they take
+    done = [()]
+    while front:
+        done = sorted(tuple(sorted(chosen)) for chosen in front)
+        grown: dict[int, dict] = {}
+        for chosen, used in front.items():
+            for n, parts, c in every:
+                if not used & parts:
+                    grown.setdefault(n, {})[chosen | {c}] = used | parts
+        front = grown[max(grown)] if grown else {}
+    return [list(x) for x in done]
+
+
+def filled_tiling(tiling: list[tuple[int, ...]], segments: int) -> list[tuple[list[int], bool]]:
+    """(segments, mapped) of a tiling's pieces in the read's order, the runs of segments that none takes being unmapped pieces."""
+    free = sorted(set(range(segments)) - {i for c in tiling for i in c})
+    runs: list[list[int]] = []
+    for i in free:
+        if runs and runs[-1][-1] == i - 1:
+            runs[-1].append(i)
+        else:
+            runs.append([i])
+    return sorted([(list(c), True) for c in tiling] + [(r, False) for r in runs])
+
+
+def segment_tilings(alignments: DataFrame, fragment: str, place: list[str], segment: str) -> DataFrame:
+    """(fragment, tilings): the best ways to put a read together from alignments of its segments.
+
+    alignments: the fragment, its segment's number from 0, and the columns ``place`` that alignments
+    share which join up (null where the segment is unmapped). Segments joined at one place are a
+    candidate. A tiling is a list of (segments, mapped); all that are best by ``best_tilings`` are
+    given, in order. The last segment's number tells how many there are. Rows with a null segment are
+    left out, repeated rows count once. A read has few segments, so its distinct candidates are few,
+    however many places it has: they are counted out before they meet.
+    """
+    here = F.when(F.col(place[0]).isNotNull(), F.struct(*place)) if len(place) > 1 else F.col(place[0])
+    rows = alignments.filter(F.col(segment).isNotNull()).select(fragment, here.alias("_place"), F.col(segment).cast("int").alias("_seg"))
+    joined = rows.filter("_place is not null").groupBy(fragment, "_place").agg(F.sort_array(F.collect_set("_seg")).alias("_set"))
+    sets = joined.select(fragment, "_set").distinct().groupBy(fragment).agg(F.collect_list("_set").alias("_sets"))
+    sizes = rows.groupBy(fragment).agg((F.max("_seg") + 1).alias("_n"))
+
+    @F.pandas_udf("array<array<struct<segments:array<int>,mapped:boolean>>>")
+    def tile(found: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([[[{"segments": s, "mapped": m} for s, m in filled_tiling(t, int(k))] for t in best_tilings([tuple(map(int, c)) for c in (f if f is not None else [])])] for f, k in zip(found, n, strict=True)])
+
+    return sizes.join(sets, fragment, "left").select(fragment, tile(F.coalesce("_sets", F.array().cast("array<array<int>>")), F.col("_n")).alias("tilings"))
 
 
 def merge_mate_clusters(df: DataFrame, fragment: str, cluster: str, segment: str) -> DataFrame:
-    """(fragment, runs): each fragment's clusters as runs of segments, those kept that cover it greedily."""
-    runs = df.groupBy(fragment, cluster).agg(F.min(segment).cast("int").alias("first"), F.max(segment).cast("int").alias("last"))
-    return runs.groupBy(fragment).agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs")).select(fragment, greedy_cover(F.col("runs")).alias("runs"))
+    """(fragment, picks): each fragment's clusters by the segments that they hold, those kept that share none.
+
+    A cluster's segments are a list of numbers, with the gaps that it has. Lists are taken with the
+    most segments first, then the least list, and left out where they share a segment with one
+    taken before. picks are (segments, clusters) in that order, clusters being all with that
+    list. Rows with a null segment are left out; repeated rows count once.
+    """
+    of = df.filter(F.col(segment).isNotNull()).groupBy(fragment, cluster).agg(F.sort_array(F.collect_set(F.col(segment).cast("int"))).alias("segments"))
+    lists = of.groupBy(fragment, "segments").agg(F.sort_array(F.collect_list(cluster)).alias("clusters"))
+    item = F.struct((-F.size("segments")).alias("less"), "segments", "clusters")
+    ordered = lists.groupBy(fragment).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    none = F.filter("items", lambda x: F.lit(False))
+    picked = F.aggregate("items", none, lambda a, x: F.when(F.exists(a, lambda p: F.arrays_overlap(p["segments"], x["segments"])), a).otherwise(F.concat(a, F.array(x))))
+    return ordered.select(fragment, F.transform(picked, lambda p: F.struct(p["segments"].alias("segments"), p["clusters"].alias("clusters"))).alias("picks"))
 
 
 def segmented(alignments: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lociq.functions import cigar, sequence
 from lociq.operators import annotate, classify, cluster, filters, intervals, spanning, stats
 from lociq.plans.config import RunConfig
-from lociq.plans.storage import materialise
+from lociq.plans.storage import Stages, materialise
 from lociq.sources import reads as io
 from lociq.sources.tables import number
 
@@ -136,16 +136,33 @@ def discordant_clusters(discordant: DataFrame, unpaired: DataFrame, concordant:
     return out.select("rname", F.col("island_start").cast("int").alias("start"), F.col("island_end").cast("int").alias("end"), "cluster_id", "strand", F.col("orient").cast("int").alias("orientation"), "exons", "concordant_frags", "qnames", F.coalesce("unpaired_qnames", none).alias("unpaired_qnames")), members.select("qname", "cluster_id", "orient")
 
 
-def discover(discordant: DataFrame, unpaired: DataFrame, concordant: DataFrame, transcripts: DataFrame, config: RunConfig, split: DataFrame | None = None) -> DataFrame:
-    """Chimera rows that pass the final filter, from genome alignments by kind and, if there are any, split alignments over pairs."""
-    clusters, members = discordant_clusters(discordant, unpaired, concordant)
-    pairs = cluster.with_pair_ids(cluster.pair_clusters(members, "qname", "cluster_id", "orient")).withColumn("pair_id", F.col("pair_id").cast("int"))
+def discover(discordant: DataFrame, unpaired: DataFrame, concordant: DataFrame, transcripts: DataFrame, config: RunConfig, split: DataFrame | None = None, *, stages: Stages | None = None, inputs: tuple[str, ...] = ()) -> DataFrame:
+    """Chimera rows that pass the final filter, from genome alignments by kind and, if there are any, split alignments over pairs.
+
+    With ``stages`` the clusters, their members, the pairs and the chimeras are kept as its stages,
+    which depend on ``inputs`` (paths and earlier stages) and the settings.
+    """
+    settings = {"config": config.to_xml()}
+
+    def keep(name: str, build, *before: str) -> DataFrame:
+        return stages.table(name, build, inputs=[*inputs, *before], settings=settings) if stages else build()
+
+    made: list[tuple[DataFrame, DataFrame]] = []
+
+    def both(part: int) -> DataFrame:
+        if not made:
+            made.append(discordant_clusters(discordant, unpaired, concordant))
+        return made[0][part]
+
+    clusters, members = keep("clusters", lambda: both(0)), keep("members", lambda: both(1))
+    numbered = lambda: cluster.with_pair_ids(cluster.pair_clusters(members, "qname", "cluster_id", "orient")).withColumn("pair_id", F.col("pair_id").cast("int"))
+    pairs = keep("pairs", numbered, "members")
     spot = lambda p: clusters.select(F.col("cluster_id").alias(f"id{p}"), F.col("rname").alias(f"rname{p}"), F.col("start").alias(f"start{p}"), F.col("end").alias(f"end{p}"))
     if split is not None:
         pairs = spanning.with_spanning(pairs, spanning.split_reads(split, pairs.join(spot("5p"), "id5p").join(spot("3p"), "id3p").drop("qnames", "id5p", "id3p"), anchor=config.anchor))
     else:
         pairs = pairs.withColumn("spanning_qnames", F.array().cast("array<string>"))
-    chimeras = annotate.annotate(pairs, clusters, transcripts, source=config.source)
+    chimeras = keep("chimeras", lambda: annotate.annotate(pairs, clusters, transcripts, source=config.source), "clusters", "pairs")
     return filters.final_filter(chimeras, min_frags=config.min_frags, min_fraction=config.min_fraction, mask_biotypes=config.mask_biotypes, mask_rnames=config.mask_rnames)
 
 
