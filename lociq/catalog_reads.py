@@ -552,8 +552,8 @@ def fused_transcripts(spark, d):
 
 
 def prior_sizes(spark, d):
-    """Random sizes, which no SQL tells."""
-    return simulate.random_sizes(spark, 2000, 200.0, 20.0, 150, 250)
+    """Random sizes, which no SQL tells; as many as there are line items, about 200."""
+    return simulate.random_sizes(spark, table(spark, d, "lineitem").count(), 200.0, 20.0, 150, 250)
 
 
 query()(prior_sizes)
@@ -729,13 +729,68 @@ def name_lookup(spark, d):
     return discovery.rename_references(x, names, "name")
 
 
-@query("SELECT row_number() OVER (ORDER BY n_name) AS sample, n_name AS name FROM nation ORDER BY n_name LIMIT 10")
+@query(f"WITH {IV} SELECT frag, n, rname, s, e FROM iv ORDER BY md5(concat_ws('|', frag, n, rname, s)), frag, n, rname, s, e LIMIT 1000")
 def sample_cap(spark, d):
-    """The first ten of an order."""
-    from pyspark.sql import Window
+    """A capped sample, chosen by digests."""
+    a = iv(spark, d).select("frag", "n", "rname", "s", "e")
+    from lociq.operators import stats
+
+    return stats.cap_samples(a, 1000, ["frag", "n", "rname", "s"])
+
+
+@query(f"""WITH {RD}, x AS (SELECT doc_id, doc_id % 23 AS junction, 8 + doc_id % 9 AS breakpoint, doc_id % 5 AS hl, doc_id % 4 AS hr FROM rd WHERE doc_id % 6 = 0),
+a AS (SELECT doc_id AS qname, doc_id % 2 + 1 AS mate, doc_id % 23 AS junction, doc_id % 7 AS pos, 18 + doc_id % 11 AS stop, [doc_id % 7 + 1, 17 + doc_id % 3] AS spots FROM rd),
+m AS (SELECT x.doc_id AS chimera_id, qname, mate, breakpoint - pos AS l, stop - breakpoint AS r, hl, hr, CASE WHEN breakpoint - pos <= stop - breakpoint THEN len(list_filter(spots, lambda q: q < breakpoint)) ELSE len(list_filter(spots, lambda q: q >= breakpoint)) END AS few
+FROM x JOIN a USING (junction))
+SELECT chimera_id, qname, mate, l AS "left", r AS "right", qname % 4 = 1 AS encompassing FROM m WHERE l > 0 AND r > 0 AND l >= greatest(hl, 3) AND r >= greatest(hr, 3) AND (least(l, r) >= 9 OR few <= 1)""")
+def spanning_merge(spark, d):
+    """D16."""
+    from lociq.operators import spanning
+
+    r, i = rd(spark, d), c("doc_id")
+    x = r.filter("doc_id % 6 = 0").select(i.alias("chimera_id"), (i % 23).alias("junction"), (8 + i % 9).alias("breakpoint"), (i % 5).alias("homology_left"), (i % 4).alias("homology_right"))
+    a = r.select(i.alias("qname"), (i % 2 + 1).alias("mate"), (i % 23).alias("junction"), (i % 7).alias("pos"), (18 + i % 11).alias("end"), F.array(i % 7 + 1, 17 + i % 3).alias("mismatch_at"))
+    known = x.select("chimera_id", "junction").join(a.filter("qname % 4 = 1"), "junction").select("chimera_id", "qname")
+    return spanning.merge_spanning(x, a, known, least=3, short=9, mismatches=1)
+
+
+@query(f"""WITH {RD}, x AS (SELECT doc_id, seq, substr(seq, 9, 6) || translate(substr(seq, 15, 1), 'ACGT', 'CGTA') || substr(seq, 16, 9) || substr(other, 1, 10) AS near, other FROM rd),
+y AS (SELECT doc_id, seq, CASE WHEN doc_id % 3 = 0 THEN near ELSE other END AS tgt FROM x), i AS (SELECT unnest(range(1, 10)) AS i), j AS (SELECT unnest(range(1, 16)) AS j)
+SELECT DISTINCT doc_id AS chimera_id FROM y, i, j WHERE hamming(substr(seq, 7 + CAST(i AS BIGINT), 12), substr(tgt, CAST(j AS BIGINT), 12)) <= 2""")
+def near_homologous_genes(spark, d):
+    """F29 with mismatches."""
+    r = rd(spark, d)
+    near = F.concat(F.substring("seq", 9, 6), F.translate(F.substring("seq", 15, 1), "ACGT", "CGTA"), F.substring("seq", 16, 9), F.substring("other", 1, 10))
+    tgt = F.when(c("doc_id") % 3 == 0, near).otherwise(c("other"))
+    tx = r.select((c("doc_id") * 2).alias("tx_id"), "seq").unionByName(r.select((c("doc_id") * 2 + 1).alias("tx_id"), tgt.alias("seq")))
+    chimeras = r.select(c("doc_id").alias("chimera_id"), (c("doc_id") * 2).alias("tx5p"), F.lit(7).alias("start5p"), F.lit(28).alias("end5p"), (c("doc_id") * 2 + 1).alias("tx3p"), F.lit(0).alias("start3p"), F.lit(26).alias("end3p"))
+    return mates.homologous(chimeras, tx, tile=12, mismatches=2)
 
-    first = table(spark, d, "nation").orderBy("n_name").limit(10)
-    return first.select(F.row_number().over(Window.orderBy("n_name")).cast("long").alias("sample"), c("n_name").alias("name"))
+
+@query(f"""
+WITH {IV}, p AS (SELECT a.frag, a.rname, greatest(a.e, b.e) - least(a.s, b.s) AS isize FROM iv a JOIN iv b ON a.frag = b.frag AND a.rname = b.rname
+AND a.orient = 1 AND b.orient = 2 AND a.strand = b.strand) SELECT frag, rname, isize, count(*) OVER (PARTITION BY frag) AS nh FROM p WHERE isize BETWEEN 5 AND 400""")
+def concordant_same_strand(spark, d):
+    """F34 for libraries whose mates lie on one strand."""
+    a = iv(spark, d)
+    one = a.filter("orient = 1").select("frag", "rname", "s", "e", (c("strand") == "-").alias("rev"))
+    two = a.filter("orient = 2").select("frag", "rname", c("s").alias("s2"), c("e").alias("e2"), (c("strand") == "-").alias("rev2"))
+    return filters.concordant_pairs(one.join(two, ["frag", "rname"]), lo=5, hi=400, library="ff").select("frag", "rname", "isize", "nh")
+
+
+@query(f"""WITH {RD}, x AS (SELECT doc_id // 6 AS q, doc_id % 2 + 1 AS mate, doc_id % 3 AS part, doc_id % 4 AS split, doc_id % 5 AS hit, doc_id AS pos FROM rd),
+a AS (SELECT q, mate, part, split, string_agg(hit || ':' || pos, ',' ORDER BY hit, pos) AS t FROM x GROUP BY ALL), b AS (SELECT q, mate, part, string_agg(split || '(' || t || ')', ';' ORDER BY split) AS t FROM a GROUP BY ALL)
+SELECT 'q' || q AS qname, CAST(mate AS BIGINT) AS mate, string_agg(part || '[' || t || ']', '|' ORDER BY part) AS nested FROM b GROUP BY ALL""")
+def segmented_sam(spark, d):
+    """Segmented reads from SAM text, by their tags."""
+    i = c("doc_id")
+    tag = lambda n, v: F.concat(F.lit(f"\t{n}:i:"), text(v))
+    line = F.concat(F.lit("q"), text(F.floor(i / 6)), F.when(i % 2 == 0, "\t65").otherwise("\t129"), F.lit("\tc\t"), text(i + 1), F.lit("\t9\t4M\t*\t0\t0\tACGT\tIIII"), tag("XP", i % 3), tag("XK", i % 4), tag("XI", i % 5))
+    rd(spark, d).select(line.alias("value")).write.text(path := scratch_path(spark, "segmented"))
+    nested = legacy.segmented(legacy.segment_columns(io.read_sam(spark, path)))
+    hits = lambda s: F.array_join(F.transform(s["hits"], lambda h: F.concat(text(h["hit"]), F.lit(":"), text(h["aln"]["pos"]))), ",")
+    splits = lambda p: F.array_join(F.transform(p["splits"], lambda s: F.concat(text(s["split"]), F.lit("("), hits(s), F.lit(")"))), ";")
+    return big(nested.select("qname", "mate", F.array_join(F.transform("partitions", lambda p: F.concat(text(p["part"]), F.lit("["), splits(p), F.lit("]"))), "|").alias("nested")), "mate")
 
 
 @query("""

@@ -87,10 +87,16 @@ def anchor_ok(left: Column, right: Column, homology_left: Column, homology_right
     return enough & ((F.least(left, right) >= short) | (short_mismatches <= mismatches))
 
 
-def concordant_pairs(pairs: DataFrame, *, lo: int, hi: int) -> DataFrame:
-    """Pairs on one reference, on opposite strands, whose outer distance lies in range; adds isize and nh, their number for a fragment."""
+def concordant_pairs(pairs: DataFrame, *, lo: int, hi: int, library: str = "fr") -> DataFrame:
+    """Pairs on one reference whose strands are the library's and whose outer distance lies in range; adds isize and nh, their number for a fragment.
+
+    ``library`` tells how mates lie to each other: fr and rf on opposite strands, ff and rr on the same.
+    """
+    if library not in ("fr", "rf", "ff", "rr"):
+        raise ValueError(f"unknown library {library}: fr, rf, ff or rr")
     size = F.greatest("e", "e2") - F.least("s", "s2")
-    ok = pairs.withColumn("isize", size).filter((F.col("rev") != F.col("rev2")) & F.col("isize").between(lo, hi))
+    same = F.col("rev") == F.col("rev2")
+    ok = pairs.withColumn("isize", size).filter((same if library[0] == library[1] else ~same) & F.col("isize").between(lo, hi))
     n = ok.groupBy("frag").agg(F.count(F.lit(1)).alias("nh"))
     return ok.join(n, "frag")
 

@@ -138,6 +138,20 @@ def merge_mate_clusters(df: DataFrame, fragment: str, cluster: str, segment: str
     return ordered.select(fragment, F.transform(picked, lambda p: F.struct(p["segments"].alias("segments"), p["clusters"].alias("clusters"))).alias("picks"))
 
 
+#: The tags in which an alignment of a segmented read tells its partition, its split and its mapping, each counted from 0.
+PART_TAG, SPLIT_TAG, HIT_TAG = "XP", "XK", "XI"
+
+
+def segment_columns(alignments: DataFrame, *, part: str = PART_TAG, split: str = SPLIT_TAG, hit: str = HIT_TAG) -> DataFrame:
+    """(qname, mate, part, split, hit, aln) of alignments as ``read_sam`` gives them, for ``segmented``: the numbers are read from their tags.
+
+    aln has the alignment's own columns. An alignment without a tag counts as the first there.
+    """
+    number = lambda t: F.coalesce(F.col("tags")[t].try_cast("int"), F.lit(0))
+    own = [c for c in ("flag", "rname", "pos", "end", "mapq", "cigar", "seq", "qual") if c in alignments.columns]
+    return alignments.select("qname", "mate", number(part).alias("part"), number(split).alias("split"), number(hit).alias("hit"), F.struct(*own).alias("aln"))
+
+
 def segmented(alignments: DataFrame) -> DataFrame:
     """(qname, mate, partitions): alignments nested by partition, then split, then mapping.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociq.functions import cigar
-from lociq.functions.sequence import reverse_complement
+from lociq.functions.sequence import mismatches_between, reverse_complement
 from lociq.operators.classify import CONCORDANT_GENE, CONCORDANT_TX, DISCORDANT_GENE, STRAND_GENE, STRAND_TX, UNSTRANDED, orientation
 from lociq.operators.intervals import overlap_join
 from lociq.sources.reads import has_flag, with_flags
@@ -180,18 +180,26 @@ def local_hits(reads: DataFrame, segments: DataFrame, *, anchor: int) -> DataFra
     return runs.select("read_id", "ref_id", "read_start", (F.col("read_start") + F.col("diagonal")).alias("ref_start"), "length")
 
 
-def homologous(chimeras: DataFrame, transcripts: DataFrame, *, tile: int) -> DataFrame:
-    """chimera_id of candidates a tile of whose 5' interval matches its own 3' interval exactly.
+def homologous(chimeras: DataFrame, transcripts: DataFrame, *, tile: int, mismatches: int = 0) -> DataFrame:
+    """chimera_id of candidates a tile of whose 5' interval lies in its own 3' interval with at most ``mismatches``.
 
     chimeras: chimera_id, tx5p, start5p, end5p, tx3p, start3p, end3p in transcript positions.
-    transcripts: tx_id, seq. A candidate's two sides meet on its own id and the tile, so no
-    aligner sees all tiles.
+    transcripts: tx_id, seq. A candidate's two sides meet on its own id and a part of the tile: of
+    ``mismatches`` + 1 parts one has none. So no aligner sees all tiles, and no match is lost.
     """
     part = lambda p: F.expr(f"substring(seq, greatest(start{p}, 0) + 1, end{p} - greatest(start{p}, 0))")
+    size = max(1, tile // (mismatches + 1))
 
     def tiles(p: str, short: int) -> DataFrame:
         own = chimeras.join(transcripts, chimeras[f"tx{p}"] == transcripts.tx_id).select("chimera_id", part(p).alias("part"))
         own = own.filter(F.length("part") >= tile + short)
-        return own.select("chimera_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("part") - tile + 1 - short), lambda i: F.col("part").substr(i, F.lit(tile)))).alias("tile")).distinct()
-
-    return tiles("5p", 1).join(tiles("3p", 0), ["chimera_id", "tile"]).select("chimera_id").distinct()
+        every = own.select("chimera_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("part") - tile + 1 - short), lambda i: F.col("part").substr(i, F.lit(tile)))).alias(f"tile{p}")).distinct()
+        if not mismatches:
+            return every.withColumnRenamed(f"tile{p}", "tile")
+        seeds = F.array(*[F.struct(F.lit(i).alias("i"), F.substring(f"tile{p}", i * size + 1, size).alias("seed")) for i in range(mismatches + 1)])
+        return every.withColumn("x", F.explode(seeds)).select("chimera_id", f"tile{p}", "x.i", "x.seed")
+
+    if not mismatches:
+        return tiles("5p", 1).join(tiles("3p", 0), ["chimera_id", "tile"]).select("chimera_id").distinct()
+    met = tiles("5p", 1).join(tiles("3p", 0), ["chimera_id", "i", "seed"])
+    return met.filter(mismatches_between(F.col("tile5p"), F.col("tile3p")) <= mismatches).select("chimera_id").distinct()

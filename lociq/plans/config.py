@@ -27,6 +27,7 @@ class RunConfig:
     isize_mean: float = 200.0
     isize_sd: float = 40.0
     min_isize_samples: int = 100
+    max_isize_samples: int = 5_000_000
     max_multihits: int = 1
     segment_length: int | None = None
     anchor: int = 12
@@ -72,9 +73,20 @@ class RunConfig:
                 setattr(out, name, v if isinstance(v, list) else _cast(next(f.type for f in fields(cls) if f.name == name), v))
         return out
 
-    def problems(self, read_lengths: tuple[int, int] | None = None) -> list[str]:
-        """What is wrong with the settings; empty if nothing is."""
-        found = []
+    def problems(self, read_lengths: tuple[int, int] | None = None, *, spark=None, programs: list[str] | tuple[str, ...] = ()) -> list[str]:
+        """What is wrong with the settings; empty if nothing is.
+
+        With a session the inputs that are named are looked for in their file systems; ``programs``
+        are looked for on the path of this machine.
+        """
+        found = [f"{name} isn't there" for name in unreachable(spark, [p for p in (self.reads1, self.reads2, self.transcripts) if p])] if spark is not None else []
+        found += [f"program {name} isn't found or can't be run" for name in missing_binaries(list(programs))]
+        if bool(self.reads1) != bool(self.reads2):
+            found.append("reads of one mate only")
+        if not 0 <= self.min_isize <= self.max_isize:
+            found.append("insert sizes out of order")
+        if not 0 < self.min_isize_samples <= self.max_isize_samples:
+            found.append("insert size samples out of order")
         if self.library not in ("fr-unstranded", "fr-firststrand", "fr-secondstrand"):
             found.append(f"unknown library type {self.library}")
         if self.quality not in ("sanger", "illumina", "solexa"):

@@ -57,13 +57,14 @@ def read_max_multihits(spark, path: str) -> int:
 
 
 def insert_sizes(genomic: DataFrame, transcripts: DataFrame, config: RunConfig) -> DataFrame:
-    """(isize, num_samples) from proper first mates wholly inside long unambiguous exons; a normal prior where too few are found."""
+    """(isize, num_samples) from proper first mates wholly inside long unambiguous exons, max_isize_samples at most; a normal prior where too few are found."""
     ex = transcripts.select(F.col("chrom").alias("rname"), "strand", F.explode("exons").alias("x")).select("rname", "strand", F.col("x.start").alias("s"), F.col("x.end").alias("e"))
     alone = intervals.unambiguous(ex, ["rname"], shape=["strand"], min_length=config.max_isize)
     f = F.col("flag")
     clean = genomic.filter(io.has_flag(f, "proper") & ~io.has_flag(f, "second") & ~io.has_flag(f, "unmapped") & ~io.has_flag(f, "qc_fail") & (F.coalesce("nh", F.lit(1)) <= 1) & ~F.exists("cigar", lambda x: x["op"].isin(3, 4, 5, 6)))
     sized = clean.select("rname", F.least("pos", "pnext").alias("s2"), (F.least("pos", "pnext") + F.abs("tlen")).alias("e2"), F.abs("tlen").alias("isize"), "qname")
-    inside = intervals.overlap_join(alone, sized, ["rname"]).filter("s2 >= s and e2 <= e").dropDuplicates(["qname", "isize"])
+    inside = intervals.overlap_join(alone, sized, ["rname"]).filter("s2 >= s and e2 <= e").select("qname", "isize").distinct()
+    inside = stats.cap_samples(inside.filter(F.col("isize").between(config.min_isize, config.max_isize)), config.max_isize_samples, ["qname", "isize"])
     hist = materialise(stats.histogram(inside, "isize", config.min_isize, config.max_isize).select(F.col("isize").cast("int").alias("isize"), F.col("n").alias("num_samples")), "isizes")
     if (hist.agg(F.sum("num_samples")).first()[0] or 0) >= config.min_isize_samples:
         return hist

@@ -128,3 +128,41 @@ def test_a_killed_run_resumes_and_a_changed_input_runs_again(spark, tmp_path):
     stages.clean()
     assert len(list((tmp_path / "stages" / "first").iterdir())) == 1 and run()[1] == got and calls == []
     assert fingerprint(spark, str(tmp_path / "nothing")) == fingerprint(spark, str(tmp_path / "nor*this"))
+
+
+# ---------------------------------------------------------------- smaller ones
+
+
+def test_capped_samples(spark):
+    from lociq.operators.stats import cap_samples
+
+    df = spark.createDataFrame([(i % 7, i % 100) for i in range(500)] + [(None, 1)] * 3, "a int, b int")
+    for most in (0, 1, 37, 250, 502, 503, 900):
+        got = cap_samples(df, most, ["a", "b"]).collect()
+        assert len(got) == min(most, 503)
+        assert sorted(map(str, got)) == sorted(map(str, cap_samples(df.repartition(3), most, ["a", "b"]).collect()))
+
+
+def test_settings_name_what_isnt_there(spark, tmp_path):
+    from lociq.plans.config import RunConfig
+
+    (tmp_path / "r1.fq").write_text("")
+    config = RunConfig(reads1=str(tmp_path / "r1.fq"), reads2=str(tmp_path / "r2.fq"), transcripts=str(tmp_path / "t"))
+    assert config.problems(spark=spark, programs=["no-such-program", "ls"]) == [f"{tmp_path}/r2.fq isn't there", f"{tmp_path}/t isn't there", "program no-such-program isn't found or can't be run"]
+
+
+def test_matches_with_mismatches_are_all_found(spark):
+    from lociq.operators import mates
+
+    rnd = random.Random(9)
+    seqs = ["".join(rnd.choice("AC") for _ in range(24)) for _ in range(40)]
+    tx = spark.createDataFrame(list(enumerate(seqs)), "tx_id int, seq string")
+    chimeras = [(i, i, 2, 20, 39 - i, 0, 15) for i in range(40)]
+    df = spark.createDataFrame(chimeras, "chimera_id int, tx5p int, start5p int, end5p int, tx3p int, start3p int, end3p int")
+    for most in (0, 1, 2):
+        want = set()
+        for i, a, s5, e5, b, s3, e3 in chimeras:
+            five, three = seqs[a][s5:e5], seqs[b][s3:e3]
+            if any(sum(x != y for x, y in zip(five[j : j + 9], three[k : k + 9], strict=True)) <= most for j in range(len(five) - 9) for k in range(len(three) - 8)):
+                want.add(i)
+        assert {r.chimera_id for r in mates.homologous(df, tx, tile=9, mismatches=most).collect()} == want and (most or len(want) < 40)

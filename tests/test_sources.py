@@ -114,6 +114,7 @@ def test_config_round_trip():
     assert RunConfig.from_xml(c.to_xml()) == c
     assert RunConfig.from_args(["--trim5", "3", "--mask-rnames", "chrM"]).mask_rnames == ["chrM"]
     assert RunConfig().problems((50, 50)) == [] and RunConfig(anchor=3).problems((20, 30))
+    assert RunConfig(max_isize_samples=5).problems() and RunConfig(reads1="x").problems() == ["reads of one mate only"]
 
 
 def test_flags(spark):
