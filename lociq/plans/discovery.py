@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -137,10 +138,10 @@ def discordant_clusters(discordant: DataFrame, unpaired: DataFrame, concordant:
     return out.select("rname", F.col("island_start").cast("int").alias("start"), F.col("island_end").cast("int").alias("end"), "cluster_id", "strand", F.col("orient").cast("int").alias("orientation"), "exons", "concordant_frags", "qnames", F.coalesce("unpaired_qnames", none).alias("unpaired_qnames")), members.select("qname", "cluster_id", "orient")
 
 
-def discover(discordant: DataFrame, unpaired: DataFrame, concordant: DataFrame, transcripts: DataFrame, config: RunConfig, split: DataFrame | None = None, *, stages: Stages | None = None, inputs: tuple[str, ...] = ()) -> DataFrame:
+def discover(discordant: DataFrame, unpaired: DataFrame, concordant: DataFrame, transcripts: DataFrame, config: RunConfig, split: DataFrame | Callable[[DataFrame, DataFrame], DataFrame] | None = None, *, stages: Stages | None = None, inputs: tuple[str, ...] = ()) -> DataFrame:
     """Chimera rows that pass the final filter, from genome alignments by kind and, if there are any, split alignments over pairs.
 
-    With ``stages`` the clusters, their members, the pairs and the chimeras are kept as its stages,
+    ``split`` may be a function that makes them of the pairs and clusters. With ``stages`` the clusters, their members, the pairs and the chimeras are kept as its stages,
     which depend on ``inputs`` (paths and earlier stages) and the settings.
     """
     settings = {"config": config.to_xml()}
@@ -159,11 +160,13 @@ def discover(discordant: DataFrame, unpaired: DataFrame, concordant: DataFrame,
     numbered = lambda: cluster.with_pair_ids(cluster.pair_clusters(members, "qname", "cluster_id", "orient")).withColumn("pair_id", F.col("pair_id").cast("int"))
     pairs = keep("pairs", numbered, "members")
     spot = lambda p: clusters.select(F.col("cluster_id").alias(f"id{p}"), F.col("rname").alias(f"rname{p}"), F.col("start").alias(f"start{p}"), F.col("end").alias(f"end{p}"))
+    if callable(split):
+        split = keep("split", lambda make=split: make(pairs, clusters), "clusters", "pairs")
     if split is not None:
         pairs = spanning.with_spanning(pairs, spanning.split_reads(split, pairs.join(spot("5p"), "id5p").join(spot("3p"), "id3p").drop("qnames", "id5p", "id3p"), anchor=config.anchor))
     else:
         pairs = pairs.withColumn("spanning_qnames", F.array().cast("array<string>"))
-    chimeras = keep("chimeras", lambda: annotate.annotate(pairs, clusters, transcripts, source=config.source), "clusters", "pairs")
+    chimeras = keep("chimeras", lambda: annotate.annotate(pairs, clusters, transcripts, source=config.source), "clusters", "pairs", *(["split"] if stages and "split" in stages.keys else []))
     return filters.final_filter(chimeras, min_frags=config.min_frags, min_fraction=config.min_fraction, mask_biotypes=config.mask_biotypes, mask_rnames=config.mask_rnames)
 
 
