@@ -2,9 +2,15 @@
 
 The guess cost of a value is the least over all its segmentations into dictionary words,
 dates, repeats, keyboard walks (and runs of the alphabet or of digits) and brute-force
-characters, by dynamic programming over its positions. A value that follows a credential
-word and would take ``GUESSES`` powers of ten or more is a secret; a cheap one, such as a
-placeholder, is not.
+characters, by dynamic programming over its positions. Pronounceable strings of letters, such
+as names, are segments too, whose cost is that of their letter pairs in the dictionary, and
+a sign between segments costs a choice among signs.
+
+Length alone makes no secret: prose, urls, addresses and placeholders cost many guesses, but
+all of them for words. A value that follows a credential word and takes ``GUESSES`` powers of ten
+or more is a secret if the characters that its cheapest segmentation leaves to brute force alone
+take so many, or if each of its characters takes ``DENSE`` in the mean.
+A pass phrase, a few words with blanks after a word for passwords, is one if all of it does.
 
 Dictionary words are ranked: common passwords and placeholders first, then the whole words of
 a tokenizer's vocabulary, in the order in which that learnt them.
@@ -16,6 +22,7 @@ import functools
 import json
 import math
 import re
+import unicodedata
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -24,6 +31,12 @@ from lociq.llm.frames import map_columns, rewrite_texts
 
 #: Powers of ten of guesses from which a value counts as a secret, and its least length.
 GUESSES, SHORTEST = 8.0, 6
+#: Words of a pass phrase.
+PHRASE = range(3, 9)
+#: Letters that a name has at least, and powers of ten that one of them may cost in the mean.
+NAME_LETTERS, NAME_COST = 4, 1.15
+#: Powers of ten a character from which a value without blanks is no sequence of words.
+DENSE = 1.3
 KINDS = ("assign", "access", "hex", "guess")
 
 # Letters are spelt in both cases: only ASCII letters are meant.
@@ -32,7 +45,7 @@ _ASSIGN = re.compile(_BOTH("(password|passwd|secret|token|api_?key)") + r"[\"']?
 _ACCESS = re.compile("AKIA[A-Z0-9]{14,}")
 _HEX = re.compile("[0-9a-f]{16,}")
 _CONTEXT = re.compile(
-    _BOTH(r"(?:passwords?|passwd|passphrase|pwd|secrets?|tokens?|api[_-]?keys?|(?:access|private|client|signing)[_-]?(?:key|secret)|authorization|auth|bearer|credentials?)")
+    _BOTH(r"(passwords?|passwd|passphrase|pwd|secrets?|tokens?|api[_-]?keys?|(?:access|private|client|signing)[_-]?(?:key|secret)|authorization|auth|bearer|credentials?)")
     + r"[\"']?[ \t]*(?:=>|[:=])[ \t]*(?:[Bb]earer +|[Bb]asic +)?([\"']?)"
 )
 #: What a quoted value holds: all before its own quote, blank lines excepted. A quote after a backslash or before a word sign, as in don't, is part of it.
@@ -53,17 +66,28 @@ name first last data file code auth bearer basic session cookie web app site con
 
 
 class Words(NamedTuple):
-    """Ranks of words from 1, and the length of the longest."""
+    """Ranks of words from 1, the length of the longest, and what each letter costs after another (a blank begins a word)."""
 
     ranks: dict[str, int]
     longest: int
+    pairs: dict[str, float]
 
 
 def ranked(words: list[str]) -> Words:
     ranks: dict[str, int] = {}
     for w in words:
         ranks.setdefault(w, len(ranks) + 1)
-    return Words(ranks, max(map(len, ranks)))
+    seen: dict[str, int] = {}
+    for w in ranks:
+        if w.isascii() and w.isalpha():
+            for a, b in zip(" " + w, w, strict=False):
+                seen[a + b] = seen.get(a + b, 0) + 1
+                seen[a] = seen.get(a, 0) + 1
+    pairs = {a + b: -math.log10((seen.get(a + b, 0) + 1) / (seen.get(a, 0) + 26)) for a in " " + _LETTERS for b in _LETTERS}
+    return Words(ranks, max(map(len, ranks)), pairs)
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 #: The built-in words alone.
@@ -93,11 +117,14 @@ def _neighbours() -> dict[str, str]:
 
 
 _NEAR = _neighbours()
-_DATES = [re.compile(p) for p in (r"(?:19|20)\d\d", r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)?\d\d", r"(?:0[1-9]|1[0-2])([-/._]?)(?:0[1-9]|[12]\d|3[01])\1(?:19|20)?\d\d")]
-_DATE_COST = (2.0, 4.6, 4.6, 4.6)
+_DATES = [re.compile(p) for p in (r"(?:19|20)\d\d", r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)?\d\d", r"(?:0[1-9]|1[0-2])([-/._]?)(?:0[1-9]|[12]\d|3[01])\1(?:19|20)?\d\d", r"(?:19|20)\d\d-?\d\d-?\d\d[T ]\d\d:?\d\d(?::?\d\d)?(?:\.\d+)?(?:Z|[+-]\d\d:?\d\d)?", r"(?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d)?")]
+_DATE_COST = (2.0, 4.6, 4.6, 4.6, 9.5, 4.9)
+#: Letters of one case, or with a capital first; signs of the keyboard, which cost a choice of one of them.
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_SIGN, _SIGN_COST = re.compile(r"[!-/:-@\[-`{-~\s]"), math.log10(34)
 #: What each further segment adds: the guesser doesn't know where segments end.
 _JOIN = 0.3
-#: The longest unit that is looked for said again and again.
+#: The longest unit that is looked for said again and again; a longer one costs what its own segments cost each time, which is more.
 LONGEST_UNIT = 32
 
 
@@ -124,10 +151,19 @@ def segments(value: str, path: str | None = None):
             rank = words.ranks.get(raw) or words.ranks.get(plain[i:j])
             if rank:
                 yield i, j, math.log10(rank + 1) + (0.3 if value[i:j] != raw else 0) + (0.3 if raw not in words.ranks else 0)
+        if _SIGN.match(value, i):
+            yield i, i + 1, _SIGN_COST
         if "0" <= value[i] <= "9":
             for pattern, cost in zip(_DATES, _DATE_COST, strict=True):
                 if m := pattern.match(value, i):
                     yield i, m.end(), cost
+    bare = "".join(unicodedata.normalize("NFD", c)[0] for c in value) if not value.isascii() else value
+    for m in _NAME.finditer(bare):
+        name = m[0].lower()
+        if len(name) >= NAME_LETTERS:
+            cost = sum(words.pairs[a + b] for a, b in zip(" " + name, name, strict=False))
+            if cost <= NAME_COST * len(name):
+                yield m.start(), m.end(), cost + 0.3
     for unit in range(1, min(LONGEST_UNIT, n // 2) + 1):  # a unit said again and again
         i = 0
         while i + 2 * unit <= n:
@@ -151,38 +187,72 @@ def segments(value: str, path: str | None = None):
             i = max(j, i + 1)
 
 
-def guess_cost(value: str, path: str | None = None) -> float:
-    """log10 of the guesses for the cheapest segmentation. An empty value costs 0."""
+def cheapest(value: str, path: str | None = None) -> tuple[float, list[tuple[int, int, float]]]:
+    """log10 of the guesses for the cheapest segmentation, and its parts (start, end, cost); a part of brute force is one character."""
     n, brute = len(value), math.log10(alphabet_size(value)) if value else 0.0
     ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for i, j, cost in segments(value, path):
         ending[j].append((i, cost))
-    best = [0.0] * (n + 1)
+    best, before = [0.0] * (n + 1), [0] * (n + 1)
     for j in range(1, n + 1):
-        low = best[j - 1] + brute
+        low, at = best[j - 1] + brute, j - 1
         for i, cost in ending[j]:
-            low = min(low, best[i] + cost + (_JOIN if i else 0.0))
-        best[j] = low
-    return best[n]
+            if (new := best[i] + cost + (_JOIN if i else 0.0)) < low:
+                low, at = new, i
+        best[j], before[j] = low, at
+    parts, j = [], n
+    while j:
+        parts.append((before[j], j, best[j] - best[before[j]]))
+        j = before[j]
+    return best[n], parts[::-1]
+
+
+def guess_cost(value: str, path: str | None = None) -> float:
+    """log10 of the guesses for the cheapest segmentation. An empty value costs 0."""
+    return cheapest(value, path)[0]
+
+
+def hard_cost(value: str, parts: list[tuple[int, int, float]]) -> float:
+    """What of a segmentation's cost falls on runs of single characters that aren't all signs: signs alone only part its words. The most of any stretch between blanks."""
+    most = total = held = 0.0
+    odd = False
+    for i, j, cost in [*parts, (len(value), len(value) + 2, 0.0)]:
+        blank = value[i:j].isspace()
+        if j - i == 1 and not blank:
+            held, odd = held + cost, odd or not _SIGN.match(value, i)
+        else:
+            total, held, odd = total + (held if odd else 0.0), 0.0, False
+        most = max(most, total)
+        total = 0.0 if blank else total
+    return most
+
+
+def is_secret(value: str, key: str, cost: float, parts: list[tuple[int, int, float]]) -> bool:
+    """Whether a value after a credential word ``key`` is a secret, by its cheapest segmentation."""
+    if cost < GUESSES or len(value) < SHORTEST:
+        return False
+    phrase = key.lower().startswith("p") and len(value.split()) in PHRASE and not value.startswith(("<", "{", "["))
+    dense = len(value.split()) == 1 and cost >= DENSE * len(value)
+    return phrase or dense or hard_cost(value, parts) >= GUESSES
 
 
 def values(text: str):
-    """(start, end) of every value after a credential word.
+    """(start, end, credential word) of every value after one.
 
     A quoted value ends at its own quote; one without quotes, or whose quote isn't closed
     before a blank line, at white space, less the punctuation at its end.
     """
     at, unclosed = 0, dict.fromkeys(_INSIDE, 0)
     while m := _CONTEXT.search(text, at):
-        lo, quote = m.end(), m[1]
+        lo, quote = m.end(), m[2]
         if quote and lo >= unclosed[quote]:
             at = _INSIDE[quote].match(text, lo).end()
             if text[at : at + 1] == quote:
-                yield lo, at
+                yield lo, at, m[1]
                 continue
             unclosed[quote] = at  # nor is any that opens before
         at = _UNQUOTED.match(text, lo).end()
-        yield lo, lo + len(text[lo:at].rstrip(".,;)]}>\"'"))
+        yield lo, lo + len(text[lo:at].rstrip(".,;)]}>\"'")), m[1]
 
 
 def scan(text: str | None, path: str | None = None) -> list[tuple[str, int, int, float]]:
@@ -200,9 +270,11 @@ def scan(text: str | None, path: str | None = None) -> list[tuple[str, int, int,
             if len(m[2]) >= 12:
                 taken[m.start(2)] = m.end()
                 found.append(("assign", m.start(), m.end(), guess_cost(m[2], path)))
-        for lo, hi in values(text):
-            if hi - lo >= SHORTEST and taken.get(lo, 0) < hi and (cost := guess_cost(text[lo:hi], path)) >= GUESSES:
-                found.append(("guess", lo, hi, cost))
+        for lo, hi, key in values(text):
+            if hi - lo >= SHORTEST and taken.get(lo, 0) < hi:
+                cost, parts = cheapest(text[lo:hi], path)
+                if is_secret(text[lo:hi], key, cost, parts):
+                    found.append(("guess", lo, hi, cost))
     if "AKIA" in text:
         found += [("access", m.start(), m.end(), -1.0) for m in _ACCESS.finditer(text)]
     found += [("hex", m.start(), m.end(), -1.0) for m in _HEX.finditer(text)]
