@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lociq.llm import near_join, packing, secrets, toxicity
 from lociq.llm.frames import read_table
 from lociq.llm.queries import tokenizer_path
-from lociq.plans.storage import delete_path, materialise, scratch_cleared, scratch_path
+from lociq.plans.storage import Stages, delete_path, materialise, scratch_cleared, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the packed sequences, with their ids as little-endian unsigned 32-bit integers."""
+    """Pieces of the packed sequences, with their ids as little-endian unsigned 32-bit integers. Columns of documents are left out but for doc_id."""
     packed = packing.pack_pieces(docs, tokenizer_path())
     return packed.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
@@ -52,8 +52,19 @@ STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_copies), ("sec
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Rows of the last stage.
+
+    With ``folder`` every stage's table stays there, and a run that is started again takes up those
+    that are whole, as long as documents, labels and stages before are the same. Without it
+    a stage's table goes when the next one is written.
+    """
     docs, before = read_table(spark, sf_dir, "documents"), None
+    if folder:
+        stages, after = Stages(spark, folder), f"{sf_dir}/documents.parquet"
+        for name, stage in STAGES:
+            docs, after = stages.table(name, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), inputs=[after, f"{sf_dir}/labels.parquet"]), name
+        return docs
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         with scratch_cleared(spark):  # a stage's own tables go when its result is written
