@@ -36,7 +36,7 @@ def test_random_values_are_secrets(letters, n, least):
 
 
 def test_the_hard_part_is_what_words_leave():
-    for value, hard in (("summer-winter", False), ("summer-x7#Kq9!z", True), ("summer x7#Kq", False)):
+    for value, hard in (("summer-winter", False), ("summer-x7#Kq9!z", True), ("summer x7#K", False)):
         cost, parts = secrets.cheapest(value, PATH)
         assert (secrets.hard_cost(value, parts) >= secrets.GUESSES) == hard
         assert abs(sum(c for *_, c in parts) - cost) < 1e-9 and "".join(value[a:b] for a, b, _ in parts) == value
