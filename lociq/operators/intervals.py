@@ -7,6 +7,8 @@ Repeated rows each count.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,23 +115,34 @@ def overlap_exists(left: DataFrame, right: DataFrame, keys: list[str], *, anti:
 def nearest(queries: DataFrame, intervals: DataFrame, keys: list[str], *, pos: str = "p", side: str = "before", k: int = 1, max_dist: int = 2500, ends: tuple[str, str] = ("s", "e"), ties: list[str] | None = None) -> DataFrame:
     """The k intervals nearest before (0 <= p - 1 - e < max_dist) or after (0 <= s - p - 1 < max_dist) a position.
 
-    Adds distance and rank. Intervals lie in the bin of their end (start), and a position looks
-    into the two bins its reach can touch. Equal distances go by ``ties``, then the interval.
-    Equal positions are asked once and each query row gets the answer; equal intervals each
-    take a rank. Interval columns that queries have too, the keys excepted, get the suffix _right.
+    Adds distance and rank. Equal distances go by ``ties``, then the interval; equal intervals each
+    take a rank, and equal queries each get their answer. A null key or coordinate meets nothing.
+    Interval columns that queries have too, the keys excepted, get the suffix _right.
+
+    No pairs are made. Positions are cut into bins of ``max_dist``; an interval goes to the two bins
+    from which it can be reached. In a bin's order each interval knows the k up to it, and a query
+    takes those of the last interval before it.
     """
     intervals, (s, e) = _no_clash(queries, intervals, keys, ends)
-    bin_, asked = hidden("_bin", queries, intervals), {c: hidden(f"_a{i}", queries, intervals) for i, c in enumerate([*keys, pos])}
-    at = F.col(e) if side == "before" else F.col(s)
-    lo, hi = (F.col(pos) - max_dist, F.col(pos) - 1) if side == "before" else (F.col(pos) + 1, F.col(pos) + max_dist)
-    one = queries.select(*asked).distinct()
-    a = one.withColumn(bin_, F.explode(F.sequence(F.floor(lo / max_dist), F.floor(hi / max_dist))))
-    b = intervals.filter(F.col(s).isNotNull() & F.col(e).isNotNull()).withColumn(bin_, F.floor(at / max_dist))
-    gap = F.col(pos) - 1 - F.col(e) if side == "before" else F.col(s) - F.col(pos) - 1
-    near = a.join(b, [*keys, bin_]).drop(bin_).withColumn("distance", gap).filter(f"distance >= 0 and distance < {max_dist}")
-    order = Window.partitionBy(*asked).orderBy("distance", *(ties or []), s, e)
-    best = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).withColumnsRenamed(asked)
-    return queries.join(best, [queries[c] == best[n] for c, n in asked.items()]).drop(*asked.values())
+    bin_, x, nth, asked, up_to = (hidden(n, queries, intervals) for n in ("_bin", "_x", "_nth", "_asked", "_up_to"))
+    known = lambda *cs: reduce(lambda p, q: p & q, [F.col(c).isNotNull() for c in cs])
+    # on the axis x an interval lies at or before the positions that ask for it, the nearest last
+    at, spot = (F.col(e), F.col(pos) - 1) if side == "before" else (-F.col(s), -(F.col(pos) + 1))
+    held = intervals.filter(known(*keys, s, e)).withColumn(x, at.cast("long"))
+    held = held.withColumn(bin_, F.explode(F.array(F.floor(F.col(x) / max_dist), F.floor(F.col(x) / max_dist) + 1)))
+    place = Window.partitionBy(*keys, bin_)
+    order = place.orderBy(x, *[F.col(c).desc() for c in (*(ties or []), s, e)])
+    item = F.struct(x, *[c for c in intervals.columns if c not in keys])
+    held = held.select(*keys, bin_, x, F.row_number().over(order).alias(nth), F.collect_list(item).over(order.rowsBetween(1 - k, 0)).alias(up_to))
+    rows = queries.filter(known(*keys, pos)).withColumn(x, spot.cast("long"))
+    rows = rows.select(*keys, F.floor(F.col(x) / max_dist).alias(bin_), x, F.lit(0).alias(nth), F.struct(*[F.col(c) for c in queries.columns]).alias(asked))
+    both = held.unionByName(rows, allowMissingColumns=True)
+    so_far = place.orderBy(x, F.col(asked).isNotNull(), nth).rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn(up_to, F.last(up_to, True).over(so_far)).filter(F.col(asked).isNotNull() & F.col(up_to).isNotNull())
+    each = met.select(x, asked, F.posexplode(F.reverse(up_to)).alias(nth, up_to))
+    distance = F.col(x) - F.col(f"{up_to}.{x}")
+    named = [F.col(f"{asked}.{c}").alias(c) for c in queries.columns] + [F.col(f"{up_to}.{c}").alias(c) for c in intervals.columns if c not in keys]
+    return each.filter(distance < max_dist).select(*named, distance.alias("distance"), (F.col(nth) + 1).alias("rank"))
 
 
 def nearest_stranded(queries: DataFrame, intervals: DataFrame, keys: list[str], *, strand: str = "strand", direction: str = "upstream", **how) -> DataFrame:
