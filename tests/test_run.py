@@ -60,12 +60,10 @@ def test_reads_of_a_fused_transcript_give_its_fusion(spark, made):
     assert r.num_discordant_frags >= 10 and r.num_spanning_frags >= 3 and r.chimera_type == "Interchromosomal"
     # a read may go two bases past the break and still be placed on the next exon
     assert (r.rname5p, r.rname3p) == ("chr1", "chr2") and 500 <= r.start5p < r.end5p <= 1502 and 2000 <= r.start3p < r.end3p <= 2902
-    # a second run reads what the first has written; a setting makes it work again
+    # a second run reads what the first has written
     before = {p.name: sorted(x.name for x in p.iterdir()) for p in (at / "stages").iterdir()}
     assert run.run(spark, config, index, folder=str(at / "stages")).collect() == found
     assert {p.name: sorted(x.name for x in p.iterdir()) for p in (at / "stages").iterdir()} == before
-    strict = RunConfig(**(vars(config) | {"min_frags": 10_000}))
-    assert run.run(spark, strict, index, folder=str(at / "stages")).count() == 0
 
 
 def test_every_fragment_goes_one_way(spark, made):
