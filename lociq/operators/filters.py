@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociq.functions.prob import binomial_cdf
+from lociq.operators.intervals import hidden
 
 
 def allele_fraction(frags: Column, disc5: Column, conc5: Column, disc3: Column, conc3: Column) -> Column:
@@ -42,11 +43,24 @@ def isoform_fraction(n: Column, wild5: Column, wild3: Column) -> Column:
     return F.least(share(wild5), share(wild3))
 
 
-def crossing_fraction(fragments: DataFrame, breakpoints: DataFrame, keys: list[str], fragment: str) -> DataFrame:
-    """(breakpoint columns, wild): fragments whose outermost interval crosses ``at``."""
-    spans = fragments.groupBy(*keys, fragment).agg(F.min("s").alias("lo"), F.max("e").alias("hi"))
-    met = breakpoints.join(spans, keys).filter("lo < at and at < hi")
-    return met.groupBy(*breakpoints.columns).agg(F.count(F.lit(1)).alias("wild"))
+def crossing_fraction(fragments: DataFrame, breakpoints: DataFrame, keys: list[str], fragment: str, *, tile: int = 4096) -> DataFrame:
+    """(breakpoint columns, wild): fragments whose outermost interval crosses ``at``.
+
+    No pairs are made: those that begin before a breakpoint less those that end by it, by running sums in tiles
+    of positions and the tiles' own sums by key. Starts and ends of one position are summed first. ``at`` is a whole number.
+    """
+    at, way, d, tile_, ask, before = (hidden(n, fragments, breakpoints) for n in ("_at", "_way", "_d", "_tile", "_ask", "_before"))
+    spans = fragments.groupBy(*keys, fragment).agg(F.min("s").alias("lo"), F.max("e").alias("hi")).filter("hi > lo")
+    # at one position ends go first, then breakpoints, then starts
+    edges = F.explode(F.array(F.struct(F.col("lo").alias("x"), F.lit(2).alias("way"), F.lit(1).cast("long").alias("d")), F.struct(F.col("hi").alias("x"), F.lit(0).alias("way"), F.lit(-1).cast("long").alias("d"))))
+    changes = spans.select(*keys, edges.alias(d)).select(*keys, F.floor(F.col(d)["x"] / tile).alias(tile_), F.col(d)["x"].alias(at), F.col(d)["way"].alias(way), F.col(d)["d"].alias(d)).groupBy(*keys, tile_, at, way).agg(F.sum(d).alias(d))
+    asked = breakpoints.filter(F.col("at").isNotNull()).select(*keys, F.floor(F.col("at") / tile).alias(tile_), F.col("at").alias(at), F.lit(1).alias(way), F.lit(0).cast("long").alias(d), F.struct(*breakpoints.columns).alias(ask))
+    run = F.sum(d).over(Window.partitionBy(*keys, tile_).orderBy(at, way).rowsBetween(Window.unboundedPreceding, 0))
+    inside = changes.unionByName(asked, allowMissingColumns=True).withColumn(d, run).filter(F.col(ask).isNotNull())
+    sums = changes.groupBy(*keys, tile_).agg(F.sum(d).alias(d)).unionByName(asked.select(*keys, tile_, d).distinct()).groupBy(*keys, tile_).agg(F.sum(d).alias(d))
+    carried = sums.select(*keys, tile_, F.coalesce(F.sum(d).over(Window.partitionBy(*keys).orderBy(tile_).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    wild = inside.join(carried, [*keys, tile_]).select(F.col(ask), (F.col(d) + F.col(before)).alias("wild")).filter("wild > 0")
+    return wild.groupBy(*[F.col(ask)[c].alias(c) for c in breakpoints.columns]).agg(F.sum("wild").alias("wild"))
 
 
 def balance_p_value(k: Column, n: Column) -> Column:
