@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociq.operators.classify import combinations
 from lociq.operators.graph import connected_components
-from lociq.operators.intervals import hidden, islands, join_same, label_islands, overlap_join
+from lociq.operators.intervals import hidden, island_links, islands, join_same, overlap_join
 
 
 def boundary(start: Column, end: Column, strand: Column, orientation: Column) -> Column:
@@ -48,15 +48,28 @@ def past_boundary(strand: Column, orientation: Column, start: Column, end: Colum
     return F.when(right, (r_end > end) | (mate_pos >= end)).otherwise((r_start < start) | (mate_pos < start))
 
 
+def count_overlapping(spans: DataFrame, fragments: DataFrame, keys: list[str], fragment: str, name: str, *, where: Column | None = None, width: int | None = None) -> DataFrame:
+    """(span columns, ``name``): the distinct fragments of fragments' [s2, e2) that overlap spans' [s, e) and meet ``where``; spans without one are left out.
+
+    spans are distinct rows; one that only null fragments meet has 0. A fragment that has one row under its keys meets a span once, so its pairs are
+    counted as they are made and never move; only those of fragments with several rows are made distinct.
+    """
+    several = hidden("_several", spans, fragments)
+    rows = fragments.withColumn(several, F.count(F.lit(1)).over(Window.partitionBy(*keys, fragment)) > 1)
+    condition = F.lit(True) if where is None else where
+    met = lambda kind: overlap_join(spans, rows.filter(kind).drop(several), keys, width=width).filter(condition).select(*spans.columns, fragment)
+    one, more = met(~F.col(several)).groupBy(*spans.columns).agg(F.count(fragment).alias(name)), met(F.col(several)).distinct().groupBy(*spans.columns).agg(F.count(fragment).alias(name))
+    return one.unionByName(more).groupBy(*spans.columns).agg(F.sum(name).alias(name))
+
+
 def concordant_evidence(clusters: DataFrame, fragments: DataFrame, keys: list[str], *, width: int | None = None) -> DataFrame:
     """(cluster columns, frags): distinct overlapping fragments that reach past the boundary; 0 where none does.
 
     Fragments are counted for distinct places, so further columns, null or not, and repeated clusters change nothing.
     """
     spot = list(dict.fromkeys([*keys, "s", "e", "strand", "orient"]))
-    met = overlap_join(clusters.select(*spot).distinct(), fragments.select(*keys, "s2", "e2", "mate_pos", "frag2"), keys, width=width)
-    past = met.filter(past_boundary(F.col("strand"), F.col("orient"), F.col("s"), F.col("e"), F.col("s2"), F.col("e2"), F.col("mate_pos")))
-    counted = past.select(*spot, "frag2").distinct().groupBy(*spot).agg(F.count("frag2").alias("frags"))
+    past = past_boundary(F.col("strand"), F.col("orient"), F.col("s"), F.col("e"), F.col("s2"), F.col("e2"), F.col("mate_pos"))
+    counted = count_overlapping(clusters.select(*spot).distinct(), fragments.select(*keys, "s2", "e2", "mate_pos", "frag2"), keys, "frag2", "frags", where=past, width=width)
     return join_same(clusters, counted, spot, "left").fillna(0, ["frags"])
 
 
@@ -79,10 +92,7 @@ def with_pair_ids(pairs: DataFrame) -> DataFrame:
 
 def transcript_clusters(exons: DataFrame, keys: list[str], tx: str = "tx_id") -> DataFrame:
     """(tx, component): transcripts that share an exon island on the same chromosome and strand, transitively."""
-    held = label_islands(exons, keys).select(*keys, "island_start", tx).distinct()
-    # each transcript of a region is linked to the region's least one: as many edges as memberships
-    least = held.groupBy(*keys, "island_start").agg(F.min(tx).alias("b"))
-    links = held.join(least, [*keys, "island_start"]).select(F.col(tx).alias("a"), "b").distinct()
+    links = island_links(exons, keys, tx)
     return connected_components(links).select(F.col("node").alias(tx), "component")
 
 
