@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociq.functions import cigar, sequence
@@ -175,10 +175,17 @@ def breakpoint_reads(pairs: DataFrame, members: DataFrame, mates: DataFrame) ->
 
     members: qname, seq, qual. mates: qname, cluster_id, seq, qual.
     """
-    of = pairs.select("pair_id", F.explode("qnames").alias("qname")).join(members, "qname")
-    sides = pairs.select("pair_id", F.explode(F.array("id5p", "id3p")).alias("cluster_id")).join(mates, "cluster_id").drop("cluster_id")
-    both = of.select("pair_id", "qname", "seq", "qual").unionByName(sides.select("pair_id", "qname", "seq", "qual")).distinct()
-    return both.select(F.format_string("%d:%s", "pair_id", "qname").alias("qname"), "seq", "qual")
+    read = ["qname", "seq", "qual"]
+    of = pairs.select("pair_id", F.explode("qnames").alias("qname")).join(members, "qname").select("pair_id", *read)
+    sides = pairs.select("pair_id", F.explode(F.array("id5p", "id3p")).alias("cluster_id")).distinct()
+    # a mate of one cluster that is no member meets a pair once, so only the others' rows have to be made distinct
+    places = mates.select(*read, "cluster_id").distinct().withColumn("_mate", F.lit(True))
+    both = places.unionByName(members.select(*read).distinct().withColumn("_mate", F.lit(False)), allowMissingColumns=True)
+    counted = both.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*read))).filter("_mate").drop("_mate")
+    met = lambda some: sides.join(counted.filter(some).drop("_n"), "cluster_id").select("pair_id", *read)
+    every = met("_n = 1").unionByName(of.unionByName(met("_n > 1")).distinct())
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    return every.select(F.concat(told("pair_id"), F.lit(":"), told("qname")).alias("qname"), "seq", "qual")
 
 
 def rename_references(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
