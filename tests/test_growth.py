@@ -125,3 +125,52 @@ def test_overlapping_fragments_are_counted_once(spark):
     got = cluster.count_overlapping(spark.createDataFrame(spans, "k string, s long, e long"), spark.createDataFrame(frags, "k string, s2 long, e2 long, f long"), ["k"], "f", "n", where=F.col("e2") > F.col("e"), width=32)
     met = {x: {f for k, s2, e2, f in frags if k == x[0] and e2 > x[1] and s2 < x[2] and e2 > x[2]} for x in spans}
     assert sorted(map(tuple, got.collect())) == sorted((*x, len(fs - {None})) for x, fs in met.items() if fs)
+
+
+def test_totals_of_copies_meet_once(spark):
+    draw = random.Random(7)
+    side = lambda n, longest: [(draw.choice("ab"), s := draw.randrange(40), s + draw.randrange(1, longest)) for _ in range(n)]
+    a, b = side(90, 1000), side(90, 9)
+    got = intervals.overlap_totals(spark.createDataFrame(a, "k string, s long, e long"), spark.createDataFrame(b, "k string, s2 long, e2 long"), ["k"])
+    want = {}
+    for k, s, e in a:
+        for k2, s2, e2 in b:
+            if k == k2 and e2 > s and s2 < e:
+                n, bases = want.get(k, (0, 0))
+                want[k] = n + 1, bases + min(e, e2) - max(s, s2)
+    assert {r.k: (r.pairs, r.bases) for r in got.collect()} == want
+
+
+def test_spanning_reads_are_marked_before_they_meet(spark):
+    from lociq.operators import spanning
+
+    draw = random.Random(8)
+    chimeras = [(i % 25, i % 4, 8 + i % 9, i % 5, i % 4) for i in range(30)]
+    hits = [(draw.randrange(4), draw.randrange(40), i % 2 + 1, draw.randrange(7), 18 + draw.randrange(11), [draw.randrange(5, 20)]) for i in range(120)]
+    x = spark.createDataFrame(chimeras, "chimera_id long, junction long, breakpoint int, homology_left int, homology_right int")
+    a = spark.createDataFrame(hits, "junction long, qname long, mate int, pos int, end int, mismatch_at array<int>")
+    known = a.filter("qname % 4 = 1").select("junction", "qname")
+    how = {"least": 3, "short": 9, "mismatches": 1}
+    want = {}
+    for cid, j, bp, hl, hr in chimeras:
+        for jj, q, mate, pos, end, spots in hits:
+            left, right = bp - pos, end - bp
+            few = sum(p < bp for p in spots) if left <= right else sum(p >= bp for p in spots)
+            if j == jj and left >= max(hl, 3) and right >= max(hr, 3) and (min(left, right) >= 9 or few <= 1):
+                want[cid, q, mate] = max(want.get((cid, q, mate), (0,)), (min(left, right), left, right))
+    by_junction = spanning.merge_spanning(x, a, known, **how).collect()
+    assert len(by_junction) == len(want) and {(r.chimera_id, r.qname, r.mate): (min(r.left, r.right), r.left, r.right) for r in by_junction} == want
+    assert all(r.encompassing == (r.qname % 4 == 1) for r in by_junction)
+    by_chimera = spanning.merge_spanning(x, a, x.select("chimera_id", "junction").join(known, "junction").select("chimera_id", "qname"), **how)
+    assert sorted(map(tuple, by_chimera.collect())) == sorted(map(tuple, by_junction))
+
+
+def test_breakpoint_reads_of_one_cluster_are_not_made_distinct(spark):
+    from lociq.plans import discovery
+
+    pairs = spark.createDataFrame([(1, 5, 6, ["m", "n"]), (2, 6, 6, ["m"]), (2, 6, 6, ["m"])], "pair_id int, id5p long, id3p long, qnames array<string>")
+    members = spark.createDataFrame([("m", "A", None), ("n", "C", "I"), ("n", "C", "I")], "qname string, seq string, qual string")
+    mates = spark.createDataFrame([("u", 5, "G", "I"), ("u", 6, "G", "I"), ("v", 6, "T", "I"), ("v", 6, "T", "I"), ("m", 6, "A", None), ("w", 9, "T", "I")], "qname string, cluster_id long, seq string, qual string")
+    got = discovery.breakpoint_reads(pairs, members, mates)
+    assert sorted(r.qname for r in got.collect()) == ["1:m", "1:n", "1:u", "1:v", "2:m", "2:u", "2:v"]
+    assert "Window" in plan(got)
