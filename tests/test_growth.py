@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lociq.operators import cluster, filters, intervals
+from lociq.operators import align, cluster, filters, intervals
 from lociq.operators.graph import connected_components
 
 
@@ -174,3 +174,22 @@ def test_breakpoint_reads_of_one_cluster_are_not_made_distinct(spark):
     got = discovery.breakpoint_reads(pairs, members, mates)
     assert sorted(r.qname for r in got.collect()) == ["1:m", "1:n", "1:u", "1:v", "2:m", "2:u", "2:v"]
     assert "Window" in plan(got)
+
+
+def test_local_hits_are_ranked_where_they_are_met(spark, monkeypatch):
+    """No join of pairs and no window; small bounds change nothing; an id's several sequences are not mixed."""
+    draw = random.Random(5)
+    refs = [(f"r{i}", "".join(draw.choices("ACGT", k=draw.randrange(30, 90)))) for i in range(30)]
+    reads = [(f"q{i}", (s := draw.choice(refs)[1])[: draw.randrange(9, 30)] + s[-12:]) for i in range(80)]
+    r, t = spark.createDataFrame(reads, "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
+    want = {tuple(x) for x in align.local_align(r, t, anchor=8, max_hits=5).collect()}
+    for name, n in {"READS_TOGETHER": 10, "READS_LEAST": 1, "REFS_TOGETHER": 4, "SEEDS_TOGETHER": 20, "HITS_HELD": 30, "HITS_GIVEN": 7}.items():
+        monkeypatch.setattr(align, name, n)
+    got = align.local_align(r, t, anchor=8, max_hits=5)
+    assert "Join" not in plan(got) and "Window" not in plan(got)
+    rows = [tuple(x) for x in got.collect()]
+    assert set(rows) == want and len(rows) == len(want) > 100
+    twice = t.unionByName(spark.createDataFrame([("r0", refs[1][1]), ("r0", refs[0][1])], t.schema))
+    more = {tuple(x) for x in align.local_align(r, twice, anchor=8).collect()}
+    whole = {tuple(x) for x in align.local_align(r, t, anchor=8).collect()}
+    assert more == whole | {(q, "r0", *x) for q, ref, *x in whole if ref == "r1"}
