@@ -43,9 +43,11 @@ def fuse(transcripts: DataFrame, spec: DataFrame) -> DataFrame:
     """Fused transcripts (tx_id, seq, fpkm, breakpoint) of a fusion list: a slice of one transcript and one of another.
 
     spec: tx5p, start5p, end5p, tx3p, start3p, end3p, fpkm, in transcript coordinates from 0; tx_id of transcripts is text there.
+
+    Both joins are sorted ones: transcripts have no bound, and a table that is small as a file can be large in a task.
     """
     t = transcripts.select(F.col("tx_id").cast("string").alias("id"), "seq")
     side = lambda p: t.select(F.col("id").alias(f"tx{p}"), F.col("seq").alias(f"seq{p}"))
     part = lambda p: F.expr(f"substring(seq{p}, start{p} + 1, end{p} - start{p})")
-    both = spec.join(side("5p"), "tx5p").join(side("3p"), "tx3p")
+    both = spec.join(side("5p").hint("merge"), "tx5p").join(side("3p").hint("merge"), "tx3p")
     return both.select(F.concat_ws("-", "tx5p", "tx3p").alias("tx_id"), F.concat(part("5p"), part("3p")).alias("seq"), "fpkm", F.length(part("5p")).alias("breakpoint"))

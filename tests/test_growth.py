@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lociq.operators import align, cluster, filters, intervals
+from lociq.operators import align, cluster, filters, intervals, simulate
 from lociq.operators.graph import connected_components
 
 
@@ -193,3 +193,12 @@ def test_local_hits_are_ranked_where_they_are_met(spark, monkeypatch):
     more = {tuple(x) for x in align.local_align(r, twice, anchor=8).collect()}
     whole = {tuple(x) for x in align.local_align(r, t, anchor=8).collect()}
     assert more == whole | {(q, "r0", *x) for q, ref, *x in whole if ref == "r1"}
+
+
+def test_fusions_broadcast_no_transcripts(spark):
+    tx = spark.createDataFrame([("a", "ACGTAC"), ("b", "GGTTCC"), ("c", "TT")], "tx_id string, seq string")
+    spec = spark.createDataFrame([("a", 1, 4, "b", 0, 3, 2.0), ("b", 0, 2, "a", 4, 9, 1.0), ("a", 0, 1, "z", 0, 1, 1.0)], "tx5p string, start5p int, end5p int, tx3p string, start3p int, end3p int, fpkm double")
+    got = simulate.fuse(tx, spec)
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == [("a-b", "CGTGGT", 2.0, 3), ("b-a", "GGAC", 1.0, 2)]
+    assert "Broadcast" not in plan(got)
