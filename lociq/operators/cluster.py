@@ -30,11 +30,12 @@ def numbered(df: DataFrame, key: str, order: list, name: str) -> DataFrame:
     """Adds ``name``, from 0 without gaps in the order of ``key`` and ``order``, nulls first.
 
     Ids are an offset of the key plus a rank in it, so no task sorts all rows; a null key is a key.
+    The key is joined and ranked as a struct, of which nulls are equal, so rows move once for both.
     """
-    n, o = hidden("_n", df), hidden("_o", df)
+    n, o, k = hidden("_n", df), hidden("_o", df), hidden("_k", df)
     offsets = offsets_of(df.groupBy(key).agg(F.count(F.lit(1)).alias(n)), key, n, o)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return join_same(df, offsets, [key]).withColumn(name, F.col(o) + rank - 1).drop(o)
+    rank = F.row_number().over(Window.partitionBy(k).orderBy(*order))
+    return df.withColumn(k, F.struct(key)).join(offsets.select(F.struct(key).alias(k), o), k).withColumn(name, F.col(o) + rank - 1).drop(o, k)
 
 
 def with_cluster_ids(clusters: DataFrame, reference: str, order: list[str]) -> DataFrame:

@@ -312,11 +312,11 @@ def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(c[0].alias("seqid"), c[1].alias("source"), c[2].alias("feature_type"), (c[3].cast("int") - 1).alias("start"), c[4].cast("int").alias("end"), F.when(c[5] == ".", 0.0).otherwise(F.expr("try_cast(split(value, '\t')[5] as double)")).alias("score"), F.when(c[6].isin("+", "-"), c[6]).otherwise(".").alias("strand"), c[7].alias("phase"), attrs.alias("attrs"))
 
 
-def write_gtf(df: DataFrame, path: str) -> None:
-    """Ordered by seqid, start, and type from last to first."""
+def write_gtf(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Ordered by seqid, start, and type from last to first; ``compression`` is gzip or another that readers tell by the suffix."""
     attrs = F.array_join(F.transform(F.array_sort(F.map_entries("attrs")), lambda a: F.concat(a["key"], F.lit(' "'), a["value"], F.lit('";'))), " ")
     line = F.concat_ws("\t", "seqid", "source", "feature_type", (F.col("start") + 1).cast("string"), F.col("end").cast("string"), F.col("score").cast("string"), "strand", F.coalesce("phase", F.lit(".")), attrs)
-    df.orderBy("seqid", "start", F.desc("feature_type")).select(line.alias("value")).write.text(path)
+    df.orderBy("seqid", "start", F.desc("feature_type")).select(line.alias("value")).write.text(path, compression=compression)
 
 
 def gtf_transcripts(gtf: DataFrame, source: str | None = None) -> DataFrame:

@@ -64,10 +64,10 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     return df.select(c[0].alias("chrom"), *[c[i].cast(t).alias(n) for i, n, t in ((1, "tx_start", "int"), (2, "tx_end", "int"), (3, "tx_id", "bigint"), (4, "cluster_id", "int"))], c[5].alias("strand"), c[6].cast("int").alias("exon_count"), _zip(_ints(c[7]), _ints(c[8])).alias("exons"), c[9].alias("gene_biotype"), *[listed(c[i]).alias(n) for i, n in ((10, "tx_names"), (11, "gene_names"), (12, "annotation_sources"))])
 
 
-def write_transcripts(df: DataFrame, path: str) -> None:
-    """Ordered by chromosome and start."""
+def write_transcripts(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Ordered by chromosome and start; ``compression`` is gzip or another that readers tell by the suffix."""
     cells = [*[F.col(c).cast("string") for c in ("chrom", "tx_start", "tx_end", "tx_id", "cluster_id", "strand")], F.size("exons").cast("string"), _edges(F.col("exons"), "start", True), _edges(F.col("exons"), "end", True), F.col("gene_biotype"), *[joined(F.col(c), True) for c in ("tx_names", "gene_names", "annotation_sources")]]
-    df.orderBy("chrom", "tx_start", "tx_id").select(F.concat_ws("\t", *[F.coalesce(x, F.lit("")) for x in cells]).alias("value")).write.text(path)
+    df.orderBy("chrom", "tx_start", "tx_id").select(F.concat_ws("\t", *[F.coalesce(x, F.lit("")) for x in cells]).alias("value")).write.text(path, compression=compression)
 
 
 def read_genepred(spark: SparkSession, path: str, source: str = "na") -> DataFrame:

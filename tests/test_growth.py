@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lociq.operators import align, cluster, filters, intervals, simulate
 from lociq.operators.graph import connected_components
+from lociq.sources import reads, tables
 
 
 def plan(df):
@@ -202,3 +203,34 @@ def test_fusions_broadcast_no_transcripts(spark):
     rows = sorted(map(tuple, got.collect()))
     assert rows == [("a-b", "CGTGGT", 2.0, 3), ("b-a", "GGAC", 1.0, 2)]
     assert "Broadcast" not in plan(got)
+
+
+def test_numbered_rows_move_once(spark):
+    """By sorted joins the rows are dealt by their key once, for the join with the offsets and for the ranks."""
+    rows = [(draw, i * 7 % 31) for i, draw in enumerate(random.Random(6).choices(["a", "b", "c", None], k=60))]
+    df = spark.createDataFrame(rows, "k string, v long")
+    want = sorted((i, *r) for i, r in enumerate(sorted(rows, key=key)))
+    assert sorted((r.n, r.k, r.v) for r in cluster.numbered(df, "k", ["v"], "n").collect()) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = cluster.numbered(df, "k", ["v"], "n")
+        held = got._jdf.queryExecution().executedPlan().toString()
+        # rows, counts of keys, all offsets in order, and offsets by key
+        assert held.count("Exchange") == 4 and "SortMergeJoin" in held
+        assert sorted((r.n, r.k, r.v) for r in got.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_compressed_gtf_and_transcripts_are_read_back(spark, tmp_path):
+    lines = [f'c{i % 3}\tens\texon\t{i * 10 + 1}\t{i * 10 + 5}\t0.0\t+\t.\ttranscript_id "t{i // 2}";' for i in range(40)]
+    (tmp_path / "in.gtf").write_text("\n".join(lines) + "\n")
+    gtf = reads.read_gtf(spark, str(tmp_path / "in.gtf"))
+    reads.write_gtf(gtf, str(tmp_path / "out"), "gzip")
+    assert {f.suffix for f in (tmp_path / "out").glob("part-*")} == {".gz"}
+    back = reads.read_gtf(spark, str(tmp_path / "out"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, gtf.collect())) and back.count() == 40
+    t = reads.gtf_transcripts(back)
+    tables.write_transcripts(t, str(tmp_path / "tx"), "gzip")
+    assert {f.suffix for f in (tmp_path / "tx").glob("part-*")} == {".gz"}
+    assert sorted(map(str, tables.read_transcripts(spark, str(tmp_path / "tx")).collect())) == sorted(map(str, t.collect()))
