@@ -184,7 +184,7 @@ def test_local_hits_are_ranked_where_they_are_met(spark, monkeypatch):
     reads = [(f"q{i}", (s := draw.choice(refs)[1])[: draw.randrange(9, 30)] + s[-12:]) for i in range(80)]
     r, t = spark.createDataFrame(reads, "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
     want = {tuple(x) for x in align.local_align(r, t, anchor=8, max_hits=5).collect()}
-    for name, n in {"READS_TOGETHER": 10, "READS_LEAST": 1, "REFS_TOGETHER": 4, "SEEDS_TOGETHER": 20, "HITS_HELD": 30, "HITS_GIVEN": 7}.items():
+    for name, n in {"READS_TOGETHER": 10, "READS_LEAST": 1, "REFS_TOGETHER": 4, "SEEDS_TOGETHER": 20, "HITS_HELD": 30, "HITS_GIVEN": 7, "CELLS_TOGETHER": 1500}.items():
         monkeypatch.setattr(align, name, n)
     got = align.local_align(r, t, anchor=8, max_hits=5)
     assert "Join" not in plan(got) and "Window" not in plan(got)
