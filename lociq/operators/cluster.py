@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociq.operators.classify import combinations
 from lociq.operators.graph import connected_components
-from lociq.operators.intervals import hidden, island_links, islands, join_same, overlap_join
+from lociq.operators.intervals import _no_clash, bins, hidden, island_links, islands, join_same, overlap_join
 
 
 def boundary(start: Column, end: Column, strand: Column, orientation: Column) -> Column:
@@ -49,16 +51,64 @@ def past_boundary(strand: Column, orientation: Column, start: Column, end: Colum
     return F.when(right, (r_end > end) | (mate_pos >= end)).otherwise((r_start < start) | (mate_pos < start))
 
 
+#: Rows of one fragment that are told apart as they meet a span; only fragments with more are made distinct.
+ROWS_TOLD = 4
+#: Spans of one place that meet the fragments together.
+SPANS_TOGETHER = 1024
+
+
+def _told(fragments: DataFrame, keys: list[str], fragment: str, before: str, many: str) -> DataFrame:
+    """Distinct rows, each with those of its fragment before it (``before``, null for the first), and whether the fragment has over ROWS_TOLD (``many``)."""
+    again, row = hidden("_again", fragments), F.struct(*[c for c in fragments.columns if c not in (*keys, fragment)])
+    own = Window.partitionBy(*keys, fragment)
+    order = own.orderBy(*[c for c in fragments.columns if c not in (*keys, fragment)])
+    rows = fragments.withColumn(again, F.lag(row).over(order).eqNullSafe(row)).filter(~F.col(again)).drop(again)
+    earlier = F.when(F.row_number().over(order) > 1, F.collect_list(row).over(order.rowsBetween(1 - ROWS_TOLD, -1)))
+    return rows.withColumns({before: earlier, many: F.count(F.lit(1)).over(own) > ROWS_TOLD})
+
+
+def _counted(spans: DataFrame, spot: list[str], fragments: DataFrame, keys: list[str], fragment: str, name: str, where: Column, width: int, how: str) -> DataFrame:
+    """Spans with ``name``, their distinct fragments; ``how`` is inner or left. The conditions see the columns ``spot`` of a span.
+
+    Spans and fragments move to bins of four widths, in which the spans of one place meet the fragments once. A row counts
+    unless one of its fragment's before it meets the span too, so no pair moves or is made distinct; the bins' counts are summed.
+    """
+    fragments, (s2, e2) = _no_clash(spans, fragments, keys, ("s2", "e2"))
+    bin_, a0, b0, before, many, seen, n, f, m, kept, part = (hidden(x, spans, fragments) for x in ("_bin", "_a0", "_b0", "_before", "_many", "_seen", "_n", "_f", "_m", "_kept", "_part"))
+    theirs = {c: hidden(f"_k{i}", spans, fragments) for i, c in enumerate((*keys, bin_))}
+    rest, more = [c for c in fragments.columns if c not in (*keys, fragment)], [c for c in spans.columns if c not in spot]
+    size = 4 * width
+    held = spans.withColumns({a0: F.floor(F.col("s") / size), bin_: F.explode_outer(bins(F.col("s"), F.col("e"), size))}).repartition(*keys, bin_)
+    held = held.groupBy(*spot, a0, bin_, *more).agg(F.count(F.lit(1)).alias(m))
+    nth = F.row_number().over(Window.partitionBy(*keys, bin_, *[c for c in spot if c not in keys]).orderBy(m))
+    held = held.withColumn(part, F.floor((nth - 1) / SPANS_TOGETHER)).groupBy(*spot, a0, bin_, part).agg(F.collect_list(F.struct(*more, m)).alias(kept))
+    rows = _told(fragments, keys, fragment, before, many).withColumns({b0: F.floor(F.col(s2) / size), bin_: F.explode(bins(F.col(s2), F.col(e2), size))})
+    rows = rows.repartition(*keys, bin_).withColumnsRenamed(theirs)
+    crossed = (F.col(e2) > F.col("s")) & (F.col(s2) < F.col("e")) & where
+    same = reduce(lambda x, y: x & y, [F.col(c) == F.col(k) for c, k in theirs.items()])
+    met = held.join(rows, same & crossed & (F.greatest(a0, b0) == F.col(bin_)), how).withColumn(seen, F.lit(False))
+    for i in range(ROWS_TOLD - 1):
+        row = F.get(before, F.lit(i))
+        met = met.withColumns({c: row[c] for c in rest}).withColumn(seen, F.col(seen) | F.coalesce(row.isNotNull() & crossed, F.lit(False)))
+    local = met.groupBy(*spot, a0, bin_, part, kept, F.when(F.col(many), F.col(fragment)).alias(f)).agg(F.count(F.when(~F.col(many) & ~F.col(seen), F.col(fragment))).alias(n))
+    each = local.select(*spot, n, f, F.explode(kept).alias(kept)).select(*spot, *[F.col(kept)[c].alias(c) for c in (*more, m)], n, f).repartition(*spans.columns)
+    found = each.groupBy(*spans.columns, m).agg((F.sum(n) + F.count_distinct(f)).alias(name))
+    return found.withColumn(m, F.explode(F.sequence(F.lit(1).cast("long"), F.col(m)))).select(*spans.columns, name)
+
+
 def count_overlapping(spans: DataFrame, fragments: DataFrame, keys: list[str], fragment: str, name: str, *, where: Column | None = None, width: int | None = None) -> DataFrame:
     """(span columns, ``name``): the distinct fragments of fragments' [s2, e2) that overlap spans' [s, e) and meet ``where``; spans without one are left out.
 
-    spans are distinct rows; one that only null fragments meet has 0. A fragment that has one row under its keys meets a span once, so its pairs are
-    counted as they are made and never move; only those of fragments with several rows are made distinct.
+    spans are distinct rows; one that only null fragments meet has 0. With ``width``, about the length of both sides, no pair moves. Without it lengths
+    may be any: a fragment that has one row under its keys meets a span once, so its pairs are counted as they are made and never move; only those of
+    fragments with several rows are made distinct.
     """
+    condition = F.lit(True) if where is None else where
+    if width:
+        return _counted(spans, spans.columns, fragments, keys, fragment, name, condition, width, "inner")
     several = hidden("_several", spans, fragments)
     rows = fragments.withColumn(several, F.count(F.lit(1)).over(Window.partitionBy(*keys, fragment)) > 1)
-    condition = F.lit(True) if where is None else where
-    met = lambda kind: overlap_join(spans, rows.filter(kind).drop(several), keys, width=width).filter(condition).select(*spans.columns, fragment)
+    met = lambda kind: overlap_join(spans, rows.filter(kind).drop(several), keys).filter(condition).select(*spans.columns, fragment)
     one, more = met(~F.col(several)).groupBy(*spans.columns).agg(F.count(fragment).alias(name)), met(F.col(several)).distinct().groupBy(*spans.columns).agg(F.count(fragment).alias(name))
     return one.unionByName(more).groupBy(*spans.columns).agg(F.sum(name).alias(name))
 
@@ -70,7 +120,10 @@ def concordant_evidence(clusters: DataFrame, fragments: DataFrame, keys: list[st
     """
     spot = list(dict.fromkeys([*keys, "s", "e", "strand", "orient"]))
     past = past_boundary(F.col("strand"), F.col("orient"), F.col("s"), F.col("e"), F.col("s2"), F.col("e2"), F.col("mate_pos"))
-    counted = count_overlapping(clusters.select(*spot).distinct(), fragments.select(*keys, "s2", "e2", "mate_pos", "frag2"), keys, "frag2", "frags", where=past, width=width)
+    fragments = fragments.select(*keys, "s2", "e2", "mate_pos", "frag2")
+    if width:
+        return _counted(clusters, spot, fragments, keys, "frag2", "frags", past, width, "left")
+    counted = count_overlapping(clusters.select(*spot).distinct(), fragments, keys, "frag2", "frags", where=past)
     return join_same(clusters, counted, spot, "left").fillna(0, ["frags"])
 
 

@@ -234,3 +234,22 @@ def test_compressed_gtf_and_transcripts_are_read_back(spark, tmp_path):
     tables.write_transcripts(t, str(tmp_path / "tx"), "gzip")
     assert {f.suffix for f in (tmp_path / "tx").glob("part-*")} == {".gz"}
     assert sorted(map(str, tables.read_transcripts(spark, str(tmp_path / "tx")).collect())) == sorted(map(str, t.collect()))
+
+
+def test_evidence_of_repeated_fragments_moves_no_pairs(spark):
+    draw = random.Random(11)
+    key = lambda: draw.choice(["a", "b", None])
+    spans = [(key(), s := draw.randrange(300), s + draw.randrange(0, 200), draw.choice("+-"), draw.randrange(1, 3), i % 7) for i in range(80)]
+    spans += spans[:9] + [("a", None, 5, "+", 1, 0)]
+    frags = [(key(), s := draw.randrange(300), s + draw.randrange(1, 150), draw.randrange(300), None if i % 23 == 0 else draw.randrange(40)) for i in range(240)]
+    frags += frags[:30]
+    c = spark.createDataFrame(spans, "k string, s long, e long, strand string, orient int, tx int")
+    f = spark.createDataFrame(frags, "k string, s2 long, e2 long, mate_pos long, frag2 int")
+    got = cluster.concordant_evidence(c, f, ["k"], width=16)
+    assert plan(got).count("Exchange hashpartitioning") == 4  # clusters once, fragments twice, and the bins' counts
+    want = []
+    for k, s, e, strand, orient, tx in spans:
+        past = (lambda s2, e2, mp: e2 > e or mp >= e) if (strand == "+") == (orient == 1) else (lambda s2, e2, mp: s2 < s or mp < s)  # noqa: B023
+        met = {q for kk, s2, e2, mp, q in frags if k and kk == k and s is not None and e2 > s and s2 < e and past(s2, e2, mp)}
+        want.append((k, s, e, strand, orient, tx, len(met - {None})))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
