@@ -253,3 +253,18 @@ def test_evidence_of_repeated_fragments_moves_no_pairs(spark):
         met = {q for kk, s2, e2, mp, q in frags if k and kk == k and s is not None and e2 > s and s2 < e and past(s2, e2, mp)}
         want.append((k, s, e, strand, orient, tx, len(met - {None})))
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_alignments_alike_are_judged_once(spark, monkeypatch):
+    from lociq.operators import spanning
+
+    monkeypatch.setattr(spanning, "IDS_TOGETHER", 3)
+    monkeypatch.setattr(spanning, "LOTS_TOGETHER", 2)
+    hits = [(i % 2 if i % 19 else None, None if i == 50 else i, i % 2 + 1, i % 3, 18 + i % 2, [9] if i % 5 else None) for i in range(120)]
+    places = [(i, i % 2 if i % 13 else None, 8 + i % 3, 0, 1) for i in range(60)]
+    a = spark.createDataFrame(hits, "junction long, qname long, mate int, pos int, end int, mismatch_at array<int>")
+    x = spark.createDataFrame(places, "chimera_id long, junction long, breakpoint int, homology_left int, homology_right int")
+    got = spanning.merge_spanning(x, a, a.filter("qname % 4 = 1").select("junction", "qname"), least=3, short=0, mismatches=0)
+    assert "explode(_chimeras" in plan(got) and "explode(_reads" in plan(got)
+    want = [(c, q, mate, bp - pos, end - bp, q is not None and q % 4 == 1) for c, j, bp, _, _ in places for jj, q, mate, pos, end, _ in hits if j is not None and j == jj and bp - pos >= 3 and end - bp >= 3]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
