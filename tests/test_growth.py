@@ -268,3 +268,17 @@ def test_alignments_alike_are_judged_once(spark, monkeypatch):
     assert "explode(_chimeras" in plan(got) and "explode(_reads" in plan(got)
     want = [(c, q, mate, bp - pos, end - bp, q is not None and q % 4 == 1) for c, j, bp, _, _ in places for jj, q, mate, pos, end, _ in hits if j is not None and j == jj and bp - pos >= 3 and end - bp >= 3]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_references_are_written_once_for_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(align, "READS_TOGETHER", 10)
+    draw = random.Random(12)
+    refs = [(f"r{i}", "".join(draw.choices("ACGT", k=40))) for i in range(50)]
+    r, t = spark.createDataFrame([(f"q{i}", s[5:30]) for i, (_, s) in enumerate(refs)], "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
+    hits = align.local_align(r, t, anchor=10)
+    assert "CartesianProduct" in plan(hits) and "Generate explode" not in plan(hits)
+    assert {(f"q{i}", f"r{i}", 50) for i in range(50)} <= {(x.read_id, x.ref_id, x.score) for x in hits.collect()}
+    # many letters make as many blocks as many reads do
+    monkeypatch.setattr(align, "READS_TOGETHER", 1000)
+    monkeypatch.setattr(align, "LETTERS_TOGETHER", 50)
+    assert sorted(map(tuple, align.local_align(r, t, anchor=10).collect())) == sorted(map(tuple, hits.collect()))
