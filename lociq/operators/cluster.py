@@ -77,13 +77,13 @@ def _counted(spans: DataFrame, spot: list[str], fragments: DataFrame, keys: list
     bin_, a0, b0, before, many, seen, n, f, m, kept, part = (hidden(x, spans, fragments) for x in ("_bin", "_a0", "_b0", "_before", "_many", "_seen", "_n", "_f", "_m", "_kept", "_part"))
     theirs = {c: hidden(f"_k{i}", spans, fragments) for i, c in enumerate((*keys, bin_))}
     rest, more = [c for c in fragments.columns if c not in (*keys, fragment)], [c for c in spans.columns if c not in spot]
-    size = 4 * width
-    held = spans.withColumns({a0: F.floor(F.col("s") / size), bin_: F.explode_outer(bins(F.col("s"), F.col("e"), size))}).repartition(*keys, bin_)
+    size, tasks = 4 * width, 4 * int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # all steps lie in one stage, so its tasks are small
+    held = spans.withColumns({a0: F.floor(F.col("s") / size), bin_: F.explode_outer(bins(F.col("s"), F.col("e"), size))}).repartition(tasks, *keys, bin_)
     held = held.groupBy(*spot, a0, bin_, *more).agg(F.count(F.lit(1)).alias(m))
     nth = F.row_number().over(Window.partitionBy(*keys, bin_, *[c for c in spot if c not in keys]).orderBy(m))
     held = held.withColumn(part, F.floor((nth - 1) / SPANS_TOGETHER)).groupBy(*spot, a0, bin_, part).agg(F.collect_list(F.struct(*more, m)).alias(kept))
     rows = _told(fragments, keys, fragment, before, many).withColumns({b0: F.floor(F.col(s2) / size), bin_: F.explode(bins(F.col(s2), F.col(e2), size))})
-    rows = rows.repartition(*keys, bin_).withColumnsRenamed(theirs)
+    rows = rows.repartition(tasks, *keys, bin_).withColumnsRenamed(theirs)
     crossed = (F.col(e2) > F.col("s")) & (F.col(s2) < F.col("e")) & where
     same = reduce(lambda x, y: x & y, [F.col(c) == F.col(k) for c, k in theirs.items()])
     met = held.join(rows, same & crossed & (F.greatest(a0, b0) == F.col(bin_)), how).withColumn(seen, F.lit(False))
