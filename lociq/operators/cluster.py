@@ -71,7 +71,8 @@ def _counted(spans: DataFrame, spot: list[str], fragments: DataFrame, keys: list
     """Spans with ``name``, their distinct fragments; ``how`` is inner or left. The conditions see the columns ``spot`` of a span.
 
     Spans and fragments move to bins of four widths, in which the spans of one place meet the fragments once. A row counts
-    unless one of its fragment's before it meets the span too, so no pair moves or is made distinct; the bins' counts are summed.
+    unless one of its fragment's before it meets the span too, so no pair moves; the bins' counts are summed. Only the pairs of
+    fragments with over ROWS_TOLD distinct rows under their keys move, to be made distinct.
     """
     fragments, (s2, e2) = _no_clash(spans, fragments, keys, ("s2", "e2"))
     bin_, a0, b0, before, many, seen, n, f, m, kept, part = (hidden(x, spans, fragments) for x in ("_bin", "_a0", "_b0", "_before", "_many", "_seen", "_n", "_f", "_m", "_kept", "_part"))
@@ -99,7 +100,7 @@ def _counted(spans: DataFrame, spot: list[str], fragments: DataFrame, keys: list
 def count_overlapping(spans: DataFrame, fragments: DataFrame, keys: list[str], fragment: str, name: str, *, where: Column | None = None, width: int | None = None) -> DataFrame:
     """(span columns, ``name``): the distinct fragments of fragments' [s2, e2) that overlap spans' [s, e) and meet ``where``; spans without one are left out.
 
-    spans are distinct rows; one that only null fragments meet has 0. With ``width``, about the length of both sides, no pair moves. Without it lengths
+    spans are distinct rows; one that only null fragments meet has 0. With ``width``, about the length of both sides, no pair moves but those of fragments with over ROWS_TOLD rows. Without it lengths
     may be any: a fragment that has one row under its keys meets a span once, so its pairs are counted as they are made and never move; only those of
     fragments with several rows are made distinct.
     """
